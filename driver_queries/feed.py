@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from driver_queries.registry import plain, query, table
 from driver_queries.silver import OBSERVED, observed
-from priceloom.functions import slot_columns
+from priceloom.functions import slot_columns, utc_instant
 from priceloom.session import fresh_path, settle
 from priceloom.sources.archives import parse_stats, price_rows, slot_instant, type_stations, unpack
 from priceloom.sources.profile import accented_samples, audit, field_presence, id_name_pairs, in_id_order
@@ -128,7 +128,7 @@ def slot_assign(spark: SparkSession, folder: str) -> DataFrame:
 def slotted(spark: SparkSession, folder: str) -> DataFrame:
     """Bronze rows with their daily slots, written once."""
     rows = observed(spark, folder).select("*", *slot_columns(F.col("ingestion_ts")))
-    return settle(rows.withColumn("ingestion_ts", F.col("ingestion_ts").cast("timestamp")), "observed")
+    return settle(rows.withColumn("ingestion_ts", utc_instant(F.col("ingestion_ts"))), "observed")
 
 
 _BRONZE_SQL = """station_id, cp, ville, adresse, pop, round(latitude, 6) AS latitude, round(longitude, 6) AS longitude,

@@ -22,6 +22,7 @@ from priceloom.operators import (
     top_n,
 )
 from priceloom.plans import marts, questions
+from priceloom.session import settle
 
 GROUP = marts.GROUP
 
@@ -93,12 +94,7 @@ def latest_prices(spark: SparkSession, folder: str) -> DataFrame:
         F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("ville"), "n_regionkey"
     )
     regions = table(spark, folder, "region").withColumnRenamed("r_regionkey", "n_regionkey")
-    # The benchmark fixes nation at 25 rows and region at 5.
-    dims = [
-        (stations, ["user_id"], "inner"),
-        (F.broadcast(nations), ["c_nationkey"], "inner"),
-        (F.broadcast(regions), ["n_regionkey"], "left"),
-    ]
+    dims = [(stations, ["user_id"], "inner"), (nations, ["c_nationkey"], "inner"), (regions, ["n_regionkey"], "left")]
     return enrich(newest_prices(spark, folder), dims).select(
         "user_id", "carburant_nom", "prix_euro", "maj_timestamp_utc", "ville",
         F.when(F.col("c_nationkey") % 9 != 8, F.col("r_name")).alias("region_nom"),
@@ -163,7 +159,7 @@ def latest_event_per_pair(spark: SparkSession, folder: str) -> DataFrame:
 SELECT user_id, region_nom, carburant_nom, ville, {dbl('prix_euro', 'ecart_prix_vs_moyenne_region')},
        rang_moins_cher_region, rang_plus_cher_region FROM ranked""")
 def station_price_rank(spark: SparkSession, folder: str) -> DataFrame:
-    latest = in_region(spark, folder)
+    latest = settle(in_region(spark, folder), "latest")  # read by the statistics, the ranks and the result
     ranked = rank_with_gap(
         latest, marts.region_stats(latest), GROUP, "prix_euro", "prix_moyen",
         "rang_moins_cher_region", "rang_plus_cher_region", "ecart_prix_vs_moyenne_region",
@@ -178,7 +174,7 @@ def station_price_rank(spark: SparkSession, folder: str) -> DataFrame:
 SELECT user_id, region_nom, carburant_nom, {dbl('prix_euro')}, rang_moins_cher_region AS rang
 FROM ranked WHERE rang_moins_cher_region <= 10""")
 def station_price_top10(spark: SparkSession, folder: str) -> DataFrame:
-    rows = questions.top_latest(latest_prices(spark, folder), 10)
+    rows = questions.top_latest(settle(latest_prices(spark, folder), "latest"), 10)
     return plain(rows.select("user_id", *GROUP, "prix_euro", "rang"))
 
 
@@ -186,7 +182,7 @@ def station_price_top10(spark: SparkSession, folder: str) -> DataFrame:
 SELECT user_id, region_nom, carburant_nom, {dbl('prix_euro')}, rang_plus_cher_region AS rang
 FROM ranked WHERE rang_plus_cher_region <= 10""")
 def station_price_flop10(spark: SparkSession, folder: str) -> DataFrame:
-    rows = questions.top_latest(latest_prices(spark, folder), 10, cheapest=False)
+    rows = questions.top_latest(settle(latest_prices(spark, folder), "latest"), 10, cheapest=False)
     return plain(rows.select("user_id", *GROUP, "prix_euro", "rang"))
 
 
@@ -194,7 +190,7 @@ def station_price_flop10(spark: SparkSession, folder: str) -> DataFrame:
 SELECT user_id, l.region_nom, l.carburant_nom, round(l.prix_euro - s.prix_moyen, 6) AS gap
 FROM latest l JOIN stats s ON s.region_nom = l.region_nom AND s.carburant_nom = l.carburant_nom""")
 def gap_to_region_mean(spark: SparkSession, folder: str) -> DataFrame:
-    rows = gap_to_group_mean(in_region(spark, folder), GROUP, "prix_euro")
+    rows = gap_to_group_mean(settle(in_region(spark, folder), "latest"), GROUP, "prix_euro")
     return plain(rows.select("user_id", *GROUP, "gap"))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from driver_queries.registry import plain, query, table
-from priceloom.contracts import check_contract
+from priceloom.contracts import contract_problems
 from priceloom.operators import orphans
 from priceloom.quality import accepted, failing_rows, freshness, holds, not_after, not_null, refers_to, run_checks, unique
 
@@ -103,12 +103,18 @@ def dq_summary(spark: SparkSession, folder: str) -> DataFrame:
     return run_checks(damaged(spark, folder), checks)
 
 
-@query("""SELECT * FROM (VALUES ('event_id', 'expected int, found bigint'), ('extra', 'extra'), ('region', 'missing')) t("column", problem)
-WHERE EXISTS (SELECT 1 FROM events)""")
+@query("""SELECT * FROM (VALUES ('event_id', 'expected int, found bigint'), ('extra', 'extra'), ('region', 'missing')) t("column", problem),
+  (SELECT event_type, count(*) AS refused_rows FROM events GROUP BY 1)""")
 def dq_contract(spark: SparkSession, folder: str) -> DataFrame:
-    """Events held against a contract they break in three ways. Looks at the schema, reads no row."""
+    """Events held against a contract they break in three ways, with the rows per type this refuses."""
     contract = T.StructType.fromDDL("event_id int, user_id bigint, event_type string, value double, ts timestamp_ntz, region string")
-    return check_contract(damaged(spark, folder).withColumn("extra", F.lit(1)), contract)
+    events = table(spark, folder, "events").drop("props").withColumn("extra", F.lit(1))
+    problems = F.array(*[
+        F.struct(F.lit(column).alias("column"), F.lit(problem).alias("problem"))
+        for column, problem in contract_problems(events, contract)
+    ])
+    counts = events.groupBy("event_type").agg(F.count(F.lit(1)).alias("refused_rows"))
+    return counts.select("event_type", "refused_rows", F.inline(problems))
 
 
 @query("""SELECT event_type, latest, age_minutes, CASE WHEN age_minutes > 360 THEN 'error' WHEN age_minutes > 90 THEN 'warn' ELSE 'pass' END AS status
@@ -118,13 +124,8 @@ def freshness_status(spark: SparkSession, folder: str) -> DataFrame:
     """Freshness of each type's feed, eighty minutes after the last event."""
     events = table(spark, folder, "events", "event_type", "ts")
     as_of = events.agg(F.max("ts")).first()[0] + dt.timedelta(minutes=80)
-    parts = [
-        freshness(events.filter(F.col("event_type") == t), "ts", as_of).withColumn("event_type", F.lit(t)) for t in TYPES
-    ]
-    united = parts[0]
-    for part in parts[1:]:
-        united = united.unionByName(part)
-    return plain(united.withColumnRenamed("max_loaded_at", "latest")).select("event_type", "latest", "age_minutes", "status")
+    status = freshness(events, "ts", as_of, by=("event_type",))
+    return plain(status.withColumnRenamed("max_loaded_at", "latest"))
 
 
 @query("""SELECT c_custkey, round(c_acctbal / 100, 6) AS latitude, c_nationkey AS longitude FROM customer

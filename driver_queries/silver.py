@@ -18,6 +18,7 @@ from priceloom.functions import (
     price,
     strict_ts,
     surrogate_key,
+    utc_instant,
 )
 from priceloom.operators import calendar, distinct_members, duplicate_keys, pick_one
 from priceloom.plans import dimensions
@@ -266,7 +267,7 @@ def fuel_dim(spark: SparkSession, folder: str) -> DataFrame:
     """The fuel dimension with the number of sightings of each fuel."""
     fuels = dimensions.dim_carburant(reference.fuels(spark))
     seen = observed(spark, folder).groupBy("carburant_id").agg(F.count(F.lit(1)).alias("sightings"))
-    return seen.join(F.broadcast(fuels), "carburant_id")
+    return seen.join(fuels, "carburant_id")
 
 
 @query("""SELECT DISTINCT n_name, c_mktsegment FROM (
@@ -276,14 +277,14 @@ def distinct_pairs(spark: SparkSession, folder: str) -> DataFrame:
     customers = table(spark, folder, "customer", "c_custkey", "c_nationkey", "c_mktsegment")
     customers = customers.withColumn("n_nationkey", F.when(F.col("c_custkey") % 13 != 0, F.col("c_nationkey")))
     nations = table(spark, folder, "nation", "n_nationkey", "n_name")
-    named = distinct_members(customers, ["n_nationkey", "c_mktsegment"]).join(F.broadcast(nations), "n_nationkey", "left")
+    named = distinct_members(customers, ["n_nationkey", "c_mktsegment"]).join(nations, "n_nationkey", "left")
     return distinct_members(named, ["n_name", "c_mktsegment"])
 
 
 @query("""SELECT event_id, ts AS seen FROM events""")
 def epoch_micros_scan(spark: SparkSession, folder: str) -> DataFrame:
     """Timestamps stored as plain microsecond counts and read back with scale six."""
-    stored = table(spark, folder, "events").select("event_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("micros"))
+    stored = table(spark, folder, "events").select("event_id", F.unix_micros(utc_instant(F.col("ts"))).alias("micros"))
     return stored.select("event_id", micros_to_ts(F.col("micros")).alias("seen"))
 
 

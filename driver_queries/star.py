@@ -6,10 +6,10 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from driver_queries.feed import slotted
 from driver_queries.registry import plain, query
-from driver_queries.silver import DEPTS, KEYED, OBSERVED, PLACES, SILVER, STATIONS, observed, silver, sk, values
+from driver_queries.silver import DEPTS, KEYED, OBSERVED, PLACES, SILVER, STATIONS, silver, sk, values
 from priceloom.fixed_values import FUELS
-from priceloom.functions import slot_columns
 from priceloom.plans import dimensions, marts, questions
 from priceloom.plans.build import BuildConfig, build, table_path
 from priceloom.plans.fact import fact_rows
@@ -83,14 +83,13 @@ def dashboard_relations(spark: SparkSession, folder: str) -> DataFrame:
     """The dashboard's join of a mart with the fuel dimension on the fuel's name."""
     named = mart(spark, folder).groupBy(*marts.GROUP).agg(F.count(F.lit(1)).alias("stations"))
     fuels = dimensions.dim_carburant(reference.fuels(spark)).select("carburant_nom", "carburant_libelle_long")
-    return named.join(F.broadcast(fuels), "carburant_nom")
+    return named.join(fuels, "carburant_nom")
 
 
 def built(spark: SparkSession, folder: str) -> tuple[DataFrame, BuildConfig]:
     """All of bronze written as daily slots, then the gated build of every table."""
     bronze = fresh_path(spark, "bronze")
-    rows = settle(observed(spark, folder).select("*", *slot_columns(F.col("ingestion_ts"))), "observed")
-    write_new_slots(rows.withColumn("ingestion_ts", F.col("ingestion_ts").cast("timestamp")), bronze)
+    write_new_slots(slotted(spark, folder), bronze)
     cfg = BuildConfig(bronze, fresh_path(spark, "warehouse"), as_of=dt.datetime(2100, 1, 1))
     return build(spark, cfg), cfg
 

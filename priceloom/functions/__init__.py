@@ -9,10 +9,12 @@ from priceloom.functions.times import (
     local_to_utc,
     micros_to_ts,
     slot_columns,
+    utc_instant,
     utc_wall_clock,
 )
 
 __all__ = [
     "business_day", "clean_text", "date_key", "empty_to_null", "fixed_point", "geo_label", "local_to_utc",
-    "micros_to_ts", "postal_department", "price", "slot_columns", "strict_ts", "surrogate_key", "utc_wall_clock",
+    "micros_to_ts", "postal_department", "price", "slot_columns", "strict_ts", "surrogate_key", "utc_instant",
+    "utc_wall_clock",
 ]

@@ -20,6 +20,11 @@ def utc_wall_clock(instant: Column) -> Column:
     return F.convert_timezone(None, F.lit("UTC"), instant.cast("timestamp_ntz"))
 
 
+def utc_instant(clock: Column) -> Column:
+    """A UTC clock reading as an instant (TIMESTAMP), whatever the session time zone is."""
+    return F.convert_timezone(F.lit("UTC"), F.current_timezone(), clock).cast("timestamp")
+
+
 def business_day(utc: Column, zone: str = SOURCE_TIMEZONE) -> Column:
     """The calendar day in ``zone`` of a UTC clock reading."""
     return F.to_date(F.convert_timezone(F.lit("UTC"), F.lit(zone), utc))

@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from priceloom.contracts import ContractError, contract_problems
-from priceloom.session import settle
-from priceloom.storage import exists
+from priceloom.session import fresh_path, settle
+from priceloom.storage import exists, remove
 
 # More distinct partition values than this are joined, not listed in the scan filter.
 _LISTED_PARTITIONS = 20_000
@@ -80,11 +80,11 @@ def merge_by_key(
         return MergeResult(read_table(spark, path, source.schema).count(), 0)
     _same_shape(spark, path, source, partition_by)
 
+    folder = fresh_path(spark, "merge")
     target = read_table(spark, path, source.schema)
-    known = target
-    if target_filter is not None:
-        known = known.filter(target_filter)
+    known = target if target_filter is None else target.filter(target_filter)
     if key_fixes_partition:
+        source = settle(source, "source", folder)
         values = [r[0] for r in source.select(partition_by).distinct().limit(_LISTED_PARTITIONS + 1).collect()]
         if len(values) <= _LISTED_PARTITIONS:
             known = known.filter(F.col(partition_by).isin(values))
@@ -94,10 +94,8 @@ def merge_by_key(
         columns.append(F.col(keep_smallest).alias("_old_order"))
         wins = F.col(keep_smallest) < F.col("_old_order")
     action = F.when(F.col("_old_partition").isNull(), "insert").when(wins, "update")
-    changes = settle(
-        source.join(known.select(*columns), key, "left").withColumn("_action", action).filter("_action IS NOT NULL"),
-        "changes",
-    )
+    matched = source.join(known.select(*columns), key, "left").withColumn("_action", action)
+    changes = settle(matched.filter("_action IS NOT NULL"), "changes", folder)
 
     tally = changes.groupBy("_action", "_old_partition", partition_by).count().collect()
     inserted = sum(r["count"] for r in tally if r["_action"] == "insert")
@@ -112,4 +110,5 @@ def merge_by_key(
         rows = rows.filter(~touched)
     if any(r[partition_by] not in rewritten for r in tally):
         write_partitioned(rows, path, [partition_by], "append", sort_by)
+    remove(spark, folder)
     return MergeResult(inserted, updated)

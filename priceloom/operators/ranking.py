@@ -4,14 +4,18 @@
 depends on how many rows have a smaller price, so rows are counted per (group, price) first and the
 counts are summed in two levels: over blocks of prices, then inside each block. A DECIMAL(p, s) price
 bounds both levels, so no window partition grows with the data.
+
+The counts and the ranks are written as small tables on the way. The rows themselves are read twice
+and, as long as the rank table is small enough for a broadcast, never shuffled.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 from pyspark.sql import types as T
 
 from priceloom.operators.stats import gap_to_group_mean
+from priceloom.session import settle
 
 
 def _block_width(kind: T.DataType) -> float:
@@ -20,40 +24,39 @@ def _block_width(kind: T.DataType) -> float:
     return 10.0 ** (kind.precision // 2 - kind.scale)
 
 
+def _before(column: str, window: WindowSpec) -> Column:
+    """Sum over the rows in front of the current one."""
+    return F.coalesce(F.sum(column).over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+
 def price_ranks(df: DataFrame, by: list[str], value: str, ascending: str, descending: str) -> DataFrame:
-    """One row per (group, price) with its rank from either end and the row count."""
+    """One row per (group, price) with its rank from either end."""
     width = _block_width(df.schema[value].dataType)
-    counts = (
-        df.groupBy(*by, value)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_block", F.floor(F.col(value) / F.lit(width)))
-    )
-    before = lambda w: F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    blocks = counts.groupBy(*by, "_block").agg(F.sum("_n").alias("_n"))
-    blocks = blocks.select(
+    counted = df.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
+    counts = settle(counted.withColumn("_block", F.floor(F.col(value) / F.lit(width))), "counts")
+    blocks = counts.groupBy(*by, "_block").agg(F.sum("_n").alias("_n")).select(
         *[F.col(c).alias(f"_b_{c}") for c in by],
         F.col("_block").alias("_b_block"),
-        before(Window.partitionBy(*by).orderBy("_block")).alias("_smaller_blocks"),
+        _before("_n", Window.partitionBy(*by).orderBy("_block")).alias("_smaller_blocks"),
         F.sum("_n").over(Window.partitionBy(*by)).alias("_total"),
     )
     same_block = F.col("_block") == F.col("_b_block")
     for c in by:
         same_block &= F.col(c).eqNullSafe(F.col(f"_b_{c}"))
-    inside = counts.withColumn("_smaller_inside", before(Window.partitionBy(*by, "_block").orderBy(value)))
+    inside = counts.withColumn("_smaller_inside", _before("_n", Window.partitionBy(*by, "_block").orderBy(value)))
     smaller = F.col("_smaller_blocks") + F.col("_smaller_inside")
     return inside.join(blocks, same_block).select(
         *by,
         value,
         (smaller + 1).alias(ascending),
         (F.col("_total") - smaller - F.col("_n") + 1).alias(descending),
-        F.col("_n").alias("tied_rows"),
     )
 
 
 def _attach(df: DataFrame, ranks: DataFrame, by: list[str], value: str) -> DataFrame:
     keys = [*by, value]
     extra = [c for c in ranks.columns if c not in keys]
-    right = ranks.select(*[F.col(c).alias(f"_r_{c}") for c in keys], *extra)
+    right = settle(ranks, "ranks").select(*[F.col(c).alias(f"_r_{c}") for c in keys], *extra)
     same = F.lit(True)
     for c in keys:
         same &= F.col(c).eqNullSafe(F.col(f"_r_{c}"))
@@ -64,7 +67,7 @@ def rank_in_group(
     df: DataFrame, by: list[str], value: str, ascending: str = "rank_asc", descending: str = "rank_desc"
 ) -> DataFrame:
     """``df`` with both ranks of ``value`` inside its group; ties share a rank and leave gaps."""
-    ranks = price_ranks(df, by, value, ascending, descending).drop("tied_rows")
+    ranks = price_ranks(df, by, value, ascending, descending)
     return _attach(df, ranks, by, value)
 
 
@@ -82,7 +85,7 @@ def rank_with_gap(
 
     All three depend on (group, price) alone, so ``df`` itself is joined once.
     """
-    ranks = price_ranks(df, by, value, ascending, descending).drop("tied_rows")
+    ranks = price_ranks(df, by, value, ascending, descending)
     return _attach(df, gap_to_group_mean(ranks, by, value, stats, mean, gap), by, value)
 
 
@@ -92,4 +95,4 @@ def top_n(
     """Rows whose rank is at most ``n``, ties included. Joins with at most ``n`` prices per group."""
     ascending, descending = (rank, "_other") if smallest else ("_other", rank)
     ranks = price_ranks(df, by, value, ascending, descending).filter(F.col(rank) <= n)
-    return _attach(df, ranks.drop("_other", "tied_rows"), by, value)
+    return _attach(df, ranks.drop("_other"), by, value)

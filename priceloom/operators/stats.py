@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from priceloom.contracts import MEASURE
+from priceloom.session import settle
 
 
 def exact_mean(value: Column) -> Column:
@@ -46,9 +47,13 @@ def group_stats(
 def gap_to_group_mean(
     df: DataFrame, by: list[str], value: str, stats: DataFrame | None = None, mean: str = "mean", gap: str = "gap"
 ) -> DataFrame:
-    """``df`` with the signed distance of ``value`` to its group's mean."""
+    """``df`` with the signed distance of ``value`` to its group's mean.
+
+    The means, one row per group, are written first unless ``stats`` is given, so that the planner
+    knows their size and need not shuffle ``df``.
+    """
     if stats is None:
-        stats = df.groupBy(*by).agg(exact_mean(F.col(value)).alias(mean))
+        stats = settle(df.groupBy(*by).agg(exact_mean(F.col(value)).alias(mean)), "means")
     means = stats.select(*by, F.col(mean).alias("_mean"))
     return df.join(means, by).withColumn(gap, (F.col(value) - F.col("_mean")).cast(MEASURE)).drop("_mean")
 

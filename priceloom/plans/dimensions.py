@@ -25,8 +25,7 @@ def dim_localisation(silver: DataFrame, departments: DataFrame) -> DataFrame:
         .withColumn("localisation_sk", surrogate_key("cp", "ville"))
         .withColumn("dept_code", postal_department(F.col("cp")))
     )
-    # The department table is fixed: 101 rows.
-    return conform(places.join(F.broadcast(departments), "dept_code", "left"), DIM_LOCALISATION)
+    return conform(places.join(departments, "dept_code", "left"), DIM_LOCALISATION)
 
 
 def dim_station(silver: DataFrame) -> DataFrame:

@@ -15,13 +15,15 @@ def freshness(
     as_of: dt.datetime,
     warn: int = FRESH_WARN_MINUTES,
     error: int = FRESH_ERROR_MINUTES,
+    by: tuple[str, ...] = (),
 ) -> DataFrame:
     """One row [max_loaded_at, age_minutes, status] at ``as_of``, a UTC clock reading.
 
-    Older than ``warn`` minutes warns, older than ``error`` minutes or an empty source fails.
+    Older than ``warn`` minutes warns, older than ``error`` minutes or an empty source fails. With
+    ``by``, one row per source named in those columns.
     """
     now = F.lit(as_of.isoformat(sep=" ")).cast("timestamp_ntz")
-    newest = df.agg(F.max(column).cast("timestamp_ntz").alias("max_loaded_at"))
+    newest = df.groupBy(*by).agg(F.max(column).cast("timestamp_ntz").alias("max_loaded_at"))
     age = F.timestamp_diff("MICROSECOND", F.col("max_loaded_at"), now) / 60_000_000
     status = (
         F.when(F.col("max_loaded_at").isNull() | (F.col("age_minutes") > error), "error")

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from priceloom.contracts import BRONZE, SLOT, conform
 from priceloom.fixed_values import FEED_ROOT, PRICE_TAG, STATION_TAG
-from priceloom.functions import clean_text, empty_to_null, fixed_point, price, strict_ts
+from priceloom.functions import clean_text, empty_to_null, fixed_point, price, strict_ts, utc_instant
 from priceloom.session import settle
 
 _RAW = (
@@ -204,6 +204,5 @@ def parse_snapshots(archives: DataFrame, source_url: Column | None = None) -> tu
 
 
 def slot_instant(day: Column, hour: Column) -> Column:
-    """The instant (TIMESTAMP) at which a UTC slot begins, whatever the session time zone is."""
-    clock = F.concat(day, F.lit(" "), hour, F.lit(":00:00")).cast("timestamp_ntz")
-    return F.convert_timezone(F.lit("UTC"), F.current_timezone(), clock).cast("timestamp")
+    """The instant (TIMESTAMP) at which a UTC slot begins."""
+    return utc_instant(F.concat(day, F.lit(" "), hour, F.lit(":00:00")).cast("timestamp_ntz"))

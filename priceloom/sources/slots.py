@@ -51,11 +51,9 @@ def write_new_slots(df: DataFrame, root: str) -> DataFrame:
     fresh = sorted(s for s in offered if s not in done)
     counts = {}
     if fresh:
-        wanted = F.broadcast(spark.createDataFrame(fresh, SLOT))
-        write_partitioned(df.join(wanted, ["dt", "hh"], "left_semi"), root, ["dt", "hh"])
-        written = spark.read.schema(_with_slot(df.schema)).parquet(root)
-        recent = written.filter(F.col("dt").isin(sorted({d for d, _ in fresh}))).groupBy("dt", "hh").count()
-        counts = {(r["dt"], r["hh"]): r["count"] for r in recent.collect()}
+        write_partitioned(only_slots(df, fresh), root, ["dt", "hh"])
+        written = only_slots(spark.read.schema(_with_slot(df.schema)).parquet(root), fresh)
+        counts = {(r["dt"], r["hh"]): r["count"] for r in written.groupBy("dt", "hh").count().collect()}
         Ledger(spark, root, _LEDGER).add((d, h, counts[d, h]) for d, h in fresh)
     report = []
     for d, h in sorted(offered):

@@ -31,6 +31,11 @@ def byte_count(spark: SparkSession, path: str) -> int:
     return fs.getContentSummary(target).getLength() if fs.exists(target) else 0
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    fs, target = _fs(spark, path)
+    fs.delete(target, True)
+
+
 def swap_in(spark: SparkSession, fresh: str, path: str) -> None:
     """Put the finished folder ``fresh`` in the place of ``path``; the old one goes last."""
     fs, new = _fs(spark, fresh)
@@ -65,7 +70,11 @@ class Ledger:
             return self._spark.createDataFrame([], self._schema)
         return self._spark.read.schema(self._schema).json(self.path)
 
-    def add(self, entries: Iterable[tuple]) -> None:
+    def add(self, entries: Iterable[tuple], mode: str = "append") -> None:
         rows = list(entries)
         if rows:
-            self._spark.createDataFrame(rows, self._schema).coalesce(1).write.mode("append").json(self.path)
+            self._spark.createDataFrame(rows, self._schema).coalesce(1).write.mode(mode).json(self.path)
+
+    def restart(self, entries: Iterable[tuple]) -> None:
+        """Forget what was noted before: the table was built anew."""
+        self.add(entries, "overwrite")
