@@ -9,7 +9,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from driver_queries.registry import plain, query, table
+from driver_queries.registry import plain, query, spread, table
 from driver_queries.silver import OBSERVED, observed
 from priceloom.functions import slot_columns, utc_instant
 from priceloom.session import fresh_path, settle
@@ -44,7 +44,9 @@ def archives(spark: SparkSession, folder: str) -> DataFrame:
 
     One station in fifty has no id; the damage is by turns in time, value, fuel id and fuel name.
     """
-    orders = table(spark, folder, "orders", "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority")
+    orders = spread(
+        table(spark, folder, "orders", "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority")
+    )
     key, kind = F.col("o_orderkey"), F.col("o_orderkey") % 5
     day = F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")
     value = F.col("o_totalprice").cast("decimal(14,2)").cast("string")
@@ -114,7 +116,8 @@ def xml_drift_gate(spark: SparkSession, folder: str) -> DataFrame:
         .when(key % 7 == 2, F.concat(F.lit(_HEAD + "<pdv_liste>"), body))
         .otherwise(F.concat(F.lit(_HEAD + "<pdv_liste>"), body, F.lit("</pdv_liste>")))
     )
-    documents = table(spark, folder, "orders", "o_orderkey").select(F.format_string("%d.zip", key).alias("path"), xml.alias("xml"))
+    orders = spread(table(spark, folder, "orders", "o_orderkey"))
+    documents = orders.select(F.format_string("%d.zip", key).alias("path"), xml.alias("xml"))
     stats = parse_stats(type_stations(unpack(_zip(documents))))
     kind = F.coalesce(F.regexp_extract("drift", "^(" + "|".join(_DRIFTS) + ")", 1), F.lit("none"))
     return stats.groupBy(kind.alias("drift")).agg(F.count(F.lit(1)).alias("files"))

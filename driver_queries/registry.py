@@ -28,6 +28,12 @@ def table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFra
     return rows.select(*columns) if columns else rows
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give Python work to all cores where the table comes in fewer files than there are cores."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
 def plain(df: DataFrame) -> DataFrame:
     """Dates as text, decimals and doubles rounded to six places."""
 

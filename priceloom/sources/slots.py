@@ -13,6 +13,9 @@ from priceloom.storage import Ledger, byte_count, child_folders
 
 _LEDGER = "dt string, hh string, row_count bigint"
 
+# Spark packs about this many small archives into one task; fewer per core are dealt out evenly.
+_FILES_PER_TASK = 32
+
 
 def assign_slot(df: DataFrame, run_time: str) -> DataFrame:
     """Add ``dt`` and ``hh`` from a UTC clock reading."""
@@ -105,5 +108,8 @@ def ingest(spark: SparkSession, raw_root: str, bronze_root: str, source_url: Col
     if not waiting:
         return {}
     archives = scan_archives(spark, *[f"{raw_root.rstrip('/')}/dt={d}/hh={h}" for d, h in waiting])
+    cores = spark.sparkContext.defaultParallelism
+    if len(waiting) < _FILES_PER_TASK * cores:
+        archives = archives.repartition(min(len(waiting), cores))
     rows, files = parse_snapshots(archives, source_url)
     return {"slots": write_new_slots(rows, bronze_root), "files": files}
