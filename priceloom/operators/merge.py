@@ -17,8 +17,11 @@ _LISTED_PARTITIONS = 20_000
 
 @dataclass(frozen=True)
 class MergeResult:
+    """Row counts, and the partitions in which rows of the source now lie (``None``: any)."""
+
     inserted: int
     updated: int
+    partitions: tuple | None = None
 
 
 def write_partitioned(
@@ -94,6 +97,9 @@ def merge_by_key(
         columns.append(F.col(keep_smallest).alias("_old_order"))
         wins = F.col(keep_smallest) < F.col("_old_order")
     action = F.when(F.col("_old_partition").isNull(), "insert").when(wins, "update")
+    if keep_smallest:
+        # Put there by an earlier attempt at the same merge: nothing to write, but part of the result.
+        action = action.when(F.col(keep_smallest) == F.col("_old_order"), "same")
     matched = source.join(known.select(*columns), key, "left").withColumn("_action", action)
     changes = settle(matched.filter("_action IS NOT NULL"), "changes", folder)
 
@@ -101,14 +107,14 @@ def merge_by_key(
     inserted = sum(r["count"] for r in tally if r["_action"] == "insert")
     updated = sum(r["count"] for r in tally if r["_action"] == "update")
     rewritten = {r[c] for r in tally if r["_action"] == "update" for c in ("_old_partition", partition_by)}
-    rows = changes.select(*source.columns)
+    rows = changes.filter("_action <> 'same'").select(*source.columns)
     if rewritten:
         touched = F.col(partition_by).isin(sorted(rewritten))
         replaced = changes.filter("_action = 'update'").select(key)
         kept = target.filter(touched).join(replaced, key, "left_anti").select(*source.columns)
         write_partitioned(kept.unionByName(rows.filter(touched)), path, [partition_by], "overwrite", sort_by)
         rows = rows.filter(~touched)
-    if any(r[partition_by] not in rewritten for r in tally):
+    if any(r["_action"] == "insert" and r[partition_by] not in rewritten for r in tally):
         write_partitioned(rows, path, [partition_by], "append", sort_by)
     remove(spark, folder)
-    return MergeResult(inserted, updated)
+    return MergeResult(inserted, updated, tuple(sorted({r[partition_by] for r in tally})))

@@ -19,8 +19,8 @@ from priceloom.contracts import (
 )
 from priceloom.fixed_values import SOURCE_TIMEZONE
 from priceloom.plans import dimensions, marts, rules
-from priceloom.plans.fact import read_fact, update_fact
-from priceloom.plans.silver import fold_new_slots, keyed_events, read_silver
+from priceloom.plans.fact import committed_watermark, read_fact, rebuild_fact, update_fact
+from priceloom.plans.silver import FoldLedger, fold_new_slots, keyed_events, read_silver, rebuild_silver
 from priceloom.quality.checks import Check, QualityGateError, run_checks
 from priceloom.sources import reference
 from priceloom.storage import swap_in
@@ -36,6 +36,7 @@ class BuildConfig:
     warehouse: str
     zone: str = SOURCE_TIMEZONE
     as_of: dt.datetime | None = None
+    full_refresh: bool = False
 
 
 def table_path(root: str, name: str, layer: str | None = None) -> str:
@@ -100,7 +101,8 @@ class _Run:
 def build(spark: SparkSession, cfg: BuildConfig, strict: bool = True) -> DataFrame:
     """Bring all tables up to date and return the check report.
 
-    Silver and the fact are incremental, the rest is rebuilt. With ``strict`` an error raises at the
+    Silver and the fact are incremental unless ``full_refresh`` asks for all of history; the rest is
+    rebuilt. With ``strict`` an error raises at the
     end, after every node that could be built was built.
     """
     run, t = _Run(spark), {}
@@ -109,12 +111,18 @@ def build(spark: SparkSession, cfg: BuildConfig, strict: bool = True) -> DataFra
     path = lambda name: table_path(cfg.warehouse, name)
 
     def silver() -> DataFrame:
-        fold_new_slots(spark, cfg.bronze_root, path("stg_prix"), cfg.zone)
+        bring_up = rebuild_silver if cfg.full_refresh else fold_new_slots
+        bring_up(spark, cfg.bronze_root, path("stg_prix"), cfg.zone)
         return read_silver(spark, path("stg_prix"))
 
     def fact() -> DataFrame:
-        update_fact(spark, t["stg_prix"], path("fct_prix_carburant"), cfg.zone)
-        return read_fact(spark, path("fct_prix_carburant"))
+        target = path("fct_prix_carburant")
+        if cfg.full_refresh:
+            rebuild_fact(spark, t["stg_prix"], target, cfg.zone)
+        else:
+            days = FoldLedger(spark, path("stg_prix")).days_after(committed_watermark(spark, target))
+            update_fact(spark, t["stg_prix"], target, cfg.zone, days)
+        return read_fact(spark, target)
 
     def table(name: str, df: DataFrame, contract: T.StructType | None = None) -> DataFrame:
         return materialize(df, path(name), "table", contract)

@@ -11,7 +11,7 @@ from priceloom.fixed_values import FIRST_WATERMARK, SOURCE_TIMEZONE
 from priceloom.operators.merge import MergeResult, merge_by_key, read_table
 from priceloom.operators.watermark import after, high_watermark
 from priceloom.plans.silver import keyed_events
-from priceloom.storage import Ledger, exists
+from priceloom.storage import Ledger, exists, remove, swap_in
 
 _COMMITS = "watermark string, inserted bigint, updated bigint"
 
@@ -39,17 +39,42 @@ def committed_watermark(spark: SparkSession, path: str) -> dt.datetime:
     return dt.datetime.fromisoformat(FIRST_WATERMARK)
 
 
-def update_fact(spark: SparkSession, silver: DataFrame, path: str, zone: str = SOURCE_TIMEZONE) -> MergeResult:
+def update_fact(
+    spark: SparkSession,
+    silver: DataFrame,
+    path: str,
+    zone: str = SOURCE_TIMEZONE,
+    days: list[str] | None = None,
+) -> MergeResult:
     """Merge events first seen strictly after the fact's watermark; build it all when it is missing.
 
-    Silver holds each key once, so a fresh key can only match rows that a crashed update of the same
-    events left behind. Those lie on or after the watermark's day, and no older partition is opened.
+    ``days`` names the days of silver that can hold such events, if known. Silver holds each key once,
+    so a fresh key can only match rows that a crashed update of the same events left behind. Those lie
+    on or after the watermark's day, and no older partition of the fact is opened.
     """
     watermark = committed_watermark(spark, path)
-    rows = fact_rows(keyed_events(after(silver, "ingestion_ts", watermark), zone))
-    rows = guard_not_null(require_contract(rows, FCT_PRIX_CARBURANT), FCT_PRIX_CARBURANT)
+    if days is not None:
+        silver = silver.filter(F.col("maj_date").cast("string").isin(days))
     recent = F.col("ingestion_date") >= F.lit(watermark.date())
+    rows = _checked_rows(after(silver, "ingestion_ts", watermark), zone)
     result = merge_by_key(path, rows, "prix_sk", "ingestion_date", target_filter=recent, sort_by=("station_sk",))
     reached = max(watermark, high_watermark(read_fact(spark, path).filter(recent), "ingestion_ts"))
     Ledger(spark, path, _COMMITS).add([(reached.isoformat(sep=" "), result.inserted, result.updated)])
     return result
+
+
+def rebuild_fact(spark: SparkSession, silver: DataFrame, path: str, zone: str = SOURCE_TIMEZONE) -> MergeResult:
+    """Build the fact from all of silver beside the stored table, then put it in its place."""
+    fresh = path.rstrip("/") + ".fresh"
+    if exists(spark, fresh):
+        remove(spark, fresh)
+    result = merge_by_key(fresh, _checked_rows(silver, zone), "prix_sk", "ingestion_date", sort_by=("station_sk",))
+    swap_in(spark, fresh, path)
+    reached = high_watermark(read_fact(spark, path), "ingestion_ts")
+    Ledger(spark, path, _COMMITS).restart([(reached.isoformat(sep=" "), result.inserted, 0)])
+    return result
+
+
+def _checked_rows(silver: DataFrame, zone: str) -> DataFrame:
+    rows = require_contract(fact_rows(keyed_events(silver, zone)), FCT_PRIX_CARBURANT)
+    return guard_not_null(rows, FCT_PRIX_CARBURANT)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
@@ -11,14 +13,13 @@ from priceloom.functions import business_day, date_key, local_to_utc, surrogate_
 from priceloom.operators.merge import MergeResult, merge_by_key, read_table
 from priceloom.operators.picking import pick_one
 from priceloom.sources.slots import existing_slots, only_slots, read_bronze
-from priceloom.storage import Ledger
+from priceloom.storage import Ledger, exists, remove, swap_in
 
 EVENT_KEY = ["station_id", "carburant_id", "maj_timestamp_utc"]
 
 # Silver is stored by the day of the price change: an event's key fixes its partition, so the check
-# for known keys opens only the days that occur in the new slots.
+# for known keys opens only the days on which the new events happened.
 STORED_SILVER = T.StructType([*SILVER, T.StructField("maj_date", T.DateType())])
-_FOLDED = "dt string, hh string"
 
 
 def typed_events(bronze: DataFrame, zone: str = SOURCE_TIMEZONE) -> DataFrame:
@@ -64,26 +65,84 @@ def read_silver(spark: SparkSession, path: str) -> DataFrame:
     return read_table(spark, path, STORED_SILVER)
 
 
-def merge_silver(path: str, bronze: DataFrame, zone: str = SOURCE_TIMEZONE) -> MergeResult:
-    """Add bronze rows to stored silver; of several sightings of an event the earliest stays."""
-    events = silver_events(bronze, zone).withColumn("maj_date", F.to_date("maj_timestamp_utc"))
+def merge_silver(
+    path: str, bronze: DataFrame, zone: str = SOURCE_TIMEZONE, known: DataFrame | None = None
+) -> MergeResult:
+    """Add bronze rows to stored silver; of several sightings of an event the earliest stays.
+
+    ``known`` are bronze rows of an older slot that is in silver already. A snapshot repeats almost all
+    of its predecessor, so comparing the two leaves the few changed prices, and only the days on which
+    those were set are looked up in silver.
+    """
+    events = silver_events(bronze, zone)
+    if known is not None:
+        events = events.join(typed_events(known, zone).select(*EVENT_KEY), EVENT_KEY, "left_anti")
+        events = events.select(*SILVER.fieldNames())
+    events = events.withColumn("maj_date", F.to_date("maj_timestamp_utc"))
     return merge_by_key(
         path, events, "prix_sk", "maj_date",
         keep_smallest="ingestion_ts", key_fixes_partition=True, sort_by=("station_id",),
     )
 
 
+class FoldLedger:
+    """Which slots stored silver holds, and on which days each of them changed something."""
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self._ledger = Ledger(spark, path, "dt string, hh string, days array<string>")
+
+    def slots(self) -> set[tuple[str, str]]:
+        return {(r["dt"], r["hh"]) for r in self._ledger.read().select("dt", "hh").collect()}
+
+    def add(self, slots: list[tuple[str, str]], result: MergeResult) -> None:
+        days = None if result.partitions is None else [str(d) for d in result.partitions]
+        self._ledger.add((d, h, days) for d, h in slots)
+
+    def restart(self, slots: list[tuple[str, str]]) -> None:
+        self._ledger.restart((d, h, None) for d, h in slots)
+
+    def days_after(self, watermark: dt.datetime) -> list[str] | None:
+        """Days that can hold events first seen above the watermark; ``None`` when any day can."""
+        if not self._ledger.exists():
+            return None
+        last_hour = (watermark.strftime("%Y-%m-%d"), watermark.strftime("%H"))
+        recent = [r["days"] for r in self._ledger.read().collect() if (r["dt"], r["hh"]) >= last_hour]
+        if any(days is None for days in recent):
+            return None
+        return sorted({day for days in recent for day in days})
+
+
+def before_slots(
+    spark: SparkSession, bronze_root: str, folded: set[tuple[str, str]], slots: list[tuple[str, str]]
+) -> DataFrame | None:
+    """Bronze rows of the last folded slot older than all of ``slots``."""
+    older = [s for s in folded if s < min(slots)]
+    return only_slots(read_bronze(spark, bronze_root), [max(older)]) if older else None
+
+
 def fold_new_slots(spark: SparkSession, bronze_root: str, path: str, zone: str = SOURCE_TIMEZONE) -> MergeResult:
     """Bring stored silver up to date with bronze, reading only slots not folded before.
 
     A slot that arrives late is folded like any other, so the stored table always equals
     ``silver_events`` over all of bronze.
     """
-    ledger = Ledger(spark, path, _FOLDED)
-    folded = {(r["dt"], r["hh"]) for r in ledger.read().collect()}
+    ledger = FoldLedger(spark, path)
+    folded = ledger.slots()
     waiting = [s for s in existing_slots(spark, bronze_root) if s not in folded]
     if not waiting:
-        return MergeResult(0, 0)
-    result = merge_silver(path, only_slots(read_bronze(spark, bronze_root), waiting), zone)
-    ledger.add(waiting)
+        return MergeResult(0, 0, ())
+    known = before_slots(spark, bronze_root, folded, waiting)
+    result = merge_silver(path, only_slots(read_bronze(spark, bronze_root), waiting), zone, known)
+    ledger.add(waiting, result)
     return result
+
+
+def rebuild_silver(spark: SparkSession, bronze_root: str, path: str, zone: str = SOURCE_TIMEZONE) -> None:
+    """Build silver from all of bronze beside the stored table, then put it in its place."""
+    slots = existing_slots(spark, bronze_root)
+    fresh = path.rstrip("/") + ".fresh"
+    if exists(spark, fresh):
+        remove(spark, fresh)
+    merge_silver(fresh, read_bronze(spark, bronze_root), zone)
+    swap_in(spark, fresh, path)
+    FoldLedger(spark, path).restart(slots)

@@ -41,6 +41,11 @@ def existing_slots(spark: SparkSession, root: str) -> list[tuple[str, str]]:
     return slot_folders(spark, root)
 
 
+def slot_sizes(spark: SparkSession, root: str) -> dict[tuple[str, str], int]:
+    """Rows per finished slot, from the ledger."""
+    return {(r["dt"], r["hh"]): r["row_count"] for r in Ledger(spark, root, _LEDGER).read().collect()}
+
+
 def write_new_slots(df: DataFrame, root: str) -> DataFrame:
     """Append the rows of slots that do not exist yet.
 

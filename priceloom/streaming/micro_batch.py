@@ -3,16 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from priceloom.contracts import BRONZE, SLOT
-from priceloom.contracts import FCT_PRIX_CARBURANT, guard_not_null
+from priceloom.contracts import BRONZE, FCT_PRIX_CARBURANT, SLOT, guard_not_null
 from priceloom.fixed_values import SOURCE_TIMEZONE
 from priceloom.operators.merge import merge_by_key
-from priceloom.operators.watermark import after
 from priceloom.plans.fact import committed_watermark, fact_rows, update_fact
-from priceloom.plans.silver import keyed_events, merge_silver, read_silver, silver_events
-from pyspark.sql import types as T
+from priceloom.plans.silver import FoldLedger, before_slots, keyed_events, merge_silver, read_silver, silver_events
+from priceloom.sources.slots import slot_sizes
 
 
 def merge_late(path: str, events: DataFrame, zone: str = SOURCE_TIMEZONE) -> None:
@@ -44,15 +43,23 @@ def build_stream(
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
 
     def fold(batch: DataFrame, _: int) -> None:
+        sizes = {(r["dt"], r["hh"]): r["count"] for r in batch.groupBy("dt", "hh").count().collect()}
+        if not sizes:
+            return
+        ledger = FoldLedger(spark, silver_path)
         watermark = committed_watermark(spark, fact_path)
-        merge_silver(silver_path, batch, zone)
-        update_fact(spark, read_silver(spark, silver_path), fact_path, zone)
+        known = before_slots(spark, bronze_root, ledger.slots(), list(sizes))
+        result = merge_silver(silver_path, batch, zone, known)
+        days = None if result.partitions is None else [str(d) for d in result.partitions]
+        update_fact(spark, read_silver(spark, silver_path), fact_path, zone, days)
         if late == "merge":
             below = silver_events(batch, zone).filter(
                 F.col("ingestion_ts") <= F.lit(watermark.isoformat(sep=" ")).cast("timestamp_ntz")
             )
             if not below.isEmpty():
                 merge_late(fact_path, below, zone)
+        whole = slot_sizes(spark, bronze_root)
+        ledger.add([s for s, n in sizes.items() if whole.get(s) == n], result)
 
     return (
         reader.parquet(bronze_root)

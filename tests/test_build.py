@@ -1,4 +1,6 @@
 import datetime as dt
+import shutil
+from dataclasses import replace
 from decimal import Decimal
 
 import pytest
@@ -7,10 +9,9 @@ from pyspark.sql import functions as F
 from priceloom.plans import marts, questions
 from priceloom.plans.build import BuildConfig, build, table_path
 from priceloom.plans.fact import committed_watermark, fact_rows, read_fact, update_fact
-from priceloom.plans.silver import fold_new_slots, keyed_events, read_silver, silver_events
+from priceloom.plans.silver import FoldLedger, fold_new_slots, keyed_events, read_silver, silver_events
 from priceloom.quality import QualityGateError
 from priceloom.sources.slots import ingest, read_bronze
-from priceloom.storage import Ledger
 from priceloom.streaming import build_stream
 from tests.conftest import SAMPLE_FEED, feed, land, station, zipped
 
@@ -152,12 +153,43 @@ def test_a_crashed_fold_is_repeated_without_harm(spark, tmp_path):
     slot(tmp_path, "2026-06-03", "10", station("1", price("03 08:00:00", "1.6")))
     load(spark, tmp_path)
     fold_new_slots(spark, cfg.bronze_root, silver_path)
-    import shutil
-
     shutil.move(silver_path + ".ledger", str(tmp_path / "lost"))
     again = fold_new_slots(spark, cfg.bronze_root, silver_path)
-    assert (again.inserted, again.updated) == (0, 0)
-    assert Ledger(spark, silver_path, "dt string, hh string").read().count() == 1
+    assert (again.inserted, again.updated, again.partitions) == (0, 0, (dt.date(2026, 6, 3),))
+    ledger = FoldLedger(spark, silver_path)
+    assert ledger.slots() == {("2026-06-03", "10")}
+    assert ledger.days_after(dt.datetime(2026, 6, 3, 9)) == ["2026-06-03"]  # the fact still learns where to look
+    assert ledger.days_after(dt.datetime(2026, 6, 3, 11)) == []
+
+
+def test_a_fold_looks_up_only_changed_days(spark, tmp_path):
+    cfg = config(tmp_path)
+    silver_path = table_path(cfg.warehouse, "stg_prix")
+    dormant = station("1", ("1", "Gazole", "2024-05-24 10:00:00", "1.6"))
+    for hh, minute in (("10", "30"), ("11", "45"), ("12", "50")):
+        slot(tmp_path, "2026-06-03", hh, dormant, station("2", price(f"03 08:{minute}:00", "1.7")))
+        load(spark, tmp_path)
+        result = fold_new_slots(spark, cfg.bronze_root, silver_path)
+    assert (result.inserted, result.partitions) == (1, (dt.date(2026, 6, 3),))
+    assert same(read_silver(spark, silver_path).drop("maj_date"), whole_silver(spark, tmp_path))
+
+
+def test_full_refresh_takes_late_rows_in(spark, tmp_path):
+    cfg = config(tmp_path)
+    slot(tmp_path, "2026-06-03", "10", station("1", price("03 08:00:00", "1.7")))
+    load(spark, tmp_path)
+    build(spark, cfg)
+    slot(tmp_path, "2026-06-03", "09", station("9", price("03 07:00:00", "1.2")))
+    load(spark, tmp_path)
+    build(spark, cfg)
+    assert fact(spark, tmp_path).count() == 1
+    for _ in range(2):
+        build(spark, replace(cfg, full_refresh=True))
+        assert same(fact(spark, tmp_path), fact_rows(keyed_events(whole_silver(spark, tmp_path))))
+    slot(tmp_path, "2026-06-03", "11", station("1", price("03 10:30:00", "1.8")))
+    load(spark, tmp_path)
+    build(spark, cfg)
+    assert fact(spark, tmp_path).count() == 3
 
 
 def test_an_error_skips_what_depends_on_it(spark, tmp_path):
