@@ -14,7 +14,7 @@ from driver_queries.silver import OBSERVED, observed
 from priceloom.functions import slot_columns, utc_instant
 from priceloom.session import fresh_path, settle
 from priceloom.sources.archives import parse_stats, price_rows, slot_instant, type_stations, unpack
-from priceloom.sources.profile import accented_samples, audit, field_presence, id_name_pairs, in_id_order
+from priceloom.sources.profile import accented_samples, audit, field_presence, id_name_pairs, in_id_order, text_shapes
 from priceloom.sources.reference import read_reference_csv
 from priceloom.sources.slots import assign_slot, read_bronze, write_new_slots
 from priceloom.fixed_values import ACCENTED_LETTERS
@@ -188,12 +188,18 @@ def source_field_presence(spark: SparkSession, folder: str) -> DataFrame:
     return field_presence(table(spark, folder, "documents", "text", "source"), ["text", "source"])
 
 
-@query(f"""SELECT DISTINCT text FROM documents WHERE regexp_matches(text, '[{ACCENTED_LETTERS}]') ORDER BY text LIMIT 5""")
+@query(f"""SELECT text FROM documents WHERE regexp_matches(text, '[{ACCENTED_LETTERS}]') ORDER BY text LIMIT 5""")
 def source_accented_samples(spark: SparkSession, folder: str) -> DataFrame:
     """Five accented texts, in text order (a sample report, so the limit belongs to it)."""
     return accented_samples(table(spark, folder, "documents", "text"), "text", 5)
 
 
+@query("""SELECT regexp_replace(CAST(ts AS VARCHAR), '[0-9]', '9', 'g') AS shape, count(*) AS row_count FROM events GROUP BY 1""")
+def timestamp_shapes(spark: SparkSession, folder: str) -> DataFrame:
+    """Formats of the update time, as text."""
+    return text_shapes(table(spark, folder, "events", "ts"), "ts")
+
+
 @query(f"""WITH {OBSERVED} SELECT count(*) AS row_count, min(prix_euro) AS prix_euro_min, max(prix_euro) AS prix_euro_max,
   round(min(latitude), 6) AS latitude_min, round(max(latitude), 6) AS latitude_max,
   count(DISTINCT station_id) AS distinct_station_id, count(DISTINCT carburant_id) AS distinct_carburant_id FROM observed""")

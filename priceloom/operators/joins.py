@@ -19,8 +19,8 @@ def enrich(events: DataFrame, dims: list[tuple[DataFrame, list[str], str]]) -> D
 def orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
     """Non-null child keys without a parent, with the number of child rows.
 
-    The child is counted per key first, so a hot key reaches the join as a single row.
+    Both sides are cut down to one row per key first, so a hot key reaches the join once.
     """
     counted = child.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("row_count"))
-    parents = parent.select(F.col(parent_column).alias(column))
+    parents = parent.select(F.col(parent_column).alias(column)).distinct()
     return counted.join(parents, column, "left_anti")

@@ -52,6 +52,8 @@ def update_fact(
     so a fresh key can only match rows that a crashed update of the same events left behind. Those lie
     on or after the watermark's day, and no older partition of the fact is opened.
     """
+    if days == []:
+        return MergeResult(0, 0, ())
     watermark = committed_watermark(spark, path)
     if days is not None:
         silver = silver.filter(F.col("maj_date").cast("string").isin(days))

@@ -11,7 +11,7 @@ from priceloom.contracts import PRICE, SILVER, conform, require
 from priceloom.fixed_values import SOURCE_TIMEZONE
 from priceloom.functions import business_day, date_key, local_to_utc, surrogate_key, utc_wall_clock
 from priceloom.operators.merge import MergeResult, merge_by_key, read_table
-from priceloom.operators.picking import pick_one
+from priceloom.operators.picking import distinct_members, pick_one
 from priceloom.sources.slots import existing_slots, only_slots, read_bronze
 from priceloom.storage import Ledger, exists, remove, swap_in
 
@@ -76,7 +76,7 @@ def merge_silver(
     """
     events = silver_events(bronze, zone)
     if known is not None:
-        events = events.join(typed_events(known, zone).select(*EVENT_KEY), EVENT_KEY, "left_anti")
+        events = events.join(distinct_members(typed_events(known, zone), EVENT_KEY), EVENT_KEY, "left_anti")
         events = events.select(*SILVER.fieldNames())
     events = events.withColumn("maj_date", F.to_date("maj_timestamp_utc"))
     return merge_by_key(

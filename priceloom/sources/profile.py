@@ -47,7 +47,13 @@ def samples(df: DataFrame, order_by: list[str], n: int = 5) -> DataFrame:
 
 
 def accented_samples(df: DataFrame, column: str, n: int = 5) -> DataFrame:
-    return samples(df.filter(F.col(column).rlike(f"[{ACCENTED_LETTERS}]")).select(column).distinct(), [column], n)
+    return samples(df.filter(F.col(column).rlike(f"[{ACCENTED_LETTERS}]")).select(column), [column], n)
+
+
+def text_shapes(df: DataFrame, column: str) -> DataFrame:
+    """How often each shape of text occurs, every digit shown as 9: a change of format stands out."""
+    shape = F.regexp_replace(F.col(column).cast("string"), "[0-9]", "9").alias("shape")
+    return df.groupBy(shape).agg(F.count(F.lit(1)).alias("row_count"))
 
 
 def audit(df: DataFrame, measures: list[str], distinct: list[str]) -> DataFrame:
