@@ -18,12 +18,12 @@ from priceloom.contracts import (
     require_contract,
 )
 from priceloom.fixed_values import SOURCE_TIMEZONE
-from priceloom.plans import dimensions, marts, rules
+from priceloom.plans import dimensions, marts, progress, rules
 from priceloom.plans.fact import committed_watermark, read_fact, rebuild_fact, update_fact
 from priceloom.plans.silver import FoldLedger, fold_new_slots, keyed_events, read_silver, rebuild_silver
 from priceloom.quality.checks import Check, QualityGateError, run_checks
 from priceloom.sources import reference
-from priceloom.storage import swap_in
+from priceloom.storage import replace_table
 
 LAYERS = {"stg": "silver", "dim": "gold", "fct": "gold", "agg": "gold", "seed": "gold"}
 
@@ -59,10 +59,7 @@ def materialize(df: DataFrame, path: str, kind: str = "table", contract: T.Struc
         return df
     if kind != "table":
         raise ValueError(f"unknown kind {kind!r}")
-    fresh = path.rstrip("/") + ".fresh"
-    df.write.mode("overwrite").parquet(fresh)
-    swap_in(df.sparkSession, fresh, path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return replace_table(df, path)
 
 
 class _Run:
@@ -101,14 +98,15 @@ class _Run:
 def build(spark: SparkSession, cfg: BuildConfig, strict: bool = True) -> DataFrame:
     """Bring all tables up to date and return the check report.
 
-    Silver and the fact are incremental unless ``full_refresh`` asks for all of history; the rest is
-    rebuilt. With ``strict`` an error raises at the
+    Silver, the fact and the reductions the other tables rest on are incremental, unless
+    ``full_refresh`` asks for all of history. With ``strict`` an error raises at the
     end, after every node that could be built was built.
     """
     run, t = _Run(spark), {}
     t = run.tables
     now = F.lit((cfg.as_of or dt.datetime.now(dt.UTC).replace(tzinfo=None)).isoformat(sep=" ")).cast("timestamp_ntz")
     path = lambda name: table_path(cfg.warehouse, name)
+    folds = FoldLedger(spark, path("stg_prix"))
 
     def silver() -> DataFrame:
         bring_up = rebuild_silver if cfg.full_refresh else fold_new_slots
@@ -120,7 +118,7 @@ def build(spark: SparkSession, cfg: BuildConfig, strict: bool = True) -> DataFra
         if cfg.full_refresh:
             rebuild_fact(spark, t["stg_prix"], target, cfg.zone)
         else:
-            days = FoldLedger(spark, path("stg_prix")).days_after(committed_watermark(spark, target))
+            days = folds.days_after(committed_watermark(spark, target))
             update_fact(spark, t["stg_prix"], target, cfg.zone, days)
         return read_fact(spark, target)
 
@@ -142,18 +140,24 @@ def build(spark: SparkSession, cfg: BuildConfig, strict: bool = True) -> DataFra
              lambda _: rules.for_dim_date())
     run.step("dim_localisation", ["stg_prix", "seed_departement"],
              lambda: table("dim_localisation",
-                           dimensions.dim_localisation(t["stg_prix"], t["seed_departement"]), DIM_LOCALISATION),
+                           dimensions.dim_localisation(
+                               progress.seen_places(spark, path("stg_lieux"), t["stg_prix"], folds),
+                               t["seed_departement"]), DIM_LOCALISATION),
              lambda _: rules.for_dim_localisation(t["seed_departement"]))
     run.step("dim_station", ["stg_prix", "dim_localisation"],
-             lambda: table("dim_station", dimensions.dim_station(t["stg_prix"]), DIM_STATION),
+             lambda: table("dim_station",
+                           dimensions.dim_station(
+                               progress.latest_attributes(spark, path("stg_stations"), t["stg_prix"], folds)),
+                           DIM_STATION),
              lambda _: rules.for_dim_station(t["dim_localisation"]))
     run.step("int_prix_keyed", ["stg_prix", *dims], lambda: keyed_events(t["stg_prix"], cfg.zone),
              lambda _: rules.for_keyed(*parents()))
     run.step("fct_prix_carburant", ["int_prix_keyed"], fact, lambda _: rules.for_fact(*parents(), now))
     run.step("agg_dernier_prix_station_carburant", ["fct_prix_carburant"],
              lambda: table("agg_dernier_prix_station_carburant",
-                           marts.latest_prices(t["fct_prix_carburant"], t["dim_station"], t["dim_carburant"],
-                                               t["dim_localisation"])),
+                           marts.latest_prices(
+                               progress.latest_facts(spark, path("stg_derniers"), t["fct_prix_carburant"], folds),
+                               t["dim_station"], t["dim_carburant"], t["dim_localisation"])),
              lambda _: rules.for_latest())
     run.step("agg_prix_region_carburant", ["agg_dernier_prix_station_carburant", "seed_departement"],
              lambda: table("agg_prix_region_carburant", marts.region_stats(t["agg_dernier_prix_station_carburant"])),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
@@ -89,17 +90,24 @@ class FoldLedger:
     """Which slots stored silver holds, and on which days each of them changed something."""
 
     def __init__(self, spark: SparkSession, path: str) -> None:
-        self._ledger = Ledger(spark, path, "dt string, hh string, days array<string>")
+        self._ledger = Ledger(spark, path, "dt string, hh string, days array<string>, generation string")
 
     def slots(self) -> set[tuple[str, str]]:
         return {(r["dt"], r["hh"]) for r in self._ledger.read().select("dt", "hh").collect()}
 
     def add(self, slots: list[tuple[str, str]], result: MergeResult) -> None:
         days = None if result.partitions is None else [str(d) for d in result.partitions]
-        self._ledger.add((d, h, days) for d, h in slots)
+        generation = self.generation()
+        self._ledger.add((d, h, days, generation) for d, h in slots)
 
     def restart(self, slots: list[tuple[str, str]]) -> None:
-        self._ledger.restart((d, h, None) for d, h in slots)
+        generation = uuid.uuid4().hex
+        self._ledger.restart((d, h, None, generation) for d, h in slots)
+
+    def generation(self) -> str:
+        """Changes whenever silver is built anew."""
+        first = self._ledger.read().select("generation").first()
+        return first["generation"] if first else uuid.uuid4().hex
 
     def days_after(self, watermark: dt.datetime) -> list[str] | None:
         """Days that can hold events first seen above the watermark; ``None`` when any day can."""

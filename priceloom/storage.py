@@ -51,6 +51,14 @@ def swap_in(spark: SparkSession, fresh: str, path: str) -> None:
     fs.delete(old, True)
 
 
+def replace_table(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` beside ``path``, then put it in its place; a failed write leaves the old table."""
+    fresh = path.rstrip("/") + ".fresh"
+    df.write.mode("overwrite").parquet(fresh)
+    swap_in(df.sparkSession, fresh, path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 class Ledger:
     """An append-only note of finished work beside a table.
 

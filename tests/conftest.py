@@ -65,6 +65,7 @@ def station(id: str, *prices: tuple, cp: str = "34150", ville: str = "Gignac", l
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(4, "4g")
+    # Tiny data: compiling each plan would take longer than running it.
+    session = local_session(4, "4g", **{"spark.sql.shuffle.partitions": "2", "spark.sql.codegen.wholeStage": "false"})
     yield session
     session.stop()
