@@ -11,8 +11,8 @@ from driver_queries.registry import plain, query, table
 from driver_queries.silver import KEYED, OBSERVED, SILVER, observed
 from driver_queries.star import FACT, FACT_OUT
 from priceloom.operators import after, high_watermark, merge_by_key
-from priceloom.plans.fact import fact_rows, read_fact, update_fact
-from priceloom.plans.silver import fold_new_slots, keyed_events, read_silver, silver_events
+from priceloom.plans.fact import committed_watermark, fact_rows, read_fact, update_fact
+from priceloom.plans.silver import FoldLedger, fold_new_slots, keyed_events, read_silver, silver_events
 from priceloom.quality import compare_builds
 from priceloom.session import fresh_path
 from priceloom.sources.slots import write_new_slots
@@ -33,7 +33,8 @@ class _Lake:
     def batch(self, rows: DataFrame) -> None:
         write_new_slots(rows, self.bronze)
         fold_new_slots(self.spark, self.bronze, self.silver)
-        update_fact(self.spark, read_silver(self.spark, self.silver), self.fact)
+        days = FoldLedger(self.spark, self.silver).days_after(committed_watermark(self.spark, self.fact))
+        update_fact(self.spark, read_silver(self.spark, self.silver), self.fact, days=days)
 
     def stream(self, rows: DataFrame, late: str) -> None:
         write_new_slots(rows, self.bronze)

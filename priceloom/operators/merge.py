@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -73,9 +74,10 @@ def merge_by_key(
     equal keys always lie in equal partitions, which prunes the target to the source's partitions;
     ``target_filter`` prunes it where matches are known to be impossible elsewhere.
 
-    The target's key column is read once. Without replaced rows the job only appends. Otherwise the
-    partitions that lose or gain a replaced row are rewritten, and no others. Doing the same merge
-    again after a crash leads to the same table.
+    The target's key column is read once, joined with the source's keys; a small source is broadcast, so
+    the target is not shuffled. Without known keys the source is appended as it is. Only partitions that
+    lose or gain a replaced row are rewritten. Doing the same merge again after a crash leads to the
+    same table.
     """
     spark = source.sparkSession
     if not exists(spark, path):
@@ -84,37 +86,42 @@ def merge_by_key(
     _same_shape(spark, path, source, partition_by)
 
     folder = fresh_path(spark, "merge")
+    source = settle(source, "source", folder)
+    offered = {r[partition_by]: r["count"] for r in source.groupBy(partition_by).count().collect()}
     target = read_table(spark, path, source.schema)
     known = target if target_filter is None else target.filter(target_filter)
-    if key_fixes_partition:
-        source = settle(source, "source", folder)
-        values = [r[0] for r in source.select(partition_by).distinct().limit(_LISTED_PARTITIONS + 1).collect()]
-        if len(values) <= _LISTED_PARTITIONS:
-            known = known.filter(F.col(partition_by).isin(values))
-    columns = [F.col(key), F.col(partition_by).alias("_old_partition")]
-    wins = F.lit(True)
-    if keep_smallest:
-        columns.append(F.col(keep_smallest).alias("_old_order"))
-        wins = F.col(keep_smallest) < F.col("_old_order")
-    action = F.when(F.col("_old_partition").isNull(), "insert").when(wins, "update")
+    if key_fixes_partition and len(offered) <= _LISTED_PARTITIONS:
+        known = known.filter(F.col(partition_by).isin(list(offered)))
+
+    order = [F.col(keep_smallest).alias("_old_order")] if keep_smallest else []
+    old = known.select(F.col(key), F.col(partition_by).alias("_old_partition"), *order)
+    action = F.lit("update")
     if keep_smallest:
-        # Put there by an earlier attempt at the same merge: nothing to write, but part of the result.
-        action = action.when(F.col(keep_smallest) == F.col("_old_order"), "same")
-    matched = source.join(known.select(*columns), key, "left").withColumn("_action", action)
-    changes = settle(matched.filter("_action IS NOT NULL"), "changes", folder)
-
-    tally = changes.groupBy("_action", "_old_partition", partition_by).count().collect()
-    inserted = sum(r["count"] for r in tally if r["_action"] == "insert")
-    updated = sum(r["count"] for r in tally if r["_action"] == "update")
-    rewritten = {r[c] for r in tally if r["_action"] == "update" for c in ("_old_partition", partition_by)}
-    rows = changes.filter("_action <> 'same'").select(*source.columns)
+        # "same": put there by an earlier attempt at this merge, so nothing is left to write.
+        new = F.col(keep_smallest)
+        action = F.when(new < F.col("_old_order"), "update").when(new == F.col("_old_order"), "same").otherwise("skip")
+    narrow = source.select(key, partition_by, *([keep_smallest] if keep_smallest else []))
+    matches = narrow.join(old, key).select(key, partition_by, "_old_partition", action.alias("_action"))
+    matches = settle(matches, "matches", folder)
+    tally = matches.groupBy("_action", "_old_partition", partition_by).count().collect()
+
+    updates = [r for r in tally if r["_action"] == "update"]
+    matched = Counter()
+    for r in tally:
+        matched[r[partition_by]] += r["count"]
+    inserts = {p: n - matched[p] for p, n in offered.items() if n > matched[p]}
+    rewritten = {r[c] for r in updates for c in ("_old_partition", partition_by)}
+    fresh = source
+    if tally:
+        fresh = source.join(matches.filter("_action <> 'update'").select(key), key, "left_anti").select(*source.columns)
     if rewritten:
         touched = F.col(partition_by).isin(sorted(rewritten))
-        replaced = changes.filter("_action = 'update'").select(key)
+        replaced = matches.filter("_action = 'update'").select(key)
         kept = target.filter(touched).join(replaced, key, "left_anti").select(*source.columns)
-        write_partitioned(kept.unionByName(rows.filter(touched)), path, [partition_by], "overwrite", sort_by)
-        rows = rows.filter(~touched)
-    if any(r["_action"] == "insert" and r[partition_by] not in rewritten for r in tally):
-        write_partitioned(rows, path, [partition_by], "append", sort_by)
+        write_partitioned(kept.unionByName(fresh.filter(touched)), path, [partition_by], "overwrite", sort_by)
+        fresh = fresh.filter(~touched)
+    if any(p not in rewritten for p in inserts):
+        write_partitioned(fresh, path, [partition_by], "append", sort_by)
     remove(spark, folder)
-    return MergeResult(inserted, updated, tuple(sorted({r[partition_by] for r in tally})))
+    lies_in = set(inserts) | {r[partition_by] for r in tally if r["_action"] != "skip"}
+    return MergeResult(sum(inserts.values()), sum(r["count"] for r in updates), tuple(sorted(lies_in)))
