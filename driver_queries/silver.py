@@ -72,10 +72,8 @@ silver AS (
 )"""
 
 DEPTS = values(DEPARTMENTS, "departments", "dept_code, dept_nom, region_nom")
-DEPT_OF = """CASE WHEN cp IS NULL OR length(cp) = 0 THEN NULL
-  WHEN length(cp) = 5 AND substr(cp, 1, 2) IN ('97', '98') THEN substr(cp, 1, 3)
-  WHEN length(cp) = 5 AND substr(cp, 1, 2) = '20' THEN CASE WHEN cp < '20200' THEN '2A' ELSE '2B' END
-  WHEN length(cp) >= 2 THEN substr(cp, 1, 2) ELSE NULL END"""
+DEPT_OF = """CASE WHEN regexp_matches(cp, '^9[78]...$') THEN left(cp, 3)
+  WHEN regexp_matches(cp, '^20...$') THEN if(cp < '20200', '2A', '2B') WHEN length(cp) > 1 THEN left(cp, 2) END"""
 PLACES = f"""
 places AS (
   SELECT {sk('cp', 'ville')} AS localisation_sk, p.*, d.dept_nom, d.region_nom

@@ -7,11 +7,13 @@ from pyspark.sql import Column, functions as F
 
 def postal_department(cp: Column) -> Column:
     """Department code of a French postal code; null when it cannot be told."""
-    five, head = F.length(cp) == 5, F.substring(cp, 1, 2)
+    overseas, corsica = cp.rlike("^9[78].{3}$"), cp.rlike("^20.{3}$")
+    south = cp < "20200"
     return (
-        F.when(five & head.isin("97", "98"), F.substring(cp, 1, 3))
-        .when(five & (head == "20"), F.when(cp < "20200", "2A").otherwise("2B"))
-        .when(F.length(cp) >= 2, head)
+        F.when(overseas, F.left(cp, F.lit(3)))
+        .when(corsica & south, "2A")
+        .when(corsica, "2B")
+        .when(F.length(cp) > 1, F.left(cp, F.lit(2)))
     )
 
 

@@ -175,12 +175,12 @@ def parse_stats(stations: DataFrame) -> DataFrame:
     )
 
 
-def drift_gate(stations: DataFrame) -> DataFrame:
-    """Return ``stations``; raise, naming some files, when any file drifted."""
-    bad = stations.filter("drift IS NOT NULL").select("path", "drift").limit(20).collect()
+def drift_gate(files: DataFrame) -> DataFrame:
+    """Return ``files`` (stations or statistics); raise, naming some, when any file drifted."""
+    bad = files.filter("drift IS NOT NULL").select("path", "drift").limit(20).collect()
     if bad:
         raise FeedDriftError("; ".join(f"{r['path']}: {r['drift']}" for r in bad))
-    return stations
+    return files
 
 
 def price_rows(stations: DataFrame, ingestion_ts: Column, source_url: Column) -> DataFrame:
@@ -191,13 +191,17 @@ def price_rows(stations: DataFrame, ingestion_ts: Column, source_url: Column) ->
     return rows.select(*conform(rows, BRONZE).columns, *extra)
 
 
-def parse_snapshots(archives: DataFrame, source_url: Column | None = None) -> tuple[DataFrame, DataFrame]:
+def parse_snapshots(
+    archives: DataFrame, source_url: Column | None = None, gate: bool = True
+) -> tuple[DataFrame, DataFrame]:
     """Slotted archives to (bronze rows with dt and hh, statistics per file).
 
     The parsed stations are written once and read twice. Raises before any row is handed out when a
-    file drifted.
+    file drifted; without ``gate`` such files only show in the statistics.
     """
-    stations = drift_gate(settle(type_stations(unpack(archives)), "stations"))
+    stations = settle(type_stations(unpack(archives)), "stations")
+    if gate:
+        drift_gate(stations)
     slotted = stations.select("*", *path_slot(F.col("path")))
     url = F.col("path") if source_url is None else source_url
     return price_rows(slotted, slot_instant(F.col("dt"), F.col("hh")), url), parse_stats(stations)

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from priceloom.contracts import BRONZE, SLOT
 from priceloom.functions import slot_columns
 from priceloom.operators.merge import write_partitioned
-from priceloom.sources.archives import parse_snapshots, scan_archives
+from priceloom.sources.archives import drift_gate, parse_snapshots, scan_archives
 from priceloom.storage import Ledger, byte_count, child_folders
 
 _LEDGER = "dt string, hh string, row_count bigint"
@@ -106,7 +106,8 @@ def ingest(spark: SparkSession, raw_root: str, bronze_root: str, source_url: Col
     """Parse the archives of all slots not yet in bronze and write them.
 
     Returns ``{"slots": report, "files": statistics per file}``, or nothing when no slot waits. The
-    archives stay where they are, so a new bronze root replays the whole history.
+    archives stay where they are, so a new bronze root replays the whole history. A file that drifted
+    raises once the sound ones are written, and again on every run until it is replaced.
     """
     done = set(existing_slots(spark, bronze_root))
     waiting = [s for s in slot_folders(spark, raw_root) if s not in done]
@@ -116,5 +117,6 @@ def ingest(spark: SparkSession, raw_root: str, bronze_root: str, source_url: Col
     cores = spark.sparkContext.defaultParallelism
     if len(waiting) < _FILES_PER_TASK * cores:
         archives = archives.repartition(min(len(waiting), cores))
-    rows, files = parse_snapshots(archives, source_url)
-    return {"slots": write_new_slots(rows, bronze_root), "files": files}
+    rows, files = parse_snapshots(archives, source_url, gate=False)
+    report = write_new_slots(rows, bronze_root)
+    return {"slots": report, "files": drift_gate(files)}

@@ -9,6 +9,7 @@ from priceloom.sources import archives
 from priceloom.sources.archives import FeedDriftError, drift_gate, parse_snapshots, scan_archives, type_stations, unpack
 from priceloom.sources.profile import accented_samples, field_presence, id_name_pairs, in_id_order
 from priceloom.sources.slots import existing_slots, ingest, read_bronze, write_new_slots
+from priceloom.streaming import ingest_stream
 from tests.conftest import SAMPLE_FEED, feed, land, station, zipped
 
 
@@ -159,3 +160,36 @@ def test_profile(spark):
     presence = {r["column"]: tuple(r)[1:] for r in field_presence(df, ["nom", "ville"]).collect()}
     assert presence == {"nom": (4, 1, 0), "ville": (4, 2, 1)}
     assert [r[0] for r in accented_samples(df, "ville").collect()] == ["Bréhan"]
+
+
+def test_archives_stream_into_slots(spark, tmp_path):
+    raw, bronze, checkpoint = (str(tmp_path / n) for n in ("raw", "bronze", "checkpoint"))
+    for hh, value in (("07", "1.7"), ("08", "1.6")):
+        land(tmp_path / "raw", "2026-06-03", hh, zipped(feed(station("1", ("1", "Gazole", "2026-06-03 06:00:00", value)))))
+        for _ in range(2):
+            ingest_stream(spark, raw, bronze, checkpoint).awaitTermination()
+    rows = read_bronze(spark, bronze).select("hh", "prix_euro").collect()
+    assert sorted(map(tuple, rows)) == [("07", 1.7), ("08", 1.6)]
+
+
+@pytest.mark.parametrize("streamed", [False, True])
+def test_a_drifted_file_is_loud_but_does_not_hold_up_the_others(spark, tmp_path, streamed):
+    raw, bronze, checkpoint = (str(tmp_path / n) for n in ("raw", "bronze", "checkpoint"))
+
+    def run():
+        if streamed:
+            ingest_stream(spark, raw, bronze, checkpoint).awaitTermination()
+        else:
+            ingest(spark, raw, bronze)
+
+    good = zipped(feed(station("1", ("1", "Gazole", "2026-06-03 06:00:00", "1.7"))))
+    land(tmp_path / "raw", "2026-06-03", "07", good)
+    land(tmp_path / "raw", "2026-06-03", "08", zipped(b"<not-xml"))
+    for _ in range(2):
+        with pytest.raises(Exception, match="hh=08.*invalid XML"):
+            run()
+        assert existing_slots(spark, bronze) == [("2026-06-03", "07")]
+    land(tmp_path / "raw", "2026-06-03", "08", good)
+    run()
+    assert existing_slots(spark, bronze) == [("2026-06-03", "07"), ("2026-06-03", "08")]
+    assert read_bronze(spark, bronze).count() == 2
