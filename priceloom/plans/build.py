@@ -22,7 +22,9 @@ from priceloom.plans import dimensions, marts, progress, rules
 from priceloom.plans.fact import committed_watermark, read_fact, rebuild_fact, update_fact
 from priceloom.plans.silver import FoldLedger, fold_new_slots, keyed_events, read_silver, rebuild_silver
 from priceloom.quality.checks import Check, QualityGateError, run_checks
+from priceloom.quality.freshness import freshness
 from priceloom.sources import reference
+from priceloom.sources.slots import existing_slots, only_slots, read_bronze
 from priceloom.storage import replace_table
 
 LAYERS = {"stg": "silver", "dim": "gold", "fct": "gold", "agg": "gold", "seed": "gold"}
@@ -30,13 +32,21 @@ LAYERS = {"stg": "silver", "dim": "gold", "fct": "gold", "agg": "gold", "seed":
 
 @dataclass(frozen=True)
 class BuildConfig:
-    """Where things lie. ``as_of`` is a UTC clock reading; ``None`` takes the current time."""
+    """Where things lie. ``as_of`` is a UTC clock reading; ``None`` takes the current time.
+
+    Without CSV files for fuels and departments the fixed tables are used.
+    """
 
     bronze_root: str
     warehouse: str
     zone: str = SOURCE_TIMEZONE
     as_of: dt.datetime | None = None
     full_refresh: bool = False
+    fuels_csv: str | None = None
+    departments_csv: str | None = None
+
+    def now(self) -> dt.datetime:
+        return self.as_of or dt.datetime.now(dt.UTC).replace(tzinfo=None)
 
 
 def table_path(root: str, name: str, layer: str | None = None) -> str:
@@ -95,6 +105,12 @@ class _Run:
         return self.spark.createDataFrame(self.report, schema)
 
 
+def source_freshness(spark: SparkSession, cfg: BuildConfig) -> DataFrame:
+    """Age and status of bronze. The newest row lies in the newest slot, so only that one is read."""
+    newest = existing_slots(spark, cfg.bronze_root)[-1:]
+    return freshness(only_slots(read_bronze(spark, cfg.bronze_root), newest), "ingestion_ts", cfg.now())
+
+
 def build(spark: SparkSession, cfg: BuildConfig, strict: bool = True) -> DataFrame:
     """Bring all tables up to date and return the check report.
 
@@ -104,7 +120,7 @@ def build(spark: SparkSession, cfg: BuildConfig, strict: bool = True) -> DataFra
     """
     run, t = _Run(spark), {}
     t = run.tables
-    now = F.lit((cfg.as_of or dt.datetime.now(dt.UTC).replace(tzinfo=None)).isoformat(sep=" ")).cast("timestamp_ntz")
+    now = F.lit(cfg.now().isoformat(sep=" ")).cast("timestamp_ntz")
     path = lambda name: table_path(cfg.warehouse, name)
     folds = FoldLedger(spark, path("stg_prix"))
 
@@ -128,9 +144,10 @@ def build(spark: SparkSession, cfg: BuildConfig, strict: bool = True) -> DataFra
     dims = ["dim_station", "dim_carburant", "dim_date", "dim_localisation"]
     parents = lambda: [t[d] for d in dims]
 
-    run.step("seed_carburant", [], lambda: table("seed_carburant", reference.fuels(spark)),
+    run.step("seed_carburant", [], lambda: table("seed_carburant", reference.fuels(spark, cfg.fuels_csv)),
              lambda _: rules.for_fuel_seed())
-    run.step("seed_departement", [], lambda: table("seed_departement", reference.departments(spark)),
+    run.step("seed_departement", [],
+             lambda: table("seed_departement", reference.departments(spark, cfg.departments_csv)),
              lambda _: rules.for_department_seed())
     run.step("stg_prix", [], silver, lambda _: rules.for_silver())
     run.step("dim_carburant", ["seed_carburant"],

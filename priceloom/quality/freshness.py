@@ -5,8 +5,10 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import types as T
 
 from priceloom.fixed_values import FRESH_ERROR_MINUTES, FRESH_WARN_MINUTES
+from priceloom.functions import utc_wall_clock
 
 
 def freshness(
@@ -23,7 +25,10 @@ def freshness(
     ``by``, one row per source named in those columns.
     """
     now = F.lit(as_of.isoformat(sep=" ")).cast("timestamp_ntz")
-    newest = df.groupBy(*by).agg(F.max(column).cast("timestamp_ntz").alias("max_loaded_at"))
+    loaded = F.max(column)
+    if df.schema[column].dataType == T.TimestampType():
+        loaded = utc_wall_clock(loaded)
+    newest = df.groupBy(*by).agg(loaded.alias("max_loaded_at"))
     age = F.timestamp_diff("MICROSECOND", F.col("max_loaded_at"), now) / 60_000_000
     status = (
         F.when(F.col("max_loaded_at").isNull() | (F.col("age_minutes") > error), "error")

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from priceloom.fixed_values import ACCENTED_LETTERS
+from priceloom.functions import fixed_point, price
 
 
 def _missing(column: str) -> Column:
@@ -50,6 +51,27 @@ def accented_samples(df: DataFrame, column: str, n: int = 5) -> DataFrame:
     return samples(df.filter(F.col(column).rlike(f"[{ACCENTED_LETTERS}]")).select(column), [column], n)
 
 
+def profile_feed(raw: DataFrame, n: int = 5) -> dict[str, DataFrame]:
+    """What raw stations, as ``unpack`` gives them, look like; one small table per question.
+
+    ``pairs`` fuel ids and names, ``presence`` missing fields, ``accented`` town names that survived
+    decoding, ``prices`` and ``coordinates`` raw beside typed samples.
+    """
+    stations = raw.filter("drift IS NULL")
+    prices = stations.select("station_id", F.inline("prices"))
+    typed = lambda c: fixed_point(F.col(c)).alias(f"{c}_degrees")
+    return {
+        "files": stations.groupBy("path", "entry").agg(F.count(F.lit(1)).alias("station_count")),
+        "pairs": in_id_order(id_name_pairs(prices, "id", "nom"), "id"),
+        "presence": field_presence(stations, ["station_id", "cp", "ville", "adresse", "pop", "latitude", "longitude"]),
+        "accented": accented_samples(stations, "ville", n),
+        "prices": samples(prices, ["station_id", "id"], n).withColumn("euros", price(F.col("valeur"))),
+        "coordinates": samples(stations, ["station_id"], n).select(
+            "station_id", "latitude", "longitude", typed("latitude"), typed("longitude")
+        ),
+    }
+
+
 def text_shapes(df: DataFrame, column: str) -> DataFrame:
     """How often each shape of text occurs, every digit shown as 9: a change of format stands out."""
     shape = F.regexp_replace(F.col(column).cast("string"), "[0-9]", "9").alias("shape")

@@ -13,11 +13,17 @@ def read_reference_csv(spark: SparkSession, path: str, columns: list[str]) -> Da
     return spark.read.option("header", True).option("enforceSchema", False).schema(schema).csv(path)
 
 
-def fuels(spark: SparkSession) -> DataFrame:
-    """The 6 fuels."""
-    return spark.createDataFrame(FUELS, "carburant_id string, carburant_nom string, carburant_libelle_long string")
+def fuels(spark: SparkSession, path: str | None = None) -> DataFrame:
+    """The 6 fuels, or those of a CSV."""
+    return _given_or_fixed(spark, path, ["carburant_id", "carburant_nom", "carburant_libelle_long"], FUELS)
 
 
-def departments(spark: SparkSession) -> DataFrame:
-    """The 101 departments."""
-    return spark.createDataFrame(DEPARTMENTS, "dept_code string, dept_nom string, region_nom string")
+def departments(spark: SparkSession, path: str | None = None) -> DataFrame:
+    """The 101 departments, or those of a CSV."""
+    return _given_or_fixed(spark, path, ["dept_code", "dept_nom", "region_nom"], DEPARTMENTS)
+
+
+def _given_or_fixed(spark: SparkSession, path: str | None, columns: list[str], rows: list[tuple]) -> DataFrame:
+    if path:
+        return read_reference_csv(spark, path, columns)
+    return spark.createDataFrame(rows, ", ".join(f"{c} string" for c in columns))

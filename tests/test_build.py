@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from priceloom.plans import dimensions, marts, progress, questions
-from priceloom.plans.build import BuildConfig, build, table_path
+from priceloom.plans.build import BuildConfig, build, source_freshness, table_path
 from priceloom.plans.fact import committed_watermark, fact_rows, read_fact, update_fact
 from priceloom.plans.silver import FoldLedger, fold_new_slots, keyed_events, read_silver, silver_events
 from priceloom.quality import QualityGateError
@@ -84,6 +84,15 @@ def test_full_build_of_the_sample(spark, tmp_path):
     assert questions.headline(latest, None).first()["entity_count"] == 3
 
 
+@pytest.mark.parametrize(("hours", "status"), [(1, "pass"), (2, "warn"), (7, "error")])
+def test_source_freshness(spark, tmp_path, hours, status):
+    for hh in ("09", "10"):
+        slot(tmp_path, "2026-06-03", hh, station("1", price("03 09:00:00", "1.7")))
+    load(spark, tmp_path)
+    cfg = replace(config(tmp_path), as_of=dt.datetime(2026, 6, 3, 10 + hours))
+    assert source_freshness(spark, cfg).first()["status"] == status
+
+
 def test_unchanged_prices_are_not_restacked(spark, tmp_path):
     same_price = station("1", price("03 09:00:00", "1.7"))
     for hh in ("10", "11", "12"):
@@ -245,9 +254,13 @@ def test_an_error_skips_what_depends_on_it(spark, tmp_path):
 
 
 def test_a_strange_price_only_warns(spark, tmp_path):
+    """Also with reference data from CSV files."""
+    (tmp_path / "fuels.csv").write_text("carburant_id,carburant_nom,carburant_libelle_long\n1,Gazole,Diesel\n")
+    (tmp_path / "departments.csv").write_text("dept_code,dept_nom,region_nom\n34,Hérault,Occitanie\n")
+    given = {"fuels_csv": str(tmp_path / "fuels.csv"), "departments_csv": str(tmp_path / "departments.csv")}
     slot(tmp_path, "2026-06-03", "10", station("1", price("03 08:00:00", "0.4")), station("2", price("03 08:00:00", "1.4")))
     load(spark, tmp_path)
-    report = build(spark, config(tmp_path))
+    report = build(spark, replace(config(tmp_path), **given))
     assert {r["node"] for r in report.filter("status = 'warn'").collect()} == {
         "stg_prix", "fct_prix_carburant", "agg_dernier_prix_station_carburant"
     }

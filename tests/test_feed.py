@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from priceloom.contracts import BRONZE
 from priceloom.sources import archives
 from priceloom.sources.archives import FeedDriftError, drift_gate, parse_snapshots, scan_archives, type_stations, unpack
-from priceloom.sources.profile import accented_samples, field_presence, id_name_pairs, in_id_order
+from priceloom.sources.profile import accented_samples, field_presence, id_name_pairs, in_id_order, profile_feed, text_shapes
 from priceloom.sources.slots import existing_slots, ingest, read_bronze, write_new_slots
 from priceloom.streaming import ingest_stream
 from tests.conftest import SAMPLE_FEED, feed, land, station, zipped
@@ -160,6 +160,7 @@ def test_profile(spark):
     presence = {r["column"]: tuple(r)[1:] for r in field_presence(df, ["nom", "ville"]).collect()}
     assert presence == {"nom": (4, 1, 0), "ville": (4, 2, 1)}
     assert [r[0] for r in accented_samples(df, "ville").collect()] == ["Bréhan"]
+    assert sorted(map(tuple, text_shapes(df, "id").collect())) == [("9", 2), ("99", 1), ("x", 1)]
 
 
 def test_archives_stream_into_slots(spark, tmp_path):
@@ -193,3 +194,18 @@ def test_a_drifted_file_is_loud_but_does_not_hold_up_the_others(spark, tmp_path,
     run()
     assert existing_slots(spark, bronze) == [("2026-06-03", "07"), ("2026-06-03", "08")]
     assert read_bronze(spark, bronze).count() == 2
+
+
+def test_feed_profile(spark, tmp_path):
+    land(tmp_path, "2026-06-03", "10", zipped(SAMPLE_FEED.encode("latin-1")))
+    found = {k: df.collect() for k, df in profile_feed(unpack(scan_archives(spark, str(tmp_path)))).items()}
+    assert found["files"][0]["station_count"] == 4
+    assert [tuple(r) for r in found["pairs"]] == [
+        ("1", "Gazole", 2), ("2", "SP95", 1), ("3", "E85", 1), ("5", "E10", 1), ("6", "SP98", 1)
+    ]
+    missing = {r["column"]: r["missing"] for r in found["presence"]}
+    assert missing == {"station_id": 1, "cp": 2, "ville": 1, "adresse": 3, "pop": 0, "latitude": 1, "longitude": 1}
+    assert [r["ville"].strip() for r in found["accented"]] == ["Bréhan", "SAINT-DENIS-LÈS-BOURG"]
+    degrees = {r["station_id"]: r["longitude_degrees"] for r in found["coordinates"]}
+    assert degrees["2000002"] == pytest.approx(-0.567) and degrees["3000003"] is None
+    assert ("1000001", "1.799", 1.799) in [(r["station_id"], r["valeur"], r["euros"]) for r in found["prices"]]
