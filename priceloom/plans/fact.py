@@ -30,13 +30,13 @@ def committed_watermark(spark: SparkSession, path: str) -> dt.datetime:
 
     Taken from the ledger: rows of an update that crashed half way must not move it.
     """
+    if not exists(spark, path):
+        return dt.datetime.fromisoformat(FIRST_WATERMARK)
     ledger = Ledger(spark, path, _COMMITS)
-    if ledger.exists():
-        last = ledger.read().agg(F.max("watermark").alias("wm")).first()["wm"]
-        return dt.datetime.fromisoformat(last or FIRST_WATERMARK)
-    if exists(spark, path):
+    if not ledger.exists():
         return high_watermark(read_fact(spark, path), "ingestion_ts")
-    return dt.datetime.fromisoformat(FIRST_WATERMARK)
+    last = ledger.read().agg(F.max("watermark").alias("wm")).first()["wm"]
+    return dt.datetime.fromisoformat(last or FIRST_WATERMARK)
 
 
 def update_fact(
@@ -61,7 +61,12 @@ def update_fact(
     rows = _checked_rows(after(silver, "ingestion_ts", watermark), zone)
     result = merge_by_key(path, rows, "prix_sk", "ingestion_date", target_filter=recent, sort_by=("station_sk",))
     reached = max(watermark, high_watermark(read_fact(spark, path).filter(recent), "ingestion_ts"))
-    Ledger(spark, path, _COMMITS).add([(reached.isoformat(sep=" "), result.inserted, result.updated)])
+    note = (reached.isoformat(sep=" "), result.inserted, result.updated)
+    ledger = Ledger(spark, path, _COMMITS)
+    if result.partitions is None:
+        ledger.restart([note])
+    else:
+        ledger.add([note])
     return result
 
 

@@ -90,14 +90,19 @@ class FoldLedger:
     """Which slots stored silver holds, and on which days each of them changed something."""
 
     def __init__(self, spark: SparkSession, path: str) -> None:
+        self._spark, self._path = spark, path
         self._ledger = Ledger(spark, path, "dt string, hh string, days array<string>, generation string")
 
     def slots(self) -> set[tuple[str, str]]:
+        if not exists(self._spark, self._path):
+            return set()
         return {(r["dt"], r["hh"]) for r in self._ledger.read().select("dt", "hh").collect()}
 
     def add(self, slots: list[tuple[str, str]], result: MergeResult) -> None:
-        days = None if result.partitions is None else [str(d) for d in result.partitions]
-        generation = self.generation()
+        if result.partitions is None:  # the table did not exist before
+            self.restart(slots)
+            return
+        days, generation = [str(d) for d in result.partitions], self.generation()
         self._ledger.add((d, h, days, generation) for d, h in slots)
 
     def restart(self, slots: list[tuple[str, str]]) -> None:

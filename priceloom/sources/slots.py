@@ -34,11 +34,15 @@ def slot_folders(spark: SparkSession, root: str) -> list[tuple[str, str]]:
 
 
 def existing_slots(spark: SparkSession, root: str) -> list[tuple[str, str]]:
-    """Slots already written: those in the ledger, or all folders of a root that has none."""
-    ledger = Ledger(spark, root, _LEDGER)
-    if ledger.exists():
-        return sorted((r["dt"], r["hh"]) for r in ledger.read().select("dt", "hh").collect())
-    return slot_folders(spark, root)
+    """Slots already written: the folders in the ledger, or all folders of a root that has none.
+
+    A slot whose folder was deleted counts as not written.
+    """
+    folders, ledger = slot_folders(spark, root), Ledger(spark, root, _LEDGER)
+    if not ledger.exists():
+        return folders
+    finished = {(r["dt"], r["hh"]) for r in ledger.read().select("dt", "hh").collect()}
+    return [s for s in folders if s in finished]
 
 
 def slot_sizes(spark: SparkSession, root: str) -> dict[tuple[str, str], int]:

@@ -12,7 +12,7 @@ from priceloom.plans.fact import committed_watermark, fact_rows, read_fact, upda
 from priceloom.plans.silver import FoldLedger, fold_new_slots, keyed_events, read_silver, silver_events
 from priceloom.quality import QualityGateError
 from priceloom.sources import reference
-from priceloom.sources.slots import ingest, read_bronze
+from priceloom.sources.slots import existing_slots, ingest, read_bronze
 from priceloom.streaming import build_stream
 from tests.conftest import SAMPLE_FEED, feed, land, station, zipped
 
@@ -223,6 +223,23 @@ def test_a_fold_looks_up_only_changed_days(spark, tmp_path):
     assert same(read_silver(spark, silver_path).drop("maj_date"), whole_silver(spark, tmp_path))
 
 
+def test_deleted_tables_are_built_again(spark, tmp_path):
+    cfg = config(tmp_path)
+    for d in ("01", "02"):
+        slot(tmp_path, f"2026-06-{d}", "10", station("1", price(f"{d} 08:00:00", "1.7")))
+        move_on(spark, tmp_path)
+    full = fact_rows(keyed_events(whole_silver(spark, tmp_path)))
+    for n, name in enumerate(("fct_prix_carburant", "stg_prix")):
+        shutil.move(table_path(cfg.warehouse, name), str(tmp_path / f"gone{n}"))
+        move_on(spark, tmp_path)
+        assert same(fact(spark, tmp_path), full)
+        assert same(read_silver(spark, table_path(cfg.warehouse, "stg_prix")).drop("maj_date"), whole_silver(spark, tmp_path))
+    shutil.move(str(tmp_path / "bronze" / "dt=2026-06-02"), str(tmp_path / "gone2"))
+    assert existing_slots(spark, cfg.bronze_root) == [("2026-06-01", "10")]
+    load(spark, tmp_path)
+    assert read_bronze(spark, cfg.bronze_root).count() == 2
+
+
 def test_full_refresh_takes_late_rows_in(spark, tmp_path):
     cfg = config(tmp_path)
     slot(tmp_path, "2026-06-03", "10", station("1", price("03 08:00:00", "1.7")))
@@ -267,6 +284,26 @@ def test_a_strange_price_only_warns(spark, tmp_path):
     assert fact(spark, tmp_path).count() == 2
 
 
+def test_checking_changed_days_only(spark, tmp_path):
+    cfg = replace(config(tmp_path), check_changed=True)
+    slot(tmp_path, "2026-06-01", "10", station("1", price("01 08:00:00", "0.4")))
+    load(spark, tmp_path)
+    build(spark, cfg)
+    slot(tmp_path, "2026-06-03", "10", station("1", price("03 08:00:00", "0.3")))
+    load(spark, tmp_path)
+    build(spark, cfg)
+    slot(tmp_path, "2026-06-03", "11", station("1", price("03 10:00:00", "1.3")))
+    load(spark, tmp_path)
+    report = build(spark, cfg)
+    slot(tmp_path, "2026-06-02", "10", station("1", price("02 08:00:00", "0.2")))  # late
+    load(spark, tmp_path)
+    late = {r["node"]: r["failures"] for r in build(spark, cfg).filter("check like 'expression%between%'").collect()}
+    assert (late["stg_prix"], late["fct_prix_carburant"]) == (2, 1)
+    # The strange price of the first of June lies outside what could change; that of the third is on a checked day.
+    counted = {r["node"]: r["failures"] for r in report.filter("check like 'expression%between%'").collect()}
+    assert (counted["stg_prix"], counted["fct_prix_carburant"], counted["agg_dernier_prix_station_carburant"]) == (1, 1, 0)
+
+
 def test_an_update_from_the_future_is_an_error(spark, tmp_path):
     slot(tmp_path, "2026-06-03", "10", station("1", price("09 08:00:00", "1.4")))
     load(spark, tmp_path)
