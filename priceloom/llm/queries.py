@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from priceloom.llm import simhash
+from priceloom.llm import simhash, toxicity
+from priceloom.llm.text import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -26,6 +27,20 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def labelled(spark: SparkSession, folder: str, label: str, learnt_from) -> DataFrame:
+    """(doc_id, text, label) of the rows a model may learn from."""
+    labels = table(spark, folder, "labels").where(F.col(label).isNotNull()).select("doc_id", F.col(label).alias("label"))
+    return table(spark, folder, "documents").select("doc_id", "text").where(learnt_from).join(labels, "doc_id")
+
+
+@query()
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    held_out = fold(F.col("doc_id"), 5) == 0
+    lexicon = toxicity.learn(labelled(spark, folder, "toxic", ~held_out))
+    scored = toxicity.score(table(spark, folder, "documents"), lexicon)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted", "hits")
+
+
 @query()
 def op4_simhash_near_copies(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_copies(table(spark, folder, "documents"), length=3, distance=2)
