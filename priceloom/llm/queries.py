@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from priceloom.llm import simhash, toxicity
+from priceloom.llm import mixing, simhash, toxicity
 from priceloom.llm.text import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,3 +45,9 @@ def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 def op4_simhash_near_copies(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_copies(table(spark, folder, "documents"), length=3, distance=2)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query()
+def op9_source_mix(spark: SparkSession, folder: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, folder, "documents"), weights=[3, 1, 2], share=1.5)
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies", "positions")
