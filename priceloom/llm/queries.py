@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from priceloom.llm import mixing, simhash, toxicity
+from priceloom.llm import mixing, secret_scan, simhash, toxicity
 from priceloom.llm.text import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,3 +51,15 @@ def op4_simhash_near_copies(spark: SparkSession, folder: str) -> DataFrame:
 def op9_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix(table(spark, folder, "documents"), weights=[3, 1, 2], share=1.5)
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies", "positions")
+
+
+@query()
+def op6_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = secret_scan.scan(table(spark, folder, "documents"))
+    of_kind = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long")
+    return found.select(
+        "doc_id",
+        *[of_kind(k).alias(f"n_{name}") for k, name in enumerate(secret_scan.KINDS[:3])],
+        F.sha2(secret_scan.written(F.col("base")), 256).alias("base_sha256"),
+        secret_scan.written(F.col("spans")).alias("spans"),
+    )
