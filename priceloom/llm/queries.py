@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from priceloom.llm import mixing, secret_scan, simhash, toxicity
+from priceloom.llm import mixing, packing, secret_scan, simhash, toxicity
 from priceloom.llm.text import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,6 +33,16 @@ def labelled(spark: SparkSession, folder: str, label: str, learnt_from) -> DataF
     return table(spark, folder, "documents").select("doc_id", "text").where(learnt_from).join(labels, "doc_id")
 
 
+#: The public tokenizer of the packing query; its file is found by each executor.
+TOKENIZER = "word_bpe_49k.json"
+
+
+@query()
+def op2_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    digest = [F.crc32("ids").alias("ids_crc32")]
+    return packing.packed_pieces(table(spark, folder, "documents"), TOKENIZER, packing.LENGTH, digest)
+
+
 @query()
 def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     held_out = fold(F.col("doc_id"), 5) == 0
