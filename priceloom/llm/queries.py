@@ -27,10 +27,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def labelled(spark: SparkSession, folder: str, label: str, learnt_from) -> DataFrame:
+def labelled(docs: DataFrame, labels: DataFrame, label: str, learnt_from) -> DataFrame:
     """(doc_id, text, label) of the rows a model may learn from."""
-    labels = table(spark, folder, "labels").where(F.col(label).isNotNull()).select("doc_id", F.col(label).alias("label"))
-    return table(spark, folder, "documents").select("doc_id", "text").where(learnt_from).join(labels, "doc_id")
+    marks = labels.where(F.col(label).isNotNull()).select("doc_id", F.col(label).alias("label"))
+    return docs.select("doc_id", "text").where(learnt_from).join(marks, "doc_id")
+
+
+def toxic_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    return labelled(docs, labels, "toxic", fold(F.col("doc_id"), 5) != 0)
 
 
 #: The public tokenizer of the packing query; its file is found by each executor.
@@ -45,10 +49,10 @@ def op2_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 @query()
 def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    lexicon = toxicity.learn(toxic_rows(docs, table(spark, folder, "labels")))
     held_out = fold(F.col("doc_id"), 5) == 0
-    lexicon = toxicity.learn(labelled(spark, folder, "toxic", ~held_out))
-    scored = toxicity.score(table(spark, folder, "documents"), lexicon)
-    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted", "hits")
+    return toxicity.score(docs, lexicon).select("doc_id", held_out.alias("held_out"), "score", "predicted", "hits")
 
 
 @query()
