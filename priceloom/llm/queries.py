@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from priceloom.llm import mixing, packing, secret_scan, simhash, toxicity
+from priceloom.llm import mixing, near_vectors, packing, secret_scan, simhash, top_k, toxicity
 from priceloom.llm.text import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,6 +37,16 @@ def toxic_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return labelled(docs, labels, "toxic", fold(F.col("doc_id"), 5) != 0)
 
 
+@query()
+def op1_embedding_near_copies(spark: SparkSession, folder: str) -> DataFrame:
+    return near_vectors.near_vectors(table(spark, folder, "embeddings"), least=0.98)
+
+
+@query()
+def op7_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return top_k.top_k(table(spark, folder, "embeddings"), lambda vec_id: vec_id % 50 == 0, k=5, scale=256.0)
+
+
 #: The public tokenizer of the packing query; its file is found by each executor.
 TOKENIZER = "word_bpe_49k.json"
 
