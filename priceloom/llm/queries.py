@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from priceloom.llm import chat, mixing, near_vectors, packing, secret_scan, simhash, top_k, toxicity
+from priceloom.llm import chat, language_id, mixing, near_vectors, packing, quality_vote, secret_scan, simhash, top_k, toxicity
 from priceloom.llm.text import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -108,3 +108,19 @@ def op6_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(secret_scan.written(F.col("base")), 256).alias("base_sha256"),
         secret_scan.written(F.col("spans")).alias("spans"),
     )
+
+
+@query()
+def op8_quality_vote(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    held_out = fold(F.col("doc_id"), 4) == 2
+    voters = quality_vote.learn(labelled(docs, table(spark, folder, "labels"), "quality", ~held_out))
+    return quality_vote.score(docs, voters, good=0.7).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+@query()
+def op10_language_filters(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    held_out = fold(F.col("doc_id"), 3) == 1
+    filters = language_id.learn(docs.where(~held_out).select("doc_id", "text", "lang"))
+    return language_id.identify(docs, filters).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
