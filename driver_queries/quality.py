@@ -128,13 +128,16 @@ def freshness_status(spark: SparkSession, folder: str) -> DataFrame:
     return plain(status.withColumnRenamed("max_loaded_at", "latest"))
 
 
-@query("""SELECT c_custkey, round(c_acctbal / 100, 6) AS latitude, c_nationkey AS longitude FROM customer
-WHERE NOT c_acctbal / 100 BETWEEN 41 AND 52""")
+@query("""WITH stations AS (SELECT c_custkey, c_acctbal / 100 AS latitude, c_nationkey AS longitude, substr(c_mktsegment, 1, 1) AS pop FROM customer)
+SELECT 'latitude' AS breach, c_custkey, round(latitude, 6) AS latitude, longitude, pop FROM stations WHERE NOT latitude BETWEEN 41 AND 52
+UNION ALL SELECT 'longitude', c_custkey, round(latitude, 6), longitude, pop FROM stations WHERE NOT longitude BETWEEN -5 AND 10
+UNION ALL SELECT 'pop', c_custkey, round(latitude, 6), longitude, pop FROM stations WHERE pop NOT IN ('A', 'R')""")
 def dq_coordinates(spark: SparkSession, folder: str) -> DataFrame:
-    """Positions outside the plausible range."""
+    """Stations that break one of the three rules of plausibility."""
     from priceloom.plans.rules import for_station_plausibility
 
     stations = table(spark, folder, "customer").select(
-        "c_custkey", (F.col("c_acctbal") / 100).alias("latitude"), F.col("c_nationkey").alias("longitude"), F.lit("R").alias("pop"))
-    rows = failing_rows(stations, for_station_plausibility()[0])
-    return plain(rows.drop("pop"))
+        "c_custkey", (F.col("c_acctbal") / 100).alias("latitude"), F.col("c_nationkey").alias("longitude"),
+        F.substring("c_mktsegment", 1, 1).alias("pop"))
+    found = [failing_rows(stations, rule).withColumn("breach", F.lit(rule.column)) for rule in for_station_plausibility()]
+    return plain(found[0].unionByName(found[1]).unionByName(found[2]))

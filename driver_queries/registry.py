@@ -29,9 +29,8 @@ def table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFra
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Give Python work to all cores where the table comes in fewer files than there are cores."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    """Give Python work to all cores, however the table's files are cut."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
 def plain(df: DataFrame) -> DataFrame:

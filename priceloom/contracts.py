@@ -8,6 +8,8 @@ from pyspark.sql import types as T
 _S, _D, _I = T.StringType(), T.DoubleType(), T.IntegerType()
 _NTZ, _DATE, _BOOL = T.TimestampNTZType(), T.DateType(), T.BooleanType()
 PRICE = T.DecimalType(10, 3)
+#: Silver takes any price the feed can hold: a strange one warns, and only gold is narrow.
+WIDE_PRICE = T.DecimalType(18, 3)
 MEASURE = T.DecimalType(28, 9)
 
 
@@ -30,7 +32,7 @@ SLOT = _table(("dt", _S), ("hh", _S))
 SILVER = _table(
     ("prix_sk", _S, "!"), ("station_id", _S, "!"), ("cp", _S), ("ville", _S), ("adresse", _S), ("pop", _S),
     ("latitude", _D), ("longitude", _D), ("carburant_id", _S, "!"), ("carburant_nom", _S),
-    ("maj_timestamp_utc", _NTZ, "!"), ("prix_euro", PRICE, "!"), ("ingestion_ts", _NTZ), ("source_url", _S),
+    ("maj_timestamp_utc", _NTZ, "!"), ("prix_euro", WIDE_PRICE, "!"), ("ingestion_ts", _NTZ), ("source_url", _S),
 )
 DIM_CARBURANT = _table(
     ("carburant_sk", _S, "!"), ("carburant_id", _S, "!"), ("carburant_nom", _S, "!"),

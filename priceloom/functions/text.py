@@ -31,8 +31,9 @@ def fixed_point(text: Column, scale: int = COORDINATE_SCALE) -> Column:
 
 
 def price(text: Column) -> Column:
-    """A price in euros, rounded to three decimals."""
-    return F.round(_number(text), 3)
+    """A price in euros, rounded to three decimals; what has over fifteen digits before the point is no price."""
+    value = _number(text)
+    return F.when(F.abs(value) < 1e15, F.round(value, 3))
 
 
 def strict_ts(text: Column) -> Column:

@@ -17,12 +17,14 @@ def local_to_utc(local: Column, zone: str = SOURCE_TIMEZONE) -> Column:
 
 def utc_wall_clock(instant: Column) -> Column:
     """An instant (TIMESTAMP) as a UTC clock reading, whatever the session time zone is."""
-    return F.convert_timezone(None, F.lit("UTC"), instant.cast("timestamp_ntz"))
+    return micros_to_ts(F.unix_micros(instant))
 
 
 def utc_instant(clock: Column) -> Column:
     """A UTC clock reading as an instant (TIMESTAMP), whatever the session time zone is."""
-    return F.convert_timezone(F.lit("UTC"), F.current_timezone(), clock).cast("timestamp")
+    seconds = F.unix_date(F.to_date(clock)) * F.lit(86_400).cast("bigint") + F.hour(clock) * 3600 + F.minute(clock) * 60
+    # The seconds keep six decimals; no step goes through a clock of the session's zone.
+    return F.timestamp_micros(seconds * 1_000_000 + (F.extract(F.lit("SECOND"), clock) * 1_000_000).cast("bigint"))
 
 
 def business_day(utc: Column, zone: str = SOURCE_TIMEZONE) -> Column:
@@ -37,7 +39,9 @@ def date_key(day: Column) -> Column:
 
 def micros_to_ts(micros: Column) -> Column:
     """Microseconds since the epoch as a UTC clock reading."""
-    return utc_wall_clock(F.timestamp_micros(micros))
+    seconds = (micros.cast("decimal(20,0)") / F.lit(1_000_000).cast("decimal(7,0)")).cast("decimal(18,6)")
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return epoch + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
 
 
 def slot_columns(run_time: Column) -> tuple[Column, Column]:

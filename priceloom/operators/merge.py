@@ -10,10 +10,7 @@ from pyspark.sql import types as T
 
 from priceloom.contracts import ContractError, contract_problems
 from priceloom.session import fresh_path, settle
-from priceloom.storage import exists, remove
-
-# More distinct partition values than this are joined, not listed in the scan filter.
-_LISTED_PARTITIONS = 20_000
+from priceloom.storage import exists, remove, staging, switch_partitions
 
 
 @dataclass(frozen=True)
@@ -76,8 +73,8 @@ def merge_by_key(
 
     The target's key column is read once, joined with the source's keys; a small source is broadcast, so
     the target is not shuffled. Without known keys the source is appended as it is. Only partitions that
-    lose or gain a replaced row are rewritten. Doing the same merge again after a crash leads to the
-    same table.
+    lose or gain a replaced row are rewritten: their new versions are written aside and moved in once all
+    are complete. Doing the same merge again after a crash leads to the same table.
     """
     spark = source.sparkSession
     if not exists(spark, path):
@@ -90,7 +87,7 @@ def merge_by_key(
     offered = {r[partition_by]: r["count"] for r in source.groupBy(partition_by).count().collect()}
     target = read_table(spark, path, source.schema)
     known = target if target_filter is None else target.filter(target_filter)
-    if key_fixes_partition and len(offered) <= _LISTED_PARTITIONS:
+    if key_fixes_partition:
         known = known.filter(F.col(partition_by).isin(list(offered)))
 
     order = [F.col(keep_smallest).alias("_old_order")] if keep_smallest else []
@@ -118,7 +115,8 @@ def merge_by_key(
         touched = F.col(partition_by).isin(sorted(rewritten))
         replaced = matches.filter("_action = 'update'").select(key)
         kept = target.filter(touched).join(replaced, key, "left_anti").select(*source.columns)
-        write_partitioned(kept.unionByName(fresh.filter(touched)), path, [partition_by], "overwrite", sort_by)
+        write_partitioned(kept.unionByName(fresh.filter(touched)), staging(path), [partition_by], "overwrite", sort_by)
+        switch_partitions(spark, path)
         fresh = fresh.filter(~touched)
     if any(p not in rewritten for p in inserts):
         write_partitioned(fresh, path, [partition_by], "append", sort_by)

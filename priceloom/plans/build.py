@@ -25,9 +25,11 @@ from priceloom.plans.silver import FoldLedger, fold_new_slots, keyed_events, rea
 from priceloom.quality.checks import Check, QualityGateError, run_checks
 from priceloom.quality.freshness import freshness
 from priceloom.sources import reference
-from priceloom.sources.slots import existing_slots, only_slots, read_bronze
-from priceloom.storage import replace_table
+from priceloom.sources.slots import existing_slots, only_slots, read_bronze, slot_sizes
+from priceloom.storage import Ledger, replace_table
 
+#: Tables of which a build checks only what it could change.
+SCOPED = ["stg_prix", "int_prix_keyed", "fct_prix_carburant"]
 LAYERS = {"stg": "silver", "dim": "gold", "fct": "gold", "agg": "gold", "seed": "gold"}
 
 
@@ -37,8 +39,8 @@ class BuildConfig:
 
     Without CSV files for fuels and departments the fixed tables are used. ``check_changed`` checks of
     silver and the fact only the days and ingestion dates this build could change: rows never change
-    elsewhere, and silver's key fixes its day, so what passed before still passes. What a build left
-    unchecked because it crashed is checked by the next one that checks everything.
+    elsewhere, and silver's key fixes its day, so what passed before still passes. A table that failed,
+    or that a crashed build left unchecked, is checked whole until it passes.
     """
 
     bronze_root: str
@@ -46,7 +48,7 @@ class BuildConfig:
     zone: str = SOURCE_TIMEZONE
     as_of: dt.datetime | None = None
     full_refresh: bool = False
-    check_changed: bool = False
+    check_changed: bool = True
     fuels_csv: str | None = None
     departments_csv: str | None = None
 
@@ -78,10 +80,11 @@ def materialize(df: DataFrame, path: str, kind: str = "table", contract: T.Struc
 
 
 class _Run:
-    """Tables built so far and the outcome of their checks."""
+    """Tables built so far and the outcome of their checks. ``whole``: tables checked without a scope."""
 
-    def __init__(self, spark: SparkSession) -> None:
+    def __init__(self, spark: SparkSession, whole: set[str]) -> None:
         self.spark = spark
+        self.whole = whole
         self.tables: dict[str, DataFrame] = {}
         self.report: list[tuple] = []
 
@@ -99,9 +102,9 @@ class _Run:
         try:
             table = make()
         except Exception as problem:  # a refused contract or a failed write stops this branch only
-            self.report.append((name, "build", "", "error", 1, f"error: {str(problem)[:500]}"))
+            self.report.append((name, "build", "", "error", 1, f"error: {problem}"))
             return
-        results = run_checks(scope(table), checks(table)).collect()
+        results = run_checks(table if name in self.whole else scope(table), checks(table)).collect()
         self.report += [(name, r["check"], r["column"], r["severity"], r["failures"], r["status"]) for r in results]
         if all(r["status"] != "error" for r in results):
             self.tables[name] = table
@@ -113,7 +116,8 @@ class _Run:
 
 def source_freshness(spark: SparkSession, cfg: BuildConfig) -> DataFrame:
     """Age and status of bronze. The newest row lies in the newest slot, so only that one is read."""
-    newest = existing_slots(spark, cfg.bronze_root)[-1:]
+    sizes = slot_sizes(spark, cfg.bronze_root)
+    newest = [s for s in existing_slots(spark, cfg.bronze_root) if sizes.get(s, 1)][-1:]
     return freshness(only_slots(read_bronze(spark, cfg.bronze_root), newest), "ingestion_ts", cfg.now())
 
 
@@ -124,10 +128,16 @@ def build(spark: SparkSession, cfg: BuildConfig, strict: bool = True) -> DataFra
     ``full_refresh`` asks for all of history. With ``strict`` an error raises at the end, after every
     node that could be built was built.
     """
-    run = _Run(spark)
+    path = lambda name: table_path(cfg.warehouse, name)
+    # Until this build has checked them, the scoped tables count as unchecked.
+    gate = Ledger(spark, path("gate"), "build bigint, node string, passed boolean")
+    notes = gate.read().collect()
+    number = 1 + max((r["build"] for r in notes), default=0)
+    passed = {name: max((r["build"] for r in notes if r["passed"] and r["node"] == name), default=0) for name in SCOPED}
+    run = _Run(spark, {r["node"] for r in notes if not r["passed"] and r["build"] > passed[r["node"]]})
+    gate.add((number, name, False) for name in SCOPED)
     t = run.tables
     now = F.lit(cfg.now().isoformat(sep=" ")).cast("timestamp_ntz")
-    path = lambda name: table_path(cfg.warehouse, name)
     folds = FoldLedger(spark, path("stg_prix"))
     before = committed_watermark(spark, path("fct_prix_carburant"))
     folded: list[MergeResult] = []
@@ -187,7 +197,8 @@ def build(spark: SparkSession, cfg: BuildConfig, strict: bool = True) -> DataFra
                                progress.latest_attributes(spark, path("stg_stations"), t["stg_prix"], folds)),
                            DIM_STATION),
              lambda _: rules.for_dim_station(t["dim_localisation"]))
-    run.step("int_prix_keyed", ["stg_prix", *dims], lambda: keyed_events(changed_days(t["stg_prix"]), cfg.zone),
+    changed = lambda: t["stg_prix"] if "int_prix_keyed" in run.whole else changed_days(t["stg_prix"])
+    run.step("int_prix_keyed", ["stg_prix", *dims], lambda: keyed_events(changed(), cfg.zone),
              lambda _: rules.for_keyed(*parents()))
     run.step("fct_prix_carburant", ["int_prix_keyed"], fact, lambda _: rules.for_fact(*parents(), now), changed_dates)
     run.step("agg_dernier_prix_station_carburant", ["fct_prix_carburant"],
@@ -204,6 +215,7 @@ def build(spark: SparkSession, cfg: BuildConfig, strict: bool = True) -> DataFra
                            marts.station_ranking(t["agg_dernier_prix_station_carburant"],
                                                  t["agg_prix_region_carburant"])),
              lambda _: rules.for_ranking())
+    gate.add((number, name, True) for name in SCOPED if name in t)
     report = run.result()
     stopped = [r for r in run.report if r[5].startswith("error")]
     if strict and stopped:

@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from priceloom.contracts import FCT_PRIX_CARBURANT, conform, guard_not_null, require_contract
+from priceloom.contracts import FCT_PRIX_CARBURANT, PRICE, conform, guard_not_null, require_contract
 from priceloom.fixed_values import FIRST_WATERMARK, SOURCE_TIMEZONE
 from priceloom.operators.merge import MergeResult, merge_by_key, read_table
 from priceloom.operators.watermark import after, high_watermark
@@ -17,7 +17,8 @@ _COMMITS = "watermark string, inserted bigint, updated bigint"
 
 
 def fact_rows(keyed: DataFrame) -> DataFrame:
-    """Keyed events in the fact's contract."""
+    """Keyed events in the fact's contract. Prices too large for it stay in silver, whose checks count them."""
+    keyed = keyed.filter(F.col("prix_euro").try_cast(PRICE).isNotNull())
     return conform(keyed.withColumn("ingestion_date", F.to_date("ingestion_ts")), FCT_PRIX_CARBURANT)
 
 

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, functions as F
 
+from priceloom.contracts import PRICE
 from priceloom.fixed_values import (
     FUELS,
     LATITUDE_HIGH,
@@ -26,6 +27,11 @@ def _price(column: str = "prix_euro") -> Check:
     return holds(column, f"between {PRICE_LOW} and {PRICE_HIGH}", "warn")
 
 
+def _fits_gold(column: str = "prix_euro") -> Check:
+    """What fails here is left out of the fact."""
+    return Check("fits_gold", (column,), "warn", F.col(column).isNotNull() & F.col(column).try_cast(PRICE).isNull())
+
+
 def for_fuel_seed() -> list[Check]:
     return [
         not_null("carburant_id"), unique("carburant_id"), not_null("carburant_nom"), unique("carburant_nom"),
@@ -43,7 +49,7 @@ def for_silver() -> list[Check]:
     return [
         not_null("prix_sk"), unique("prix_sk"), not_null("station_id"), not_null("carburant_id"),
         accepted("carburant_id", FUEL_IDS), not_null("carburant_nom"), accepted("carburant_nom", FUEL_NAMES),
-        not_null("maj_timestamp_utc"), not_null("prix_euro"), _price(), not_null("ingestion_ts"),
+        not_null("maj_timestamp_utc"), not_null("prix_euro"), _price(), _fits_gold(), not_null("ingestion_ts"),
         unique("station_id", "carburant_id", "maj_timestamp_utc"),
     ]
 
@@ -82,7 +88,10 @@ def for_dim_localisation(departments: DataFrame) -> list[Check]:
 
 
 def for_dim_station(places: DataFrame) -> list[Check]:
-    return [unique("station_sk"), refers_to("localisation_sk", places, "localisation_sk"), unique("station_id")]
+    return [
+        unique("station_sk"), refers_to("localisation_sk", places, "localisation_sk"), unique("station_id"),
+        *for_station_plausibility(),
+    ]
 
 
 def for_station_plausibility() -> list[Check]:

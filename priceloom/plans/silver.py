@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
-from priceloom.contracts import PRICE, SILVER, conform, require
+from priceloom.contracts import SILVER, WIDE_PRICE, conform, require
 from priceloom.fixed_values import SOURCE_TIMEZONE
 from priceloom.functions import business_day, date_key, local_to_utc, surrogate_key, utc_wall_clock
 from priceloom.operators.merge import MergeResult, merge_by_key, read_table
@@ -25,14 +25,14 @@ STORED_SILVER = T.StructType([*SILVER, T.StructField("maj_date", T.DateType())])
 
 def typed_events(bronze: DataFrame, zone: str = SOURCE_TIMEZONE) -> DataFrame:
     """Typed rows with the update time in UTC; rows without a complete event are dropped."""
-    rows = require(bronze, ["station_id", "carburant_id", "maj_timestamp", "prix_euro"])
+    priced = bronze.withColumn("prix_euro", F.col("prix_euro").try_cast(WIDE_PRICE))
+    rows = require(priced, ["station_id", "carburant_id", "maj_timestamp", "prix_euro"])
     # TIMESTAMP holds an instant; a TIMESTAMP_NTZ column is taken as UTC already.
     seen = F.col("ingestion_ts")
     if bronze.schema["ingestion_ts"].dataType == T.TimestampType():
         seen = utc_wall_clock(seen)
     typed = (
         rows.withColumn("maj_timestamp_utc", local_to_utc(F.col("maj_timestamp"), zone))
-        .withColumn("prix_euro", F.col("prix_euro").cast(PRICE))
         .withColumn("ingestion_ts", seen)
         .withColumn("prix_sk", F.lit(None).cast("string"))
     )

@@ -24,7 +24,9 @@ _ROWS_PER_BATCH = 2_000
 
 
 class FeedDriftError(RuntimeError):
-    """The feed no longer has the structure it should have."""
+    """The feed no longer has the structure it should have. ``files`` has the statistics of all files, if known."""
+
+    files: DataFrame | None = None
 
 
 def scan_archives(spark: SparkSession, *paths: str) -> DataFrame:
@@ -52,7 +54,7 @@ def open_feed(content: bytes) -> tuple[str, io.BufferedIOBase]:
     names = archive.namelist()
     entry = next((n for n in names if n.lower().endswith(".xml")), None)
     if entry is None:
-        raise FeedDriftError(f"no .xml entry in archive (entries: {names})")
+        raise FeedDriftError(f"archive without an XML member, only {names}")
     return entry, archive.open(entry)
 
 
@@ -66,7 +68,7 @@ def read_stations(stream: io.BufferedIOBase) -> Iterator[dict]:
                 if root is None:
                     root = element
                     if root.tag != FEED_ROOT:
-                        raise FeedDriftError(f"unexpected root tag {root.tag!r}, expected {FEED_ROOT!r}")
+                        raise FeedDriftError(f"root element is <{root.tag}>, not <{FEED_ROOT}>")
                 continue
             depth -= 1
             if depth == 1:
@@ -83,9 +85,9 @@ def read_stations(stream: io.BufferedIOBase) -> Iterator[dict]:
                     }
                 root.clear()
     except ElementTree.ParseError as problem:
-        raise FeedDriftError(f"invalid XML payload: {problem}") from problem
+        raise FeedDriftError(f"not well-formed: {problem}") from problem
     if not stations:
-        raise FeedDriftError(f"feed contains zero <{STATION_TAG}> elements")
+        raise FeedDriftError(f"no <{STATION_TAG}> in the document")
 
 
 def _records(path: str, content: bytes) -> Iterator[dict]:
@@ -165,27 +167,39 @@ def type_stations(raw: DataFrame) -> DataFrame:
 
 
 def parse_stats(stations: DataFrame) -> DataFrame:
-    """Stations, good rows and errors per file, and why a file was refused."""
-    sound = F.col("drift").isNull()
+    """Stations, good rows and errors per file, and why a file was refused. Of a refused file nothing counts."""
+    whole = F.max("drift").isNull()
+    of_whole = lambda value: F.when(whole, F.coalesce(value, F.lit(0))).otherwise(0)
     return stations.groupBy("path").agg(
-        F.count_if(sound).alias("station_count"),
-        F.coalesce(F.sum(F.when(sound, F.size("good_prices"))), F.lit(0)).alias("price_row_count"),
-        F.coalesce(F.sum(F.when(sound, F.col("errors"))), F.lit(0)).alias("parse_errors"),
+        of_whole(F.count_if(F.col("drift").isNull())).alias("station_count"),
+        of_whole(F.sum(F.size("good_prices"))).alias("price_row_count"),
+        of_whole(F.sum("errors")).alias("parse_errors"),
         F.max("drift").alias("drift"),
     )
 
 
 def drift_gate(files: DataFrame) -> DataFrame:
-    """Return ``files`` (stations or statistics); raise, naming some, when any file drifted."""
-    bad = files.filter("drift IS NOT NULL").select("path", "drift").limit(20).collect()
+    """Return ``files`` (stations or statistics); raise when any file drifted.
+
+    The message names the first twenty; the error's ``files`` has them all.
+    """
+    bad = files.filter("drift IS NOT NULL").select("path", "drift").orderBy("path").limit(20).collect()
     if bad:
-        raise FeedDriftError("; ".join(f"{r['path']}: {r['drift']}" for r in bad))
+        problem = FeedDriftError("; ".join(f"{r['path']}: {r['drift']}" for r in bad))
+        problem.files = files
+        raise problem
     return files
 
 
+def whole_files(stations: DataFrame) -> DataFrame:
+    """Stations of the files that were read to their end: the readable part of a damaged one is no snapshot."""
+    refused = stations.filter("drift IS NOT NULL").select("path").distinct()
+    return stations.join(refused, "path", "left_anti").select(*stations.columns)
+
+
 def price_rows(stations: DataFrame, ingestion_ts: Column, source_url: Column) -> DataFrame:
     """One bronze row per good price, with the station's columns repeated."""
-    flat = stations.filter("drift IS NULL").select("*", F.explode("good_prices").alias("p")).select("*", "p.*")
+    flat = whole_files(stations).select("*", F.explode("good_prices").alias("p")).select("*", "p.*")
     extra = [c for c in SLOT.fieldNames() if c in stations.columns]
     rows = flat.withColumn("ingestion_ts", ingestion_ts).withColumn("source_url", source_url)
     return rows.select(*conform(rows, BRONZE).columns, *extra)
@@ -197,14 +211,14 @@ def parse_snapshots(
     """Slotted archives to (bronze rows with dt and hh, statistics per file).
 
     The parsed stations are written once and read twice. Raises before any row is handed out when a
-    file drifted; without ``gate`` such files only show in the statistics.
+    file drifted; without ``gate`` such files only show in the statistics, which are written too.
     """
     stations = settle(type_stations(unpack(archives)), "stations")
     if gate:
         drift_gate(stations)
     slotted = stations.select("*", *path_slot(F.col("path")))
     url = F.col("path") if source_url is None else source_url
-    return price_rows(slotted, slot_instant(F.col("dt"), F.col("hh")), url), parse_stats(stations)
+    return price_rows(slotted, slot_instant(F.col("dt"), F.col("hh")), url), settle(parse_stats(stations), "files")
 
 
 def slot_instant(day: Column, hour: Column) -> Column:

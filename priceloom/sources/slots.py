@@ -8,14 +8,11 @@ from pyspark.sql import types as T
 from priceloom.contracts import BRONZE, SLOT
 from priceloom.functions import slot_columns
 from priceloom.operators.merge import write_partitioned
-from priceloom.sources.archives import drift_gate, parse_snapshots, scan_archives
-from priceloom.storage import Ledger, byte_count, child_folders
+from priceloom.sources.archives import drift_gate, parse_snapshots, path_slot, scan_archives
+from priceloom.storage import Ledger, byte_count, child_folders, exists
 
 _LEDGER = "dt string, hh string, row_count bigint"
 
-# Spark packs about this many small archives into one task; fewer per core are dealt out evenly.
-_FILES_PER_TASK = 32
-
 
 def assign_slot(df: DataFrame, run_time: str) -> DataFrame:
     """Add ``dt`` and ``hh`` from a UTC clock reading."""
@@ -36,13 +33,13 @@ def slot_folders(spark: SparkSession, root: str) -> list[tuple[str, str]]:
 def existing_slots(spark: SparkSession, root: str) -> list[tuple[str, str]]:
     """Slots already written: the folders in the ledger, or all folders of a root that has none.
 
-    A slot whose folder was deleted counts as not written.
+    A slot whose folder was deleted counts as not written; one that was finished without a row has none.
     """
     folders, ledger = slot_folders(spark, root), Ledger(spark, root, _LEDGER)
     if not ledger.exists():
         return folders
-    finished = {(r["dt"], r["hh"]) for r in ledger.read().select("dt", "hh").collect()}
-    return [s for s in folders if s in finished]
+    finished = slot_sizes(spark, root)
+    return sorted({s for s in folders if s in finished} | {s for s, rows in finished.items() if not rows})
 
 
 def slot_sizes(spark: SparkSession, root: str) -> dict[tuple[str, str], int]:
@@ -50,22 +47,23 @@ def slot_sizes(spark: SparkSession, root: str) -> dict[tuple[str, str], int]:
     return {(r["dt"], r["hh"]): r["row_count"] for r in Ledger(spark, root, _LEDGER).read().collect()}
 
 
-def write_new_slots(df: DataFrame, root: str) -> DataFrame:
+def write_new_slots(df: DataFrame, root: str, slots: list[tuple[str, str]] | None = None) -> DataFrame:
     """Append the rows of slots that do not exist yet.
 
-    Returns DataFrame[dt, hh, path, row_count, bytes_written, skipped], one row per slot in ``df``.
+    Returns DataFrame[dt, hh, path, row_count, bytes_written, skipped], one row per slot in ``df``, or
+    per slot in ``slots``: those are finished whether they have rows or not, and no others are.
     The slots present number one per hour, so they are listed on the driver; rows never are. A slot
     that a crashed run left half written is not in the ledger and is replaced as a whole.
     """
     spark = df.sparkSession
     done = set(existing_slots(spark, root))
-    offered = [(r["dt"], r["hh"]) for r in df.select("dt", "hh").distinct().collect()]
+    counted = {(r["dt"], r["hh"]): r["count"] for r in df.groupBy("dt", "hh").count().collect()}
+    offered = list(counted) if slots is None else slots
     fresh = sorted(s for s in offered if s not in done)
-    counts = {}
-    if fresh:
+    counts = {s: counted.get(s, 0) for s in fresh}
+    if any(counts.values()):
         write_partitioned(only_slots(df, fresh), root, ["dt", "hh"])
-        written = only_slots(spark.read.schema(_with_slot(df.schema)).parquet(root), fresh)
-        counts = {(r["dt"], r["hh"]): r["count"] for r in written.groupBy("dt", "hh").count().collect()}
+    if fresh:
         Ledger(spark, root, _LEDGER).add((d, h, counts[d, h]) for d, h in fresh)
     report = []
     for d, h in sorted(offered):
@@ -93,6 +91,8 @@ def read_bronze(
     Types are given, never inferred: inference would turn ``hh=09`` into 9, and columns a newer
     writer added are left out. ``dt_from`` and ``dt_to`` (inclusive) prune folders.
     """
+    if not exists(spark, root):  # no slot had a row so far
+        return spark.createDataFrame([], _with_slot(schema))
     rows = spark.read.schema(_with_slot(schema)).option("pathGlobFilter", "*.parquet").parquet(root)
     if dt_from:
         rows = rows.filter(F.col("dt") >= dt_from)
@@ -111,16 +111,16 @@ def ingest(spark: SparkSession, raw_root: str, bronze_root: str, source_url: Col
 
     Returns ``{"slots": report, "files": statistics per file}``, or nothing when no slot waits. The
     archives stay where they are, so a new bronze root replays the whole history. A file that drifted
-    raises once the sound ones are written, and again on every run until it is replaced.
+    holds its slot back, raises once the other slots are written, and again on every run until it is
+    replaced. A slot whose archives have no good price is finished with no rows.
     """
     done = set(existing_slots(spark, bronze_root))
     waiting = [s for s in slot_folders(spark, raw_root) if s not in done]
     if not waiting:
         return {}
     archives = scan_archives(spark, *[f"{raw_root.rstrip('/')}/dt={d}/hh={h}" for d, h in waiting])
-    cores = spark.sparkContext.defaultParallelism
-    if len(waiting) < _FILES_PER_TASK * cores:
-        archives = archives.repartition(min(len(waiting), cores))
     rows, files = parse_snapshots(archives, source_url, gate=False)
-    report = write_new_slots(rows, bronze_root)
+    by_slot = files.select(*path_slot(F.col("path")), "drift").groupBy("dt", "hh").agg(F.count("drift").alias("drifted"))
+    sound = [(r["dt"], r["hh"]) for r in by_slot.filter("drifted = 0").collect()]
+    report = write_new_slots(rows, bronze_root, sound)
     return {"slots": report, "files": drift_gate(files)}

@@ -13,6 +13,8 @@ def _fs(spark: SparkSession, path: str):
 
 
 def exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` is there, after what a crashed replacement left half done was brought to its end."""
+    finish_replacement(spark, path)
     fs, target = _fs(spark, path)
     return fs.exists(target)
 
@@ -36,8 +38,60 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(target, True)
 
 
+def finish_replacement(spark: SparkSession, path: str) -> None:
+    """Bring a replacement that a crash interrupted to its end; otherwise does nothing.
+
+    A table that was moved aside comes back. Partitions that were written completely, which the mark
+    beside them says, are moved in; without the mark they are dropped.
+    """
+    fs, final = _fs(spark, path)
+    make = spark._jvm.org.apache.hadoop.fs.Path
+    base = path.rstrip("/")
+    old, staged, mark = make(base + ".previous"), make(base + ".staged"), make(base + ".switch")
+    if fs.exists(old) and not fs.exists(final):
+        _move(fs, old, final)
+    if fs.exists(mark):
+        _move_partitions(spark, fs, base)
+        fs.delete(staged, True)
+        fs.delete(mark, False)
+    elif fs.exists(staged):
+        fs.delete(staged, True)
+
+
+def _move(fs, source, target) -> None:
+    if not fs.rename(source, target):
+        raise OSError(f"cannot move {source} to {target}")
+
+
+def _move_partitions(spark: SparkSession, fs, base: str) -> None:
+    """Each staged partition takes the place of its old version; one that is no longer staged has done so."""
+    make = spark._jvm.org.apache.hadoop.fs.Path
+    for name in child_folders(spark, base + ".staged"):
+        target = make(f"{base}/{name}")
+        if fs.exists(target):
+            fs.delete(target, True)
+        _move(fs, make(f"{base}.staged/{name}"), target)
+
+
+def staging(path: str) -> str:
+    """Where new versions of some of a table's partitions are written before they take their places."""
+    return path.rstrip("/") + ".staged"
+
+
+def switch_partitions(spark: SparkSession, path: str) -> None:
+    """Put the partitions written at ``staging(path)`` in the place of the table's.
+
+    The mark is created once all of them are complete. From then on a crash is harmless: whoever looks
+    at the table next moves the remaining ones.
+    """
+    fs, mark = _fs(spark, path.rstrip("/") + ".switch")
+    fs.create(mark, True).close()
+    finish_replacement(spark, path)
+
+
 def swap_in(spark: SparkSession, fresh: str, path: str) -> None:
     """Put the finished folder ``fresh`` in the place of ``path``; the old one goes last."""
+    finish_replacement(spark, path)
     fs, new = _fs(spark, fresh)
     make = spark._jvm.org.apache.hadoop.fs.Path
     final, old = make(path), make(path.rstrip("/") + ".previous")

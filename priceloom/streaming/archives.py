@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from priceloom.sources.archives import drift_gate, parse_snapshots, path_slot
-from priceloom.sources.slots import write_new_slots
+from priceloom.sources.slots import ingest
 
 
 def ingest_stream(
@@ -17,10 +16,12 @@ def ingest_stream(
     source_url: Column | None = None,
     files_per_batch: int | None = None,
 ) -> StreamingQuery:
-    """Parse every archive not seen before into its slot, then stop.
+    """Parse every archive of every slot not yet in bronze, then stop.
 
-    Slots that exist are left alone, so a repeated batch changes nothing. A file that drifted fails the
-    batch once the sound files are written; after it was replaced the next run takes up the batch.
+    New files only say that there is something to do: a micro-batch takes all slots that wait, each
+    with all of its archives, so the result does not depend on which files make up a batch. Slots that
+    exist are left alone, so a repeated batch changes nothing. A file that drifted fails the run once
+    the other slots are written; after it was replaced the next run takes its slot up.
     """
     reader = (
         spark.readStream.format("binaryFile")
@@ -30,16 +31,10 @@ def ingest_stream(
     )
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-
-    def parse(batch: DataFrame, _: int) -> None:
-        archives = batch.select("path", *path_slot(F.col("path")), "content")
-        rows, files = parse_snapshots(archives, source_url, gate=False)
-        write_new_slots(rows, bronze_root)
-        drift_gate(files)
-
+    ingest(spark, raw_root, bronze_root, source_url)  # what an earlier run left waiting starts no batch
     return (
         reader.load(raw_root)
-        .writeStream.foreachBatch(parse)
+        .writeStream.foreachBatch(lambda _, __: ingest(spark, raw_root, bronze_root, source_url) and None)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

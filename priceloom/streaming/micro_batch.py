@@ -11,7 +11,7 @@ from priceloom.fixed_values import SOURCE_TIMEZONE
 from priceloom.operators.merge import merge_by_key
 from priceloom.plans.fact import committed_watermark, fact_rows, update_fact
 from priceloom.plans.silver import FoldLedger, before_slots, keyed_events, merge_silver, read_silver, silver_events
-from priceloom.sources.slots import slot_sizes
+from priceloom.sources.slots import existing_slots, only_slots, read_bronze
 
 
 def merge_late(path: str, events: DataFrame, zone: str = SOURCE_TIMEZONE) -> None:
@@ -30,11 +30,13 @@ def build_stream(
     files_per_batch: int | None = None,
     zone: str = SOURCE_TIMEZONE,
 ) -> StreamingQuery:
-    """Process every file not seen before, then stop.
+    """Process every finished slot not folded before, then stop.
 
-    Each micro-batch is folded into stored silver and the fact is moved on from there, so no state
-    grows inside the stream and a repeated batch changes nothing. Events first seen at or before the
-    fact's watermark are dropped, as in the batch build, or merged with ``late="merge"``.
+    New files only say that there is something to do: a micro-batch folds all finished slots that wait,
+    whole, and moves the watermark once for all of them, so the result does not depend on which files
+    make up a batch. Silver and the fact are stored, so no state grows inside the stream and a repeated
+    batch changes nothing. Events first seen at or before the fact's watermark are dropped, as in the
+    batch build, or merged with ``late="merge"``.
     """
     if late not in ("drop", "merge"):
         raise ValueError(f"late must be drop or merge, not {late!r}")
@@ -42,13 +44,15 @@ def build_stream(
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
 
-    def fold(batch: DataFrame, _: int) -> None:
-        sizes = {(r["dt"], r["hh"]): r["count"] for r in batch.groupBy("dt", "hh").count().collect()}
-        if not sizes:
-            return
+    def fold() -> None:
         ledger = FoldLedger(spark, silver_path)
+        folded = ledger.slots()
+        waiting = [s for s in existing_slots(spark, bronze_root) if s not in folded]
+        if not waiting:
+            return
+        batch = only_slots(read_bronze(spark, bronze_root), waiting)
         watermark = committed_watermark(spark, fact_path)
-        known = before_slots(spark, bronze_root, ledger.slots(), list(sizes))
+        known = before_slots(spark, bronze_root, folded, waiting)
         result = merge_silver(silver_path, batch, zone, known)
         days = None if result.partitions is None else [str(d) for d in result.partitions]
         update_fact(spark, read_silver(spark, silver_path), fact_path, zone, days)
@@ -58,12 +62,12 @@ def build_stream(
             )
             if not below.isEmpty():
                 merge_late(fact_path, below, zone)
-        whole = slot_sizes(spark, bronze_root)
-        ledger.add([s for s, n in sizes.items() if whole.get(s) == n], result)
+        ledger.add(waiting, result)
 
+    fold()  # what an earlier run left waiting starts no batch
     return (
         reader.parquet(bronze_root)
-        .writeStream.foreachBatch(fold)
+        .writeStream.foreachBatch(lambda _, __: fold())
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

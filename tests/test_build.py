@@ -63,20 +63,20 @@ def test_full_build_of_the_sample(spark, tmp_path):
     load(spark, tmp_path)
     report = build(spark, config(tmp_path)).collect()
     assert {r["status"] for r in report} == {"pass"}
-    assert len(report) == 80 + 1  # 80 declared checks and the check for future updates
+    assert len(report) == 80 + 5  # 80 declared checks, future updates, prices that fit gold, three on stations
     rows = {r["prix_euro"]: r for r in fact(spark, tmp_path).collect()}
-    assert set(rows) == {Decimal("1.799"), Decimal("1.889"), Decimal("1.911"), Decimal("2.024")}
-    first = rows[Decimal("1.799")]
-    assert (first["maj_timestamp_utc"], first["date_sk"]) == (dt.datetime(2026, 6, 3, 7, 31, 56), 20260603)
+    assert set(rows) == {Decimal("1.742"), Decimal("1.868"), Decimal("1.655"), Decimal("0.759")}
+    first = rows[Decimal("1.742")]
+    assert (first["maj_timestamp_utc"], first["date_sk"]) == (dt.datetime(2026, 5, 18, 5, 14, 5), 20260518)
     assert (first["ingestion_ts"], first["ingestion_date"]) == (dt.datetime(2026, 6, 3, 10), dt.date(2026, 6, 3))
     gold = lambda name: spark.read.parquet(table_path(config(tmp_path).warehouse, name))
     latest = gold("agg_dernier_prix_station_carburant")
     assert {(r["station_id"], r["region_nom"]) for r in latest.collect()} == {
-        ("1000001", "Auvergne-Rhône-Alpes"), ("2000002", "Nouvelle-Aquitaine"), ("3000003", None)
+        ("9300017", "Occitanie"), ("56160031", "Bretagne"), ("75011002", None)
     }
     ranking = gold("agg_classement_stations")
     assert ranking.count() == 3
-    assert questions.station_map(latest).select("geo").collect() == [("46.20114, 5.19791",)]
+    assert questions.station_map(latest).select("geo").collect() == [("48.067, -3.203",)]
     assert questions.cheapest_regions(gold("agg_prix_region_carburant")).count() == 1
     assert questions.dispersion(gold("agg_prix_region_carburant"), None).filter("etendue = 0").count() == 3
     assert questions.top_stations(ranking).count() == questions.flop_stations(ranking).count() == 3
@@ -368,3 +368,55 @@ def test_marts_match_a_plain_recomputation(spark):
     ranking = marts.station_ranking(df, marts.region_stats(df)).orderBy("prix_euro").collect()
     assert [(r["rang_moins_cher_region"], r["rang_plus_cher_region"]) for r in ranking] == [(1, 2), (1, 2), (3, 1)]
     assert float(ranking[2]["ecart_prix_vs_moyenne_region"]) == pytest.approx(0.066666667)
+
+
+@pytest.mark.parametrize("check_changed", [True, False])
+def test_a_shut_gate_stays_shut(spark, tmp_path, check_changed):
+    cfg = replace(config(tmp_path), check_changed=check_changed)
+    future = ["03 10:00:00", "09 08:00:00"]
+    slot(tmp_path, "2026-06-03", "10", *[station(str(i), price(maj, "1.4")) for i, maj in enumerate(future)])
+    for hh in ("11", "12", "13"):
+        load(spark, tmp_path)
+        with pytest.raises(QualityGateError, match="fct_prix_carburant not_in_future"):
+            build(spark, cfg)
+        slot(tmp_path, "2026-06-03", hh, station("1", price(f"03 {hh}:00:00", "1.5")))
+    assert not (tmp_path / "wh" / "gold" / "agg_classement_stations").exists()
+    load(spark, tmp_path)
+    later = replace(cfg, as_of=dt.datetime(2026, 6, 10))
+    assert build(spark, later).filter("status like 'error%'").isEmpty()
+
+
+def test_an_absurd_price_is_counted_and_left_out_of_gold(spark, tmp_path):
+    slot(tmp_path, "2026-06-03", "10", station("1", price("03 08:00:00", "1e8")), station("2", price("03 08:00:00", "1.4")),
+         station("3", price("03 08:00:00", "1e400")))
+    load(spark, tmp_path)
+    report = {(r["node"], r["check"]): (r["status"], r["failures"]) for r in build(spark, config(tmp_path)).collect()}
+    assert report["stg_prix", "fits_gold"] == ("warn", 1)
+    assert whole_silver(spark, tmp_path).count() == 2  # what is beyond any number was a parse error
+    assert [float(r["prix_euro"]) for r in fact(spark, tmp_path).collect()] == [1.4]
+
+
+def test_a_slot_in_many_files_streamed_file_by_file(spark, tmp_path):
+    silver_path, path, checkpoint = (str(tmp_path / n) for n in ("s", "f", "c"))
+    for hh in ("10", "11", "12"):
+        slot(tmp_path, "2026-06-03", hh, *[station(str(i), price(f"03 {hh}:00:00", "1.5")) for i in range(6)])
+    load(spark, tmp_path)
+    rows = read_bronze(spark, str(tmp_path / "bronze")).repartition(4)  # several files a slot, in any order
+    shutil.move(str(tmp_path / "bronze"), str(tmp_path / "whole"))
+    whole = read_bronze(spark, str(tmp_path / "whole"))
+    whole.repartition(4).write.partitionBy("dt", "hh").parquet(str(tmp_path / "bronze"))
+    del rows
+    build_stream(spark, str(tmp_path / "bronze"), silver_path, path, checkpoint, "drop", 1).awaitTermination()
+    assert read_fact(spark, path).count() == 18
+    assert same(read_silver(spark, silver_path).drop("maj_date"), whole_silver(spark, tmp_path))
+
+
+def test_full_refresh_equals_the_increments(spark, tmp_path):
+    cfg = config(tmp_path)
+    for hh, value in (("10", "1.5"), ("11", "1.6")):
+        slot(tmp_path, "2026-06-03", hh, station("1", price(f"03 {hh}:00:00", value)))
+        load(spark, tmp_path)
+        build(spark, cfg)
+    before = fact(spark, tmp_path).collect()
+    build(spark, replace(cfg, full_refresh=True))
+    assert sorted(map(tuple, fact(spark, tmp_path).collect())) == sorted(map(tuple, before))

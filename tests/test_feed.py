@@ -35,28 +35,27 @@ def test_types(spark, tmp_path):
 
 def test_values(sample):
     by_key = {(r["station_id"], r["carburant_id"]): r for r in sample[0]}
-    first = by_key["1000001", "1"]
-    assert first["ville"] == "SAINT-DENIS-LÈS-BOURG"
-    assert (first["latitude"], first["longitude"]) == (pytest.approx(46.20114), pytest.approx(5.19791))
-    assert first["prix_euro"] == 1.799
-    assert first["maj_timestamp"] == dt.datetime(2026, 6, 3, 9, 31, 56)
+    first = by_key["9300017", "5"]
+    assert (first["ville"], first["adresse"], first["cp"]) == ("LÉZAN-SUR-TOUYRE", "12 QUAI DU CANAL", "09300")
+    assert (first["latitude"], first["longitude"]) == (pytest.approx(42.9487), pytest.approx(1.84215))
+    assert (first["prix_euro"], by_key["9300017", "6"]["prix_euro"]) == (1.742, 1.868)
+    assert first["maj_timestamp"] == dt.datetime(2026, 5, 18, 7, 14, 5)
     assert first["ingestion_ts"] == dt.datetime(2026, 6, 3, 10)
-    assert first["cp"] == "01000"
-    second = by_key["2000002", "5"]
-    assert (second["ville"], second["longitude"]) == ("Bréhan", pytest.approx(-0.567))
-    assert [k for k in by_key if k[0] == "2000002"] == [("2000002", "5")]
-    third = by_key["3000003", "6"]
+    second = by_key["56160031", "1"]
+    assert (second["ville"], second["longitude"]) == ("Guémené", pytest.approx(-3.203))
+    assert [k for k in by_key if k[0] == "56160031"] == [("56160031", "1")]
+    third = by_key["75011002", "3"]
     assert (third["latitude"], third["longitude"], third["ville"], third["cp"]) == (None, None, None, None)
 
 
 @pytest.mark.parametrize(
     ("content", "message"),
     [
-        (zipped(b'<?xml version="1.0"?><wrong_root><pdv id="1"/></wrong_root>'), "unexpected root tag"),
-        (zipped(b'<?xml version="1.0"?><pdv_liste></pdv_liste>'), "zero <pdv>"),
-        (zipped(b"<not-xml"), "invalid XML"),
-        (zipped(feed(station("1", ("1", "Gazole", "2026-06-03 09:00:00", "1.7")))[:-12]), "invalid XML"),
-        (zipped(b"", name="", readme_txt=b"x"), "no .xml entry"),
+        (zipped(b'<?xml version="1.0"?><wrong_root><pdv id="1"/></wrong_root>'), "root element is <wrong_root>"),
+        (zipped(b'<?xml version="1.0"?><pdv_liste></pdv_liste>'), "no <pdv> in the document"),
+        (zipped(b"<not-xml"), "not well-formed"),
+        (zipped(feed(station("1", ("1", "Gazole", "2026-06-03 09:00:00", "1.7")))[:-12]), "not well-formed"),
+        (zipped(b"", name="", readme_txt=b"x"), "without an XML member"),
         (b"plain bytes", "not a ZIP"),
     ],
 )
@@ -187,7 +186,7 @@ def test_a_drifted_file_is_loud_but_does_not_hold_up_the_others(spark, tmp_path,
     land(tmp_path / "raw", "2026-06-03", "07", good)
     land(tmp_path / "raw", "2026-06-03", "08", zipped(b"<not-xml"))
     for _ in range(2):
-        with pytest.raises(Exception, match="hh=08.*invalid XML"):
+        with pytest.raises(Exception, match="hh=08.*not well-formed"):
             run()
         assert existing_slots(spark, bronze) == [("2026-06-03", "07")]
     land(tmp_path / "raw", "2026-06-03", "08", good)
@@ -201,11 +200,60 @@ def test_feed_profile(spark, tmp_path):
     found = {k: df.collect() for k, df in profile_feed(unpack(scan_archives(spark, str(tmp_path)))).items()}
     assert found["files"][0]["station_count"] == 4
     assert [tuple(r) for r in found["pairs"]] == [
-        ("1", "Gazole", 2), ("2", "SP95", 1), ("3", "E85", 1), ("5", "E10", 1), ("6", "SP98", 1)
+        ("1", "Gazole", 1), ("3", "E85", 1), ("4", "GPLc", 1), ("5", "E10", 2), ("6", "SP98", 1)
     ]
     missing = {r["column"]: r["missing"] for r in found["presence"]}
     assert missing == {"station_id": 1, "cp": 2, "ville": 1, "adresse": 3, "pop": 0, "latitude": 1, "longitude": 1}
-    assert [r["ville"].strip() for r in found["accented"]] == ["Bréhan", "SAINT-DENIS-LÈS-BOURG"]
+    assert [r["ville"].strip() for r in found["accented"]] == ["Guémené", "LÉZAN-SUR-TOUYRE"]
     degrees = {r["station_id"]: r["longitude_degrees"] for r in found["coordinates"]}
-    assert degrees["2000002"] == pytest.approx(-0.567) and degrees["3000003"] is None
-    assert ("1000001", "1.799", 1.799) in [(r["station_id"], r["valeur"], r["euros"]) for r in found["prices"]]
+    assert degrees["56160031"] == pytest.approx(-3.203) and degrees["75011002"] is None
+    assert ("9300017", "1.742", 1.742) in [(r["station_id"], r["valeur"], r["euros"]) for r in found["prices"]]
+
+
+MANY = [station(str(i), ("1", "Gazole", "2026-06-03 06:00:00", "1.7")) for i in range(500)]
+
+
+@pytest.mark.parametrize("streamed", [False, True])
+def test_a_truncated_file_is_refused_whole(spark, tmp_path, streamed):
+    raw, bronze, checkpoint = (str(tmp_path / n) for n in ("raw", "bronze", "checkpoint"))
+
+    def run():
+        if streamed:
+            ingest_stream(spark, raw, bronze, checkpoint).awaitTermination()
+        else:
+            ingest(spark, raw, bronze)
+
+    whole = feed(*MANY)
+    land(tmp_path / "raw", "2026-06-03", "07", zipped(whole[: len(whole) // 2]), "a.zip")
+    land(tmp_path / "raw", "2026-06-03", "07", zipped(feed(MANY[0])), "b.zip")
+    for _ in range(2):
+        with pytest.raises(Exception, match="a.zip: not well-formed"):
+            run()
+        assert existing_slots(spark, bronze) == [] and read_bronze(spark, bronze).isEmpty()
+    land(tmp_path / "raw", "2026-06-03", "07", zipped(whole), "a.zip")
+    run()
+    assert read_bronze(spark, bronze).count() == 501
+
+
+def test_a_refused_file_counts_nothing(spark, tmp_path):
+    whole = feed(*MANY)
+    land(tmp_path, "2026-06-03", "07", zipped(whole[: len(whole) // 2]))
+    (stats,) = parse_snapshots(scan_archives(spark, str(tmp_path)), gate=False)[1].collect()
+    assert (stats["station_count"], stats["price_row_count"], stats["parse_errors"]) == (0, 0, 0) and stats["drift"]
+
+
+def test_a_slot_without_good_rows_is_finished(spark, tmp_path):
+    raw, bronze = str(tmp_path / "raw"), str(tmp_path / "bronze")
+    land(tmp_path / "raw", "2026-06-03", "07", zipped(feed(station("1", ("1", "Gazole", "soon", "1.7")))))
+    report = ingest(spark, raw, bronze)["slots"].collect()
+    assert [(r["hh"], r["row_count"], r["skipped"]) for r in report] == [("07", 0, False)]
+    assert ingest(spark, raw, bronze) == {}
+    assert read_bronze(spark, bronze).isEmpty() and existing_slots(spark, bronze) == [("2026-06-03", "07")]
+
+
+def test_archives_of_one_slot_in_many_batches(spark, tmp_path):
+    raw, bronze, checkpoint = (str(tmp_path / n) for n in ("raw", "bronze", "checkpoint"))
+    for i in range(3):
+        land(tmp_path / "raw", "2026-06-03", "07", zipped(feed(MANY[i])), f"{i}.zip")
+    ingest_stream(spark, raw, bronze, checkpoint, files_per_batch=1).awaitTermination()
+    assert read_bronze(spark, bronze).count() == 3

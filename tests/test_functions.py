@@ -120,3 +120,29 @@ def test_utc_wall_clock_ignores_the_session_zone(spark):
 def test_geo_label_is_null_without_both(spark):
     df = spark.createDataFrame([(46.2, 5.1), (46.2, None)], "a double, b double")
     assert [r[0] for r in df.select(geo_label(F.col("a"), F.col("b"))).collect()] == ["46.2, 5.1", None]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Europe/Paris", "America/New_York"])
+def test_instants_do_not_depend_on_the_session_zone(spark, zone):
+    """Also in the hour that the session's zone repeats, and with microseconds."""
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from priceloom.functions import micros_to_ts, utc_instant, utc_wall_clock
+
+    clocks = [dt.datetime(2026, 10, 25, 0, 30), dt.datetime(2026, 10, 25, 1, 0, 0, 123456), dt.datetime(2026, 3, 29, 1, 30),
+              dt.datetime(2026, 11, 1, 6, 0), dt.datetime(1969, 12, 31, 23, 59, 59, 5)]
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        rows = spark.createDataFrame([(c,) for c in clocks], "c timestamp_ntz")
+        instant = utc_instant(F.col("c"))
+        found = rows.select("c", F.unix_micros(instant).alias("m"), utc_wall_clock(instant).alias("back"),
+                            micros_to_ts(F.unix_micros(instant)).alias("again")).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    epoch = dt.datetime(1970, 1, 1)
+    for r in found:
+        assert r["m"] == (r["c"] - epoch) // dt.timedelta(microseconds=1)
+        assert r["back"] == r["again"] == r["c"]

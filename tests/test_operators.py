@@ -239,3 +239,38 @@ def test_reference_csv_is_text(spark, tmp_path):
     assert [tuple(r) for r in rows.collect()] == [("01", "Ain"), ("2A", "Corse-du-Sud")]
     known = departments(spark)
     assert (known.count(), known.select("region_nom").distinct().count()) == (101, 18)
+
+
+def test_a_replacement_that_dies_between_delete_and_rename_is_finished(spark, tmp_path, monkeypatch):
+    from priceloom import storage
+    from priceloom.operators.merge import merge_by_key
+
+    path = str(tmp_path / "t")
+    rows = spark.createDataFrame([(k, f"p{k % 2}", k) for k in range(6)], "id long, part string, v long")
+    merge_by_key(path, rows, "id", "part")
+    change = spark.createDataFrame([(0, "p0", 100), (1, "p1", 101)], rows.schema)
+    real, moves = storage._move, []
+
+    def dying(fs, source, target):
+        if "staged" in str(source):
+            moves.append(source)
+            if len(moves) == 1:
+                raise OSError("died after the old partition was deleted")
+        real(fs, source, target)
+
+    monkeypatch.setattr(storage, "_move", dying)
+    with pytest.raises(OSError):
+        merge_by_key(path, change, "id", "part")
+    monkeypatch.setattr(storage, "_move", real)
+    merge_by_key(path, change, "id", "part")
+    stored = {r["id"]: r["v"] for r in spark.read.schema(rows.schema).parquet(path).collect()}
+    assert stored == {0: 100, 1: 101, 2: 2, 3: 3, 4: 4, 5: 5}
+
+
+def test_a_swap_that_dies_half_way_leaves_the_old_table(spark, tmp_path):
+    from priceloom import storage
+
+    path = str(tmp_path / "t")
+    storage.replace_table(spark.range(3), path)
+    (tmp_path / "t").rename(tmp_path / "t.previous")
+    assert storage.exists(spark, path) and spark.read.parquet(path).count() == 3
