@@ -41,59 +41,75 @@ def _little(ids: list[int]) -> bytes:
 class Encoder:
     """Token ids of texts for a tokenizer that never joins anything across white space.
 
-    The ids of white-space separated chunks are remembered, those of plain Latin words apart from the
-    punctuation that follows them. Texts with characters whose lower case or class depends on what
-    surrounds them, or with markers of special tokens, are encoded whole.
+    Ids of white-space separated chunks are remembered. A chunk that is a plain Latin word, or one between
+    ASCII punctuation, is put together from its parts; new words are encoded in one call for many texts.
+    Texts with characters whose lower case or class depends on what surrounds them, or with markers of
+    special tokens, are encoded whole.
     """
 
     _ODD = ("\x1c", "\x1d", "\x1e", "\x1f", "İ", "Σ", "<|")
-    _CORE = re.compile("([a-zß-öø-ɏ]+)([.,]?)")
-    CHUNKS, WORDS = 300_000, 600_000
+    _PARTS = re.compile(r"([!-&(-/:-@\[-`{-~]*)([a-zß-öø-ɏ]+)([!-/:-@\[-`{-~]*)")
+    MOST = 700_000  # remembered chunks, about 120 MB
 
     def __init__(self, path: str) -> None:
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self._whole = Tokenizer.from_file(path)
-        self._model = self._whole.model
-        self._chunks: dict[str, bytes] = {}
-        self._words: dict[str, bytes] = {}
+        self._bare = Tokenizer(self._whole.model)
+        self._bare.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        vocabulary = self._whole.get_vocab()
+        self._ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self._ends[[n for token, n in vocabulary.items() if token.endswith("</w>")]] = True
+        self._known: dict[str, bytes] = {}
         # How byte-level models spell bytes: printable Latin-1 as it is, the others from U+0100 on.
         plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
         others = [b for b in range(256) if b not in plain]
         self._spelt = {b: 256 + n for n, b in enumerate(others)}
-        self._mark = {c: self._encode(c) for c in ("", ".", ",")}
 
     def _encode(self, text: str) -> bytes:
         return _little(self._whole.encode(text, add_special_tokens=False).ids)
 
-    def _chunk(self, chunk: str) -> bytes:
-        match = self._CORE.fullmatch(chunk)
-        if not match:
-            return self._encode(chunk)
-        word, mark = match.groups()
-        ids = self._words.get(word)
-        if ids is None:
-            if len(self._words) >= self.WORDS:
-                self._words.clear()
-            spelt = word.encode().decode("latin-1").translate(self._spelt)
-            ids = _little([t.id for t in self._model.tokenize(spelt)])
-            self._words[word] = ids
-        return ids + self._mark[mark]
-
-    def ids(self, text: str) -> bytes:
-        """Little-endian unsigned 32-bit ids."""
-        if any(sign in text for sign in self._ODD):
-            return self._encode(text)
-        chunks = text.lower().split()
-        found = list(map(self._chunks.get, chunks))
-        if None in found:
-            if len(self._chunks) >= self.CHUNKS:
-                self._chunks.clear()
-            for at, ids in enumerate(found):
-                if ids is None:
-                    chunk = chunks[at]
-                    found[at] = self._chunks[chunk] = self._chunks.get(chunk) or self._chunk(chunk)
-        return b"".join(found)
+    def _learn(self, chunks: set[str]) -> None:
+        known = self._known
+        if len(known) + len(chunks) > self.MOST:
+            known.clear()
+        words, joined = set(), []
+        for chunk in chunks:
+            if chunk.isascii() and chunk.isalpha():
+                words.add(chunk)
+            elif match := self._PARTS.fullmatch(chunk):
+                parts = match.groups()
+                joined.append((chunk, parts))
+                words.add(parts[1])
+                for mark in (parts[0], parts[2]):
+                    if mark and mark not in known:
+                        known[mark] = self._encode(mark)
+            else:
+                known[chunk] = self._encode(chunk)
+        new = [w for w in words if w not in known]
+        if new:
+            text = " ".join(w if w.isascii() else w.encode().decode("latin-1").translate(self._spelt) for w in new)
+            ids = np.array(self._bare.encode(text, add_special_tokens=False).ids, "<u4")
+            cuts = (4 * (np.nonzero(self._ends[ids])[0] + 1)).tolist()  # a word's last token, and no other, ends in </w>
+            held = ids.tobytes()
+            known.update(zip(new, (held[a:b] for a, b in zip([0, *cuts], cuts, strict=False)), strict=True))
+        for chunk, (before, word, after) in joined:
+            known[chunk] = (known[before] if before else b"") + known[word] + (known[after] if after else b"")
+
+    def ids(self, texts: list[str]) -> list[bytes]:
+        """Little-endian unsigned 32-bit ids of each text."""
+        odd = [any(sign in text for sign in self._ODD) for text in texts]
+        chunks = [[] if o else text.lower().split() for text, o in zip(texts, odd, strict=True)]
+        get = self._known.get
+        found = [list(map(get, c)) for c in chunks]
+        missing = {c for cs, f in zip(chunks, found, strict=True) if None in f for c, ids in zip(cs, f, strict=True) if ids is None}
+        if missing:
+            self._learn(missing)
+            again = self._known
+            for cs, f in zip(chunks, found, strict=True):
+                if None in f:
+                    f[:] = [again[c] if ids is None else ids for c, ids in zip(cs, f, strict=True)]
+        return [self._encode(t) if o else b"".join(f) for t, o, f in zip(texts, odd, found, strict=True)]
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -119,19 +135,20 @@ def pieces(docs: DataFrame, tokenizer: str, length: int = LENGTH, end: int = 0)
             _ENCODERS[tokenizer] = Encoder(path)
         encoder, last = _ENCODERS[tokenizer], np.array([end], "<u4").tobytes()
         for batch in batches:
-            out: list[tuple] = []
-            held = 0
-            for doc, cell in zip(*batch.columns, strict=True):
-                ids = encoder.ids(cell.as_py() or "") + last
-                for n, at in enumerate(range(0, len(ids), 4 * length)):
-                    part = ids[at : at + 4 * length]
-                    out.append((doc.as_py(), n, at // 4, len(part) // 4, part))
-                held += len(ids)
-                if held > 8 << 20:
-                    yield _rows(out)
-                    out, held = [], 0
-            if out:
+            start = 0
+            while start < batch.num_rows:  # some texts at a time, long ones alone
+                texts, held = [], 0
+                while start + len(texts) < batch.num_rows and held < 1 << 20:
+                    texts.append(batch.column(1)[start + len(texts)].as_py() or "")
+                    held += len(texts[-1])
+                out = []
+                for doc, ids in zip(batch.column(0).slice(start, len(texts)).to_pylist(), encoder.ids(texts), strict=True):
+                    ids += last
+                    for n, at in enumerate(range(0, len(ids), 4 * length)):
+                        part = ids[at : at + 4 * length]
+                        out.append((doc, n, at // 4, len(part) // 4, part))
                 yield _rows(out)
+                start += len(texts)
 
     def _rows(out: list[tuple]) -> pa.RecordBatch:
         kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
