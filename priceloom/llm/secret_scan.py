@@ -75,10 +75,17 @@ def mark(docs: DataFrame) -> DataFrame:
 
 @dataclass
 class Chains:
-    """``ratio[a * K + b]``: log of how much likelier b follows a in a random string than in an identifier."""
+    """``ratio[a * K + b]``: log of how much likelier b follows a in a random string than in an identifier.
+
+    A token is random if its ratios sum to ``least``, and to ``least_each`` on average.
+    """
 
     ratio: list[float]
     least: float = 10.0
+    least_each: float = 1.2
+
+    def random(self, token: Column) -> Column:
+        return self.score(token) >= F.greatest(F.lit(self.least), (F.length(token) - 1) * F.lit(self.least_each))
 
     def score(self, token: Column) -> Column:
         table = F.split(F.lit(",".join(f"{r:.5f}" for r in self.ratio)), ",").cast("array<double>")
@@ -89,26 +96,34 @@ class Chains:
         )
 
 
-def learn(marked: DataFrame, prior: float = 16.0, least: float = 10.0) -> Chains:
-    """Both chains, from every long token of ``marked``: met by a base span, or not.
+def learn(marked: DataFrame, prior: float = 16.0) -> Chains:
+    """Both chains, from all distinct long tokens of ``marked``: met by a base span, or not.
 
-    ``prior`` characters spread evenly over the alphabet are added after each character. Without any
-    labelled random string the ratio is that of the even chain.
+    After each character ``prior`` more are added, spread as characters are overall: what identifiers never
+    hold stays unlikely in places they never showed. Random strings take half of their chances evenly
+    from the alphabet, since the labelled ones have only some of its kinds.
     """
-    tokens = marked.select(F.explode("_tokens").alias("t")).select("t.token", "t.base")
+    tokens = marked.select(F.explode("_tokens").alias("t")).select("t.token", "t.base").distinct()
     pairs = tokens.select(
         "base", F.explode(F.transform(F.sequence(F.lit(1), F.length("token") - 1), lambda i: F.substring(F.col("token"), i, F.lit(2)))).alias("pair")
     )
     counts = {(r["base"], r["pair"]): r["count"] for r in pairs.groupBy("base", "pair").count().collect()}  # K x K x 2
     size = len(ALPHABET)
     after = {(kind, a): sum(counts.get((kind, a + b), 0) for b in ALPHABET) for kind in (True, False) for a in ALPHABET}
-    chance = lambda kind, a, b: (counts.get((kind, a + b), 0) + prior / size) / (after[kind, a] + prior)
-    return Chains([math.log(chance(True, a, b) / chance(False, a, b)) for a in ALPHABET for b in ALPHABET], least)
+    seen = {(kind, b): sum(counts.get((kind, a + b), 0) for a in ALPHABET) for kind in (True, False) for b in ALPHABET}
+    whole = {kind: sum(seen[kind, b] for b in ALPHABET) for kind in (True, False)}
+
+    def chance(kind: bool, a: str, b: str) -> float:
+        overall = (seen[kind, b] + 0.5) / (whole[kind] + 0.5 * size)
+        return (counts.get((kind, a + b), 0) + prior * overall) / (after[kind, a] + prior)
+
+    random = lambda a, b: 0.5 * chance(True, a, b) + 0.5 / size
+    return Chains([math.log(random(a, b) / chance(False, a, b)) for a in ALPHABET for b in ALPHABET])
 
 
 def spans(marked: DataFrame, chains: Chains) -> DataFrame:
     """``marked`` with _spans: the base spans and the tokens no base span meets that the chains find random."""
-    own = F.filter("_tokens", lambda t: ~t["base"] & (chains.score(t["token"]) >= chains.least))
+    own = F.filter("_tokens", lambda t: ~t["base"] & chains.random(t["token"]))
     added = F.transform(own, _as_span(KINDS.index("random")))
     return marked.withColumn("_spans", F.array_sort(F.concat("_base", added)).cast(_SPAN))
 
