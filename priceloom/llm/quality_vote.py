@@ -103,19 +103,22 @@ class Voters:
         return np.clip(np.concatenate(out), 0, 1) if out else np.zeros(0)
 
 
-def learn(labelled: DataFrame, sample: int = SAMPLE) -> Voters:
-    """Voters from ``labelled`` (doc_id, text, label 0/1): up to half of ``sample`` of each label, by hash of the id.
+def learn(docs: DataFrame, marks: DataFrame, sample: int = SAMPLE) -> Voters:
+    """Voters from ``docs`` (doc_id, text) and ``marks`` (doc_id, label 0/1).
 
-    A vote counts as many documents as it stands for, so the labels keep their shares whatever was sampled.
+    Up to half of ``sample`` documents of each label are taken, by hash of the id; only ids are shuffled
+    to find them. A vote counts as many documents as it stands for, so the labels keep their shares
+    whatever was sampled.
     """
-    counts = {r["label"]: r["count"] for r in labelled.groupBy("label").count().collect()}
+    known = settle(docs.select("doc_id").join(marks.select("doc_id", "label"), "doc_id").distinct(), "labelled")
+    counts = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
     chosen = None
     for label in (0, 1):
-        ids = labelled.where(F.col("label") == label).select("doc_id").distinct()
+        ids = known.where(F.col("label") == label).select("doc_id")
         ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample // 2).withColumn("label", F.lit(label))
         chosen = ids if chosen is None else chosen.unionAll(ids)
     chosen = settle(chosen, "chosen")
-    texts = labelled.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most `sample` ids
     rows = texts.groupBy("doc_id", "label").agg(F.min("text").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -27,6 +27,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def marks(labels: DataFrame, label: str, learnt_from) -> DataFrame:
+    """(doc_id, label) of the rows a model may learn from."""
+    return labels.where(F.col(label).isNotNull() & learnt_from).select("doc_id", F.col(label).alias("label"))
+
+
 def labelled(docs: DataFrame, labels: DataFrame, label: str, learnt_from) -> DataFrame:
     """(doc_id, text, label) of the rows a model may learn from."""
     marks = labels.where(F.col(label).isNotNull()).select("doc_id", F.col(label).alias("label"))
@@ -114,7 +119,7 @@ def op6_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
 def op8_quality_vote(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     held_out = fold(F.col("doc_id"), 4) == 2
-    voters = quality_vote.learn(labelled(docs, table(spark, folder, "labels"), "quality", ~held_out))
+    voters = quality_vote.learn(docs, marks(table(spark, folder, "labels"), "quality", ~held_out))
     return quality_vote.score(docs, voters, good=0.7).select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
