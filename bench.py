@@ -33,9 +33,13 @@ HEADLINE = [
     "star_join",
     "fact_full_build",
     "dq_summary",
+    "freshness_status",
 ]
 # These write tables as they go and take seconds each: run once, after everything is warm.
-WRITING = ["xml_parse_stats", "bronze_roundtrip", "upsert_merge", "incremental_build", "gated_build_ranking"]
+WRITING = [
+    "xml_parse_stats", "landed_archives", "bronze_roundtrip", "upsert_merge", "incremental_build", "gated_build_ranking",
+
+]
 
 
 def seconds(spark, folder: str, name: str) -> float:
@@ -57,7 +61,7 @@ def main() -> None:
         times[name] = round(seconds(spark, folder, name), 3)
     spark.stop()
     print(json.dumps({
-        "metric": "headline queries, sum of medians",
+        "metric": "headline queries: medians, and single runs of those that write tables",
         "value": round(sum(times.values()), 3),
         "unit": "sec",
         "queries": times,

@@ -86,6 +86,19 @@ def dashboard_relations(spark: SparkSession, folder: str) -> DataFrame:
     return named.join(fuels, "carburant_nom")
 
 
+@query(f"""WITH {ALL_TABLES} SELECT m.station_id, m.region_nom, m.carburant_nom, c.carburant_libelle_long, r.count_stations,
+  round(r.prix_moyen, 6) AS prix_moyen
+FROM mart m LEFT JOIN regions r ON r.region_nom = m.region_nom AND r.carburant_nom = m.carburant_nom
+JOIN fuel_rows c ON c.carburant_nom = m.carburant_nom""")
+def dashboard_mart_relations(spark: SparkSession, folder: str) -> DataFrame:
+    """The latest prices joined with the regions' statistics on (region, fuel), and with the fuel dimension."""
+    latest = settle(mart(spark, folder), "mart")
+    regions = marts.region_stats(latest).select(*marts.GROUP, "count_stations", "prix_moyen")
+    fuels = dimensions.dim_carburant(reference.fuels(spark)).select("carburant_nom", "carburant_libelle_long")
+    joined = latest.select("station_id", *marts.GROUP).join(regions, marts.GROUP, "left").join(fuels, "carburant_nom")
+    return plain(joined)
+
+
 def built(spark: SparkSession, folder: str) -> tuple[DataFrame, BuildConfig]:
     """All of bronze written as daily slots, then the gated build of every table."""
     bronze = fresh_path(spark, "bronze")
