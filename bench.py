@@ -38,7 +38,6 @@ HEADLINE = [
 # These write tables as they go and take seconds each: run once, after everything is warm.
 WRITING = [
     "xml_parse_stats", "landed_archives", "bronze_roundtrip", "upsert_merge", "incremental_build", "gated_build_ranking",
-
 ]
 
 
