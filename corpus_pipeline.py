@@ -9,14 +9,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from priceloom.llm import mixing, packing, secret_scan, simhash, toxicity
-from priceloom.llm.queries import TOKENIZER, toxic_rows
+from priceloom.llm.queries import TOKENIZER, toxic_marks
 from priceloom.session import settle
 
 
 def remove_toxic(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents that the lexicon finds toxic go; all others stay as they are."""
     labels = spark.read.parquet(f"{folder}/labels.parquet")
-    return toxicity.remove_toxic(docs, toxicity.learn(toxic_rows(docs, labels)))
+    return toxicity.remove_toxic(docs, toxicity.learn(docs, toxic_marks(labels)))
 
 
 def remove_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

@@ -32,14 +32,8 @@ def marks(labels: DataFrame, label: str, learnt_from) -> DataFrame:
     return labels.where(F.col(label).isNotNull() & learnt_from).select("doc_id", F.col(label).alias("label"))
 
 
-def labelled(docs: DataFrame, labels: DataFrame, label: str, learnt_from) -> DataFrame:
-    """(doc_id, text, label) of the rows a model may learn from."""
-    marks = labels.where(F.col(label).isNotNull()).select("doc_id", F.col(label).alias("label"))
-    return docs.select("doc_id", "text").where(learnt_from).join(marks, "doc_id")
-
-
-def toxic_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    return labelled(docs, labels, "toxic", fold(F.col("doc_id"), 5) != 0)
+def toxic_marks(labels: DataFrame) -> DataFrame:
+    return marks(labels, "toxic", fold(F.col("doc_id"), 5) != 0)
 
 
 @query()
@@ -65,7 +59,7 @@ def op2_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
-    lexicon = toxicity.learn(toxic_rows(docs, table(spark, folder, "labels")))
+    lexicon = toxicity.learn(docs, toxic_marks(table(spark, folder, "labels")))
     held_out = fold(F.col("doc_id"), 5) == 0
     return toxicity.score(docs, lexicon).select("doc_id", held_out.alias("held_out"), "score", "predicted", "hits")
 

@@ -182,18 +182,20 @@ def _pick(rows: list, clean: int, toxic: int, tokens: int) -> dict[str, float]:
     return terms
 
 
-def learn(labelled: DataFrame, toxic_rows: int = 3000, clean_rows: int = 9000) -> Lexicon:
-    """A lexicon from ``labelled`` (doc_id, text, label 0/1): at most so many rows of each label, by hash of the id.
+def learn(docs: DataFrame, marks: DataFrame, toxic_rows: int = 3000, clean_rows: int = 9000) -> Lexicon:
+    """A lexicon from ``docs`` (doc_id, text) and ``marks`` (doc_id, label 0/1).
 
-    Near copies in the sample count once. Without toxic rows the lexicon is empty and all scores are 0.
+    At most so many documents of each label are taken, by hash of the id; only ids are shuffled to find
+    them. Near copies in the sample count once. Without toxic rows the lexicon is empty and all scores are 0.
     """
+    known = settle(docs.select("doc_id").join(marks.select("doc_id", "label"), "doc_id").distinct(), "labelled")
     chosen = None
     for label, bound in ((1, toxic_rows), (0, clean_rows)):
-        ids = labelled.where(F.col("label") == label).select("doc_id").distinct()
+        ids = known.where(F.col("label") == label).select("doc_id")
         ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound).withColumn("label", F.lit(label))
         chosen = ids if chosen is None else chosen.unionAll(ids)
     chosen = settle(chosen, "chosen")
-    texts = labelled.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").where("length(text) > 0")
+    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").where("length(text) > 0")
     rows = texts.groupBy("doc_id").agg(F.min(F.struct("text", "label")).alias("row")).select("doc_id", "row.*")
     sample = settle(rows.withColumn("keys", _minhash(F.col("text"))), "sample")
     for k in range(4):
