@@ -12,8 +12,8 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
 
     Alternates two steps until nothing changes: every node hands its larger neighbours, then its smaller
     ones, to the smallest node it knows. Each step is one minimum per node (combined before the shuffle)
-    and one join with a row per node, so a hub's neighbours never meet in memory. Every step is written
-    to the shared folder. The number of steps grows with the logarithm of the longest path. Null or
+    and one join with a row per node, so a hub's neighbours never meet in memory. Every pair of steps is
+    written to the shared folder. The number of steps grows with the logarithm of the longest path. Null or
     equal ends link nothing; repeated and reversed edges count once.
     """
     now = settle(
@@ -24,7 +24,7 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         both = now.unionAll(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = settle(large.where("u <> v").distinct(), "links")
+        large = large.where("u <> v").distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select("u", "v", "m")
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionAll(small.select("u", F.col("m").alias("v")))

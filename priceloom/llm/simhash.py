@@ -272,7 +272,7 @@ def links(fps: DataFrame, distance: int, tile: int = TILE) -> DataFrame:
     met = spread.join(shared, ["part", "value"]).groupBy("fp").agg(
         F.sort_array(F.collect_list(F.struct("part", "size"))).alias("met")
     )
-    asked = settle(fps.join(met, "fp", "left"), "asked")
+    asked = fps.join(met, "fp", "left")
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -343,7 +343,7 @@ def near_copies(
         "fp", "least", F.coalesce("component", "fp").alias("component")
     )
     first = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    ids = settle(named.join(first, "component").select("fp", "component_id"), "components")
+    ids = named.join(first, "component").select("fp", "component_id")
     return marked.join(ids, "fp").select("doc_id", "fp", "component_id")
 
 
