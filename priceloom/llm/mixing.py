@@ -130,7 +130,9 @@ def training_order(docs: DataFrame, weights: list[int], **options) -> DataFrame:
     Equal rows are interchangeable: one of them is repeated for all of their places.
     """
     placed = mix(docs, weights, **options).where("copies > 0")
-    places = placed.select(F.col("doc_id").alias("_id"), F.col("row_key").alias("_at"), F.explode("positions").alias("_position"))
-    rows = docs.withColumn("_key", row_key(docs)).dropDuplicates(["_key", "doc_id"])
-    rows = rows.join(places, (F.col("_key") == F.col("_at")) & F.col("doc_id").eqNullSafe(F.col("_id")))
+    # The key, which covers the id, tells a null id from the number that stands for it here. Plain equality on both
+    # columns lets the join use the partitioning of the step before: texts are shuffled once for both.
+    known = F.coalesce("doc_id", F.lit(0)).alias("_id")
+    places = placed.select(F.col("row_key").alias("_key"), known, F.explode("positions").alias("_position"))
+    rows = docs.select("*", row_key(docs).alias("_key"), known).dropDuplicates(["_key", "_id"]).join(places, ["_key", "_id"])
     return rows.sort("_position", "doc_id").select(*docs.columns)
