@@ -35,8 +35,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Pieces of documents with their sequence and their place in it."""
-    return packing.packed_pieces(docs, TOKENIZER, packing.LENGTH, [F.crc32("ids").alias("ids_crc32")])
+    """Pieces of documents with their place in a sequence; the first of each sequence has the sequence's ids."""
+    return packing.packed_pieces(docs, TOKENIZER, packing.LENGTH, [F.crc32("ids").alias("ids_crc32")], whole=True)
 
 
 STAGES = [

@@ -336,23 +336,48 @@ def pack(items: DataFrame, capacity: int = LENGTH, seed: int = 11, shard: int =
         level, before = level + 1, count
 
 
-def packed_pieces(docs: DataFrame, tokenizer: str, capacity: int = LENGTH, digest=()) -> DataFrame:
-    """(doc_id, piece, start, length, *digest, sequence_id, offset): each piece of ``docs`` and its place.
+def packed_sequences(docs: DataFrame, tokenizer: str, capacity: int = LENGTH) -> DataFrame:
+    """(sequence_id, ids, parts): the packed rows of ``docs``, each with the pieces it holds, in order.
 
-    ``digest`` are columns computed from ``ids``, which itself is not kept: `pieces` makes it again
-    where it is needed. Repeated rows are packed each; null texts hold the end token alone.
+    ``parts`` has (offset, item, doc_id, piece, start, length), offset and length in tokens; ``item`` tells
+    pieces of repeated rows apart. Repeated rows are packed each; null texts hold the end token alone. The
+    pieces are written once, with their ids; a full one is a sequence as it is, and only others are shuffled.
     """
-    columns = ["doc_id", "piece", "start", "length"]
-    found = pieces(docs, tokenizer, capacity).select(*columns, *digest)
-    found = settle(found.withColumn("item", F.monotonically_increasing_id()), "pieces")
-    placed = pack(found.select("item", "length"), capacity)
-    return found.join(placed, "item").drop("item")
+    held = pieces(docs, tokenizer, capacity).withColumn("item", F.monotonically_increasing_id())
+    held = settle(held.select("item", "doc_id", "piece", "start", "length", "ids"), "pieces")
+    full, left = held.where(F.col("length") >= capacity), held.where(F.col("length") < capacity)
+    told = [c for c in held.columns if c != "ids"]
+    alone = F.array(F.struct(F.lit(0).cast("long").alias("offset"), *told)).alias("parts")
+    whole = full.select((-1 - F.col("item")).alias("sequence_id"), "ids", alone)
+    return sequences(left, pack(left.select("item", "length"), capacity)).unionByName(whole)
+
+
+def packed_pieces(docs: DataFrame, tokenizer: str, capacity: int = LENGTH, digest=(), whole: bool = False) -> DataFrame:
+    """(item, doc_id, piece, start, length, *digest, sequence_id, offset): the pieces in `packed_sequences`.
+
+    ``digest`` are columns computed from ``ids``, a piece's ids as its sequence holds them. With ``whole``
+    the column ``sequence`` has the ids of the packed row, at its first piece (offset 0) only.
+    """
+    packed = packed_sequences(docs, tokenizer, capacity)
+    found = packed.select("sequence_id", F.col("ids").alias("sequence"), F.explode("parts").alias("part"))
+    found = found.select("sequence_id", "sequence", "part.*")
+    cut = F.substring("sequence", (F.col("offset") * 4 + 1).cast("int"), (F.col("length") * 4).cast("int"))
+    columns = ["item", "doc_id", "piece", "start", "length", *digest, "sequence_id", "offset"]
+    if whole:
+        columns.append(F.when(F.col("offset") == 0, F.col("sequence")).alias("sequence"))
+    return found.withColumn("ids", cut).select(*columns)
 
 
 def sequences(held: DataFrame, placed: DataFrame) -> DataFrame:
-    """(sequence_id, ids): the packed rows, from (item, ids) that were written and (item, sequence_id, offset)."""
-    parts = placed.join(held.select("item", "ids"), "item").groupBy("sequence_id").agg(
-        F.sort_array(F.collect_list(F.struct("offset", "ids"))).alias("parts")
+    """(sequence_id, ids, parts): the packed rows, from (item, ids) that were written and (item, sequence_id, offset).
+
+    ``parts`` has offset, item and the other columns of ``held`` of each piece, in order.
+    """
+    told = [c for c in held.columns if c != "ids"]
+    parts = placed.select("item", "sequence_id", "offset").join(held, "item").groupBy("sequence_id").agg(
+        F.sort_array(F.collect_list(F.struct("offset", *told, "ids"))).alias("parts")
     )
     joined = F.aggregate("parts", F.lit(b""), lambda out, part: F.concat(out, part["ids"]))
-    return parts.select("sequence_id", joined.alias("ids"))
+    return parts.select(
+        "sequence_id", joined.alias("ids"), F.transform("parts", lambda p: p.dropFields("ids")).alias("parts")
+    )

@@ -95,5 +95,35 @@ def test_sequences_put_the_ids_together(spark):
     assert found == {7: b"bbbbccccaaaa", 8: b"dddd"}
 
 
+def test_sequences_are_made_of_the_documents(spark, tokenizer):
+    rng = random.Random(5)
+    texts = [prose(rng, rng.randint(1, 900)) for _ in range(12)] + [prose(rng, 4000)]
+    docs = documents(spark, texts)
+    docs = docs.unionAll(docs)  # as the source mix repeats rows: (doc_id, piece) is no key
+    tokens = [np.array(tokenizer.encode(t, add_special_tokens=False).ids + [0], "<u4") for t in texts]
+    seen = []
+    for r in packing.packed_sequences(docs, NAME).collect():
+        ids, at = np.frombuffer(bytes(r["ids"]), "<u4"), 0
+        for p in r["parts"]:
+            assert p["offset"] == at
+            assert ids[at : at + p["length"]].tolist() == tokens[p["doc_id"]][p["start"] : p["start"] + p["length"]].tolist()
+            at += p["length"]
+            seen.append((p["item"], p["doc_id"], p["piece"]))
+        assert len(ids) == at <= packing.LENGTH
+    assert len({item for item, _, _ in seen}) == len(seen)
+    want = sorted((i, n) for i, t in enumerate(tokens) for n in range(-(-len(t) // packing.LENGTH)) for _ in range(2))
+    assert sorted((i, n) for _, i, n in seen) == want
+
+
+def test_whole_sequences_beside_their_first_pieces(spark):
+    texts = [prose(random.Random(6), 500), "a b", None] * 4
+    rows = packing.packed_pieces(documents(spark, texts), NAME, digest=[F.crc32("ids").alias("crc")], whole=True).collect()
+    assert len({r["item"] for r in rows}) == len(rows)
+    whole = {r["sequence_id"]: bytes(r["sequence"]) for r in rows if r["offset"] == 0}
+    for r in rows:
+        part = whole[r["sequence_id"]][4 * r["offset"] : 4 * (r["offset"] + r["length"])]
+        assert zlib.crc32(part) == r["crc"] and (r["sequence"] is None) == (r["offset"] > 0)
+
+
 def test_empty_table(spark):
     assert packing.packed_pieces(spark.createDataFrame([], DOCS), NAME).count() == 0
