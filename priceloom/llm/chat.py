@@ -1,12 +1,14 @@
-"""Chat formatting of records in many layouts.
+"""Chat formatting of records and tables in many layouts.
 
-A record's shape is its nested field paths. The hash of the shape selects a declared layout, which says
-where roles and texts are; the turns are then written with one template. Control strings inside texts
-are escaped so that the template's own marks stay unambiguous and everything can be read back.
+The nested field paths of a record, or of a table's schema, are hashed. A declared layout is selected if the
+hashes of all paths it needs are among them; it says where roles and texts are. The turns are then written
+with one template. Control strings inside texts are escaped so that the template's own marks stay
+unambiguous and everything can be read back.
 """
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 import xxhash
@@ -22,63 +24,110 @@ ROLES = {"human": "user", "prompter": "user", "gpt": "assistant", "bot": "assist
 
 @dataclass(frozen=True)
 class Layout:
-    """``shape``: field paths. Turns are the elements of ``list`` (role and text fields), or one per entry of ``fields``."""
+    """Turns are the elements of ``list`` (path, role and text fields), one per entry of ``fields``, or the rows of a table.
+
+    ``row`` names a table's columns of conversation, turn, role and text.
+    """
 
     name: str
-    shape: str
     list: tuple[str, str, str] | None = None
     fields: tuple[tuple[str, str], ...] = ()
+    row: tuple[str, str, str, str] | None = None
+
+    @property
+    def paths(self) -> tuple[str, ...]:
+        """The field paths it needs, as `paths_of` and `field_paths` write them."""
+        if self.list:
+            path, role, text = map(_escaped, self.list)
+            return f"{path}[]", f"{path}[].{role}", f"{path}[].{text}"
+        return tuple(map(_escaped, self.row or [path for _, path in self.fields]))
+
+    @property
+    def nested(self) -> tuple[str, ...]:
+        """Paths it must not find: a role or text that is no scalar in some turn."""
+        return tuple(path + kind for path in self.paths if not path.endswith("[]") for kind in ("{}", "[]", "[0]", "[*]"))
 
     @property
-    def key(self) -> int:
-        return _signed(xxhash.xxh64_intdigest(self.shape, 42))
+    def empty(self) -> tuple[str, ...]:
+        """The path of its list without turns."""
+        return (f"{_escaped(self.list[0])}[0]",) if self.list else ()
+
+
+def _escaped(name: str) -> str:
+    return re.sub(r"([\\.\[\]{}])", r"\\\1", name)
 
 
-def _signed(value: int) -> int:
-    return value - (1 << 64) if value >> 63 else value
+def _hashed(paths: tuple[str, ...]) -> list[int]:
+    found = (xxhash.xxh64_intdigest(path, 42) for path in paths)
+    return [value - (1 << 64) if value >> 63 else value for value in found]
 
 
 LAYOUTS = [
-    Layout("messages", "OBJECT<messages: ARRAY<OBJECT<content, role>>>", list=("messages", "role", "content")),
-    Layout("conversations", "OBJECT<conversations: ARRAY<OBJECT<from, value>>>", list=("conversations", "from", "value")),
-    Layout("turns", "OBJECT<turns: ARRAY<OBJECT<role, text>>>", list=("turns", "role", "text")),
-    Layout("prompt-response", "OBJECT<prompt, response>", fields=(("user", "prompt"), ("assistant", "response"))),
-    Layout("prompt-completion", "OBJECT<completion, prompt>", fields=(("user", "prompt"), ("assistant", "completion"))),
-    Layout("question-answer", "OBJECT<answer, question>", fields=(("user", "question"), ("assistant", "answer"))),
-    Layout("instruction-output", "OBJECT<instruction, output>", fields=(("user", "instruction"), ("assistant", "output"))),
-    Layout(
-        "instruction-input-output",
-        "OBJECT<input, instruction, output>",
-        fields=(("user", "instruction"), ("user", "input"), ("assistant", "output")),
-    ),
-    Layout(
-        "system-prompt-response",
-        "OBJECT<prompt, response, system>",
-        fields=(("system", "system"), ("user", "prompt"), ("assistant", "response")),
-    ),
+    Layout("messages", list=("messages", "role", "content")),
+    Layout("conversations", list=("conversations", "from", "value")),
+    Layout("turns", list=("turns", "role", "text")),
+    Layout("prompt-response", fields=(("user", "prompt"), ("assistant", "response"))),
+    Layout("prompt-completion", fields=(("user", "prompt"), ("assistant", "completion"))),
+    Layout("question-answer", fields=(("user", "question"), ("assistant", "answer"))),
+    Layout("instruction-output", fields=(("user", "instruction"), ("assistant", "output"))),
+    Layout("instruction-input-output", fields=(("user", "instruction"), ("user", "input"), ("assistant", "output"))),
+    Layout("system-prompt-response", fields=(("system", "system"), ("user", "prompt"), ("assistant", "response"))),
 ]
 #: Tables with one row per turn.
-ROW_SHAPE = "OBJECT<conv_id, role, text, turn>"
+ROWS = "rows"
+ROW_LAYOUTS = [Layout(ROWS, row=("conv_id", "turn", "role", "text"))]
 
 _TURNS = "array<struct<role:string,text:string>>"
 
 
-def shape_of(kind: T.DataType) -> str:
-    """Field paths of a schema, fields by name."""
-    if isinstance(kind, T.StructType):
-        fields = [(f.name, shape_of(f.dataType)) for f in sorted(kind, key=lambda f: f.name)]
-        return "OBJECT<" + ", ".join(f"{name}: {inner}" if inner else name for name, inner in fields) + ">"
-    if isinstance(kind, T.ArrayType):
-        inner = shape_of(kind.elementType)
-        return f"ARRAY<{inner}>" if inner else "ARRAY"
-    return ""
+def paths_of(schema: T.StructType) -> list[str]:
+    """Field paths of a schema: ``a`` a scalar, ``a{}`` an object, ``a[]`` an array of objects, ``a[*]`` another array."""
+
+    def fields(kind: T.StructType, before: str) -> list[str]:
+        found = []
+        for field in kind:
+            path, inner = before + _escaped(field.name), field.dataType
+            if isinstance(inner, T.ArrayType) and isinstance(inner.elementType, T.StructType):
+                found += [path + "[]", *fields(inner.elementType, path + "[].")]
+            else:
+                found.append(path + ("{}" if isinstance(inner, T.StructType) else "[*]" if isinstance(inner, T.ArrayType) else ""))
+        return found
+
+    return fields(schema, "")
 
 
-def shape(record: Column) -> Column:
-    """Field paths of each JSON record, as `shape_of` writes them: scalar types don't matter."""
-    scalar = r"(?:STRING|BIGINT|DOUBLE|FLOAT|BOOLEAN|VOID|DATE|BINARY|TIMESTAMP(?:_NTZ)?|DECIMAL\([0-9]+,[0-9]+\))"
-    found = F.schema_of_variant(record)
-    return F.regexp_replace(F.regexp_replace(found, f": {scalar}(?=[,>])", ""), f"ARRAY<{scalar}>", "ARRAY")
+def _entries(value: Column) -> Column:
+    """(path, value) of each field of an object; null for anything else."""
+    name = lambda e: F.regexp_replace(e["key"], r"([\\.\[\]{}])", r"\\$1")
+    fields = F.map_entries(F.try_variant_get(value, "$", "map<string,variant>"))
+    return F.transform(fields, lambda e: F.struct(name(e).alias("path"), e["value"].alias("value")))
+
+
+def _kind(value: Column) -> Column:
+    found = F.schema_of_variant(value)
+    return F.when(found.startswith("OBJECT<"), F.lit("{}")).when(found.startswith("ARRAY<"), F.lit("[*]")).otherwise(F.lit(""))
+
+
+def field_paths(record: Column) -> Column:
+    """Field paths of each JSON record, as `paths_of` writes them, and ``a[0]`` for an empty array.
+
+    Scalar types don't matter. Null elements of an array of objects are passed over. Null if it is no object.
+    """
+
+    def of(entry: Column) -> Column:
+        path = entry["path"]
+        parts = F.try_variant_get(entry["value"], "$", "array<variant>")
+        there = F.filter(parts, lambda p: ~F.is_variant_null(p))
+        objects = (F.size(there) > 0) & F.forall(there, lambda p: _kind(p) == "{}")
+        inner = F.flatten(F.transform(there, lambda p: F.transform(_entries(p), lambda e: F.concat(path, F.lit("[]."), e["path"], _kind(e["value"])))))
+        return (
+            F.when(_kind(entry["value"]) != "[*]", F.array(F.concat(path, _kind(entry["value"]))))
+            .when(F.size(parts) == 0, F.array(F.concat(path, F.lit("[0]"))))
+            .when(objects, F.concat(F.array(F.concat(path, F.lit("[]"))), inner))
+            .otherwise(F.array(F.concat(path, F.lit("[*]"))))
+        )
+
+    return F.array_distinct(F.flatten(F.transform(_entries(record), of)))
 
 
 def _canonical(layout: Layout, record: Column) -> Column:
@@ -94,34 +143,47 @@ def _canonical(layout: Layout, record: Column) -> Column:
 def turns_of_records(rows: DataFrame, id: str = "conv_id", record: str = "record", layouts=LAYOUTS) -> DataFrame:
     """(conv_id, turn, role, text, layout) from JSON records, one per conversation.
 
-    A record of no declared shape, or that is no JSON, gives one row with null layout, role, turn and
-    text, so that it can be counted; nothing is guessed.
+    Of the layouts whose paths are all there, the one that needs most is taken, among equals the first; a list
+    without turns counts last. Other paths don't matter. A conversation without turns gives one row with a
+    layout, and null turn, role and text. A record of no declared layout, or that is no JSON, gives one row
+    with null layout too: `rejected` has them; nothing is guessed.
     """
     parsed = rows.select(F.col(id).alias("conv_id"), F.try_parse_json(F.col(record).cast("string")).alias("_record"))
-    keyed = parsed.withColumn("_key", F.xxhash64(shape(F.col("_record"))))
+    keyed = parsed.withColumn("_keys", F.transform(field_paths(F.col("_record")), lambda p: F.xxhash64(p)))
+    held = lambda keys: F.size(F.array_except(F.array(*map(F.lit, keys)), F.col("_keys"))) == 0
+    whole = sorted(layouts, key=lambda x: -len(x.paths))
+    choices = [(x, held(_hashed(x.paths)) & ~F.arrays_overlap(F.col("_keys"), F.array(*map(F.lit, _hashed(x.nested))))) for x in whole]
+    choices += [(x, held(_hashed(x.empty))) for x in layouts if x.empty]
     turns, name = F.lit(None).cast(_TURNS), F.lit(None).cast("string")
-    for layout in layouts:
-        turns = F.when(F.col("_key") == layout.key, _canonical(layout, F.col("_record")).cast(_TURNS)).otherwise(turns)
-        name = F.when(F.col("_key") == layout.key, F.lit(layout.name)).otherwise(name)
-    found = keyed.select("conv_id", name.alias("layout"), F.posexplode_outer(turns).alias("turn", "_turn"))
+    for layout, fits in reversed(choices):
+        turns = F.when(F.col("_layout") == layout.name, _canonical(layout, F.col("_record")).cast(_TURNS)).otherwise(turns)
+        name = F.when(fits, F.lit(layout.name)).otherwise(name)
+    found = keyed.withColumn("_layout", name)
+    found = found.select("conv_id", F.col("_layout").alias("layout"), F.posexplode_outer(turns).alias("turn", "_turn"))
     return found.select("conv_id", F.col("turn").cast("long").alias("turn"), _role(F.col("_turn.role")).alias("role"), "_turn.text", "layout")
 
 
+def rejected(turns: DataFrame) -> DataFrame:
+    """(conv_id) of each record for which no layout is declared."""
+    return turns.where(F.col("layout").isNull()).select("conv_id")
+
+
 def _role(role: Column) -> Column:
     for other, plain in ROLES.items():
         role = F.when(role == other, F.lit(plain)).otherwise(role)
     return role
 
 
-def turns_of_rows(rows: DataFrame) -> DataFrame:
-    """(conv_id, turn, role, text, layout) from a table whose shape is one turn per row; other columns don't matter."""
-    columns = ["conv_id", "turn", "role", "text"]
-    missing = set(columns) - set(rows.columns)
-    if missing:
-        raise ValueError(f"no layout is declared for a table of shape {shape_of(rows.schema)}")
-    found = rows.select(*columns)
-    assert shape_of(found.schema) == ROW_SHAPE
-    return found.withColumn("turn", F.col("turn").cast("long")).withColumn("layout", F.lit("rows"))
+def turns_of_rows(rows: DataFrame, layouts=ROW_LAYOUTS) -> DataFrame:
+    """(conv_id, turn, role, text, layout) from a table with a row per turn; its hashed field paths select the layout."""
+    keys = set(_hashed(tuple(paths_of(rows.schema))))
+    for layout in sorted(layouts, key=lambda x: -len(x.paths)):
+        if keys.issuperset(_hashed(layout.paths)):
+            id, turn, role, text = (F.col(f"`{name}`") for name in layout.row)
+            return rows.select(
+                id.alias("conv_id"), turn.cast("long").alias("turn"), role.alias("role"), text.alias("text"), F.lit(layout.name).alias("layout")
+            )
+    raise ValueError(f"no layout is declared for a table with the fields {', '.join(paths_of(rows.schema))}")
 
 
 # --- the template ------------------------------------------------------------------------------------
@@ -152,13 +214,18 @@ def format_turns(turns: DataFrame) -> DataFrame:
     ``spans`` has the place of each turn's text (code points, end exclusive) and whether it counts for
     the loss: the assistant's do. Null roles and texts count as empty. Equal turn numbers are ordered by
     role, then text; repeated rows are turns of their own; a null conv_id is a conversation. A
-    conversation is one value and so is made in one task; nothing else is held there.
+    conversation is one value and so is made in one task; nothing else is held there. A conversation
+    without turns is an empty text; what `rejected` has is left out. Without a column ``layout`` all rows are turns.
     """
+    said = F.lit(True)
+    if "layout" in turns.columns:
+        turns = turns.where(F.col("layout").isNotNull())
+        said = F.col("turn").isNotNull() | F.col("layout").isin([x.name for x in ROW_LAYOUTS])
     role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
     head = F.concat(F.lit(START), _escape_role(role), F.lit("\n"))
     rows = turns.select(
         "conv_id", "turn", role.alias("role"), text.alias("text"),
-        F.length(head).alias("_head"), F.concat(head, escape(text), F.lit(END + "\n")).alias("_piece"),
+        F.length(head).alias("_head"), F.when(said, F.concat(head, escape(text), F.lit(END + "\n"))).alias("_piece"),
     ).withColumn("_length", F.length("_piece").cast("long"))
     before = Window.partitionBy("conv_id").orderBy("turn", "role", "text").rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("_at", F.coalesce(F.sum("_length").over(before), F.lit(0)))
@@ -166,6 +233,7 @@ def format_turns(turns: DataFrame) -> DataFrame:
         F.col("_at"), F.col("_piece"), (F.col("_at") + F.col("_head")).alias("start"),
         (F.col("_at") + F.col("_length") - len(END) - 1).alias("end"), (F.col("role") == ASSISTANT).alias("loss"),
     )
+    part = F.when(F.col("_piece").isNotNull(), part)
     whole = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list(part)).alias("_parts"))
     return whole.select(
         "conv_id",

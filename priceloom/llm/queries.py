@@ -81,7 +81,7 @@ def op5_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     turns = chat.turns_of_rows(table(spark, folder, "conversations")).unionByName(chat.turns_of_records(own))
     found = chat.read_back(chat.format_turns(turns))
     said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    return found.select(
+    done = found.select(
         "conv_id",
         F.size("turns").cast("long").alias("n_turns"),
         F.sha2(said, 256).alias("turns_sha256"),
@@ -89,6 +89,8 @@ def op5_chat_format(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2("loss_text", 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
     )
+    # What has no layout is listed with nulls, to be counted.
+    return done.unionByName(chat.rejected(turns), allowMissingColumns=True)
 
 
 @query()

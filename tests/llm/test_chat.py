@@ -63,6 +63,39 @@ def test_layouts(spark):
             assert [(role, text) for role, text, _ in found[n]] == want and all(name for _, _, name in found[n])
 
 
+MORE = [
+    ({"id": 7, "source": "s", "tools": [{"x": [1]}], "messages": [{"role": "user", "content": "q", "name": "n"}, {"role": "assistant", "content": "a"}]},
+     "messages", [("user", "q"), ("assistant", "a")]),
+    ({"conversations": [{"from": "human", "value": "q", "weight": {"a": 1}}, None]}, "conversations", [("user", "q"), (None, None)]),
+    ({"prompt": "q", "response": "a", "id": "x"}, "prompt-response", [("user", "q"), ("assistant", "a")]),
+    ({"system": "s", "prompt": "q", "response": "a", "id": "x"}, "system-prompt-response", [("system", "s"), ("user", "q"), ("assistant", "a")]),
+    ({"messages": [], "id": 1}, "messages", []),
+    ({"messages": [], "prompt": "q", "response": "a"}, "prompt-response", [("user", "q"), ("assistant", "a")]),
+    ({"messages": [{"role": "user", "content": [{"text": "q"}]}, {"role": "user", "content": "q"}]}, None, []),
+    ({"messages": ["q", {"role": "user", "content": "q"}]}, None, []),
+    ({"messages[]": 1, "messages[].role": 1, "messages[].content": 1}, None, []),
+    ({"messages": [1, 2]}, None, []), ({"messages": None}, None, []), ({"prompt": {"a": 1}, "response": "a"}, None, []), ({}, None, []),
+]
+
+
+def test_layouts_are_selected_by_the_paths_they_need(spark):
+    rows = [(n, json.dumps(r)) for n, (r, _, _) in enumerate(MORE)]
+    turns = chat.turns_of_records(spark.createDataFrame(rows, "conv_id long, record string"))
+    names = {r["conv_id"]: r["layout"] for r in turns.collect()}
+    assert names == {n: name for n, (_, name, _) in enumerate(MORE)}
+    assert sorted(r["conv_id"] for r in chat.rejected(turns).collect()) == [n for n, (_, name, _) in enumerate(MORE) if not name]
+    got = {r["conv_id"]: [(t["role"], t["text"]) for t in r["turns"]] for r in chat.read_back(chat.format_turns(turns)).collect()}
+    assert got == {n: [(role or "", text or "") for role, text in want] for n, (_, name, want) in enumerate(MORE) if name}
+
+
+def test_a_declared_table_is_selected_by_its_paths(spark):
+    rows = spark.createDataFrame([("c", 0, "human", "q", 1)], "thread string, n int, who string, said string, more int")
+    declared = [*chat.ROW_LAYOUTS, chat.Layout("threads", row=("thread", "n", "who", "said"))]
+    assert [tuple(r) for r in chat.turns_of_rows(rows, declared).collect()] == [("c", 0, "human", "q", "threads")]
+    with pytest.raises(ValueError, match="no layout"):
+        chat.turns_of_rows(rows)
+
+
 def test_a_table_of_no_declared_shape(spark):
     with pytest.raises(ValueError, match="no layout"):
         chat.turns_of_rows(spark.createDataFrame([(1, "x")], "conv_id long, text string"))
