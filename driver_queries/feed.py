@@ -118,27 +118,36 @@ def _land(documents: DataFrame, root: str) -> None:
     _zip(documents).mapInArrow(run, "path string").count()
 
 
-@query("""SELECT CAST(o_orderkey AS VARCHAR) AS station_id, substr(o_orderpriority, 1, 1) AS carburant_id, round(round(o_totalprice, 2), 6) AS prix_euro,
-  '2026-05-' || lpad(CAST(1 + o_orderkey % 28 AS VARCHAR), 2, '0') AS dt, lpad(CAST(o_orderkey % 4 AS VARCHAR), 2, '0') AS hh
-FROM orders WHERE o_orderkey % 28 % 9 <> 4""")
-def landed_archives(spark: SparkSession, folder: str) -> DataFrame:
-    """Archives of many stations, landed and ingested: a slot with a truncated one among them is held back whole."""
+#: Keys in a row that share an archive's number: an archive has a station for one key in 84 of them.
+_NUMBERED = 84_000
+
+
+def many_stations(orders: DataFrame) -> DataFrame:
+    """DataFrame[path, xml]: archives of up to a thousand stations, the more the more orders; some are truncated."""
     key = F.col("o_orderkey")
     station = F.concat(
         F.format_string('<pdv id="%d" cp="34150" pop="R" latitude="4365000" longitude="355000"><ville>Pré-Neuf</ville>', key),
         F.format_string('<prix id="%s" nom="%s" maj="%s" valeur="%s"/></pdv>', F.substring("o_orderpriority", 1, 1), F.col("o_orderpriority"),
                         F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"), F.col("o_totalprice").cast("decimal(14,2)").cast("string")),
     )
-    orders = table(spark, folder, "orders", "o_orderkey", "o_totalprice", "o_orderdate", "o_orderpriority")
-    day, hour, part = key % 28, key % 4, key % 3
-    files = orders.groupBy(day.alias("day"), hour.alias("hour"), part.alias("part")).agg(
+    day, hour, part, number = key % 28, key % 4, key % 3, F.floor(key / _NUMBERED)
+    files = orders.groupBy(day.alias("day"), hour.alias("hour"), part.alias("part"), number.alias("number")).agg(
         F.array_join(F.collect_list(station), "").alias("stations")
     )
     broken = (F.col("day") % 9 == 4) & (F.col("part") == 0)
     end = F.when(broken, F.lit("<pdv id=")).otherwise(F.lit("</pdv_liste>"))
+    path = F.format_string("dt=2026-05-%02d/hh=%02d/%d-%d.zip", F.col("day") + 1, "hour", "part", "number")
+    return files.select(path.alias("path"), F.concat(F.lit(_HEAD + "<pdv_liste>"), "stations", end).alias("xml"))
+
+
+@query("""SELECT CAST(o_orderkey AS VARCHAR) AS station_id, substr(o_orderpriority, 1, 1) AS carburant_id, round(round(o_totalprice, 2), 6) AS prix_euro,
+  '2026-05-' || lpad(CAST(1 + o_orderkey % 28 AS VARCHAR), 2, '0') AS dt, lpad(CAST(o_orderkey % 4 AS VARCHAR), 2, '0') AS hh
+FROM orders WHERE o_orderkey % 28 % 9 <> 4""")
+def landed_archives(spark: SparkSession, folder: str) -> DataFrame:
+    """Archives of many stations, landed and ingested: a slot with a truncated one among them is held back whole."""
+    orders = table(spark, folder, "orders", "o_orderkey", "o_totalprice", "o_orderdate", "o_orderpriority")
     root = fresh_path(spark, "landed")
-    path = F.format_string("dt=2026-05-%02d/hh=%02d/%d.zip", F.col("day") + 1, "hour", "part")
-    _land(files.select(path.alias("path"), F.concat(F.lit(_HEAD + "<pdv_liste>"), "stations", end).alias("xml")), root)
+    _land(many_stations(orders), root)
     bronze = fresh_path(spark, "bronze")
     try:
         ingest(spark, root, bronze)

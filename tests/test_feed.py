@@ -257,3 +257,12 @@ def test_archives_of_one_slot_in_many_batches(spark, tmp_path):
         land(tmp_path / "raw", "2026-06-03", "07", zipped(feed(MANY[i])), f"{i}.zip")
     ingest_stream(spark, raw, bronze, checkpoint, files_per_batch=1).awaitTermination()
     assert read_bronze(spark, bronze).count() == 3
+
+
+def test_landed_archives_grow_in_number_not_in_size(spark):
+    from driver_queries.feed import many_stations
+
+    # All keys fall on one day, hour and part.
+    orders = spark.range(2500).selectExpr("id * 84 AS o_orderkey", "1.5D AS o_totalprice", "DATE'2026-01-01' AS o_orderdate", "'1-URGENT' AS o_orderpriority")
+    files = {r["path"]: r["xml"].count("<pdv ") for r in many_stations(orders).collect()}
+    assert len(files) == 3 and max(files.values()) <= 1000 and sum(files.values()) == 2500
