@@ -163,11 +163,10 @@ def pieces(docs: DataFrame, tokenizer: str, length: int = LENGTH, end: int = 0)
 # --- the grouping genetic algorithm ------------------------------------------------------------------
 
 
-def best_fit(order: list[int], size: list[int], bins: list[list[int]], room: list[int]) -> None:
-    """Put each piece of ``order`` into the fullest bin that has room for it, or into a new one."""
+def best_fit(order: list[int], size: list[int], bins: list[list[int]], room: list[int], capacity: int = LENGTH) -> None:
+    """Put each piece of ``order`` into the fullest bin that has room for it, or into a new one of ``capacity``."""
     by_room: dict[int, list[int]] = {}
     rooms = 0  # bit r: some bin has room r
-    capacity = LENGTH if not room else max(LENGTH, max(room))
     for b, r in enumerate(room):
         if r > 0:
             by_room.setdefault(r, []).append(b)
@@ -218,7 +217,7 @@ def cross(mother: tuple, father: tuple, size: list[int], capacity: int, chance:
             room.append(room_f[b])
     bins = [list(b) if r else b for b, r in zip(bins, room, strict=True)]
     displaced.sort(key=lambda i: -size[i])
-    best_fit(displaced, size, bins, room)
+    best_fit(displaced, size, bins, room, capacity)
     return bins, room
 
 
@@ -231,7 +230,7 @@ def evolve(size: list[int], seeds: list[tuple], capacity: int, chance: Random, c
         order = sorted(range(len(size)), key=lambda i: -size[i] * (1 + noise * chance.random()))
         bins: list[list[int]] = []
         room: list[int] = []
-        best_fit(order, size, bins, room)
+        best_fit(order, size, bins, room, capacity)
         people.append((bins, room))
     bound = -(-sum(size) // capacity)
     for _ in range(children):

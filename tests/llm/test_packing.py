@@ -76,6 +76,21 @@ def test_many_shards_waste_little(spark):
     assert len(filled) <= 1.02 * sum(sizes) / 2048 + 2
 
 
+@pytest.mark.parametrize("capacity", [512, 4096])
+def test_other_capacities(spark, capacity):
+    rng = random.Random(7)
+    sizes = [rng.randint(1, capacity) for _ in range(300)] + [capacity]
+    rows = packing.pack(spark.createDataFrame(list(enumerate(sizes)), "item long, length long"), capacity).collect()
+    assert sorted(r["item"] for r in rows) == list(range(len(sizes)))
+    filled = defaultdict(list)
+    for r in rows:
+        filled[r["sequence_id"]].append((r["offset"], sizes[r["item"]]))
+    for parts in filled.values():
+        parts.sort()
+        assert [o for o, _ in parts] == [sum(s for _, s in parts[:n]) for n in range(len(parts))]
+        assert sum(s for _, s in parts) <= capacity
+
+
 def test_crossover_keeps_every_piece_once():
     rng = random.Random(4)
     size = [rng.randint(1, 2047) for _ in range(400)]
