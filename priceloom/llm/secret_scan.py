@@ -54,7 +54,7 @@ def _as_span(kind: int):
 
 
 def mark(docs: DataFrame) -> DataFrame:
-    """``docs`` with _base (spans of the patterns) and _tokens (long tokens, and whether a base span meets them)."""
+    """``docs`` with _base (spans of the patterns) and _tokens: long tokens, whether a base span meets them, and whether it leaves part of them."""
     text = F.coalesce(F.col("text"), F.lit(""))
     valued = F.filter(
         matches(text, ASSIGN), lambda m: F.length(F.regexp_extract(m["found"], ASSIGN, 2)) >= ASSIGN_VALUE
@@ -68,6 +68,10 @@ def mark(docs: DataFrame) -> DataFrame:
         lambda t: F.struct(
             t["start"].alias("start"), t["end"].alias("end"), t["found"].alias("token"),
             F.exists(base, lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])).alias("base"),
+            (
+                F.exists(base, lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"]))
+                & ~F.exists(base, lambda b: (b["start"] <= t["start"]) & (t["end"] <= b["end"]))
+            ).alias("mixed"),
         ),
     )
     return marked.withColumn("_tokens", tokens)
@@ -97,13 +101,13 @@ class Chains:
 
 
 def learn(marked: DataFrame, prior: float = 16.0) -> Chains:
-    """Both chains, from all distinct long tokens of ``marked``: met by a base span, or not.
+    """Both chains, from all distinct long tokens of ``marked``: inside a base span, or met by none.
 
     After each character ``prior`` more are added, spread as characters are overall: what identifiers never
     hold stays unlikely in places they never showed. Random strings take half of their chances evenly
     from the alphabet, since the labelled ones have only some of its kinds.
     """
-    tokens = marked.select(F.explode("_tokens").alias("t")).select("t.token", "t.base").distinct()
+    tokens = marked.select(F.explode("_tokens").alias("t")).where("NOT t.mixed").select("t.token", "t.base").distinct()
     pairs = tokens.select(
         "base", F.explode(F.transform(F.sequence(F.lit(1), F.length("token") - 1), lambda i: F.substring(F.col("token"), i, F.lit(2)))).alias("pair")
     )
@@ -122,8 +126,8 @@ def learn(marked: DataFrame, prior: float = 16.0) -> Chains:
 
 
 def spans(marked: DataFrame, chains: Chains) -> DataFrame:
-    """``marked`` with _spans: the base spans and the tokens no base span meets that the chains find random."""
-    own = F.filter("_tokens", lambda t: ~t["base"] & chains.random(t["token"]))
+    """``marked`` with _spans: the base spans and the tokens not inside one that the chains find random, as a whole."""
+    own = F.filter("_tokens", lambda t: (~t["base"] | t["mixed"]) & chains.random(t["token"]))
     added = F.transform(own, _as_span(KINDS.index("random")))
     return marked.withColumn("_spans", F.array_sort(F.concat("_base", added)).cast(_SPAN))
 

@@ -53,6 +53,22 @@ def test_the_chains_tell_random_strings_from_identifiers(spark):
     assert found[0] == found[1] == []
 
 
+def test_a_random_token_around_a_base_span_is_judged_whole(spark):
+    rng = random.Random(3)
+    prefix = [prose(rng, 2000).replace(" ", "") for _ in range(2)]
+    rows = [" ".join(t[i : i + 18] for i in range(0, len(t), 18)) for t in prefix] + texts()
+    hidden = "Qm7X" + "0f3a9c1e5b7d2846a0c9e3f1" + "XyZ9Qm2LpW8vKr4T"
+    rows += [f"note {hidden} here", "internationalization_of_api_key=abcdefgh"]
+    docs = documents(spark, rows)
+    found = {r["doc_id"]: r for r in secret_scan.scan(docs).collect()}
+    mine, other = found[len(rows) - 2], found[len(rows) - 1]
+    assert [(s["start"], s["kind"], s["end"]) for s in mine["base"]] == [(9, 2, 33)]
+    assert [(s["start"], s["kind"], s["end"]) for s in mine["spans"]] == [(5, 3, 5 + len(hidden)), (9, 2, 33)]
+    assert other["spans"] == other["base"] and len(other["base"]) == 1
+    masked = {r["doc_id"]: r["text"] for r in secret_scan.redact(docs).collect()}
+    assert masked[len(rows) - 2] == "note [SECRET] here"
+
+
 def test_redaction(spark):
     rows = texts()
     docs = documents(spark, rows)
