@@ -6,7 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from priceloom.llm import chat, language_id, mixing, near_vectors, packing, quality_vote, secret_scan, simhash, top_k, toxicity
+from priceloom.llm import (
+    chat,
+    language_id,
+    mixing,
+    near_vectors,
+    packing,
+    quality_vote,
+    secret_scan,
+    sentence_pieces,
+    simhash,
+    top_k,
+    toxicity,
+)
 from priceloom.llm.text import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -125,3 +137,18 @@ def op10_language_filters(spark: SparkSession, folder: str) -> DataFrame:
     held_out = fold(F.col("doc_id"), 3) == 1
     filters = language_id.learn(docs.where(~held_out).select("doc_id", "text", "lang"))
     return language_id.identify(docs, filters).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+#: The public model of the sentencepiece query; its file is found by each executor.
+PIECES = "piece_bpe_32k.model"
+
+
+@query()
+def op11_sentence_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    found = sentence_pieces.encode(table(spark, folder, "documents"), PIECES, decoded=True)
+    return found.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
