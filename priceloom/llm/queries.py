@@ -18,6 +18,7 @@ from priceloom.llm import (
     simhash,
     top_k,
     toxicity,
+    turn_repair,
 )
 from priceloom.llm.text import fold
 
@@ -152,3 +153,12 @@ def op11_sentence_pieces(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query()
+def op12_structure_repair(spark: SparkSession, folder: str) -> DataFrame:
+    conversations = table(spark, folder, "conversations")
+    found = turn_repair.repair(turn_repair.damage(conversations), conversations)
+    return found.select(
+        "conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"
+    )

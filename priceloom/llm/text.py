@@ -12,9 +12,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def fold_text(text: Column, folds: int) -> Column:
+    """crc32 of a text, modulo ``folds``."""
+    return F.crc32(text.cast("binary")) % folds
+
+
 def fold(doc_id: Column, folds: int) -> Column:
     """crc32 of the id as text, modulo ``folds``."""
-    return F.crc32(doc_id.cast("string").cast("binary")) % folds
+    return fold_text(doc_id.cast("string"), folds)
 
 
 def fold_of(doc_id: int, folds: int) -> int:

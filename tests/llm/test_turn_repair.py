@@ -1,0 +1,246 @@
+import hashlib
+import itertools
+import random
+import re
+import zlib
+
+import pytest
+
+from priceloom.llm import queries, turn_repair
+
+SHAPE = re.compile(r"(s?(ua)+)?")
+TURNS = "conv_id long, turn long, role string, text string, seq long, place string, block int, kind int"
+
+
+# --- brute force -------------------------------------------------------------------------------------
+
+
+def faults(rows):
+    seen, out = set(), []
+    for role, text in rows:
+        bare = text.strip(" \t\n\x0b\x0c\r")
+        if not bare:
+            out.append("blank")
+        elif (role, text) in seen:
+            out.append("duplicate")
+        else:
+            out.append("" if bare[-1] in ".!?" else "truncated")
+        seen.add((role, text))
+    return out
+
+
+def plain(rows, found):
+    """Costs backwards over all (row, state), then the least letter of the cheapest at every point."""
+    nexts = {"": "su", "s": "u", "u": "a", "a": "u"}
+    n = len(rows)
+    cost = [dict.fromkeys(nexts, 10**9) for _ in range(n + 1)]
+
+    def ways(i, state):
+        if i < n:
+            role, text = rows[i]
+            yield "D", 3, i + 1, state, None
+            if found[i] not in ("blank", "duplicate"):
+                cut = found[i] == "truncated"
+                if role[:1] and role[0] in nexts[state]:
+                    yield "K", int(cut), i + 1, role[0], (role, text)
+                yield "R", 2 + cut, i + 1, nexts[state][-1], ({"u": "user", "a": "assistant"}[nexts[state][-1]], text)
+        new = nexts[state][-1]
+        yield "I", 2, i, new, ({"u": "user", "a": "assistant"}[new], "")
+
+    for i in range(n, -1, -1):
+        if i == n:
+            cost[n][""] = cost[n]["a"] = 0
+        for _ in range(5):  # until inserts change nothing
+            for state in nexts:
+                cost[i][state] = min([cost[i][state], *(c + cost[j][t] for _, c, j, t, _ in ways(i, state))])
+    i, state, audit, out = 0, "", "", []
+    while not (i == n and cost[i][state] == 0 and state in ("", "a")):
+        letter, _, i, state, row = min(w for w in ((l, c, j, t, r) for l, c, j, t, r in ways(i, state)) if w[1] + cost[w[2]][w[3]] == cost[i][state])
+        audit += letter
+        out += [row] if row else []
+    return cost[0][""], audit, out
+
+
+def exhaustive(rows):
+    """The same from all edit sequences with at most four inserts."""
+    found, options = faults(rows), []
+    for letters in itertools.product("DKR", repeat=len(rows)):
+        if any(l != "D" and f in ("blank", "duplicate") for l, f in zip(letters, found, strict=True)):
+            continue
+        for roles in itertools.product(["user", "assistant"], repeat=letters.count("R")):
+            it = iter(roles)
+            line = [(l, role if l == "K" else next(it) if l == "R" else None) for l, (role, _) in zip(letters, rows, strict=True)]
+            cost = sum({"D": 3, "K": 0, "R": 2}[l] + (l != "D" and f == "truncated") for l, f in zip(letters, found, strict=True))
+            for inserts in range(5):
+                for at in itertools.combinations_with_replacement(range(len(rows) + 1), inserts):
+                    for kinds in itertools.product("ua", repeat=inserts):
+                        audit, initials = "", ""
+                        for i in range(len(rows) + 1):
+                            for a, k in zip(at, kinds, strict=True):
+                                if a == i:
+                                    audit, initials = audit + "I", initials + k
+                            if i < len(rows):
+                                audit += line[i][0]
+                                initials += "" if line[i][0] == "D" else line[i][1][:1] or "?"
+                        if SHAPE.fullmatch(initials):
+                            options.append((cost + 2 * inserts, audit))
+    return min(options)
+
+
+def order(row):
+    """By turn, nulls first; then role, 64 characters of the text, a digest of both."""
+    turn, role, text = row
+    digest = hashlib.sha256(f"{len(role)}:{role}{text}".encode()).digest()
+    return turn is not None, turn or 0, role.encode(), text[:64].encode(), digest
+
+
+def damaged(rows):
+    """{conv: rows after damage, in order}, from (conv, turn, role, text)."""
+    out = {}
+    for conv, turn, role, text in rows:
+        blank = lambda v: " " if v is None else v
+        kind = zlib.crc32(f"{blank(conv)}:{blank(turn)}".encode()) % 20
+        role, text = blank(role), blank(text)
+        if kind == 1:
+            text = ""
+        elif kind == 2:
+            text = re.sub("[.!?]", "", text)
+        elif kind == 4:
+            role = "user"
+        out.setdefault(conv, [])
+        out[conv] += [(turn, role, text)] * (0 if kind == 0 else 2 if kind == 3 else 1)
+    return {conv: sorted(found, key=order) for conv, found in out.items()}
+
+
+def report(rows):
+    """The contract's figures of rows (turn, role, text) in order."""
+    turns = {t for t, _, _ in rows if t is not None}
+    bare = [(role, text) for _, role, text in rows]
+    found = faults(bare)
+    cost, audit, out = plain(bare, found)
+    initials = [role[:1] for role, _ in bare]
+    return (
+        max(turns) - min(turns) + 1 - len(turns) if turns else 0,
+        found.count("blank"), found.count("duplicate"), found.count("truncated"),
+        sum(a + b not in ("su", "ua", "au") for a, b in itertools.pairwise(initials)),
+        cost, audit, hashlib.sha256("\n".join(f"{r}:{t}" for r, t in out).encode()).hexdigest(),
+    )
+
+
+# --- without Spark -----------------------------------------------------------------------------------
+
+
+def symbols(rows):
+    of = {"s": 0, "u": 1, "a": 2}
+    marks = {"": 0, "truncated": 4}
+    return "".join(
+        "8" if f in ("blank", "duplicate") else str(of.get(role[:1], 3) + marks[f])
+        for (role, _), f in zip(rows, faults(rows), strict=True)
+    )
+
+
+def random_rows(rng, n):
+    texts = ["", " \n", "Fine.", "Really?", "cut", "cut off ", "ok!"]
+    roles = ["system", "user", "assistant", "tool", "", "sys", "usr"]
+    run, out = rng.choice(roles), []
+    for i in range(n):
+        run = rng.choice(roles) if rng.random() < 0.6 else run
+        text = rng.choice(texts)
+        out.append((run, f"{i} {text}" if rng.random() < 0.8 and text.strip() else text))
+    return out
+
+
+def repaired(text):
+    """Cost and audit by runs and powers."""
+    letters, ends = turn_repair.unroll(text, turn_repair.CLOSED)
+    cost = turn_repair._before(turn_repair.transition(text), turn_repair.CLOSED)[0]
+    return cost, letters[0] + turn_repair._CLOSING[ends[0]]
+
+
+def test_runs_against_all_edit_sequences():
+    rng = random.Random(1)
+    for _ in range(60):
+        rows = random_rows(rng, rng.randint(0, 4))
+        want = exhaustive(rows)
+        assert plain(rows, faults(rows))[:2] == want
+        assert repaired(symbols(rows)) == want, rows
+
+
+def test_runs_against_row_by_row():
+    rng = random.Random(2)
+    for _ in range(400):
+        rows = random_rows(rng, rng.randint(1, 40))
+        assert repaired(symbols(rows)) == plain(rows, faults(rows))[:2], rows
+
+
+@pytest.mark.parametrize("symbol", range(9))
+def test_long_runs(symbol):
+    role = ["system", "user", "assistant", "tool"][symbol % 4]
+    for n in (1, 2, 3, 7, 64, 333):
+        rows = [(role, "" if symbol == 8 else f"{i}" + ("" if symbol >= 4 else ".")) for i in range(n)]
+        assert repaired(str(symbol) * n) == plain(rows, faults(rows))[:2]
+
+
+def test_blocks_are_associative():
+    rng = random.Random(3)
+    rows = random_rows(rng, 200)
+    text = symbols(rows)
+    for cut in (1, 37, 199):
+        first, second = turn_repair.transition(text[:cut]), turn_repair.transition(text[cut:])
+        assert turn_repair._product(first, second) == turn_repair.transition(text)
+
+
+# --- tables ------------------------------------------------------------------------------------------
+
+
+def conversations(spark):
+    rng = random.Random(4)
+    rows = []
+    for conv in [*range(60), None]:
+        for i, (role, text) in enumerate(random_rows(rng, rng.choice([1, 2, 5, 9]))):
+            rows.append((conv, rng.choice([i, i, i, i + 3]), role, text))
+    rows += [(70, None, "user", "No turn."), (70, None, None, None), (70, 1, "assistant", None), (71, None, "user", "Hi.")]
+    rows += [(72, i, ["user", "assistant"][i % 2], f"Turn {i}.") for i in range(300)]
+    rows += [(73, 5, "user", "same")] * 3 + [(73, 5, "user", "x" * 50_000 + "."), (73, 5, "user", "x" * 50_000)]
+    rows += [(74, -3, "assistant", "First."), (74, 2**40, "user", "Far "), (74, 0, "user", "tab.\t\u0085")]
+    found = spark.createDataFrame([(*r, 1, "x", 2, 3) for r in rows], TURNS)
+    return rows, found
+
+
+@pytest.mark.parametrize("bits", [1, 12])
+def test_query(spark, tmp_path, monkeypatch, bits):
+    monkeypatch.setattr(turn_repair, "_BLOCK_BITS", bits)  # two rows a block: conversations span many
+    rows, table = conversations(spark)
+    table.repartition(5).write.parquet(str(tmp_path / "conversations.parquet"))
+    got = {r["conv_id"]: tuple(r)[1:] for r in queries.op12_structure_repair(spark, str(tmp_path)).collect()}
+    want = {conv: report(found) for conv, found in damaged(rows).items()}
+    assert got.keys() == want.keys()
+    for conv, figures in want.items():
+        assert got[conv] == figures, conv
+
+
+def test_repaired_turns(spark):
+    rows, table = conversations(spark)
+    got = {}
+    for r in turn_repair.repaired_turns(table).orderBy("conv_id", "place").collect():
+        got.setdefault(r["conv_id"], []).append((r["place"], r["edit"], r["role"], r["text"]))
+    by_conv = {}
+    for conv, turn, role, text in rows:
+        blank = lambda v: " " if v is None else v
+        by_conv.setdefault(conv, []).append((turn, blank(role), blank(text)))
+    for conv, found in by_conv.items():
+        bare = [r[1:] for r in sorted(found, key=order)]
+        _, audit, out = plain(bare, faults(bare))
+        edits = got[conv]
+        assert [e[0] for e in edits] == list(range(len(edits))) and "".join(e[1] for e in edits) == audit
+        assert [e[2:] for e in edits if e[1] != "D"] == out
+        assert SHAPE.fullmatch("".join(e[2][0] for e in edits if e[1] != "D"))
+
+
+def test_empty_table(spark):
+    rows = spark.createDataFrame([], TURNS)
+    assert turn_repair.repair(rows, rows).collect() == []
+    only = spark.createDataFrame([(9,), (9,), (None,)], "conv_id long")
+    got = sorted((tuple(r) for r in turn_repair.repair(rows, only).collect()), key=str)
+    empty = hashlib.sha256().hexdigest()
+    assert got == [(9, 0, 0, 0, 0, 0, 0, "", empty), (None, 0, 0, 0, 0, 0, 0, "", empty)]
