@@ -19,6 +19,7 @@ from priceloom.llm import (
     top_k,
     toxicity,
     turn_repair,
+    whitening,
 )
 from priceloom.llm.text import fold
 
@@ -162,3 +163,10 @@ def op12_structure_repair(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(
         "conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"
     )
+
+
+@query()
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    found = whitening.whiten(table(spark, folder, "embeddings"), scale=64.0, shift=1_000_000, components=16)
+    # A sum that no long holds stops the job.
+    return found.withColumn("deviation", F.col("deviation").cast("long"))

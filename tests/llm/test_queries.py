@@ -25,13 +25,16 @@ COLUMNS = {
     8: {"doc_id", "held_out", "score", "predicted"},
     9: {"doc_id", "size", "source_size", "target", "taken"},
     10: {"doc_id", "held_out", "lang_pred", "score"},
+    11: {"doc_id", "n_tokens", "ids_sha256", "decoded_sha256"},
+    12: {"conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"},
+    13: {"vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"},
 }
-PER_ROW = {1: "embeddings", 3: "documents", 4: "documents", 6: "documents", 8: "documents", 9: "documents", 10: "documents"}
+PER_ROW = {1: "embeddings", 3: "documents", 4: "documents", 6: "documents", 8: "documents", 9: "documents", 10: "documents", 11: "documents"}
 
 
 def test_all_are_registered():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
-    assert numbers == list(range(1, 11)) and {*QUERIES, "pipeline"} <= set(queries())
+    assert numbers == list(range(1, 14)) and {*QUERIES, "pipeline"} <= set(queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
