@@ -15,9 +15,10 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from priceloom.llm.graph import components
+from priceloom.llm.text import apart, row_keys
 from priceloom.session import settle
 
 BITS = 64
@@ -50,16 +51,21 @@ def fingerprint(text: bytes, length: int = 3) -> int:
     return int(np.packbits(2 * total > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, length: int = 3, text: str = "text", id: str = "doc_id") -> DataFrame:
-    """(doc_id, fp): the fingerprint as a signed long; null texts count as empty."""
+def fingerprints(
+    docs: DataFrame, length: int = 3, text: str = "text", id: str = "doc_id", told: tuple[Column, ...] = ()
+) -> DataFrame:
+    """(doc_id, fp, ...): the fingerprint as a signed long, and longs to go with it; null texts count as empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = np.fromiter((fingerprint(t.as_py(), length) for t in batch.column(1)), "<u8", batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], ["doc_id", "fp"])
+            columns = [batch.column(0), pa.array(found.view(np.int64)), *batch.columns[2:]]
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     whole = F.coalesce(F.col(text).cast("binary"), F.lit(b""))
-    return docs.select(F.col(id).cast("long"), whole).mapInArrow(run, "doc_id long, fp long")
+    names = ["doc_id", "fp", *[f"told_{n}" for n in range(len(told))]]
+    rows = docs.select(F.col(id).cast("long"), whole, *told)
+    return rows.mapInArrow(run, ", ".join(f"{n} long" for n in names))
 
 
 # --- statistics of the bits --------------------------------------------------------------------------
@@ -348,11 +354,23 @@ def near_copies(
 
 
 def keep_first(docs: DataFrame, length: int = 3, distance: int = 2) -> DataFrame:
-    """Documents without near copies of a document with a smaller doc_id; of repeated rows one stays.
+    """One row of each group of near copies: that with the smallest doc_id, null last, then by a hash of the row.
 
-    Columns are those of ``docs``. Rows without an id stay, all of them.
+    Decided per row, whatever ids repeat: rows of one id with texts that are no near copies all stay. Of
+    equal rows one stays. Columns are those of ``docs``, whatever their names; an empty table gives none.
     """
-    found = near_copies(docs.where("doc_id IS NOT NULL"), length, distance)
-    kept = found.where("doc_id = component_id").select("doc_id").distinct()
-    rows = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
-    return rows.unionByName(docs.where("doc_id IS NULL"))
+    one, two = row_keys(docs)
+    marked = settle(fingerprints(docs, length, told=(one, two)).toDF("doc_id", "fp", "one", "two"), "fingerprints")
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "one", "two")
+    first = settle(marked.groupBy("fp").agg(F.min(order).alias("first")), "distinct")
+    grouped = components(links(first.select("fp"), distance)).withColumnRenamed("node", "fp")
+    named = first.join(grouped, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+    kept = settle(named.groupBy("component").agg(F.min("first").alias("first")).select("first.one", "first.two"), "kept")
+    # How many equal rows each kept one stands for: one in general.
+    count = marked.join(kept, ["one", "two"]).groupBy("one", "two").agg(F.count(F.lit(1)).alias("count"))
+    key, other, copies = apart(docs, "one", "two", "count")
+    count = settle(count, "counts").toDF(key, other, copies)
+    rows = docs.withColumns({key: one, other: two}).join(count, [key, other])
+    alone = rows.where(F.col(copies) == 1)
+    repeated = rows.where(F.col(copies) > 1).dropDuplicates([key, other])
+    return alone.unionByName(repeated).select(*[F.col(f"`{c}`") for c in docs.columns])

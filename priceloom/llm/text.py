@@ -26,6 +26,25 @@ def fold_of(doc_id: int, folds: int) -> int:
     return zlib.crc32(str(doc_id).encode()) % folds
 
 
+def apart(df: DataFrame, *names: str) -> list[str]:
+    """``names``, lengthened until ``df`` has no such column (case aside)."""
+    taken = {c.lower() for c in df.columns}
+    found = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
+def row_keys(df: DataFrame) -> tuple[Column, Column]:
+    """Two hashes of all columns but maps, which have none: equal rows have equal ones, others practically never."""
+    columns = [F.col(f"`{c}`") for c, kind in df.dtypes if "map<" not in kind and kind != "variant"]
+    present = [c.isNull() for c in columns]
+    return F.xxhash64(*columns, *present), F.xxhash64(F.lit(1), *columns, *present)
+
+
 def map_rows(df: DataFrame, columns: list[str], schema: str, row: Callable[..., tuple]) -> DataFrame:
     """``row(*values) -> tuple`` for each row of ``columns``, one value in memory at a time."""
     from pyspark.sql.types import StructType

@@ -4,6 +4,7 @@ import re
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from priceloom.llm import simhash
 from tests.llm.data import DOCS, documents, prose
@@ -96,11 +97,36 @@ def test_near_copies(spark):
 
 def test_the_stage_keeps_the_first_of_each_group(spark):
     rng = random.Random(4)
-    text = prose(rng, 300)
-    docs = documents(spark, [text, prose(rng, 300), text, None, ""], extra=[(1, "again", "en", "s", 5, 0.0, "x"), (None, text, None, None, 1, 0.0, "x")])
+    text, other = prose(rng, 300), prose(rng, 300)
+    extra = [
+        (1, "quite another text", "en", "s", 5, 0.0, "x"),  # the same id: no copy, so it stays
+        (0, text, "en", "s0", len(text), 9.0, "x"),  # an equal row
+        (None, text, None, None, 1, 0.0, "x"), (None, "no id", None, None, 1, 0.0, "x"), (None, "no id", None, None, 2, 0.0, "x"),
+    ]
+    docs = documents(spark, [text, other, text, None, ""], extra=extra)
     kept = simhash.keep_first(docs)
     assert kept.columns == docs.columns
-    assert sorted((r["doc_id"] for r in kept.collect()), key=str) == [0, 1, 3, None]
+    rows = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str)
+    assert rows == sorted([(0, text), (1, other), (1, "quite another text"), (3, None), (None, "no id")], key=str)
+
+
+def test_the_stage_decides_alike_in_any_order(spark):
+    rng = random.Random(9)
+    texts = [prose(rng, 60) for _ in range(6)] * 4
+    docs = documents(spark, texts, extra=[(i % 4, texts[i % 3], None, None, i, 0.0, "y") for i in range(9)])
+    key = lambda df: sorted((str(tuple(r)) for r in df.collect()))
+    once = key(simhash.keep_first(docs))
+    assert once == key(simhash.keep_first(docs.orderBy(F.rand(3)))) and len(once) == 6
+
+
+NAMES = ["_key", "_id", "_position", "_base", "_tokens", "_spans", "_walked", "one", "two", "count", "fp", "first"]
+
+
+def test_any_column_name(spark):
+    docs = documents(spark, ["a b c", "a b c", None]).withColumns({n: F.concat(F.lit(n), "doc_id") for n in NAMES})
+    kept = simhash.keep_first(docs)
+    assert kept.columns == docs.columns
+    assert {r["doc_id"]: [r[n] for n in NAMES] for r in kept.collect()} == {i: [f"{n}{i}" for n in NAMES] for i in (0, 2)}
 
 
 def test_empty_table(spark):
