@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from priceloom.llm.text import WORD
+from priceloom.llm.text import WORD, apart
 from priceloom.session import settle
 
 #: Documents of one source are summed in so many parts, then within a part.
@@ -127,12 +127,14 @@ def mix(
 def training_order(docs: DataFrame, weights: list[int], **options) -> DataFrame:
     """The rows of ``docs`` as often as the mix takes them, sorted by their places in training.
 
-    Equal rows are interchangeable: one of them is repeated for all of their places.
+    Equal rows are interchangeable: one of them is repeated for all of their places. Null ids, texts and sources
+    are taken as `mix` takes them; columns keep their names, whatever they are; an empty table gives none.
     """
     placed = mix(docs, weights, **options).where("copies > 0")
     # The key, which covers the id, tells a null id from the number that stands for it here. Plain equality on both
     # columns lets the join use the partitioning of the step before: texts are shuffled once for both.
-    known = F.coalesce("doc_id", F.lit(0)).alias("_id")
-    places = placed.select(F.col("row_key").alias("_key"), known, F.explode("positions").alias("_position"))
-    rows = docs.select("*", row_key(docs).alias("_key"), known).dropDuplicates(["_key", "_id"]).join(places, ["_key", "_id"])
-    return rows.sort("_position", "doc_id").select(*docs.columns)
+    key, known, position, last = apart(docs, "_key", "_id", "_position", "_last")
+    id_of = F.coalesce("doc_id", F.lit(0))
+    places = placed.select(F.col("row_key").alias(key), id_of.alias(known), F.explode("positions").alias(position), F.col("doc_id").alias(last))
+    rows = docs.withColumns({key: row_key(docs), known: id_of}).dropDuplicates([key, known]).join(places, [key, known])
+    return rows.sort(position, last).select(*[F.col(f"`{c}`") for c in docs.columns])

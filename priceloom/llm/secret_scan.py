@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from priceloom.llm.text import apart
 from priceloom.session import settle
 
 # The patterns. In hex and access the length is part of the pattern, which changes nothing: both match
@@ -155,26 +156,36 @@ def written(found: Column) -> Column:
 def redact(docs: DataFrame, mask: str = "[SECRET]") -> DataFrame:
     """``docs`` with every secret in ``text`` replaced by ``mask`` and ``n_chars``, if there, counted anew.
 
-    Overlapping spans become one mask. Rows without secrets stay as they are.
+    Overlapping spans become one mask. Rows without secrets stay as they are, null and empty texts among them.
+    Columns keep their names, whatever they are; repeated rows stay; an empty table gives none.
     """
-    marked = settle(mark(docs), "marked")
+    (row,) = apart(docs, "row")
+    # All columns travel in one struct: none can meet a name that is used here.
+    told = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(row)
+    marked = settle(mark(docs.select(told, "text")).select(row, "_base", "_tokens"), "marked")
     found = spans(marked, learn(marked))
-    text = F.col("text")
+    text = F.col(row)["text"]
 
     def step(done: Column, span: Column) -> Column:
         start, end = span["start"], span["end"]
-        apart = start >= done["at"]
         clear = F.substring(text, done["at"] + 1, start - done["at"])
         return F.struct(
             F.greatest(done["at"], end).alias("at"),
-            F.when(apart, F.concat(done["out"], clear, F.lit(mask))).otherwise(done["out"]).alias("out"),
+            F.when(start >= done["at"], F.concat(done["out"], clear, F.lit(mask))).otherwise(done["out"]).alias("out"),
         )
 
     walked = F.aggregate("_spans", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step)
-    rest = F.substring(text, F.col("_walked.at") + 1, F.length(text))
     found = found.withColumn("_walked", F.when(F.size("_spans") > 0, walked))
-    found = found.withColumn("text", F.when(F.size("_spans") > 0, F.concat("_walked.out", rest)).otherwise(text))
-    if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        found = found.withColumn("n_chars", F.when(F.size("_spans") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
-    return found.select(*docs.columns)
+    rest = F.substring(text, F.col("_walked")["at"] + 1, F.length(text))
+    found = found.withColumn("_clean", F.concat(F.col("_walked")["out"], rest))
+    touched = F.col("_clean").isNotNull()
+
+    def column(name: str, kind: str) -> Column:
+        value = F.col(row)[name]
+        if name == "text":
+            value = F.when(touched, F.col("_clean")).otherwise(value)
+        elif name == "n_chars":
+            value = F.when(touched, F.length("_clean").cast(kind)).otherwise(value)
+        return value.alias(name)
+
+    return found.select(*[column(c, kind) for c, kind in docs.dtypes])

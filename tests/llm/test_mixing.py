@@ -95,3 +95,12 @@ def test_targets(spark, sizes):
 def test_empty_table(spark):
     empty = spark.createDataFrame([], DOCS)
     assert mixing.mix(empty, [3, 1, 2]).count() == mixing.training_order(empty, [3, 1, 2]).count() == 0
+
+
+def test_any_column_name(spark):
+    names = ["_key", "_id", "_position", "_last", "_base", "_tokens", "_spans", "_walked", "_clean", "row", "copies"]
+    docs = documents(spark, ["one text of words", "password = hunter2hunter2", None, ""])
+    docs = docs.withColumns({n: F.concat(F.lit(n), "doc_id") for n in names})
+    got = mixing.training_order(docs, [3, 1, 2], share=1.0)
+    assert got.columns == docs.columns and got.count() >= 1
+    assert all(r[n] == f"{n}{r['doc_id']}" for r in got.collect() for n in names)

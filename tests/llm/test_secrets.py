@@ -1,6 +1,8 @@
 import random
 import re
 
+from pyspark.sql import functions as F
+
 from priceloom.llm import secret_scan
 from tests.llm.data import DOCS, documents, prose
 
@@ -88,3 +90,12 @@ def test_redaction(spark):
 def test_empty_table(spark):
     empty = spark.createDataFrame([], DOCS)
     assert secret_scan.scan(empty).count() == secret_scan.redact(empty).count() == 0
+
+
+def test_any_column_name(spark):
+    names = ["_key", "_id", "_position", "_last", "_base", "_tokens", "_spans", "_walked", "_clean", "row", "copies"]
+    docs = documents(spark, ["one text of words", "password = hunter2hunter2", None, ""])
+    docs = docs.withColumns({n: F.concat(F.lit(n), "doc_id") for n in names})
+    got = secret_scan.redact(docs)
+    assert got.columns == docs.columns and got.count() >= 1
+    assert all(r[n] == f"{n}{r['doc_id']}" for r in got.collect() for n in names)
