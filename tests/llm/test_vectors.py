@@ -89,3 +89,36 @@ def test_fewer_candidates_than_k(spark):
     rows = [(0, [1.0, 0.0], 1), (1, [0.5, 0.5], 1), (2, [-1.0, 0.0], 1)]
     found = top_k(table(spark, rows), lambda i: i == 0).orderBy("rank").collect()
     assert [(r["rank"], r["vec_id"], r["score"]) for r in found] == [(1, 1, 256 * 128), (2, 2, -256 * 256)]
+
+
+@pytest.mark.parametrize("k", [1, 5])
+def test_large_components_take_part(spark, k):
+    rng = np.random.default_rng(11)
+    rows = [(i, [float(x) for x in rng.normal(size=3)], 1) for i in range(40)]
+    rows += [(100, [300_000.0, 0.0, 0.0], 1), (101, [300_000.0, 0.0, 0.0], 1), (102, [0.0, -(2.0**40), 1.0], 1), (103, [1e30, 0.0, 0.0], 1)]
+    rows += [(110, [0.0, 0.0, 2.0], 1), (120, [3e5, 2.0, -1.0], 1)]
+    rows = [r for r in rows if r[0] != 103] if k == 5 else rows
+    whole = {i: [math.floor(256 * float(np.float32(x))) for x in v] for i, v, _ in rows}
+    asks = lambda i: i in (110, 120) or i < 40 and i % 10 == 0
+    if k == 1:  # 1e30 meets only zeros in the one query
+        asks = lambda i: i == 110
+    found = {}
+    condition = (lambda i: i.isin(110)) if k == 1 else (lambda i: i.isin(110, 120) | (i < 40) & (i % 10 == 0))
+    for r in top_k(table(spark, rows), condition, k=k).collect():
+        found.setdefault(r["query_id"], {})[r["rank"]] = (r["vec_id"], r["score"])
+    for q in filter(asks, whole):
+        scores = sorted((-sum(a * b for a, b in zip(whole[q], w)), i) for i, w in whole.items() if i != q)[:k]
+        assert [found[q][n] for n in sorted(found[q])] == [(i, -s) for s, i in scores], q
+    assert set(found) == set(filter(asks, whole))
+
+
+def test_a_score_beyond_a_long_stops_the_job(spark):
+    rows = [(0, [1e12, 0.0], 1), (1, [1e12, 1.0], 1), (2, [0.0, 1.0], 1)]
+    with pytest.raises(Exception, match="beyond a long: query 0, vector 1"):
+        top_k(table(spark, rows), lambda i: i == 0).collect()
+    assert [r["vec_id"] for r in top_k(table(spark, rows), lambda i: i == 2).orderBy("rank").collect()] == [1, 0]
+
+
+def test_rows_without_an_id(spark):
+    rows = [(0, [1.0, 0.0], 1), (None, [9.0, 0.0], 1), (1, [2.0, 0.0], 1)]
+    assert [r["vec_id"] for r in top_k(table(spark, rows), lambda i: i == 0).collect()] == [1]
