@@ -8,12 +8,15 @@ goes with the last token of what lies before it. One pass of an Aho-Corasick aut
 last tokens, and the ids are read off it backwards, in time linear in the text.
 
 Space is written as U+2581, which no piece holds after another character: no token crosses from a word to
-the space behind it. Texts are cut there, and what was found for a chunk is remembered.
+the space behind it. Texts are cut there, and what was found for a chunk is remembered. A new chunk is cut
+once more wherever no piece has the two characters side by side, so that a known word before a full stop is
+not worked out again.
 """
 
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -54,16 +57,18 @@ class PrefixTable:
         self._first = SPACE if shape.add_dummy_prefix else ""
         self._library = SentencePieceProcessor(model_proto=content)
         self._piece = {p.piece: n for n, p in enumerate(model.pieces) if p.type == _NORMAL}
+        self._all, self._ids_of = set(self._piece), self._piece.__getitem__
         self._score = {p.piece: p.score for p in model.pieces if p.type == _NORMAL}
         self._bytes = {int(p.piece[3:-1], 16): n for n, p in enumerate(model.pieces) if p.type == _BYTE}
         self._unknown = next(n for n, p in enumerate(model.pieces) if p.type == _UNKNOWN)
         self._longest = max(map(len, self._piece), default=1)
         self._automaton = ahocorasick.Automaton()
         for piece in self._piece:
-            self._automaton.add_word(piece, piece)
+            self._automaton.add_word(piece, (piece, len(piece)))
         self._automaton.make_automaton()
         apart = not any(SPACE in piece.lstrip(SPACE) for piece in self._piece)
         self._chunks = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+" if apart else r"(?s:.+)").findall
+        self._beside = {piece[i : i + 2] for piece in self._piece for i in range(len(piece) - 1)}
         self._known: dict[str, bytes] = {}
         self._pairs: dict[tuple[str, str], bool] = {}
 
@@ -94,15 +99,18 @@ class PrefixTable:
         """The tokens of a text written with U+2581: last tokens forwards, then the way back."""
         last = [""] * (len(text) + 1)
         pairs, compatible = self._pairs.get, self.compatible
-        for end, piece in self._automaton.iter(text):
-            if last[end + 1]:
+        done = -1
+        for end, (piece, size) in self._automaton.iter(text):
+            if end == done:
                 continue
-            left = last[end + 1 - len(piece)]
-            if not left and end + 1 != len(piece):  # the character before is no piece
-                left = last[end + 1 - len(piece)] = text[end - len(piece)]
+            start = end + 1 - size
+            left = last[start]
+            if not left and start:  # the character before is no piece
+                left = last[start] = text[start - 1]
             known = pairs((left, piece))
             if compatible(left, piece) if known is None else known:
                 last[end + 1] = piece
+                done = end
         found, at = [], len(text)
         while at:
             piece = last[at] or text[at - 1]
@@ -111,31 +119,43 @@ class PrefixTable:
         return found[::-1]
 
     def _ids(self, chunk: str) -> bytes:
-        ids: list[int] = []
-        for piece in self.pieces(chunk):
-            known = self._piece.get(piece)
-            if known is not None:
-                ids.append(known)
-            elif self._bytes:
-                ids += [self._bytes[b] for b in piece.encode()]
-            else:
-                ids.append(self._unknown)
-        return np.array(ids, "<i4").tobytes()
+        pieces = self.pieces(chunk)
+        ids = array("i", map(self._ids_of, pieces)) if self._all.issuperset(pieces) else array("i")
+        if not ids:
+            for piece in pieces:
+                if piece in self._all:
+                    ids.append(self._piece[piece])
+                elif self._bytes:
+                    ids.extend(self._bytes[b] for b in piece.encode())
+                else:
+                    ids.append(self._unknown)
+        return ids.tobytes()
+
+    def _remembered(self, chunk: str, ids: bytes) -> bytes:
+        if len(chunk) <= self.LONG:
+            if len(self._known) >= self.MOST:
+                self._known.clear()
+            self._known[chunk] = ids
+        return ids
+
+    def _learn(self, chunk: str) -> bytes:
+        """Ids of a new chunk, from those of its parts."""
+        beside, known = self._beside, self._known
+        cuts = [i for i in range(1, len(chunk)) if chunk[i - 1 : i + 1] not in beside]
+        if not cuts:
+            return self._remembered(chunk, self._ids(chunk))
+        parts = [chunk[a:b] for a, b in zip([0, *cuts], [*cuts, len(chunk)], strict=True)]
+        found = [known.get(part) or self._remembered(part, self._ids(part)) for part in parts]
+        return self._remembered(chunk, b"".join(found))
 
     def encode(self, text: str) -> np.ndarray:
         if not text:
-            return np.zeros(0, "<i4")
-        out, known = [], self._known
-        for chunk in self._chunks(self._first + text.replace(" ", SPACE)):
-            ids = known.get(chunk)
-            if ids is None:
-                ids = self._ids(chunk)
-                if len(chunk) <= self.LONG:
-                    if len(known) >= self.MOST:
-                        known.clear()
-                    known[chunk] = ids
-            out.append(ids)
-        return np.frombuffer(b"".join(out), "<i4")
+            return np.zeros(0, np.int32)
+        chunks = self._chunks(self._first + text.replace(" ", SPACE))
+        found = list(map(self._known.get, chunks))
+        if None in found:
+            found = [self._learn(chunk) if ids is None else ids for chunk, ids in zip(chunks, found, strict=True)]
+        return np.frombuffer(b"".join(found), np.int32)
 
     def decode(self, ids: list[int]) -> str:
         return self._library.decode(ids)
