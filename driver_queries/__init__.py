@@ -5,6 +5,6 @@ results dates are text, decimals doubles rounded to six places, so that engines
 """
 
 from driver_queries.registry import QUERIES, SQL
-from driver_queries import feed, incremental, prices, quality, silver, star  # noqa: F401  (they register themselves)
+from driver_queries import changes, feed, incremental, prices, quality, silver, star  # noqa: F401  (they register themselves)
 
 __all__ = ["QUERIES", "SQL"]

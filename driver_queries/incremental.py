@@ -11,8 +11,8 @@ from driver_queries.registry import plain, query, table
 from driver_queries.silver import KEYED, OBSERVED, SILVER, observed
 from driver_queries.star import FACT, FACT_OUT
 from priceloom.operators import after, high_watermark, merge_by_key
-from priceloom.plans.fact import committed_watermark, fact_rows, read_fact, update_fact
-from priceloom.plans.silver import FoldLedger, fold_new_slots, keyed_events, read_silver, silver_events
+from priceloom.plans.fact import fact_rows, follow_silver, read_fact
+from priceloom.plans.silver import fold_new_slots, keyed_events, read_silver, silver_events
 from priceloom.quality import compare_builds
 from priceloom.session import fresh_path
 from priceloom.sources.slots import write_new_slots
@@ -21,7 +21,7 @@ from priceloom.streaming import build_stream
 WHOLE = f"WITH {OBSERVED}, {SILVER}, {KEYED}, {FACT} SELECT {FACT_OUT} FROM fact"
 
 
-class _Lake:
+class Lake:
     """Bronze, silver and fact in folders of their own."""
 
     def __init__(self, spark: SparkSession) -> None:
@@ -30,11 +30,13 @@ class _Lake:
             fresh_path(spark, n) for n in ("bronze", "silver", "fact", "stream")
         )
 
-    def batch(self, rows: DataFrame) -> None:
+    def batch(self, rows: DataFrame, late: str = "drop") -> None:
         write_new_slots(rows, self.bronze)
         fold_new_slots(self.spark, self.bronze, self.silver)
-        days = FoldLedger(self.spark, self.silver).days_after(committed_watermark(self.spark, self.fact))
-        update_fact(self.spark, read_silver(self.spark, self.silver), self.fact, days=days)
+        self.follow(late)
+
+    def follow(self, late: str) -> None:
+        follow_silver(self.spark, self.silver, self.fact, late=late)
 
     def stream(self, rows: DataFrame, late: str) -> None:
         write_new_slots(rows, self.bronze)
@@ -45,7 +47,7 @@ class _Lake:
         return plain(read_fact(self.spark, self.fact))
 
 
-def _days(rows: DataFrame) -> tuple[str, str]:
+def days_of(rows: DataFrame) -> tuple[str, str]:
     """A day early in the feed, and one in its middle."""
     first = dt.date.fromisoformat(rows.agg(F.min("dt")).first()[0])
     return tuple((first + dt.timedelta(days=n)).isoformat() for n in (4, 14))
@@ -84,8 +86,8 @@ def upsert_merge(spark: SparkSession, folder: str) -> DataFrame:
 @query(WHOLE)
 def incremental_build(spark: SparkSession, folder: str) -> DataFrame:
     """The fact after two increments and a rerun equals the full build."""
-    rows, lake = slotted(spark, folder), _Lake(spark)
-    _, middle = _days(rows)
+    rows, lake = slotted(spark, folder), Lake(spark)
+    _, middle = days_of(rows)
     for part in (rows.filter(F.col("dt") <= middle), rows, rows):
         lake.batch(part)
     return lake.result()
@@ -101,14 +103,14 @@ silver AS (SELECT * FROM early UNION ALL SELECT * FROM everything e WHERE NOT EX
 
 
 def _late_parts(rows: DataFrame) -> list[DataFrame]:
-    late, middle = _days(rows)
+    late, middle = days_of(rows)
     return [rows.filter((F.col("dt") != late) & (F.col("dt") <= middle)), rows]
 
 
 @query(_LATE)
 def late_data_drop(spark: SparkSession, folder: str) -> DataFrame:
     """A day that arrives late stays out of the fact, unless later days showed the event in time."""
-    rows, lake = slotted(spark, folder), _Lake(spark)
+    rows, lake = slotted(spark, folder), Lake(spark)
     for part in _late_parts(rows):
         lake.batch(part)
     return lake.result()
@@ -117,7 +119,7 @@ def late_data_drop(spark: SparkSession, folder: str) -> DataFrame:
 @query(f"""WITH {OBSERVED}, {SILVER} SELECT prix_sk, station_id, carburant_id, maj_timestamp_utc, ingestion_ts FROM silver""")
 def late_data_in_silver(spark: SparkSession, folder: str) -> DataFrame:
     """Stored silver takes a late day in as if it had come in time."""
-    rows, lake = slotted(spark, folder), _Lake(spark)
+    rows, lake = slotted(spark, folder), Lake(spark)
     for part in _late_parts(rows):
         write_new_slots(part, lake.bronze)
         fold_new_slots(spark, lake.bronze, lake.silver)
@@ -127,7 +129,7 @@ def late_data_in_silver(spark: SparkSession, folder: str) -> DataFrame:
 @query(WHOLE)
 def stream_build_merge_late(spark: SparkSession, folder: str) -> DataFrame:
     """Micro-batches that let a late day in end at the full build."""
-    rows, lake = slotted(spark, folder), _Lake(spark)
+    rows, lake = slotted(spark, folder), Lake(spark)
     for part in _late_parts(rows):
         lake.stream(part, "merge")
     return lake.result()
@@ -135,7 +137,7 @@ def stream_build_merge_late(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(_LATE)
 def stream_build_drop_late(spark: SparkSession, folder: str) -> DataFrame:
-    rows, lake = slotted(spark, folder), _Lake(spark)
+    rows, lake = slotted(spark, folder), Lake(spark)
     for part in _late_parts(rows):
         lake.stream(part, "drop")
     return lake.result()
@@ -144,7 +146,7 @@ def stream_build_drop_late(spark: SparkSession, folder: str) -> DataFrame:
 @query(WHOLE)
 def stream_build_small_batches(spark: SparkSession, folder: str) -> DataFrame:
     """A few files a batch, in any order: the result is that of the whole build."""
-    lake = _Lake(spark)
+    lake = Lake(spark)
     write_new_slots(slotted(spark, folder).repartition(16), lake.bronze)
     build_stream(
         spark, lake.bronze, lake.silver, lake.fact, fresh_path(spark, "checkpoint"), "drop", files_per_batch=5
@@ -161,8 +163,8 @@ SELECT metric, value AS left_value, value AS right_value, true AS same FROM (
                  CAST(distinct_prix_sk AS VARCHAR), CAST(distinct_station_sk AS VARCHAR), CAST(distinct_date_sk AS VARCHAR)]) AS value FROM profile)""")
 def parity_audit(spark: SparkSession, folder: str) -> DataFrame:
     """The incremental fact against the full build, metric by metric."""
-    rows, lake = slotted(spark, folder), _Lake(spark)
-    _, middle = _days(rows)
+    rows, lake = slotted(spark, folder), Lake(spark)
+    _, middle = days_of(rows)
     for part in (rows.filter(F.col("dt") <= middle), rows):
         lake.batch(part)
     full = fact_rows(keyed_events(silver_events(observed(spark, folder))))

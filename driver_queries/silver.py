@@ -23,6 +23,7 @@ from priceloom.functions import (
 from priceloom.operators import calendar, distinct_members, duplicate_keys, pick_one
 from priceloom.plans import dimensions
 from priceloom.plans.silver import keyed_events, silver_events
+from priceloom.session import fresh_path
 from priceloom.sources import reference
 
 # Event types in the order of the fuel ids they stand for.
@@ -213,12 +214,17 @@ def _label(names: list[str], position: str) -> str:
 
 
 @query(f"""WITH placed AS (SELECT CAST(o_orderdate AS DATE) AS day, count(*) AS orders FROM orders GROUP BY 1),
-spine AS (SELECT CAST(unnest(generate_series((SELECT min(day) FROM placed), (SELECT max(day) FROM placed), INTERVAL 1 DAY)) AS DATE) AS d)
+spine AS (SELECT CAST(unnest(generate_series((SELECT min(day) FROM placed), (SELECT max(day) FROM placed), INTERVAL 1 DAY)) AS DATE) AS d),
+moons AS (SELECT y, (19 * (y % 19) + 24) % 30 AS d FROM (SELECT DISTINCT year(d) AS y FROM spine)),
+weeks AS (SELECT y, d, (2 * (y % 4) + 4 * (y % 7) + 6 * d + 5) % 7 AS e FROM moons),
+easters AS (SELECT y, make_date(y, 3, 22) + CAST(d + e - CASE WHEN d = 29 AND e = 6 OR d = 28 AND e = 6 AND y % 19 > 10 THEN 7 ELSE 0 END AS INTEGER) AS sunday FROM weeks)
 SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_sk, CAST(d AS VARCHAR) AS full_date, year(d) AS year, quarter(d) AS quarter,
+       isodow(d) < 6 AND strftime(d, '%d %b') NOT IN ('01 Jan', '01 May', '08 May', '14 Jul', '15 Aug', '01 Nov', '11 Nov', '25 Dec')
+         AND date_diff('day', sunday, d) NOT IN (1, 39, 50) AS is_working_day,
        month(d) AS month, {_label(MONTHS_FR, 'month(d)')} AS month_name_fr, day(d) AS day_of_month,
        isodow(d) AS day_of_week, {_label(WEEKDAYS_FR, 'isodow(d)')} AS day_name_fr, week(d) AS iso_week,
        isodow(d) >= 6 AS is_weekend, coalesce(orders, 0) AS orders
-FROM spine LEFT JOIN placed ON placed.day = spine.d""")
+FROM spine JOIN easters ON easters.y = year(spine.d) LEFT JOIN placed ON placed.day = spine.d""")
 def calendar_dim(spark: SparkSession, folder: str) -> DataFrame:
     """The calendar over the days on which orders were placed, with their number."""
     import datetime as dt
@@ -281,9 +287,11 @@ def distinct_pairs(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("""SELECT event_id, ts AS seen FROM events""")
 def epoch_micros_scan(spark: SparkSession, folder: str) -> DataFrame:
-    """Timestamps stored as plain microsecond counts and read back with scale six."""
+    """Timestamps written to Parquet as plain microsecond counts (BIGINT) and read back with scale six."""
+    path = fresh_path(spark, "micros")
     stored = table(spark, folder, "events").select("event_id", F.unix_micros(utc_instant(F.col("ts"))).alias("micros"))
-    return stored.select("event_id", micros_to_ts(F.col("micros")).alias("seen"))
+    stored.write.parquet(path)
+    return spark.read.schema("event_id bigint, micros bigint").parquet(path).select("event_id", micros_to_ts(F.col("micros")).alias("seen"))
 
 
 @query("""SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events""")

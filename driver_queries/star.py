@@ -117,14 +117,17 @@ def gated_build_ranking(spark: SparkSession, folder: str) -> DataFrame:
 @query(f"""WITH {ALL_TABLES}, counts AS (
   SELECT (SELECT count(*) FROM fact WHERE NOT prix_euro BETWEEN 0.5 AND 3.5) AS fact_warns,
          (SELECT count(*) FROM mart WHERE NOT prix_euro BETWEEN 0.5 AND 3.5) AS mart_warns,
-         (SELECT count(*) FROM regions WHERE NOT prix_moyen BETWEEN 0.5 AND 3.5) AS region_warns)
-SELECT node, failures FROM (
-  SELECT unnest(['stg_prix', 'fct_prix_carburant', 'agg_dernier_prix_station_carburant', 'agg_prix_region_carburant']) AS node,
-         unnest([fact_warns, fact_warns, mart_warns, region_warns]) AS failures FROM counts)""")
+         (SELECT count(*) FROM regions WHERE NOT prix_moyen BETWEEN 0.5 AND 3.5) AS region_warns,
+         (SELECT count(*) FROM stations WHERE NOT latitude BETWEEN 41 AND 52) AS latitude_warns,
+         (SELECT count(*) FROM stations WHERE NOT longitude BETWEEN -5 AND 10) AS longitude_warns)
+SELECT node, "column", failures FROM (
+  SELECT unnest(['stg_prix', 'fct_prix_carburant', 'agg_dernier_prix_station_carburant', 'agg_prix_region_carburant', 'dim_station', 'dim_station']) AS node,
+         unnest(['prix_euro', 'prix_euro', 'prix_euro', 'prix_moyen', 'latitude', 'longitude']) AS "column",
+         unnest([fact_warns, fact_warns, mart_warns, region_warns, latitude_warns, longitude_warns]) AS failures FROM counts) WHERE failures > 0""")
 def gated_build_warnings(spark: SparkSession, folder: str) -> DataFrame:
-    """What the gated build reports: prices outside the usual range; but for made-up stations all else passes."""
+    """What the gated build reports: prices and coordinates outside the usual range; all else passes."""
     report, _ = built(spark, folder)
-    return report.filter("status <> 'pass' AND node <> 'dim_station'").select("node", "failures")
+    return report.filter("status <> 'pass'").select("node", "column", "failures")
 
 
 @query(f"""WITH {ALL_TABLES} SELECT station_id, region_nom, carburant_nom, round(CAST(prix_euro AS DOUBLE), 6) AS prix_euro, rang

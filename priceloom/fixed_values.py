@@ -31,6 +31,10 @@ MONTHS_FR = [
 ]
 WEEKDAYS_FR = ["Lundi", "Mardi", "Mercredi", "Jeudi", "Vendredi", "Samedi", "Dimanche"]
 
+# French public holidays, by day (month-day) and by days after Easter Sunday.
+HOLIDAYS = ["01-01", "05-01", "05-08", "07-14", "08-15", "11-01", "11-11", "12-25"]
+HOLIDAYS_AFTER_EASTER = [1, 39, 50]
+
 # Letters that show an accented name survived decoding.
 ACCENTED_LETTERS = "àâäçéèêëîïôöùûüÿñæœÀÂÄÇÉÈÊËÎÏÔÖÙÛÜŸÑÆŒ"
 

@@ -39,9 +39,7 @@ def date_key(day: Column) -> Column:
 
 def micros_to_ts(micros: Column) -> Column:
     """Microseconds since the epoch as a UTC clock reading."""
-    seconds = (micros.cast("decimal(20,0)") / F.lit(1_000_000).cast("decimal(7,0)")).cast("decimal(18,6)")
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    return epoch + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
+    return F.timestamp_add("MICROSECOND", micros, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
 
 
 def slot_columns(run_time: Column) -> tuple[Column, Column]:

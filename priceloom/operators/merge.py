@@ -1,8 +1,10 @@
-"""Keyed merge into a partitioned Parquet table."""
+"""Keyed merge into a partitioned Parquet table, with a feed of what it changes."""
 
 from __future__ import annotations
 
+import uuid
 from collections import Counter
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -10,7 +12,7 @@ from pyspark.sql import types as T
 
 from priceloom.contracts import ContractError, contract_problems
 from priceloom.session import fresh_path, settle
-from priceloom.storage import exists, remove, staging, switch_partitions
+from priceloom.storage import current_path, exists, recover, remove, staging, switch_partitions
 
 
 @dataclass(frozen=True)
@@ -20,20 +22,37 @@ class MergeResult:
     inserted: int
     updated: int
     partitions: tuple | None = None
+    removed: int = 0
+
+
+#: A partition with more rows is laid out as files that hold disjoint ranges of its first sort column.
+ROWS_PER_FILE = 4_000_000
 
 
 def write_partitioned(
-    df: DataFrame, path: str, partition_by: list[str], mode: str = "overwrite", sort_by: tuple[str, ...] = ()
+    df: DataFrame,
+    path: str,
+    partition_by: list[str],
+    mode: str = "overwrite",
+    sort_by: tuple[str, ...] = (),
+    counts: Mapping | None = None,
+    rows_per_file: int | None = None,
 ) -> None:
     """Write by partition with files of even size.
 
     The rebalance hint lets AQE split a partition that holds most of the rows and join tiny ones, so
-    one busy day neither becomes one task nor thousands of small files. ``overwrite`` replaces only
-    the partitions that occur in ``df``.
+    one busy day neither becomes one task nor thousands of small files. Where ``counts``, the rows per
+    partition as far as they are known, tell of a partition of several files, rows are dealt out by range
+    instead: each of its files then holds a range of ``sort_by`` of its own, and a reader who looks for one
+    value skips the others by their footers. ``overwrite`` replaces only the partitions that occur in ``df``.
     """
+    rows_per_file = rows_per_file or ROWS_PER_FILE
+    dealt = df.hint("rebalance", *partition_by)
+    if sort_by and counts and max(counts.values()) > rows_per_file:
+        files = sum(-(-n // rows_per_file) for n in counts.values())
+        dealt = df.repartitionByRange(files, *partition_by, *sort_by)
     (
-        df.hint("rebalance", *partition_by)
-        .sortWithinPartitions(*partition_by, *sort_by)
+        dealt.sortWithinPartitions(*partition_by, *sort_by)
         .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy")
@@ -43,7 +62,7 @@ def write_partitioned(
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(schema).parquet(current_path(spark, path))
 
 
 def _same_shape(spark: SparkSession, path: str, source: DataFrame, partition_by: str) -> None:
@@ -54,6 +73,52 @@ def _same_shape(spark: SparkSession, path: str, source: DataFrame, partition_by:
         raise ContractError(f"schema of {path} changed: {problems}")
 
 
+# --- the feed ----------------------------------------------------------------------------------------
+
+
+def feed_schema(rows: T.StructType, key: str, partition_by: str) -> T.StructType:
+    """One row per changed key: its action, its partition before and after, the row before and after."""
+    return T.StructType([
+        rows[key],
+        T.StructField("action", T.StringType()),
+        T.StructField("old_partition", rows[partition_by].dataType),
+        T.StructField("partition", rows[partition_by].dataType),
+        T.StructField("old", rows),
+        T.StructField("new", rows),
+    ])
+
+
+def feed_is_complete(spark: SparkSession, feed: str) -> bool:
+    return exists(spark, feed + "/_SUCCESS")
+
+
+def no_changes(spark: SparkSession, rows: T.StructType, key: str) -> DataFrame:
+    """An empty [key, old, new]."""
+    return spark.createDataFrame([], T.StructType([rows[key], T.StructField("old", rows), T.StructField("new", rows)]))
+
+
+def net_changes(feeds: list[DataFrame], key: str) -> DataFrame:
+    """[key, old, new] over successive feeds: each key's row before the first and after the last.
+
+    Keys that end as they began, absent or with the same row, are left out.
+    """
+    if len(feeds) == 1:
+        net = feeds[0].select(key, "old", "new")
+    else:
+        numbered = [feed.select(key, "old", "new", F.lit(n).alias("_n")) for n, feed in enumerate(feeds)]
+        whole = numbered[0]
+        for feed in numbered[1:]:
+            whole = whole.unionByName(feed)
+        ends = whole.groupBy(key).agg(
+            F.min_by(F.struct("old"), "_n").alias("first"), F.max_by(F.struct("new"), "_n").alias("last")
+        )
+        net = ends.select(key, F.col("first.old").alias("old"), F.col("last.new").alias("new"))
+    return net.filter(~F.col("old").eqNullSafe(F.col("new")))
+
+
+# --- the merge ---------------------------------------------------------------------------------------
+
+
 def merge_by_key(
     path: str,
     source: DataFrame,
@@ -63,28 +128,42 @@ def merge_by_key(
     key_fixes_partition: bool = False,
     target_filter: Column | None = None,
     sort_by: tuple[str, ...] = (),
+    removed: DataFrame | None = None,
+    feed: str | None = None,
 ) -> MergeResult:
-    """Insert rows with a new key, replace rows with a known one.
+    """Insert rows with a new key, replace rows with a known one, drop those with a ``removed`` key.
 
-    ``source`` holds each key once. With ``keep_smallest`` a known row is replaced only by one with a
-    smaller value in that column; otherwise the source always wins. ``key_fixes_partition`` says that
-    equal keys always lie in equal partitions, which prunes the target to the source's partitions;
-    ``target_filter`` prunes it where matches are known to be impossible elsewhere.
+    ``source`` holds each key once, ``removed`` (a column named like the key) none of them. With
+    ``keep_smallest`` a known row is replaced only by one with a smaller value in that column; otherwise the
+    source always wins. ``key_fixes_partition`` says that equal keys always lie in equal partitions, which
+    prunes the target to the source's partitions (and must not be set with ``removed``); ``target_filter``
+    prunes it where matches are known to be impossible elsewhere.
 
     The target's key column is read once, joined with the source's keys; a small source is broadcast, so
     the target is not shuffled. Without known keys the source is appended as it is. Only partitions that
     lose or gain a replaced row are rewritten: their new versions are written aside and moved in once all
     are complete. Doing the same merge again after a crash leads to the same table.
+
+    ``feed`` names a folder for the changes (`feed_schema`). It is complete before the table is touched. A merge
+    that finds it complete was interrupted and only brings the table to what the feed says. A table that does
+    not exist yet is written without a feed: all of its rows are new.
     """
     spark = source.sparkSession
+    recover(spark, path)
     if not exists(spark, path):
-        write_partitioned(source, path, [partition_by], "overwrite", sort_by)
-        return MergeResult(read_table(spark, path, source.schema).count(), 0)
+        folder = fresh_path(spark, "merge")
+        source = settle(source, "source", folder)
+        counts = _counts(source, partition_by)
+        write_partitioned(source, path, [partition_by], "overwrite", sort_by, counts)
+        remove(spark, folder)
+        return MergeResult(sum(counts.values()), 0)
+    if feed is not None and feed_is_complete(spark, feed):
+        return apply_feed(spark, path, feed, source.schema, key, partition_by, sort_by)
     _same_shape(spark, path, source, partition_by)
 
     folder = fresh_path(spark, "merge")
     source = settle(source, "source", folder)
-    offered = {r[partition_by]: r["count"] for r in source.groupBy(partition_by).count().collect()}
+    offered = _counts(source, partition_by)
     target = read_table(spark, path, source.schema)
     known = target if target_filter is None else target.filter(target_filter)
     if key_fixes_partition:
@@ -99,27 +178,93 @@ def merge_by_key(
         action = F.when(new < F.col("_old_order"), "update").when(new == F.col("_old_order"), "same").otherwise("skip")
     narrow = source.select(key, partition_by, *([keep_smallest] if keep_smallest else []))
     matches = narrow.join(old, key).select(key, partition_by, "_old_partition", action.alias("_action"))
+    if removed is not None:
+        nowhere = F.lit(None).cast(source.schema[partition_by].dataType).alias(partition_by)
+        gone = old.join(removed.select(key).distinct(), key, "left_semi")
+        matches = matches.unionByName(gone.select(key, nowhere, "_old_partition", F.lit("delete").alias("_action")))
     matches = settle(matches, "matches", folder)
     tally = matches.groupBy("_action", "_old_partition", partition_by).count().collect()
 
-    updates = [r for r in tally if r["_action"] == "update"]
+    changed = [r for r in tally if r["_action"] in ("update", "delete")]
     matched = Counter()
     for r in tally:
-        matched[r[partition_by]] += r["count"]
+        matched[r[partition_by]] += r["count"] if r["_action"] != "delete" else 0
     inserts = {p: n - matched[p] for p, n in offered.items() if n > matched[p]}
-    rewritten = {r[c] for r in updates for c in ("_old_partition", partition_by)}
+    rewritten = {r[c] for r in changed for c in ("_old_partition", partition_by)} - {None}
     fresh = source
     if tally:
-        fresh = source.join(matches.filter("_action <> 'update'").select(key), key, "left_anti").select(*source.columns)
+        idle = matches.filter("_action IN ('same', 'skip')").select(key)
+        fresh = source.join(idle, key, "left_anti").select(*source.columns)
+    if feed is not None and (inserts or changed):
+        _write_feed(feed, target, fresh, matches, {r["_old_partition"] for r in changed}, key, partition_by)
     if rewritten:
         touched = F.col(partition_by).isin(sorted(rewritten))
-        replaced = matches.filter("_action = 'update'").select(key)
+        replaced = matches.filter("_action IN ('update', 'delete')").select(key)
         kept = target.filter(touched).join(replaced, key, "left_anti").select(*source.columns)
-        write_partitioned(kept.unionByName(fresh.filter(touched)), staging(path), [partition_by], "overwrite", sort_by)
-        switch_partitions(spark, path)
+        counts = Counter(_counts(target.filter(touched), partition_by)) + Counter({p: offered.get(p, 0) for p in rewritten})
+        _rewrite(spark, path, kept.unionByName(fresh.filter(touched)), partition_by, sort_by, rewritten, counts)
         fresh = fresh.filter(~touched)
     if any(p not in rewritten for p in inserts):
-        write_partitioned(fresh, path, [partition_by], "append", sort_by)
+        write_partitioned(fresh, path, [partition_by], "append", sort_by, inserts)
     remove(spark, folder)
-    lies_in = set(inserts) | {r[partition_by] for r in tally if r["_action"] != "skip"}
-    return MergeResult(sum(inserts.values()), sum(r["count"] for r in updates), tuple(sorted(lies_in)))
+    lies_in = set(inserts) | {r[partition_by] for r in tally if r["_action"] not in ("skip", "delete")}
+    counts = Counter()
+    for r in tally:
+        counts[r["_action"]] += r["count"]
+    return MergeResult(sum(inserts.values()), counts["update"], tuple(sorted(lies_in)), counts["delete"])
+
+
+def _write_feed(
+    feed: str, target: DataFrame, fresh: DataFrame, matches: DataFrame, old_partitions: set, key: str, partition_by: str
+) -> None:
+    """Only the partitions that lose a row are read for the rows before."""
+    row = F.struct(*[F.col(c) for c in fresh.columns])
+    new = fresh.select(key, F.col(partition_by).alias("partition"), row.alias("new"))
+    lost = matches.filter("_action IN ('update', 'delete')").select(key, "_action", F.col("_old_partition").alias("old_partition"))
+    before = target.filter(F.col(partition_by).isin(sorted(old_partitions))).join(lost, key)
+    before = before.select(key, "_action", "old_partition", row.alias("old"))
+    changes = new.join(before, key, "full").withColumn("action", F.coalesce("_action", F.lit("insert")))
+    schema = feed_schema(fresh.schema, key, partition_by)
+    changes.select(*schema.fieldNames()).write.mode("overwrite").parquet(feed)
+
+
+def _counts(rows: DataFrame, partition_by: str) -> dict:
+    """Rows per partition; of a stored table only the footers are read."""
+    return {r[partition_by]: r["count"] for r in rows.groupBy(partition_by).count().collect()}
+
+
+def _rewrite(
+    spark: SparkSession, path: str, rows: DataFrame, partition_by: str, sort_by: tuple[str, ...], touched: set, counts: Mapping
+) -> None:
+    run = uuid.uuid4().hex
+    write_partitioned(rows, staging(path, run), [partition_by], "overwrite", sort_by, counts)
+    switch_partitions(spark, path, run, touched)
+
+
+def read_feed(spark: SparkSession, feed: str, rows: T.StructType, key: str, partition_by: str) -> DataFrame:
+    return spark.read.schema(feed_schema(rows, key, partition_by)).parquet(feed)
+
+
+def apply_feed(
+    spark: SparkSession, path: str, feed: str, rows: T.StructType, key: str, partition_by: str, sort_by: tuple[str, ...] = ()
+) -> MergeResult:
+    """Bring a table to what a complete feed says, however much of it was done before.
+
+    All partitions the feed names are rewritten: their rows without the feed's keys, and the feed's rows.
+    """
+    recover(spark, path)
+    changes = read_feed(spark, feed, rows, key, partition_by)
+    tally = changes.groupBy("action", "old_partition", "partition").count().collect()
+    partitions = {r[c] for r in tally for c in ("old_partition", "partition")} - {None}
+    touched = F.col(partition_by).isin(sorted(partitions))
+    held = read_table(spark, path, rows).filter(touched)
+    kept = held.join(changes.select(key), key, "left_anti")
+    new = changes.filter("new IS NOT NULL").select("new.*")
+    counts, sizes = Counter(), Counter(_counts(held, partition_by))
+    for r in tally:
+        counts[r["action"]] += r["count"]
+        sizes[r["partition"]] += r["count"]
+    del sizes[None]
+    _rewrite(spark, path, kept.select(*rows.fieldNames()).unionByName(new), partition_by, sort_by, partitions, sizes)
+    lies_in = {r["partition"] for r in tally} - {None}
+    return MergeResult(counts["insert"], counts["update"], tuple(sorted(lies_in)), counts["delete"])

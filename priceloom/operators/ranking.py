@@ -29,11 +29,11 @@ def _before(column: str, window: WindowSpec) -> Column:
     return F.coalesce(F.sum(column).over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
 
 
-def price_ranks(df: DataFrame, by: list[str], value: str, ascending: str, descending: str) -> DataFrame:
-    """One row per (group, price) with its rank from either end."""
-    width = _block_width(df.schema[value].dataType)
-    counted = df.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
-    counts = settle(counted.withColumn("_block", F.floor(F.col(value) / F.lit(width))), "counts")
+def ranks_of_counts(counted: DataFrame, by: list[str], value: str, count: str, ascending: str, descending: str) -> DataFrame:
+    """One row per (group, price) with its count and its rank from either end, from rows that hold the counts."""
+    width = _block_width(counted.schema[value].dataType)
+    held = counted.select(*by, value, F.col(count).alias("_n"), F.floor(F.col(value) / F.lit(width)).alias("_block"))
+    counts = settle(held, "counts")
     blocks = counts.groupBy(*by, "_block").agg(F.sum("_n").alias("_n")).select(
         *[F.col(c).alias(f"_b_{c}") for c in by],
         F.col("_block").alias("_b_block"),
@@ -48,12 +48,20 @@ def price_ranks(df: DataFrame, by: list[str], value: str, ascending: str, descen
     return inside.join(blocks, same_block).select(
         *by,
         value,
+        F.col("_n").alias(count),
         (smaller + 1).alias(ascending),
         (F.col("_total") - smaller - F.col("_n") + 1).alias(descending),
     )
 
 
-def _attach(df: DataFrame, ranks: DataFrame, by: list[str], value: str) -> DataFrame:
+def price_ranks(df: DataFrame, by: list[str], value: str, ascending: str, descending: str) -> DataFrame:
+    """One row per (group, price) with its rank from either end."""
+    counted = df.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_count"))
+    return ranks_of_counts(counted, by, value, "_count", ascending, descending).drop("_count")
+
+
+def attach_ranks(df: DataFrame, ranks: DataFrame, by: list[str], value: str) -> DataFrame:
+    """``df`` with the other columns of ``ranks``, by (group, price)."""
     keys = [*by, value]
     extra = [c for c in ranks.columns if c not in keys]
     right = settle(ranks, "ranks").select(*[F.col(c).alias(f"_r_{c}") for c in keys], *extra)
@@ -68,7 +76,7 @@ def rank_in_group(
 ) -> DataFrame:
     """``df`` with both ranks of ``value`` inside its group; ties share a rank and leave gaps."""
     ranks = price_ranks(df, by, value, ascending, descending)
-    return _attach(df, ranks, by, value)
+    return attach_ranks(df, ranks, by, value)
 
 
 def rank_with_gap(
@@ -86,7 +94,7 @@ def rank_with_gap(
     All three depend on (group, price) alone, so ``df`` itself is joined once.
     """
     ranks = price_ranks(df, by, value, ascending, descending)
-    return _attach(df, gap_to_group_mean(ranks, by, value, stats, mean, gap), by, value)
+    return attach_ranks(df, gap_to_group_mean(ranks, by, value, stats, mean, gap), by, value)
 
 
 def top_n(
@@ -95,4 +103,4 @@ def top_n(
     """Rows whose rank is at most ``n``, ties included. Joins with at most ``n`` prices per group."""
     ascending, descending = (rank, "_other") if smallest else ("_other", rank)
     ranks = price_ranks(df, by, value, ascending, descending).filter(F.col(rank) <= n)
-    return _attach(df, ranks.drop("_other"), by, value)
+    return attach_ranks(df, ranks.drop("_other"), by, value)

@@ -10,6 +10,11 @@ from priceloom.operators.ranking import rank_with_gap
 from priceloom.operators.stats import group_stats
 
 GROUP = ["region_nom", "carburant_nom"]
+RANKING = [
+    "station_sk", "station_id", "carburant_id", "carburant_nom", "region_nom", "dept_nom", "dept_code", "ville",
+    "cp", "latitude", "longitude", "prix_euro", "maj_timestamp_utc", "rang_moins_cher_region",
+    "rang_plus_cher_region", "ecart_prix_vs_moyenne_region",
+]
 
 
 def latest_prices(fact: DataFrame, stations: DataFrame, fuels: DataFrame, places: DataFrame) -> DataFrame:
@@ -52,8 +57,4 @@ def station_ranking(latest: DataFrame, stats: DataFrame) -> DataFrame:
     return rank_with_gap(
         latest.filter("region_nom IS NOT NULL"), stats, GROUP, "prix_euro", "prix_moyen",
         "rang_moins_cher_region", "rang_plus_cher_region", "ecart_prix_vs_moyenne_region",
-    ).select(
-        "station_sk", "station_id", "carburant_id", "carburant_nom", "region_nom", "dept_nom", "dept_code", "ville",
-        "cp", "latitude", "longitude", "prix_euro", "maj_timestamp_utc", "rang_moins_cher_region",
-        "rang_plus_cher_region", "ecart_prix_vs_moyenne_region",
-    )
+    ).select(*RANKING)

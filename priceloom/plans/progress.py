@@ -1,88 +1,118 @@
 """Small tables that move on with every fold instead of being rebuilt from all of history.
 
-The latest attributes per station, the places seen and the latest price per station and fuel are all
-reductions: reducing what is stored together with the new rows gives the same as reducing everything.
+The latest attributes per station and the places seen follow the feed of silver, the latest prices (in
+`histogram`) that of the fact: each change names the row before and the row after, so what is gone can be taken back.
+A table's note says how far it has come; both take their place together, so no change counts twice.
 """
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from priceloom.operators.picking import distinct_members, pick_one
-from priceloom.operators.watermark import after
+from priceloom.operators.picking import pick_one
+from priceloom.plans.fact import FactLog
 from priceloom.plans.silver import FoldLedger
-from priceloom.storage import Ledger, exists, replace_table
-
-_NOTE = "reached string, slots bigint, generation string"
+from priceloom.session import settle
+from priceloom.storage import current_path, exists, note_of, replace_table
 
 
 def advance(
     spark: SparkSession,
     path: str,
-    folds: FoldLedger,
-    rows: Callable[[dt.datetime | None], DataFrame],
-    reduce: Callable[[DataFrame], DataFrame],
+    log: FoldLedger | FactLog,
+    whole: Callable[[], DataFrame],
+    step: Callable[[DataFrame, DataFrame], DataFrame],
+    basis: str = "",
 ) -> DataFrame:
-    """Bring the reduction stored at ``path`` up to date with the folded slots.
+    """Bring the table stored at ``path`` up to date with what ``log`` keeps the feed of.
 
-    ``rows`` gives the input first seen after a moment, or all of it for ``None``. The stored table is
-    good as long as its input was not built anew and no slot older than itself was folded since.
+    ``step`` makes the next version from the stored one and the changes [key, old, new] since; ``whole`` makes
+    it from everything, when there is none, when the feed does not reach back that far, or when ``basis``,
+    which stands for whatever else the table depends on, is another.
     """
-    note = Ledger(spark, path, _NOTE)
-    last = note.read().first() if exists(spark, path) else None
-    slots, generation = folds.slots(), folds.generation()
-    if last and last["generation"] == generation and last["slots"] == _count(slots, last["reached"]):
-        stored = spark.read.parquet(path)
-        if last["slots"] == len(slots):
-            return stored
-        new = rows(dt.datetime.fromisoformat(last["reached"])).select(*stored.columns)
-        table = replace_table(reduce(stored.unionByName(new)), path)
-    else:
-        table = replace_table(reduce(rows(None)), path)
-    day, hour = max(slots)
-    note.restart([(f"{day} {hour}:00:00", len(slots), generation)])
-    return table
-
-
-def _count(slots: set[tuple[str, str]], reached: str) -> int:
-    """How many of the slots a table that reached a moment has seen."""
-    return sum(slot <= (reached[:10], reached[11:13]) for slot in slots)
-
-
-def _fresh_silver(silver: DataFrame, folds: FoldLedger) -> Callable[[dt.datetime | None], DataFrame]:
-    def rows(moment: dt.datetime | None) -> DataFrame:
-        if moment is None:
-            return silver
-        days = folds.days_after(moment)
-        part = silver if days is None else silver.filter(F.col("maj_date").cast("string").isin(days))
-        return after(part, "ingestion_ts", moment)
-
-    return rows
+    generation, number = log.reached()
+    note = note_of(spark, path) if exists(spark, path) else {}
+    now = {"generation": generation, "number": number, "basis": basis}
+    if note == now and generation:
+        return spark.read.parquet(current_path(spark, path))
+    changes = None
+    if note and note["basis"] == basis:
+        changes = log.changes_after(note["generation"], note["number"])
+    if changes is None:
+        return replace_table(whole(), path, now)
+    return replace_table(step(spark.read.parquet(current_path(spark, path)), changes), path, now)
+
+
+def next_latest(
+    stored: DataFrame, changes: DataFrame, table: DataFrame, keys: list[str], order: list[Column], by: str | None = None
+) -> DataFrame:
+    """The row per key that comes first in ``order``, after some rows of ``table`` have changed.
+
+    A key whose stored row is gone is looked for again in ``table``; all others only meet their new rows. Where
+    nothing stored is gone ``table`` is not read.
+    """
+    columns = stored.columns
+    row = F.struct(*[F.col(c) for c in columns])
+    changes = settle(changes, "changes")
+    fresh = changes.filter("new IS NOT NULL").select(*[F.col(f"new.{c}") for c in columns])
+    gone = changes.filter("old IS NOT NULL").select(*[F.col(f"old.{c}") for c in columns]).distinct()
+    if by:  # a changed row may take the place of the one before: then nothing is missing
+        again = changes.filter("new IS NOT NULL").select(*[F.col(f"new.{c}").alias(c) for c in [*keys, by]])
+        gone = gone.join(again, [*keys, by], "left_anti").select(*columns)
+        replaced = changes.filter("old IS NOT NULL AND new IS NOT NULL").select(*[F.col(f"old.{c}") for c in columns])
+    held = stored.select(*keys, row.alias("_row"))
+    lost = held.join(gone.select(*keys, row.alias("_gone")), keys).filter(F.col("_row").eqNullSafe(F.col("_gone")))
+    lost = settle(lost.select(*keys).distinct(), "lost")
+    kept = stored
+    if by:
+        out = replaced.select(*keys, row.alias("_gone"))
+        stale = held.join(out, keys).filter(F.col("_row").eqNullSafe(F.col("_gone"))).select(*keys)
+        kept = stored.join(stale, keys, "left_anti").select(*columns)
+    found = pick_one(kept.unionByName(fresh), keys, order)
+    if lost.isEmpty():
+        return found
+    again = pick_one(table.select(*columns).join(lost, keys, "left_semi"), keys, order)
+    return found.join(lost, keys, "left_anti").select(*columns).unionByName(again.select(*columns))
+
+
+_ATTRIBUTES = ["station_id", "cp", "ville", "adresse", "pop", "latitude", "longitude", "ingestion_ts"]
 
 
 def latest_attributes(spark: SparkSession, path: str, silver: DataFrame, folds: FoldLedger) -> DataFrame:
     """Per station the attributes it was last seen with, and when."""
-    columns = ["station_id", "cp", "ville", "adresse", "pop", "latitude", "longitude", "ingestion_ts"]
-    reduce = lambda df: pick_one(df.select(*columns), ["station_id"], [F.col("ingestion_ts").desc()])
-    return advance(spark, path, folds, _fresh_silver(silver, folds), reduce)
+    keys, order = ["station_id"], [F.col("ingestion_ts").desc()]
+    return advance(
+        spark, path, folds, lambda: pick_one(silver.select(*_ATTRIBUTES), keys, order),
+        lambda stored, changes: next_latest(stored, changes, silver, keys, order),
+    )
 
 
-def seen_places(spark: SparkSession, path: str, silver: DataFrame, folds: FoldLedger) -> DataFrame:
-    """The distinct (cp, ville) of silver."""
-    return advance(spark, path, folds, _fresh_silver(silver, folds), lambda df: distinct_members(df, ["cp", "ville"]))
+def count_changes(stored: DataFrame, changes: DataFrame, columns: list[str], count: str = "row_count") -> DataFrame:
+    """Counts per combination of ``columns`` after rows have come (+1) and gone (-1); zeros are left out.
 
+    A count below zero would mean that a row went which never came: that stops the job.
+    """
+    side = lambda name, by: changes.filter(F.col(name).isNotNull()).select(
+        *[F.col(f"{name}.{c}").alias(c) for c in columns], F.lit(by).cast("bigint").alias(count)
+    )
+    moved = stored.select(*columns, count).unionByName(side("old", -1)).unionByName(side("new", 1))
+    summed = moved.groupBy(*columns).agg(F.sum(count).alias(count)).filter(F.col(count) != 0)
+    below = F.raise_error(F.lit(f"{count} below zero")).cast("bigint")
+    return summed.withColumn(count, F.when(F.col(count) > 0, F.col(count)).otherwise(below))
+
+
+def seen_places(spark: SparkSession, path: str, silver: DataFrame, folds: FoldLedger) -> DataFrame:
+    """The distinct (cp, ville) of silver, kept as counts of the events that name them."""
+    columns = ["cp", "ville"]
+    counts = advance(
+        spark, path, folds, lambda: silver.groupBy(*columns).agg(F.count(F.lit(1)).alias("row_count")),
+        lambda stored, changes: count_changes(stored, changes, columns),
+    )
+    return counts.select(*columns)
 
-def latest_facts(spark: SparkSession, path: str, fact: DataFrame, folds: FoldLedger) -> DataFrame:
-    """Per station and fuel the fact row with the latest update time."""
-    columns = ["station_sk", "carburant_sk", "localisation_sk", "prix_euro", "maj_timestamp_utc"]
-    reduce = lambda df: pick_one(df.select(*columns), ["station_sk", "carburant_sk"], [F.col("maj_timestamp_utc").desc()])
 
-    def rows(moment: dt.datetime | None) -> DataFrame:
-        if moment is None:
-            return fact
-        return after(fact.filter(F.col("ingestion_date") >= F.lit(moment.date())), "ingestion_ts", moment)
+PRICES = ["station_sk", "carburant_sk", "localisation_sk", "prix_euro", "maj_timestamp_utc"]
+PAIR = ["station_sk", "carburant_sk"]
 
-    return advance(spark, path, folds, rows, reduce)

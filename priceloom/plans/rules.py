@@ -32,6 +32,11 @@ def _fits_gold(column: str = "prix_euro") -> Check:
     return Check("fits_gold", (column,), "warn", F.col(column).isNotNull() & F.col(column).try_cast(PRICE).isNull())
 
 
+def for_format() -> list[Check]:
+    """Slots whose update times are written otherwise than before; a reader may misunderstand them."""
+    return [Check("format_drift", ("maj",), "warn", F.col("drifted"))]
+
+
 def for_fuel_seed() -> list[Check]:
     return [
         not_null("carburant_id"), unique("carburant_id"), not_null("carburant_nom"), unique("carburant_nom"),

@@ -13,10 +13,11 @@ from priceloom.quality.checks import (
     run_checks,
     unique,
 )
+from priceloom.quality.drift import format_drift
 from priceloom.quality.freshness import freshness
-from priceloom.quality.parity import compare_builds, profile
+from priceloom.quality.parity import compare_builds, differing_partitions, fingerprint, profile
 
 __all__ = [
-    "Check", "QualityGateError", "accepted", "compare_builds", "failing_rows", "freshness", "holds", "not_after",
-    "not_null", "profile", "raise_on_errors", "refers_to", "run_checks", "unique",
+    "Check", "QualityGateError", "accepted", "compare_builds", "differing_partitions", "failing_rows", "fingerprint",
+    "format_drift", "freshness", "holds", "not_after", "not_null", "profile", "raise_on_errors", "refers_to", "run_checks", "unique",
 ]

@@ -1,17 +1,18 @@
 """Declared checks over one table.
 
-All row checks of a table are counted in a single pass. Only uniqueness and references need a shuffle
-of their own, and both count per key before anything is moved.
+All checks of a table are counted in one pass over it. Row checks are plain counts. The keys of all
+uniqueness and reference checks are stacked as (check, hashes of the key) rows, beside the parents' keys, and
+counted together: combined per key in every task, then summed per key, then per check.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from priceloom.operators.joins import orphans
+from priceloom.operators.key_counts import Key, stacked
 from priceloom.operators.picking import duplicate_keys
 
 _RESULT = ["check", "column", "severity", "failures", "status"]
@@ -91,20 +92,42 @@ def _result(check: Check, failures: Column) -> Column:
 def run_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
     """DataFrame[check, column, severity, failures, status], one row per check.
 
-    ``failures`` counts failing rows; for uniqueness, repeated keys.
+    ``failures`` counts failing rows; for uniqueness, repeated keys. ``df`` is read once, and each parent once
+    per reference to it.
     """
-    row_checks = [c for c in checks if c.breach is not None]
-    parts = []
-    if row_checks:
-        parts.append(df.agg(F.array(*[_result(c, F.count_if(c.breach)) for c in row_checks]).alias("r")))
-    for check in checks:
-        if check.breach is None:
-            found = failing_rows(df, check)
-            count = F.sum("row_count") if check.parent is not None else F.count(F.lit(1))
-            parts.append(found.agg(F.array(_result(check, count)).alias("r")))
-    if not parts:
+    if not checks:
         raise ValueError("no checks given")
-    return reduce(DataFrame.unionByName, parts).select(F.inline("r")).select(*_RESULT)
+    row_checks = {n: c for n, c in enumerate(checks) if c.breach is not None}
+    key_checks = {n: c for n, c in enumerate(checks) if c.breach is None}
+    counts = [F.count_if(c.breach).alias(f"f{n}") for n, c in row_checks.items()]
+    if not key_checks:
+        return _results(df.agg(*counts), checks)
+
+    keys = {n: Key([F.col(c) for c in check.columns], skip_nulls=len(check.columns) == 1) for n, check in key_checks.items()}
+    breaches = {f"f{n}": c.breach.cast("int") for n, c in row_checks.items()}
+    rows = stacked(df, keys, breaches).withColumn("parent", F.lit(0))
+    for n, check in key_checks.items():
+        if check.parent is not None:
+            known = F.col(check.parent_column).try_cast(df.schema[check.column].dataType)
+            parents = stacked(check.parent, {n: Key([known], skip_nulls=True)}, {})
+            rows = rows.unionByName(parents.withColumn("parent", F.lit(1)), allowMissingColumns=True)
+    per_key = rows.groupBy("key_no", "one", "two").agg(
+        F.sum(1 - F.col("parent")).alias("n"), F.max("parent").alias("parent"), *[F.sum(c).alias(c) for c in breaches]
+    )
+    per_check = per_key.groupBy("key_no").agg(
+        F.count_if(F.col("n") > 1).alias("repeated"), F.sum(F.when(F.col("parent") == 0, F.col("n"))).alias("orphans"),
+        *[F.sum(c).alias(c) for c in breaches],
+    )
+    of = lambda n, c: F.max(F.when(F.col("key_no") == n, F.col("orphans" if c.parent is not None else "repeated")))
+    return _results(
+        per_check.agg(*[F.max(c).alias(c) for c in breaches], *[of(n, c).alias(f"f{n}") for n, c in key_checks.items()]), checks
+    )
+
+
+def _results(counted: DataFrame, checks: list[Check]) -> DataFrame:
+    """One row per check from one row with their counts f0, f1, ..."""
+    rows = F.array(*[_result(check, F.col(f"f{n}")) for n, check in enumerate(checks)])
+    return counted.select(F.inline(rows)).select(*_RESULT)
 
 
 def raise_on_errors(results: DataFrame, table: str = "") -> list:

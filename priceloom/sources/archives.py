@@ -6,6 +6,7 @@ import io
 import zipfile
 from collections.abc import Iterator
 from xml.etree import ElementTree
+from xml.etree.ElementTree import Element
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -58,8 +59,12 @@ def open_feed(content: bytes) -> tuple[str, io.BufferedIOBase]:
     return entry, archive.open(entry)
 
 
-def read_stations(stream: io.BufferedIOBase) -> Iterator[dict]:
-    """One raw record per station, read as a stream so that memory does not grow with the file."""
+_STATION_ATTRIBUTES, _STATION_TEXTS = ("cp", "pop", "latitude", "longitude"), ("ville", "adresse")
+_PRICE_ATTRIBUTES = ("id", "nom", "maj", "valeur")
+
+
+def walk_stations(stream: io.BufferedIOBase) -> Iterator[Element]:
+    """Each station's element, read as a stream so that memory does not grow with the file; gone after its turn."""
     depth, stations, root = 0, 0, None
     try:
         for event, element in ElementTree.iterparse(stream, events=("start", "end")):
@@ -74,15 +79,7 @@ def read_stations(stream: io.BufferedIOBase) -> Iterator[dict]:
             if depth == 1:
                 if element.tag == STATION_TAG:
                     stations += 1
-                    yield {
-                        "station_id": element.get("id"),
-                        **{name: element.get(name) for name in ("cp", "pop", "latitude", "longitude")},
-                        **{name: element.findtext(name) for name in ("ville", "adresse")},
-                        "prices": [
-                            {name: p.get(name) for name in ("id", "nom", "maj", "valeur")}
-                            for p in element.findall(PRICE_TAG)
-                        ],
-                    }
+                    yield element
                 root.clear()
     except ElementTree.ParseError as problem:
         raise FeedDriftError(f"not well-formed: {problem}") from problem
@@ -90,16 +87,56 @@ def read_stations(stream: io.BufferedIOBase) -> Iterator[dict]:
         raise FeedDriftError(f"no <{STATION_TAG}> in the document")
 
 
-def _records(path: str, content: bytes) -> Iterator[dict]:
-    entry = None
-    try:
-        entry, stream = open_feed(content)
-        for record in read_stations(stream):
-            yield {"path": path, "entry": entry, **record}
-    except zipfile.BadZipFile as problem:
-        yield {"path": path, "drift": f"not a ZIP archive: {problem}"}
-    except FeedDriftError as problem:
-        yield {"path": path, "entry": entry, "drift": str(problem)}
+def read_stations(stream: io.BufferedIOBase) -> Iterator[dict]:
+    """One raw record per station."""
+    for element in walk_stations(stream):
+        yield {
+            "station_id": element.get("id"),
+            **{name: element.get(name) for name in _STATION_ATTRIBUTES},
+            **{name: element.findtext(name) for name in _STATION_TEXTS},
+            "prices": [{name: p.get(name) for name in _PRICE_ATTRIBUTES} for p in element.findall(PRICE_TAG)],
+        }
+
+
+class _Columns:
+    """Stations gathered column by column: no object is made per station or price."""
+
+    _NAMES = [part.split()[0] for part in _RAW.split(", ")[:10]]
+
+    def __init__(self) -> None:
+        self.held = {name: [] for name in self._NAMES}
+        self.prices = {name: [] for name in _PRICE_ATTRIBUTES}
+        self.ends = [0]
+
+    def __len__(self) -> int:
+        return len(self.ends) - 1
+
+    def station(self, path: str, entry: str, element: Element) -> None:
+        held, get = self.held, element.attrib.get
+        held["path"].append(path)
+        held["entry"].append(entry)
+        held["drift"].append(None)
+        held["station_id"].append(get("id"))
+        for name in _STATION_ATTRIBUTES:
+            held[name].append(get(name))
+        for name in _STATION_TEXTS:
+            held[name].append(element.findtext(name))
+        found = element.findall(PRICE_TAG)
+        for name, column in self.prices.items():
+            column += [price.attrib.get(name) for price in found]
+        self.ends.append(self.ends[-1] + len(found))
+
+    def refused(self, path: str, entry: str | None, problem: str) -> None:
+        for column in self.held.values():
+            column.append(None)
+        self.held["path"][-1], self.held["entry"][-1], self.held["drift"][-1] = path, entry, problem
+        self.ends.append(self.ends[-1])
+
+    def batch(self) -> pa.RecordBatch:
+        told = pa.StructArray.from_arrays([pa.array(c, pa.string()) for c in self.prices.values()], list(self.prices))
+        prices = pa.ListArray.from_arrays(pa.array(self.ends, pa.int32()), told)
+        columns = [pa.array(c, pa.string()) for c in self.held.values()]
+        return pa.RecordBatch.from_arrays([*columns, prices], [*self._NAMES, "prices"])
 
 
 def unpack(archives: DataFrame) -> DataFrame:
@@ -108,21 +145,28 @@ def unpack(archives: DataFrame) -> DataFrame:
     Spark reads no ZIP, so unzipping and walking the XML happen in one Arrow pass per file; all
     typing, filtering and counting is left to Spark expressions.
     """
-    price_type = pa.struct([(n, pa.string()) for n in ("id", "nom", "maj", "valeur")])
-    names = [part.split()[0] for part in _RAW.split(", ")[:10]]
-    schema = pa.schema([*[(n, pa.string()) for n in names], ("prices", pa.list_(price_type))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting: list[dict] = []
+        columns = _Columns()
         for batch in batches:
             for path, content in zip(batch.column("path"), batch.column("content"), strict=True):
-                for record in _records(path.as_py(), content.as_py()):
-                    waiting.append(record)
-                    if len(waiting) == _ROWS_PER_BATCH:
-                        yield pa.RecordBatch.from_pylist(waiting, schema)
-                        waiting = []
-        if waiting:
-            yield pa.RecordBatch.from_pylist(waiting, schema)
+                name, entry = path.as_py(), None
+                try:
+                    entry, stream = open_feed(content.as_py())
+                    for element in walk_stations(stream):
+                        columns.station(name, entry, element)
+                        if len(columns) == _ROWS_PER_BATCH:
+                            yield columns.batch()
+                            columns = _Columns()
+                except zipfile.BadZipFile as problem:
+                    columns.refused(name, None, f"not a ZIP archive: {problem}")
+                except FeedDriftError as problem:
+                    columns.refused(name, entry, str(problem))
+                if len(columns) >= _ROWS_PER_BATCH:
+                    yield columns.batch()
+                    columns = _Columns()
+        if len(columns):
+            yield columns.batch()
 
     return archives.select("path", "content").mapInArrow(run, _RAW)
 
@@ -152,6 +196,7 @@ def type_stations(raw: DataFrame) -> DataFrame:
     return (
         raw.withColumn("station_id", empty_to_null(F.col("station_id")))
         .withColumn("good_prices", F.filter(typed, lambda p: known & complete(p)))
+        .withColumn("shapes", F.transform(F.coalesce(F.col("prices.maj"), F.array().cast("array<string>")), text_shape))
         .withColumn("errors", F.when(known, F.size("prices") - F.size("good_prices")).otherwise(1))
         .select(
             "path", "entry", "drift", "station_id",
@@ -161,11 +206,16 @@ def type_stations(raw: DataFrame) -> DataFrame:
             empty_to_null(F.col("pop")).alias("pop"),
             fixed_point(F.col("latitude")).alias("latitude"),
             fixed_point(F.col("longitude")).alias("longitude"),
-            "good_prices", "errors",
+            "good_prices", "errors", "shapes",
         )
     )
 
 
+def text_shape(text: Column) -> Column:
+    """A text with every digit shown as 9; what is missing has the empty shape."""
+    return F.coalesce(F.regexp_replace(text, "[0-9]", "9"), F.lit(""))
+
+
 def parse_stats(stations: DataFrame) -> DataFrame:
     """Stations, good rows and errors per file, and why a file was refused. Of a refused file nothing counts."""
     whole = F.max("drift").isNull()
@@ -213,9 +263,25 @@ def parse_snapshots(
     The parsed stations are written once and read twice. Raises before any row is handed out when a
     file drifted; without ``gate`` such files only show in the statistics, which are written too.
     """
-    stations = settle(type_stations(unpack(archives)), "stations")
+    stations = parsed_stations(archives)
     if gate:
         drift_gate(stations)
+    return snapshots_of(stations, source_url)
+
+
+def parsed_stations(archives: DataFrame) -> DataFrame:
+    """Typed stations of slotted archives, written once."""
+    return settle(type_stations(unpack(archives)), "stations")
+
+
+def format_shapes(stations: DataFrame) -> DataFrame:
+    """How often each shape of update time occurs per slot, in files that were read to their end."""
+    whole = whole_files(stations).select(*path_slot(F.col("path")), F.explode("shapes").alias("shape"))
+    return whole.groupBy("dt", "hh", "shape").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+def snapshots_of(stations: DataFrame, source_url: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """Bronze rows with dt and hh, and statistics per file, of parsed stations."""
     slotted = stations.select("*", *path_slot(F.col("path")))
     url = F.col("path") if source_url is None else source_url
     return price_rows(slotted, slot_instant(F.col("dt"), F.col("hh")), url), settle(parse_stats(stations), "files")

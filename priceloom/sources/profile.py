@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from priceloom.fixed_values import ACCENTED_LETTERS
 from priceloom.functions import fixed_point, price
+from priceloom.operators.key_counts import Key, stacked
 
 
 def _missing(column: str) -> Column:
@@ -79,21 +78,16 @@ def text_shapes(df: DataFrame, column: str) -> DataFrame:
 
 
 def audit(df: DataFrame, measures: list[str], distinct: list[str]) -> DataFrame:
-    """One row: row count, min and max of each measure, distinct count of each key."""
-    columns = [F.count(F.lit(1)).alias("row_count")]
-    for m in measures:
-        columns += [F.min(m).alias(f"{m}_min"), F.max(m).alias(f"{m}_max")]
-    # One key: exact distinct count beside the other measures.
-    first, *others = distinct or [None]
-    if first:
-        columns.append(F.count_distinct(first).alias(f"distinct_{first}"))
-    # Every further key on its own: several distinct counts in one aggregate would copy each row per key.
-    parts = [df.agg(*columns)]
-    parts += [df.agg(F.count_distinct(k).alias(f"distinct_{k}")) for k in others]
-    return reduce(_beside, parts)
-
-
-def _beside(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Put two one-row tables side by side."""
-    one = F.lit(1).alias("_one")
-    return left.select("*", one).join(right.select("*", one), "_one").drop("_one")
+    """One row: row count, min and max of each measure, distinct count of each key. One scan for all of them."""
+    if not distinct:
+        return df.agg(F.count(F.lit(1)).alias("row_count"), *_ends(measures))
+    keys = {n: Key([F.col(k)], skip_nulls=True) for n, k in enumerate(distinct)}
+    told = {"row_count": F.lit(1).cast("bigint"), **{f"{m}_{end}": F.col(m) for m in measures for end in ("min", "max")}}
+    ends = lambda: [(F.min if c.endswith("_min") else F.max)(c).alias(c) for c in told if c != "row_count"]
+    per_key = stacked(df, keys, told).groupBy("key_no", "one", "two").agg(F.sum("row_count").alias("row_count"), *ends())
+    counts = [F.count_if(F.col("key_no") == n).alias(f"distinct_{k}") for n, k in enumerate(distinct)]
+    return per_key.agg(F.coalesce(F.sum("row_count"), F.lit(0)).alias("row_count"), *ends(), *counts)
+
+
+def _ends(measures: list[str]) -> list[Column]:
+    return [end(m).alias(f"{m}_{name}") for m in measures for name, end in (("min", F.min), ("max", F.max))]

@@ -8,10 +8,29 @@ from pyspark.sql import types as T
 from priceloom.contracts import BRONZE, SLOT
 from priceloom.functions import slot_columns
 from priceloom.operators.merge import write_partitioned
-from priceloom.sources.archives import drift_gate, parse_snapshots, path_slot, scan_archives
-from priceloom.storage import Ledger, byte_count, child_folders, exists
+from priceloom.session import settle
+from priceloom.sources.archives import (
+    drift_gate,
+    format_shapes,
+    parsed_stations,
+    path_slot,
+    scan_archives,
+    snapshots_of,
+)
+from priceloom.storage import Ledger, child_folders, exists
 
 _LEDGER = "dt string, hh string, row_count bigint"
+_SHAPES = "dt string, hh string, shape string, row_count bigint"
+
+
+def shapes_path(root: str) -> str:
+    return root.rstrip("/") + ".shapes"
+
+
+def slot_shapes(spark: SparkSession, root: str) -> DataFrame:
+    """[dt, hh, shape, row_count]: the shapes of update times each ingested slot had; empty for slots made otherwise."""
+    # A slot that was ingested again after a crash is noted twice, alike.
+    return Ledger(spark, shapes_path(root), _SHAPES).read().distinct()
 
 
 def assign_slot(df: DataFrame, run_time: str) -> DataFrame:
@@ -56,25 +75,34 @@ def write_new_slots(df: DataFrame, root: str, slots: list[tuple[str, str]] | Non
     that a crashed run left half written is not in the ledger and is replaced as a whole.
     """
     spark = df.sparkSession
+    ledger = Ledger(spark, root, _LEDGER)
+    ledger.compact()
     done = set(existing_slots(spark, root))
-    counted = {(r["dt"], r["hh"]): r["count"] for r in df.groupBy("dt", "hh").count().collect()}
-    offered = list(counted) if slots is None else slots
-    fresh = sorted(s for s in offered if s not in done)
-    counts = {s: counted.get(s, 0) for s in fresh}
-    if any(counts.values()):
-        write_partitioned(only_slots(df, fresh), root, ["dt", "hh"])
+    if slots is None:
+        df = settle(df, "rows")  # looked through for its slots, then written
+        slots = [(r["dt"], r["hh"]) for r in df.select("dt", "hh").distinct().collect()]
+    fresh = sorted(s for s in slots if s not in done)
+    written = {}
     if fresh:
-        Ledger(spark, root, _LEDGER).add((d, h, counts[d, h]) for d, h in fresh)
-    report = []
-    for d, h in sorted(offered):
-        path = f"{root.rstrip('/')}/dt={d}/hh={h}"
-        new = (d, h) not in done
-        report.append((d, h, path, counts[d, h] if new else 0, byte_count(spark, path) if new else 0, not new))
+        write_partitioned(only_slots(df, fresh), root, ["dt", "hh"])
+        written = _written(spark, root, fresh)
+        ledger.add((d, h, written.get((d, h), (0, 0))[0]) for d, h in fresh)
+    report = [
+        (d, h, f"{root.rstrip('/')}/dt={d}/hh={h}", *written.get((d, h), (0, 0)), (d, h) in done) for d, h in sorted(slots)
+    ]
     return spark.createDataFrame(
         report, "dt string, hh string, path string, row_count bigint, bytes_written bigint, skipped boolean"
     )
 
 
+def _written(spark: SparkSession, root: str, slots: list[tuple[str, str]]) -> dict[tuple[str, str], tuple[int, int]]:
+    """Rows and bytes of stored slots, from the files' footers and sizes, in one job for all of them."""
+    rows = only_slots(read_bronze(spark, root), slots).select("dt", "hh", "_metadata.file_path", "_metadata.file_size")
+    files = rows.groupBy("dt", "hh", "file_path").agg(F.count(F.lit(1)).alias("n"), F.first("file_size").alias("size"))
+    found = files.groupBy("dt", "hh").agg(F.sum("n").alias("n"), F.sum("size").alias("size")).collect()
+    return {(r["dt"], r["hh"]): (r["n"], r["size"]) for r in found}
+
+
 def _with_slot(schema: T.StructType) -> T.StructType:
     return T.StructType([f for f in schema if f.name not in ("dt", "hh")] + list(SLOT))
 
@@ -119,8 +147,13 @@ def ingest(spark: SparkSession, raw_root: str, bronze_root: str, source_url: Col
     if not waiting:
         return {}
     archives = scan_archives(spark, *[f"{raw_root.rstrip('/')}/dt={d}/hh={h}" for d, h in waiting])
-    rows, files = parse_snapshots(archives, source_url, gate=False)
+    stations = parsed_stations(archives)
+    rows, files = snapshots_of(stations, source_url)
     by_slot = files.select(*path_slot(F.col("path")), "drift").groupBy("dt", "hh").agg(F.count("drift").alias("drifted"))
     sound = [(r["dt"], r["hh"]) for r in by_slot.filter("drifted = 0").collect()]
+    shapes = only_slots(format_shapes(stations), sound).collect() if sound else []  # a few per slot
+    seen = Ledger(spark, shapes_path(bronze_root), _SHAPES)
+    seen.compact()
+    seen.add((r["dt"], r["hh"], r["shape"], r["row_count"]) for r in shapes)
     report = write_new_slots(rows, bronze_root, sound)
     return {"slots": report, "files": drift_gate(files)}

@@ -2,22 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from priceloom.contracts import BRONZE, FCT_PRIX_CARBURANT, SLOT, guard_not_null
+from priceloom.contracts import BRONZE, SLOT
 from priceloom.fixed_values import SOURCE_TIMEZONE
-from priceloom.operators.merge import merge_by_key
-from priceloom.plans.fact import committed_watermark, fact_rows, update_fact
-from priceloom.plans.silver import FoldLedger, before_slots, keyed_events, merge_silver, read_silver, silver_events
-from priceloom.sources.slots import existing_slots, only_slots, read_bronze
-
-
-def merge_late(path: str, events: DataFrame, zone: str = SOURCE_TIMEZONE) -> None:
-    """Let events below the watermark into the fact; of several sightings the earliest stays."""
-    rows = guard_not_null(fact_rows(keyed_events(events, zone)), FCT_PRIX_CARBURANT)
-    merge_by_key(path, rows, "prix_sk", "ingestion_date", keep_smallest="ingestion_ts", sort_by=("station_sk",))
+from priceloom.plans.fact import follow_silver
+from priceloom.plans.silver import fold_new_slots
+from priceloom.storage import exists
 
 
 def build_stream(
@@ -35,7 +28,7 @@ def build_stream(
     New files only say that there is something to do: a micro-batch folds all finished slots that wait,
     whole, and moves the watermark once for all of them, so the result does not depend on which files
     make up a batch. Silver and the fact are stored, so no state grows inside the stream and a repeated
-    batch changes nothing. Events first seen at or before the fact's watermark are dropped, as in the
+    batch changes nothing. The fact follows the feed of silver's changes. Events first seen at or before the fact's watermark are dropped, as in the
     batch build, or merged with ``late="merge"``.
     """
     if late not in ("drop", "merge"):
@@ -45,24 +38,9 @@ def build_stream(
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
 
     def fold() -> None:
-        ledger = FoldLedger(spark, silver_path)
-        folded = ledger.slots()
-        waiting = [s for s in existing_slots(spark, bronze_root) if s not in folded]
-        if not waiting:
-            return
-        batch = only_slots(read_bronze(spark, bronze_root), waiting)
-        watermark = committed_watermark(spark, fact_path)
-        known = before_slots(spark, bronze_root, folded, waiting)
-        result = merge_silver(silver_path, batch, zone, known)
-        days = None if result.partitions is None else [str(d) for d in result.partitions]
-        update_fact(spark, read_silver(spark, silver_path), fact_path, zone, days)
-        if late == "merge":
-            below = silver_events(batch, zone).filter(
-                F.col("ingestion_ts") <= F.lit(watermark.isoformat(sep=" ")).cast("timestamp_ntz")
-            )
-            if not below.isEmpty():
-                merge_late(fact_path, below, zone)
-        ledger.add(waiting, result)
+        fold_new_slots(spark, bronze_root, silver_path, zone)
+        if exists(spark, silver_path):
+            follow_silver(spark, silver_path, fact_path, zone, late)
 
     fold()  # what an earlier run left waiting starts no batch
     return (

@@ -63,25 +63,26 @@ def test_full_build_of_the_sample(spark, tmp_path):
     load(spark, tmp_path)
     report = build(spark, config(tmp_path)).collect()
     assert {r["status"] for r in report} == {"pass"}
-    assert len(report) == 80 + 5  # 80 declared checks, future updates, prices that fit gold, three on stations
+    # 80 declared checks, future updates, prices that fit gold, the format of update times, three on stations
+    assert len(report) == 80 + 6
     rows = {r["prix_euro"]: r for r in fact(spark, tmp_path).collect()}
-    assert set(rows) == {Decimal("1.742"), Decimal("1.868"), Decimal("1.655"), Decimal("0.759")}
-    first = rows[Decimal("1.742")]
-    assert (first["maj_timestamp_utc"], first["date_sk"]) == (dt.datetime(2026, 5, 18, 5, 14, 5), 20260518)
-    assert (first["ingestion_ts"], first["ingestion_date"]) == (dt.datetime(2026, 6, 3, 10), dt.date(2026, 6, 3))
+    assert set(rows) == {Decimal(p) for p in ("1.549", "0.819", "0.990", "1.759", "1.640")}
+    late = rows[Decimal("0.990")]  # ten to midnight in Paris
+    assert (late["maj_timestamp_utc"], late["date_sk"]) == (dt.datetime(2026, 4, 30, 21, 50), 20260430)
+    assert (late["ingestion_ts"], late["ingestion_date"]) == (dt.datetime(2026, 6, 3, 10), dt.date(2026, 6, 3))
     gold = lambda name: spark.read.parquet(table_path(config(tmp_path).warehouse, name))
     latest = gold("agg_dernier_prix_station_carburant")
     assert {(r["station_id"], r["region_nom"]) for r in latest.collect()} == {
-        ("9300017", "Occitanie"), ("56160031", "Bretagne"), ("75011002", None)
+        ("42", "Occitanie"), ("7", "Corse"), ("1001", None), ("560", "Bretagne")
     }
     ranking = gold("agg_classement_stations")
-    assert ranking.count() == 3
-    assert questions.station_map(latest).select("geo").collect() == [("48.067, -3.203",)]
-    assert questions.cheapest_regions(gold("agg_prix_region_carburant")).count() == 1
-    assert questions.dispersion(gold("agg_prix_region_carburant"), None).filter("etendue = 0").count() == 3
-    assert questions.top_stations(ranking).count() == questions.flop_stations(ranking).count() == 3
-    assert questions.top_latest(latest).count() == 3
-    assert questions.headline(latest, None).first()["entity_count"] == 3
+    assert ranking.count() == 4
+    assert sorted(r["geo"] for r in questions.station_map(latest).select("geo").collect()) == ["43.65, 3.55", "47.875, -3.917"]
+    assert questions.cheapest_regions(gold("agg_prix_region_carburant")).count() == 2
+    assert questions.dispersion(gold("agg_prix_region_carburant"), None).filter("etendue = 0").count() == 4
+    assert questions.top_stations(ranking).count() == questions.flop_stations(ranking).count() == 4
+    assert questions.top_latest(latest).count() == 4
+    assert questions.headline(latest, None).first()["entity_count"] == 4
 
 
 @pytest.mark.parametrize(("hours", "status"), [(1, "pass"), (2, "warn"), (7, "error")])

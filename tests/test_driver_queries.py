@@ -15,6 +15,7 @@ pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="needs the dri
 LONG = {
     "gated_build_ranking", "gated_build_warnings", "stream_build_drop_late", "stream_build_merge_late",
     "stream_build_small_batches", "late_data_drop", "late_data_in_silver", "parity_audit", "upsert_merge",
+    "histogram_ranks", "full_refresh_build", "gate_skipped_nodes",
 }
 
 

@@ -22,8 +22,8 @@ def sample(spark, tmp_path):
 
 def test_counts(sample):
     rows, files = sample
-    assert len(rows) == 4
-    assert (files[0]["station_count"], files[0]["price_row_count"], files[0]["parse_errors"]) == (4, 4, 2)
+    assert len(rows) == 5
+    assert (files[0]["station_count"], files[0]["price_row_count"], files[0]["parse_errors"]) == (6, 5, 6)
 
 
 def test_types(spark, tmp_path):
@@ -35,17 +35,16 @@ def test_types(spark, tmp_path):
 
 def test_values(sample):
     by_key = {(r["station_id"], r["carburant_id"]): r for r in sample[0]}
-    first = by_key["9300017", "5"]
-    assert (first["ville"], first["adresse"], first["cp"]) == ("LÉZAN-SUR-TOUYRE", "12 QUAI DU CANAL", "09300")
-    assert (first["latitude"], first["longitude"]) == (pytest.approx(42.9487), pytest.approx(1.84215))
-    assert (first["prix_euro"], by_key["9300017", "6"]["prix_euro"]) == (1.742, 1.868)
-    assert first["maj_timestamp"] == dt.datetime(2026, 5, 18, 7, 14, 5)
-    assert first["ingestion_ts"] == dt.datetime(2026, 6, 3, 10)
-    second = by_key["56160031", "1"]
-    assert (second["ville"], second["longitude"]) == ("Guémené", pytest.approx(-3.203))
-    assert [k for k in by_key if k[0] == "56160031"] == [("56160031", "1")]
-    third = by_key["75011002", "3"]
-    assert (third["latitude"], third["longitude"], third["ville"], third["cp"]) == (None, None, None, None)
+    assert sorted(by_key) == [("1001", "4"), ("42", "1"), ("560", "1"), ("560", "2"), ("7", "3")]
+    west = by_key["560", "2"]
+    assert (west["ville"], west["adresse"], west["cp"], west["pop"]) == ("Île-aux-Grées", None, "29900", "R")
+    assert (west["latitude"], west["longitude"]) == (pytest.approx(47.875), pytest.approx(-3.917))
+    assert (west["prix_euro"], by_key["560", "1"]["prix_euro"]) == (1.759, 1.64)
+    assert west["maj_timestamp"] == dt.datetime(2026, 4, 30, 8, 5, 9)
+    assert by_key["560", "1"]["maj_timestamp"] == dt.datetime(2026, 4, 30, 23, 50)
+    assert {r["ingestion_ts"] for r in sample[0]} == {dt.datetime(2026, 6, 3, 10)}
+    nowhere = by_key["1001", "4"]
+    assert (nowhere["latitude"], nowhere["longitude"], nowhere["ville"], nowhere["cp"]) == (None, None, None, None)
 
 
 @pytest.mark.parametrize(
@@ -95,15 +94,15 @@ def test_ingest_writes_once_and_replays(spark, tmp_path):
     raw, bronze, again = (str(tmp_path / n) for n in ("raw", "bronze", "again"))
     land(tmp_path / "raw", "2026-06-03", "07", zipped(SAMPLE_FEED.encode("latin-1")))
     first = ingest(spark, raw, bronze)["slots"].collect()
-    assert [(r["dt"], r["hh"], r["row_count"], r["skipped"]) for r in first] == [("2026-06-03", "07", 4, False)]
+    assert [(r["dt"], r["hh"], r["row_count"], r["skipped"]) for r in first] == [("2026-06-03", "07", 5, False)]
     assert first[0]["bytes_written"] > 0
     assert ingest(spark, raw, bronze) == {}
     land(tmp_path / "raw", "2026-06-03", "08", zipped(SAMPLE_FEED.encode("latin-1")))
-    assert [(r["hh"], r["row_count"]) for r in ingest(spark, raw, bronze)["slots"].collect()] == [("08", 4)]
+    assert [(r["hh"], r["row_count"]) for r in ingest(spark, raw, bronze)["slots"].collect()] == [("08", 5)]
     ingest(spark, raw, again)
     drop = ["source_url"]
     left, right = read_bronze(spark, bronze).drop(*drop), read_bronze(spark, again).drop(*drop)
-    assert left.count() == 8 and left.exceptAll(right).isEmpty()
+    assert left.count() == 10 and left.exceptAll(right).isEmpty()
 
 
 def slot_rows(spark, *rows):
@@ -198,16 +197,15 @@ def test_a_drifted_file_is_loud_but_does_not_hold_up_the_others(spark, tmp_path,
 def test_feed_profile(spark, tmp_path):
     land(tmp_path, "2026-06-03", "10", zipped(SAMPLE_FEED.encode("latin-1")))
     found = {k: df.collect() for k, df in profile_feed(unpack(scan_archives(spark, str(tmp_path)))).items()}
-    assert found["files"][0]["station_count"] == 4
-    assert [tuple(r) for r in found["pairs"]] == [
-        ("1", "Gazole", 1), ("3", "E85", 1), ("4", "GPLc", 1), ("5", "E10", 2), ("6", "SP98", 1)
-    ]
+    assert found["files"][0]["station_count"] == 6
+    pairs = [("1", "Gazole", 3), ("2", "", 1), ("2", "SP95", 1), ("3", "E85", 1), ("4", "GPLc", 1), ("5", "E10", 2), ("6", "SP98", 1), ("", "Gazole", 1)]
+    assert [tuple(r) for r in found["pairs"]] == pairs  # what is no number comes last
     missing = {r["column"]: r["missing"] for r in found["presence"]}
-    assert missing == {"station_id": 1, "cp": 2, "ville": 1, "adresse": 3, "pop": 0, "latitude": 1, "longitude": 1}
-    assert [r["ville"].strip() for r in found["accented"]] == ["Guémené", "LÉZAN-SUR-TOUYRE"]
+    assert missing == {"station_id": 1, "cp": 1, "ville": 1, "adresse": 6, "pop": 0, "latitude": 1, "longitude": 1}
+    assert [r["ville"].strip() for r in found["accented"]] == ["Île-aux-Grées"]
     degrees = {r["station_id"]: r["longitude_degrees"] for r in found["coordinates"]}
-    assert degrees["56160031"] == pytest.approx(-3.203) and degrees["75011002"] is None
-    assert ("9300017", "1.742", 1.742) in [(r["station_id"], r["valeur"], r["euros"]) for r in found["prices"]]
+    assert degrees["560"] == pytest.approx(-3.917) and degrees["1001"] is None
+    assert ("1001", "0.990", 0.99) in [(r["station_id"], r["valeur"], r["euros"]) for r in found["prices"]]
 
 
 MANY = [station(str(i), ("1", "Gazole", "2026-06-03 06:00:00", "1.7")) for i in range(500)]

@@ -146,6 +146,21 @@ def test_calendar(spark):
     assert (rows[dt.date(2031, 8, 1)]["month_name_fr"], rows[dt.date(2031, 8, 1)]["quarter"]) == ("Août", 3)
 
 
+def test_working_days(spark):
+    """Holidays that moved with Easter, and fixed ones, of ten years; all of them on weekdays."""
+    moving = [
+        "2015-04-06", "2015-05-14", "2015-05-25", "2016-03-28", "2016-05-05", "2016-05-16", "2017-04-17", "2017-05-25", "2017-06-05",
+        "2018-04-02", "2018-05-10", "2018-05-21", "2019-04-22", "2019-05-30", "2019-06-10", "2020-04-13", "2020-05-21", "2020-06-01",
+        "2021-04-05", "2021-05-13", "2021-05-24", "2022-04-18", "2022-05-26", "2022-06-06", "2023-04-10", "2023-05-18", "2023-05-29",
+        "2024-04-01", "2024-05-09", "2024-05-20",
+    ]
+    fixed = ["01-01", "05-01", "05-08", "07-14", "08-15", "11-01", "11-11", "12-25"]
+    days = {r["full_date"]: r for r in calendar(spark, "2015-01-01", "2025-01-01").collect()}
+    holidays = {dt.date.fromisoformat(d) for d in moving} | {dt.date.fromisoformat(f"{y}-{d}") for y in range(2015, 2025) for d in fixed}
+    assert all(r["is_working_day"] == (d.weekday() < 5 and d not in holidays) for d, r in days.items())
+    assert sum(r["is_working_day"] for d, r in days.items() if d.year == 2024) == 252
+
+
 def test_watermark(spark):
     df = spark.createDataFrame([(hour(9),), (hour(10),)], "t timestamp_ntz")
     assert high_watermark(None, "t") == high_watermark(df.limit(0), "t") == dt.datetime(1900, 1, 1)
@@ -273,4 +288,7 @@ def test_a_swap_that_dies_half_way_leaves_the_old_table(spark, tmp_path):
     path = str(tmp_path / "t")
     storage.replace_table(spark.range(3), path)
     (tmp_path / "t").rename(tmp_path / "t.previous")
-    assert storage.exists(spark, path) and spark.read.parquet(path).count() == 3
+    assert storage.exists(spark, path) and spark.read.parquet(storage.current_path(spark, path)).count() == 3
+    assert not (tmp_path / "t").exists()  # looking changed nothing
+    storage.recover(spark, path)
+    assert spark.read.parquet(path).count() == 3 and not (tmp_path / "t.previous").exists()

@@ -83,3 +83,68 @@ def test_compare_builds(spark, table):
     assert all(same.values()) and len(same) == 5
     differs = {r["metric"] for r in compare_builds(table, other, ["price"], ["id", "kind"]).filter("not same").collect()}
     assert differs == {"row_count", "price_min", "distinct_kind"}
+
+
+def test_one_pass_counts_what_single_checks_find(spark):
+    from pyspark.sql import functions as F
+
+    from priceloom.quality import accepted, failing_rows, not_null, refers_to, run_checks, unique
+
+    rows = [(i % 7 or None, f"k{i % 5}", None if i % 4 == 0 else i % 3, i) for i in range(60)] + [(None, None, None, 1)] * 2
+    df = spark.createDataFrame(rows, "a long, b string, c int, d long")
+    parent = spark.createDataFrame([(1,), (2,), (2,), (None,), (2**40,)], "p long")
+    texts = spark.createDataFrame([("k1",), ("k2",)], "p string")
+    checks = [
+        not_null("a"), unique("a"), unique("d"), unique("a", "b"), unique("b", "c"), refers_to("a", parent, "p"), refers_to("c", parent, "p"),
+        refers_to("b", texts, "p"), accepted("b", ["k1"]), unique("c", "a", "b", "d"),
+    ]
+    got = [r["failures"] for r in run_checks(df, checks).collect()]
+
+    def alone(check):
+        found = failing_rows(df, check)
+        return found.agg(F.sum("row_count")).first()[0] or 0 if check.parent is not None else found.count()
+
+    assert got == [alone(c) for c in checks]
+    assert [r["failures"] for r in run_checks(df.limit(0), checks).collect()] == [0] * len(checks)
+
+
+def test_one_pass_reads_the_table_once(spark, tmp_path):
+    from priceloom.quality import not_null, refers_to, run_checks, unique
+
+    for name in ("child", "parent"):
+        spark.range(100).selectExpr("id", "id % 10 AS k").write.parquet(str(tmp_path / name))
+    child, parent = (spark.read.parquet(str(tmp_path / n)) for n in ("child", "parent"))
+    results = run_checks(child, [not_null("id"), unique("id"), unique("k", "id"), refers_to("k", parent, "id")])
+    plan = results._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 2  # the table once, the parent once
+    assert [r["failures"] for r in results.collect()] == [0, 0, 0, 0]
+
+
+def test_audit_in_one_scan(spark):
+    from priceloom.sources.profile import audit
+
+    df = spark.createDataFrame([(1, "a", 1.5), (2, "a", None), (None, "b", -2.0), (2, None, 4.0)], "i int, s string, x double")
+    row = audit(df, ["x", "s"], ["i", "s", "x"]).first()
+    assert row.asDict() == {
+        "row_count": 4, "x_min": -2.0, "x_max": 4.0, "s_min": "a", "s_max": "b", "distinct_i": 2, "distinct_s": 2, "distinct_x": 3
+    }
+    assert audit(df.limit(0), ["x"], ["i", "s"]).first().asDict() == {"row_count": 0, "x_min": None, "x_max": None, "distinct_i": 0, "distinct_s": 0}
+
+
+def test_fingerprints_name_the_partition_that_differs(spark):
+    import pytest
+
+    from priceloom.contracts import ContractError
+    from priceloom.quality import differing_partitions
+
+    rows = [("a", 1, 1.5), ("a", 2, 2.5), ("b", 3, None), ("b", 3, None), (None, 4, 0.0)]
+    left = spark.createDataFrame(rows, "part string, k int, v double")
+    found = lambda other: sorted(map(tuple, differing_partitions(left, other, ["part"]).collect()), key=str)
+    other = lambda *r: spark.createDataFrame(list(r), left.schema)
+    assert found(left.orderBy("k", ascending=False)) == []
+    assert found(other(*rows[:2], ("b", 3, None), *rows[4:])) == [("b", 2, 1)]  # a repeated row counts
+    assert found(other(("a", 2, 1.5), ("a", 1, 2.5), *rows[2:])) == [("a", 2, 2)]  # same values, other rows
+    assert found(other(*rows[:4])) == [(None, 1, 0)]
+    assert found(other(*rows, ("c", 1, 1.0))) == [("c", 0, 1)]
+    with pytest.raises(ContractError):
+        differing_partitions(left, left.withColumn("k", left.k.cast("long")), ["part"])
