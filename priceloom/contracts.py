@@ -42,6 +42,7 @@ DIM_DATE = _table(
     ("date_sk", _I, "!"), ("full_date", _DATE, "!"), ("year", _I, "!"), ("quarter", _I), ("month", _I, "!"),
     ("month_name_fr", _S, "!"), ("day_of_month", _I), ("day_of_week", _I, "!"), ("day_name_fr", _S, "!"),
     ("iso_week", _I, "!"), ("is_weekend", _BOOL, "!"),
+    ("is_working_day", _BOOL, "!"),
 )
 DIM_LOCALISATION = _table(
     ("localisation_sk", _S, "!"), ("cp", _S), ("ville", _S), ("dept_code", _S), ("dept_nom", _S), ("region_nom", _S),

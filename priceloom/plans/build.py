@@ -30,7 +30,7 @@ from priceloom.quality.checks import Check, QualityGateError, run_checks
 from priceloom.quality.drift import format_drift
 from priceloom.quality.freshness import freshness
 from priceloom.sources import reference
-from priceloom.sources.slots import existing_slots, only_slots, read_bronze, shapes_path, slot_shapes, slot_sizes
+from priceloom.sources.slots import existing_slots, read_slots, shapes_path, slot_shapes, slot_sizes
 from priceloom.storage import Ledger, content_state, current_path, exists, read_text, replace_table, write_text
 
 #: Tables of which a build checks only what it could change.
@@ -184,7 +184,7 @@ def source_freshness(spark: SparkSession, cfg: BuildConfig) -> DataFrame:
     """Age and status of bronze. The newest row lies in the newest slot, so only that one is read."""
     sizes = slot_sizes(spark, cfg.bronze_root)
     newest = [s for s in existing_slots(spark, cfg.bronze_root) if sizes.get(s, 1)][-1:]
-    return freshness(only_slots(read_bronze(spark, cfg.bronze_root), newest), "ingestion_ts", cfg.now())
+    return freshness(read_slots(spark, cfg.bronze_root, newest), "ingestion_ts", cfg.now())
 
 
 def _seed_state(spark: SparkSession, path: str | None, rows: list[tuple]) -> str:

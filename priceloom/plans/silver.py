@@ -22,7 +22,7 @@ from priceloom.operators.merge import (
     read_table,
 )
 from priceloom.operators.picking import distinct_members, pick_one
-from priceloom.sources.slots import existing_slots, only_slots, read_bronze
+from priceloom.sources.slots import existing_slots, read_bronze, read_slots
 from priceloom.storage import Ledger, exists, remove, swap_in
 
 EVENT_KEY = ["station_id", "carburant_id", "maj_timestamp_utc"]
@@ -215,7 +215,7 @@ def before_slots(
 ) -> DataFrame | None:
     """Bronze rows of the last folded slot older than all of ``slots``."""
     older = [s for s in folded if s < min(slots)]
-    return only_slots(read_bronze(spark, bronze_root), [max(older)]) if older else None
+    return read_slots(spark, bronze_root, [max(older)]) if older else None
 
 
 def fold_new_slots(spark: SparkSession, bronze_root: str, path: str, zone: str = SOURCE_TIMEZONE) -> MergeResult:
@@ -234,7 +234,7 @@ def fold_new_slots(spark: SparkSession, bronze_root: str, path: str, zone: str =
     known = before_slots(spark, bronze_root, folded, waiting)
     number = ledger.begin(waiting)
     feed = ledger.feed(number)
-    result = merge_silver(path, only_slots(read_bronze(spark, bronze_root), waiting), zone, known, feed)
+    result = merge_silver(path, read_slots(spark, bronze_root, waiting), zone, known, feed)
     ledger.add(waiting, result, number)
     return result
 

@@ -97,7 +97,9 @@ def write_new_slots(df: DataFrame, root: str, slots: list[tuple[str, str]] | Non
 
 def _written(spark: SparkSession, root: str, slots: list[tuple[str, str]]) -> dict[tuple[str, str], tuple[int, int]]:
     """Rows and bytes of stored slots, from the files' footers and sizes, in one job for all of them."""
-    rows = only_slots(read_bronze(spark, root), slots).select("dt", "hh", "_metadata.file_path", "_metadata.file_size")
+    if not _folders(spark, root, slots):
+        return {}
+    rows = read_slots(spark, root, slots).select("dt", "hh", "_metadata.file_path", "_metadata.file_size")
     files = rows.groupBy("dt", "hh", "file_path").agg(F.count(F.lit(1)).alias("n"), F.first("file_size").alias("size"))
     found = files.groupBy("dt", "hh").agg(F.sum("n").alias("n"), F.sum("size").alias("size")).collect()
     return {(r["dt"], r["hh"]): (r["n"], r["size"]) for r in found}
@@ -129,6 +131,26 @@ def read_bronze(
     return rows
 
 
+def read_slots(
+    spark: SparkSession, root: str, slots: list[tuple[str, str]], schema: T.StructType = BRONZE
+) -> DataFrame:
+    """The named slots of the bronze table, by their folders: no other folder is even listed."""
+    there = _folders(spark, root, slots)
+    if not there:
+        return spark.createDataFrame([], _with_slot(schema))
+    reader = spark.read.schema(_with_slot(schema)).option("pathGlobFilter", "*.parquet").option("basePath", root)
+    return reader.parquet(*there)
+
+
+def _folders(spark: SparkSession, root: str, slots: list[tuple[str, str]]) -> list[str]:
+    """The folders of slots; one without a row has none."""
+    path = lambda d, h: f"{root.rstrip('/')}/dt={d}/hh={h}"
+    if len(slots) > 200:  # a call per day instead of one per slot
+        there = set(slot_folders(spark, root))
+        return [path(d, h) for d, h in slots if (d, h) in there]
+    return [path(d, h) for d, h in slots if exists(spark, path(d, h))]
+
+
 def only_slots(rows: DataFrame, slots: list[tuple[str, str]]) -> DataFrame:
     """Rows of the named slots; a filter on partition columns, so other folders are not opened."""
     return rows.filter(F.concat_ws("/", "dt", "hh").isin([f"{d}/{h}" for d, h in slots]))
