@@ -17,13 +17,16 @@ from random import Random
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from priceloom.session import settle
 
 LENGTH = 2048
 #: Pieces in a shard, islands on it, solutions on an island, children in a round.
 SHARD, ISLANDS, POPULATION, CHILDREN = 16_384, 2, 3, 5
+SEED = 11
+#: A sequence's number: level, shard and bin.
+_LEVEL, _BIN = 1 << 56, 1 << 24
 #: Bins emptier than this are packed again with those of other shards.
 WELL_FILLED = 0.97
 
@@ -41,12 +44,16 @@ def _little(ids: list[int]) -> bytes:
 class Encoder:
     """Token ids of texts for a tokenizer that never joins anything across white space.
 
-    Ids of white-space separated chunks are remembered. A chunk that is a plain Latin word, or one between
-    ASCII punctuation, is put together from its parts; new words are encoded in one call for many texts.
+    Ids of white-space separated chunks are remembered. Where no two ASCII marks stand side by side, the common
+    ones are set apart first: a mark alone is a token of its own, whatever it touches. Otherwise a chunk that
+    is a plain Latin word between marks is put together from its parts. New words are encoded in one call
+    for many texts.
     Texts with characters whose lower case or class depends on what surrounds them, or with markers of
     special tokens, are encoded whole.
     """
 
+    _MARKS = ".,;:!?()\"|-/"
+    _RUN = re.compile(r"[!-/:-@\[-`{-~]{2}").search
     _ODD = ("\x1c", "\x1d", "\x1e", "\x1f", "İ", "Σ", "<|")
     _PARTS = re.compile(r"([!-&(-/:-@\[-`{-~]*)([a-zß-öø-ɏ]+)([!-/:-@\[-`{-~]*)")
     MOST = 700_000  # remembered chunks, about 120 MB
@@ -58,7 +65,8 @@ class Encoder:
         self._bare = Tokenizer(self._whole.model)
         self._bare.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         vocabulary = self._whole.get_vocab()
-        self._ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.largest = max(vocabulary.values())
+        self._ends = np.zeros(self.largest + 1, bool)
         self._ends[[n for token, n in vocabulary.items() if token.endswith("</w>")]] = True
         self._known: dict[str, bytes] = {}
         # How byte-level models spell bytes: printable Latin-1 as it is, the others from U+0100 on.
@@ -96,10 +104,17 @@ class Encoder:
         for chunk, (before, word, after) in joined:
             known[chunk] = (known[before] if before else b"") + known[word] + (known[after] if after else b"")
 
+    def _apart(self, text: str) -> str:
+        if not self._RUN(text):
+            for mark in self._MARKS:
+                if mark in text:
+                    text = text.replace(mark, f" {mark} ")
+        return text
+
     def ids(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         odd = [any(sign in text for sign in self._ODD) for text in texts]
-        chunks = [[] if o else text.lower().split() for text, o in zip(texts, odd, strict=True)]
+        chunks = [[] if o else self._apart(text.lower()).split() for text, o in zip(texts, odd, strict=True)]
         get = self._known.get
         found = [list(map(get, c)) for c in chunks]
         missing = {c for cs, f in zip(chunks, found, strict=True) if None in f for c, ids in zip(cs, f, strict=True) if ids is None}
@@ -118,7 +133,8 @@ _ENCODERS: dict[str, Encoder] = {}
 def pieces(docs: DataFrame, tokenizer: str, length: int = LENGTH, end: int = 0) -> DataFrame:
     """(doc_id, piece, start, length, ids) of each row: its ids, then ``end``; only longer ones are cut.
 
-    ``ids`` is little-endian unsigned 32-bit binary. ``tokenizer`` is the file's path or, for the public
+    ``ids`` is little-endian unsigned binary, of 16 bits where the vocabulary allows it, else of 32: its size
+    over ``length`` tells. ``tokenizer`` is the file's path or, for the public
     ones, its name: each executor looks for its own copy. Null texts count as empty.
     """
 
@@ -134,6 +150,8 @@ def pieces(docs: DataFrame, tokenizer: str, length: int = LENGTH, end: int = 0)
                 path = public_tokenizers.path(tokenizer)
             _ENCODERS[tokenizer] = Encoder(path)
         encoder, last = _ENCODERS[tokenizer], np.array([end], "<u4").tobytes()
+        narrow = max(encoder.largest, end) < 1 << 16
+        width = 2 if narrow else 4
         for batch in batches:
             start = 0
             while start < batch.num_rows:  # some texts at a time, long ones alone
@@ -144,9 +162,11 @@ def pieces(docs: DataFrame, tokenizer: str, length: int = LENGTH, end: int = 0)
                 out = []
                 for doc, ids in zip(batch.column(0).slice(start, len(texts)).to_pylist(), encoder.ids(texts), strict=True):
                     ids += last
-                    for n, at in enumerate(range(0, len(ids), 4 * length)):
-                        part = ids[at : at + 4 * length]
-                        out.append((doc, n, at // 4, len(part) // 4, part))
+                    if narrow:
+                        ids = np.frombuffer(ids, "<u4").astype("<u2").tobytes()
+                    for n, at in enumerate(range(0, len(ids), width * length)):
+                        part = ids[at : at + width * length]
+                        out.append((doc, n, at // width, len(part) // width, part))
                 yield _rows(out)
                 start += len(texts)
 
@@ -288,10 +308,15 @@ def _round(keys: list[str], number: int, keep: int, capacity: int, seed: int):
     return run
 
 
+def _shard(shards: int, seed: int) -> Column:
+    """The shard of an item: a hash, so whoever knows the item knows its shard."""
+    return F.pmod(F.xxhash64(F.lit(seed), "item"), F.lit(shards)).alias("shard")
+
+
 def _pack_shards(items: DataFrame, shards: int, capacity: int, seed: int) -> DataFrame:
     """(shard, item, length, bin, place): one solution for each of ``shards`` shards of (item, length)."""
     dealt = items.select(
-        F.pmod(F.xxhash64(F.lit(seed), "item"), F.lit(shards)).alias("shard"),
+        _shard(shards, seed),
         F.explode(F.array(*[F.lit(i) for i in range(ISLANDS)])).alias("island"),
         F.lit(-1).alias("person"), "item", F.col("length").cast("int").alias("length"),
         F.lit(0).alias("bin"), F.lit(0).alias("place"),
@@ -307,7 +332,7 @@ def _pack_shards(items: DataFrame, shards: int, capacity: int, seed: int) -> Dat
     return settle(islands.groupBy("shard").applyInArrow(_round(["shard"], 2, 1, capacity, seed), _STATE), "packed")
 
 
-def pack(items: DataFrame, capacity: int = LENGTH, seed: int = 11, shard: int = SHARD) -> DataFrame:
+def pack(items: DataFrame, capacity: int = LENGTH, seed: int = SEED, shard: int = SHARD) -> DataFrame:
     """(item, sequence_id, offset) for unique ``item`` (long) and ``length`` (1..capacity).
 
     Sequences are filled without gaps from offset 0. Equal lengths are interchangeable; an empty table
@@ -323,7 +348,7 @@ def pack(items: DataFrame, capacity: int = LENGTH, seed: int = 11, shard: int =
         if not count:
             return done
         packed = _pack_shards(left, shards, capacity, seed + level)
-        number = F.col("shard") * (1 << 24) + F.col("bin") + F.lit(level << 56)
+        number = F.col("shard") * _BIN + F.col("bin") + F.lit(level * _LEVEL)
         placed = packed.select("item", number.alias("sequence_id"), F.col("place").cast("long").alias("offset"))
         if shards == 1 or before is not None and count > before // 2:
             return done.unionAll(placed)
@@ -335,20 +360,82 @@ def pack(items: DataFrame, capacity: int = LENGTH, seed: int = 11, shard: int =
         level, before = level + 1, count
 
 
-def packed_sequences(docs: DataFrame, tokenizer: str, capacity: int = LENGTH) -> DataFrame:
+_PARTS = "array<struct<offset: long, item: long, doc_id: long, piece: int, start: long, length: long>>"
+_ROWS = f"sequence_id long, ids binary, parts {_PARTS}"
+
+
+def packed_sequences(docs: DataFrame, tokenizer: str, capacity: int = LENGTH, shard: int = SHARD) -> DataFrame:
     """(sequence_id, ids, parts): the packed rows of ``docs``, each with the pieces it holds, in order.
 
-    ``parts`` has (offset, item, doc_id, piece, start, length), offset and length in tokens; ``item`` tells
-    pieces of repeated rows apart. Repeated rows are packed each; null texts hold the end token alone. The
-    pieces are written once, with their ids; a full one is a sequence as it is, and only others are shuffled.
+    ``ids`` is little-endian unsigned 32-bit binary. ``parts`` has (offset, item, doc_id, piece, start,
+    length), offset and length in tokens; ``item`` tells pieces of repeated rows apart. Repeated rows are
+    packed each; null texts hold the end token alone. The pieces are written once, with their ids; a full one
+    is a sequence as it is. Of the others a shard's ids meet its placements in one exchange; only pieces that
+    were left over there and went to another shard move again.
     """
     held = pieces(docs, tokenizer, capacity).withColumn("item", F.monotonically_increasing_id())
     held = settle(held.select("item", "doc_id", "piece", "start", "length", "ids"), "pieces")
     full, left = held.where(F.col("length") >= capacity), held.where(F.col("length") < capacity)
+    # Renamed: placements and pieces stem from one table and meet again.
+    placed = pack(left.select("item", "length"), capacity, SEED, shard).toDF("_item", "sequence_id", "offset")
+    shards = max(1, -(-left.count() // shard))
+    here = placed.where(F.col("sequence_id") < _LEVEL).withColumn("shard", F.floor(F.col("sequence_id") / _BIN))
+    dealt = left.withColumn("shard", _shard(shards, SEED))
+    near = here.groupBy("shard").cogroup(dealt.groupBy("shard")).applyInArrow(_shard_rows, _ROWS)
     told = [c for c in held.columns if c != "ids"]
     alone = F.array(F.struct(F.lit(0).cast("long").alias("offset"), *told)).alias("parts")
-    whole = full.select((-1 - F.col("item")).alias("sequence_id"), "ids", alone)
-    return sequences(left, pack(left.select("item", "length"), capacity)).unionByName(whole)
+    later = placed.where(F.col("sequence_id") >= _LEVEL).withColumnRenamed("_item", "item")
+    others = sequences(left, later).unionByName(
+        full.select((-1 - F.col("item")).alias("sequence_id"), "ids", alone)
+    )
+    return near.unionByName(others.select("sequence_id", "ids", F.col("parts").cast(_PARTS)).mapInArrow(_widened, _ROWS))
+
+
+def _wide(ids: bytes | memoryview, tokens: int) -> bytes:
+    """32-bit ids of 16-bit or 32-bit ones."""
+    return bytes(ids) if len(ids) == 4 * tokens else np.frombuffer(ids, "<u2").astype("<u4").tobytes()
+
+
+def _widened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for start in range(0, batch.num_rows, 512):
+            some = batch.slice(start, 512)
+            parts = some.column(2)
+            lengths = parts.flatten().field("length").to_numpy()
+            ends = np.cumsum(parts.value_lengths().to_numpy())
+            tokens = np.add.reduceat(lengths, np.concatenate([[0], ends[:-1]]))
+            ids = [_wide(i.as_buffer(), n) for i, n in zip(some.column(1), tokens.tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([some.column(0), pa.array(ids, pa.binary()), parts], ["sequence_id", "ids", "parts"])
+
+
+def _shard_rows(placed: pa.Table, held: pa.Table) -> pa.Table:
+    """The rows of one shard, from where its pieces lie and the pieces."""
+    placed = placed.sort_by([("sequence_id", "ascending"), ("offset", "ascending")])
+    items = held.column("item").to_numpy()
+    order = np.argsort(items)
+    at = order[np.searchsorted(items, placed.column("_item").to_numpy(), sorter=order)]
+    sequence = placed.column("sequence_id").to_numpy()
+    starts = np.nonzero(np.concatenate([[True], sequence[1:] != sequence[:-1]]))[0] if len(sequence) else np.zeros(0, int)
+    told = held.select(["item", "doc_id", "piece", "start", "length"]).take(at).combine_chunks()
+    names = ["offset", *told.column_names]
+    columns = [placed.column("offset").combine_chunks(), *(c.combine_chunks() for c in told.columns)]
+    ids, tokens = held.column("ids").take(at).combine_chunks(), told.column("length").to_numpy()
+    out = []
+    for first in range(0, len(starts), 256):  # rows that leave together
+        some = starts[first : first + 256]
+        stop = starts[first + 256] if first + 256 < len(starts) else len(sequence)
+        bounds = [*some.tolist(), int(stop)]
+        rows = [
+            b"".join(_wide(ids[n].as_buffer(), tokens[n]) for n in range(a, b)) for a, b in zip(bounds, bounds[1:], strict=False)
+        ]
+        parts = pa.StructArray.from_arrays([c.slice(bounds[0], bounds[-1] - bounds[0]) for c in columns], names)
+        offsets = pa.array(np.array(bounds) - bounds[0], pa.int32())
+        arrays = [pa.array(sequence[some]), pa.array(rows, pa.binary()), pa.ListArray.from_arrays(offsets, parts)]
+        out.append(pa.RecordBatch.from_arrays(arrays, ["sequence_id", "ids", "parts"]))
+    if out:
+        return pa.Table.from_batches(out)
+    empty = [pa.array([], pa.int64()), pa.array([], pa.binary()), pa.array([], pa.list_(pa.struct([(n, c.type) for n, c in zip(names, columns, strict=True)])))]
+    return pa.Table.from_arrays(empty, ["sequence_id", "ids", "parts"])
 
 
 def packed_pieces(docs: DataFrame, tokenizer: str, capacity: int = LENGTH, digest=(), whole: bool = False) -> DataFrame:

@@ -110,14 +110,29 @@ def test_sequences_put_the_ids_together(spark):
     assert found == {7: b"bbbbccccaaaa", 8: b"dddd"}
 
 
-def test_sequences_are_made_of_the_documents(spark, tokenizer):
+def test_crossover_packs_what_best_fit_does_not():
+    """Registered capacity and shard: triples that fill a row exactly, which falling best fit takes apart."""
+    rng = random.Random(8)
+    size = []
+    while len(size) < packing.SHARD - 2:
+        a = rng.randint(400, 900)
+        b = rng.randint(400, 900)
+        size += [a, b, 2048 - a - b]
+    alone = packing.evolve(size, [], 2048, random.Random(1), children=0)[0]
+    crossed = packing.evolve(size, [], 2048, random.Random(1), children=12)[0]
+    assert len(alone[0]) > len(size) // 3  # best fit misses the bound
+    assert packing.worth(crossed[1], 2048) > packing.worth(alone[1], 2048)
+
+
+@pytest.mark.parametrize("shard", [packing.SHARD, 16])
+def test_sequences_are_made_of_the_documents(spark, tokenizer, shard):
     rng = random.Random(5)
     texts = [prose(rng, rng.randint(1, 900)) for _ in range(12)] + [prose(rng, 4000)]
     docs = documents(spark, texts)
     docs = docs.unionAll(docs)  # as the source mix repeats rows: (doc_id, piece) is no key
     tokens = [np.array(tokenizer.encode(t, add_special_tokens=False).ids + [0], "<u4") for t in texts]
     seen = []
-    for r in packing.packed_sequences(docs, NAME).collect():
+    for r in packing.packed_sequences(docs, NAME, shard=shard).collect():
         ids, at = np.frombuffer(bytes(r["ids"]), "<u4"), 0
         for p in r["parts"]:
             assert p["offset"] == at
@@ -130,6 +145,15 @@ def test_sequences_are_made_of_the_documents(spark, tokenizer):
     assert sorted((i, n) for _, i, n in seen) == want
 
 
+def test_a_large_vocabulary_keeps_32_bits(spark, monkeypatch):
+    docs = documents(spark, ["a b c", "d e"])
+    narrow = {r["doc_id"]: (len(r["ids"]), r["length"]) for r in packing.pieces(docs, NAME).collect()}
+    assert all(size == 2 * length for size, length in narrow.values())
+    wide = packing.pieces(docs, NAME, end=70_000).collect()
+    assert all(np.frombuffer(bytes(r["ids"]), "<u4")[-1] == 70_000 for r in wide)
+    assert packing._wide(b"\x01\x00\x02\x00", 2) == packing._wide(b"\x01\0\0\0\x02\0\0\0", 2) == b"\x01\0\0\0\x02\0\0\0"
+
+
 def test_whole_sequences_beside_their_first_pieces(spark):
     texts = [prose(random.Random(6), 500), "a b", None] * 4
     rows = packing.packed_pieces(documents(spark, texts), NAME, digest=[F.crc32("ids").alias("crc")], whole=True).collect()
