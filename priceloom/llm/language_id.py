@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
+from priceloom.llm.sampling import first_by_hash
 from priceloom.session import settle
 
 SIZE = 4
@@ -117,9 +118,7 @@ def learn(rows: DataFrame, sample: int = SAMPLE, most: int = GRAMS) -> Filters:
     letter teach nothing; without rows there are no languages and every prediction is ``und``.
     """
     known = rows.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = known.select("doc_id", "lang").distinct().withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= sample)
-    ids = settle(ids.select("doc_id", "lang"), "chosen")
+    ids = settle(first_by_hash(known.select("doc_id", "lang").distinct(), "lang", sample), "chosen")
     texts = settle(known.join(ids, ["doc_id", "lang"]).select("lang", "text").where(F.col("text").isNotNull()), "sample")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

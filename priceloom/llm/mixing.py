@@ -12,8 +12,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from priceloom.llm.text import WORD, apart
 from priceloom.session import settle
 
-#: Documents of one source are summed in so many parts, then within a part.
-PARTS = 4096
+#: Documents of one source are summed in parts of about so many, then within a part.
+PART = 2_000
 #: A document above this share of its source's target comes after the others, so that none of the last taken is large.
 HEAVY = 1 / 64
 #: No source and no document is taken more often.
@@ -93,13 +93,15 @@ def mix(
     """
     sized = docs.select(
         F.col("doc_id"), F.col("source"), F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-        F.xxhash64(F.lit(seed), "doc_id").alias("_order"), row_key(docs).alias("row_key"),
+        row_key(docs).alias("row_key"),
     )
-    sized = settle(sized, "sizes")
+    # Rows in an order by hash of all they hold: many with one id, or without, still spread over all parts.
+    sized = settle(sized.withColumn("_order", F.xxhash64(F.lit(seed), "row_key")), "sizes")
+    parts = max(1, -(-sized.count() // PART))
     aims = settle(targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share), "aims")
     rows = sized.join(aims.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
-    part = F.pmod("_order", F.lit(PARTS)) + F.when(F.col("size") > F.col("target") * HEAVY, PARTS).otherwise(0)
-    rows = settle(rows.withColumn("_part", part.cast("int")), "parts")
+    part = F.pmod("_order", F.lit(parts)) + F.when(F.col("size") > F.col("target") * HEAVY, parts).otherwise(0)
+    rows = settle(rows.withColumn("_part", part.cast("long")), "parts")
     by_part = rows.groupBy("source", "_part").agg(F.sum("size").alias("_sum"))
     before = Window.partitionBy("source").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = by_part.select(

@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from priceloom.llm.sampling import first_by_hash
 from priceloom.session import settle
 
 TERMS, LATENT = 1024, 48
@@ -112,12 +113,7 @@ def learn(docs: DataFrame, marks: DataFrame, sample: int = SAMPLE) -> Voters:
     """
     known = settle(docs.select("doc_id").join(marks.select("doc_id", "label"), "doc_id").distinct(), "labelled")
     counts = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
-    chosen = None
-    for label in (0, 1):
-        ids = known.where(F.col("label") == label).select("doc_id")
-        ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample // 2).withColumn("label", F.lit(label))
-        chosen = ids if chosen is None else chosen.unionAll(ids)
-    chosen = settle(chosen, "chosen")
+    chosen = settle(first_by_hash(known, "label", {0: sample // 2, 1: sample // 2}), "chosen")
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most `sample` ids
     rows = texts.groupBy("doc_id", "label").agg(F.min("text").alias("text"))
 

@@ -20,6 +20,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
+from priceloom.llm.sampling import first_by_hash
 from priceloom.session import settle
 
 # Characters that look like a Latin letter, and what stands for a letter in disguised words.
@@ -188,13 +189,8 @@ def learn(docs: DataFrame, marks: DataFrame, toxic_rows: int = 3000, clean_rows:
     At most so many documents of each label are taken, by hash of the id; only ids are shuffled to find
     them. Near copies in the sample count once. Without toxic rows the lexicon is empty and all scores are 0.
     """
-    known = settle(docs.select("doc_id").join(marks.select("doc_id", "label"), "doc_id").distinct(), "labelled")
-    chosen = None
-    for label, bound in ((1, toxic_rows), (0, clean_rows)):
-        ids = known.where(F.col("label") == label).select("doc_id")
-        ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound).withColumn("label", F.lit(label))
-        chosen = ids if chosen is None else chosen.unionAll(ids)
-    chosen = settle(chosen, "chosen")
+    known = docs.select("doc_id").join(marks.select("doc_id", "label"), "doc_id").distinct()
+    chosen = settle(first_by_hash(known, "label", {1: toxic_rows, 0: clean_rows}), "chosen")
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").where("length(text) > 0")
     rows = texts.groupBy("doc_id").agg(F.min(F.struct("text", "label")).alias("row")).select("doc_id", "row.*")
     sample = settle(rows.withColumn("keys", _minhash(F.col("text"))), "sample")
