@@ -199,14 +199,14 @@ def gate_schema_change(spark: SparkSession, folder: str) -> DataFrame:
     return plain(read_table(spark, path, known.schema).withColumn("refused", F.lit(refused)))
 
 
-@query(f"""WITH {OBSERVED}, {SILVER}, {DEPTS}, {PLACES}, missing AS (SELECT count(*) AS n FROM places WHERE dept_code IS NOT NULL AND (dept_nom IS NULL OR dept_code = '33'))
+@query(f"""WITH {OBSERVED}, {SILVER}, {DEPTS}, {PLACES}, missing AS (SELECT count(*) AS n FROM places WHERE dept_code IS NOT NULL AND (dept_nom IS NULL OR dept_code LIKE '0%'))
 SELECT node, failures, status FROM (VALUES ('dim_localisation', 'error'), ('dim_station', 'skipped'), ('int_prix_keyed', 'skipped'), ('fct_prix_carburant', 'skipped'),
   ('agg_dernier_prix_station_carburant', 'skipped'), ('agg_prix_region_carburant', 'skipped'), ('agg_classement_stations', 'skipped')) v(node, status),
   LATERAL (SELECT CASE WHEN status = 'error' THEN n ELSE 0 END AS failures FROM missing)""")
 def gate_skipped_nodes(spark: SparkSession, folder: str) -> DataFrame:
-    """With a department missing from the reference data the locations fail, and all that needs them is skipped."""
+    """With departments missing from the reference data the locations fail, and all that needs them is skipped."""
     csv = fresh_path(spark, "departments")
-    reference.departments(spark).filter("dept_code <> '33'").coalesce(1).write.option("header", True).csv(csv)
+    reference.departments(spark).filter("dept_code NOT LIKE '0%'").coalesce(1).write.option("header", True).csv(csv)
     bronze = fresh_path(spark, "bronze")
     write_new_slots(slotted(spark, folder), bronze)
     cfg = BuildConfig(bronze, fresh_path(spark, "warehouse"), as_of=dt.datetime(2100, 1, 1), departments_csv=csv)
