@@ -23,7 +23,8 @@ def first_by_hash(ids: DataFrame, group: str, most: int | Mapping, id: str = "do
     plan = [(v, bound[v], min(1.0, (bound[v] + 6 * math.sqrt(bound[v]) + 10) / n)) for v, n in counts.items()]
     kind = ids.schema[group].dataType.simpleString()
     plans = ids.sparkSession.createDataFrame(plan, f"_group {kind}, _most long, _below double")
-    hashed = ids.withColumn("_hash", F.xxhash64(id)).join(plans, F.col(group) == F.col("_group"))
+    # One row per group, all of them at hand already: without the hint a group's ids would meet in one task.
+    hashed = ids.withColumn("_hash", F.xxhash64(id)).join(F.broadcast(plans), F.col(group) == F.col("_group"))
     low = hashed.where(F.col("_hash") / F.lit(2.0**64) + 0.5 <= F.col("_below"))
     ranked = low.withColumn("_nth", F.row_number().over(Window.partitionBy(group).orderBy("_hash", id)))
     return ranked.where(F.col("_nth") <= F.col("_most")).select(id, group)

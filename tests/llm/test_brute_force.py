@@ -38,7 +38,8 @@ def test_the_automaton_finds_what_plain_search_finds():
     fold = toxicity.fold_text
     for _ in range(60):
         words = ["".join(rng.choice("abcil") for _ in range(rng.randint(2, 5))) for _ in range(8)]
-        terms = {fold(w) + rng.choice(["", " "]): rng.choice([1.0, 2.0, 3.5]) + n / 100 for n, w in enumerate(words[:6])}
+        stems = {fold(w): rng.choice([1.0, 2.0, 3.5]) + n / 100 for n, w in enumerate(words[:6])}  # a stem is one term
+        terms = {stem + rng.choice(["", " "]): weight for stem, weight in stems.items()}
         lexicon = toxicity.Lexicon(terms, [f"{words[0]} {words[6]}", f"{words[7]} {words[1]}"])
         parts = [w.replace("i", rng.choice("i1!l")).replace("a", rng.choice("aа@A")) for w in words]  # one a is Cyrillic
         text = "".join(rng.choice(parts) + rng.choice(["", " ", " ", ". ", "-"]) for _ in range(60))
@@ -50,8 +51,7 @@ def test_the_automaton_finds_what_plain_search_finds():
 
 def test_the_vote_equals_a_full_sort():
     rng = np.random.default_rng(2)
-    texts = [prose(random.Random(i), 30 + i % 50) for i in range(90)]
-    found = np.stack([quality_vote.terms(t) for t in texts])
+    found = rng.random((90, quality_vote.TERMS)).astype(np.float32)  # no two at one distance from a third
     basis = np.linalg.qr(rng.normal(size=(quality_vote.TERMS, quality_vote.LATENT)))[0].astype(np.float32)
     labels, weights = rng.integers(0, 2, 60).astype(float), rng.uniform(0.5, 3, 60)
     voters = quality_vote.Voters(np.ones(quality_vote.TERMS, np.float32), basis, np.zeros((0, quality_vote.LATENT)), labels, weights)
@@ -89,7 +89,7 @@ def test_filters_decide_like_exact_sets():
 
 def test_the_sample_is_what_a_full_sort_chooses(spark):
     ids = spark.range(20_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "a").when(F.col("id") % 1000 == 1, "b").otherwise("c").alias("lang"))
-    ids = ids.unionAll(spark.createDataFrame([(50_000, None)], ids.schema))
+    ids = ids.unionAll(spark.createDataFrame([(50_000, None)], "doc_id long, lang string"))
     got = {}
     for r in first_by_hash(ids, "lang", {"a": 100, "b": 100, "c": 7}).collect():
         got.setdefault(r["lang"], set()).add(r["doc_id"])
