@@ -38,7 +38,7 @@ HEADLINE = [
 ]
 WRITING = [
     "xml_parse_stats", "landed_archives", "bronze_roundtrip", "upsert_merge", "merge_with_removals", "incremental_build",
-    "histogram_region_stats", "gated_build_ranking",
+    "gated_build_ranking",
 ]
 
 
