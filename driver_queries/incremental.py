@@ -15,7 +15,7 @@ from priceloom.plans.fact import fact_rows, follow_silver, read_fact
 from priceloom.plans.silver import fold_new_slots, keyed_events, read_silver, silver_events
 from priceloom.quality import compare_builds
 from priceloom.session import fresh_path
-from priceloom.sources.slots import write_new_slots
+from priceloom.sources.slots import slots_in, write_new_slots
 from priceloom.streaming import build_stream
 
 WHOLE = f"WITH {OBSERVED}, {SILVER}, {KEYED}, {FACT} SELECT {FACT_OUT} FROM fact"
@@ -31,7 +31,7 @@ class Lake:
         )
 
     def batch(self, rows: DataFrame, late: str = "drop") -> None:
-        write_new_slots(rows, self.bronze)
+        write_new_slots(rows, self.bronze, slots_in(rows))
         fold_new_slots(self.spark, self.bronze, self.silver)
         self.follow(late)
 

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from priceloom.contracts import ContractError, contract_problems
 from priceloom.session import fresh_path, settle
-from priceloom.storage import current_path, exists, recover, remove, staging, switch_partitions
+from priceloom.storage import current_path, exists, recover, remove, staging, swap_in, switch_partitions
 
 
 @dataclass(frozen=True)
@@ -27,6 +27,8 @@ class MergeResult:
 
 #: A partition with more rows is laid out as files that hold disjoint ranges of its first sort column.
 ROWS_PER_FILE = 4_000_000
+#: Feeds and a merge's own tables consist of hashed keys for the most part.
+DENSE = "zstd"
 
 
 def write_partitioned(
@@ -100,7 +102,8 @@ def no_changes(spark: SparkSession, rows: T.StructType, key: str) -> DataFrame:
 def net_changes(feeds: list[DataFrame], key: str) -> DataFrame:
     """[key, old, new] over successive feeds: each key's row before the first and after the last.
 
-    Keys that end as they began, absent or with the same row, are left out.
+    Keys that end as they began, absent or with the same row, are left out. A single feed is read where it lies;
+    of several the outcome is written once, so that whoever takes it may read it more than once.
     """
     if len(feeds) == 1:
         net = feeds[0].select(key, "old", "new")
@@ -113,7 +116,8 @@ def net_changes(feeds: list[DataFrame], key: str) -> DataFrame:
             F.min_by(F.struct("old"), "_n").alias("first"), F.max_by(F.struct("new"), "_n").alias("last")
         )
         net = ends.select(key, F.col("first.old").alias("old"), F.col("last.new").alias("new"))
-    return net.filter(~F.col("old").eqNullSafe(F.col("new")))
+    net = net.filter(~F.col("old").eqNullSafe(F.col("new")))
+    return net if len(feeds) == 1 else settle(net, "changes")
 
 
 # --- the merge ---------------------------------------------------------------------------------------
@@ -151,18 +155,24 @@ def merge_by_key(
     spark = source.sparkSession
     recover(spark, path)
     if not exists(spark, path):
-        folder = fresh_path(spark, "merge")
-        source = settle(source, "source", folder)
-        counts = _counts(source, partition_by)
-        write_partitioned(source, path, [partition_by], "overwrite", sort_by, counts)
-        remove(spark, folder)
+        # A write that stops half way leaves no table behind.
+        first = path.rstrip("/") + ".first"
+        remove(spark, first)
+        write_partitioned(source, first, [partition_by], "overwrite", sort_by)
+        swap_in(spark, first, path)
+        stored = read_table(spark, path, source.schema)
+        counts = _counts(stored, partition_by)
+        large = {p for p, n in counts.items() if p is not None and n > ROWS_PER_FILE} if sort_by else set()
+        if large:  # known only now: these are laid out by range
+            rows = stored.filter(F.col(partition_by).isin(sorted(large)))
+            _rewrite(spark, path, rows, partition_by, sort_by, large, {p: counts[p] for p in large})
         return MergeResult(sum(counts.values()), 0)
     if feed is not None and feed_is_complete(spark, feed):
         return apply_feed(spark, path, feed, source.schema, key, partition_by, sort_by)
     _same_shape(spark, path, source, partition_by)
 
     folder = fresh_path(spark, "merge")
-    source = settle(source, "source", folder)
+    source = settle(source, "source", folder, DENSE)
     offered = _counts(source, partition_by)
     target = read_table(spark, path, source.schema)
     known = target if target_filter is None else target.filter(target_filter)
@@ -182,7 +192,7 @@ def merge_by_key(
         nowhere = F.lit(None).cast(source.schema[partition_by].dataType).alias(partition_by)
         gone = old.join(removed.select(key).distinct(), key, "left_semi")
         matches = matches.unionByName(gone.select(key, nowhere, "_old_partition", F.lit("delete").alias("_action")))
-    matches = settle(matches, "matches", folder)
+    matches = settle(matches, "matches", folder, DENSE)
     tally = matches.groupBy("_action", "_old_partition", partition_by).count().collect()
 
     changed = [r for r in tally if r["_action"] in ("update", "delete")]
@@ -192,15 +202,20 @@ def merge_by_key(
     inserts = {p: n - matched[p] for p, n in offered.items() if n > matched[p]}
     rewritten = {r[c] for r in changed for c in ("_old_partition", partition_by)} - {None}
     fresh = source
-    if tally:
+    idle_in = {r[partition_by] for r in tally if r["_action"] in ("same", "skip")}
+    if idle_in:  # only there are rows to be left out
         idle = matches.filter("_action IN ('same', 'skip')").select(key)
-        fresh = source.join(idle, key, "left_anti").select(*source.columns)
+        rest = source.filter(_lies_in(partition_by, idle_in)).join(idle, key, "left_anti").select(*source.columns)
+        fresh = source.filter(~_lies_in(partition_by, idle_in)).unionByName(rest)
+    touched = F.col(partition_by).isin(sorted(rewritten))
+    lost = matches.filter("_action IN ('update', 'delete')").select(key, "_action", "_old_partition")
+    # The rows of all partitions to be rewritten, those that go with what becomes of them.
+    held = target.filter(touched).join(lost, key, "left")
     if feed is not None and (inserts or changed):
-        _write_feed(feed, target, fresh, matches, {r["_old_partition"] for r in changed}, key, partition_by)
+        held = settle(held, "held", folder, DENSE) if changed else held  # for the feed and for the new versions
+        _write_feed(feed, held, fresh, changed, key, partition_by)
     if rewritten:
-        touched = F.col(partition_by).isin(sorted(rewritten))
-        replaced = matches.filter("_action IN ('update', 'delete')").select(key)
-        kept = target.filter(touched).join(replaced, key, "left_anti").select(*source.columns)
+        kept = held.filter("_action IS NULL").select(*source.columns)
         counts = Counter(_counts(target.filter(touched), partition_by)) + Counter({p: offered.get(p, 0) for p in rewritten})
         _rewrite(spark, path, kept.unionByName(fresh.filter(touched)), partition_by, sort_by, rewritten, counts)
         fresh = fresh.filter(~touched)
@@ -214,18 +229,30 @@ def merge_by_key(
     return MergeResult(sum(inserts.values()), counts["update"], tuple(sorted(lies_in)), counts["delete"])
 
 
-def _write_feed(
-    feed: str, target: DataFrame, fresh: DataFrame, matches: DataFrame, old_partitions: set, key: str, partition_by: str
-) -> None:
-    """Only the partitions that lose a row are read for the rows before."""
+def _lies_in(column: str, values: set) -> Column:
+    """Whether a column has one of some values, null among them or not; never null itself."""
+    return F.coalesce(F.col(column).isin(sorted(values - {None})), F.lit(None in values))
+
+
+def _write_feed(feed: str, held: DataFrame, fresh: DataFrame, changed: list, key: str, partition_by: str) -> None:
+    """Only the fresh rows of partitions that gain a replaced row are joined with the rows before, which ``held`` marks.
+
+    All others are inserted and written as they stand, without a shuffle.
+    """
     row = F.struct(*[F.col(c) for c in fresh.columns])
-    new = fresh.select(key, F.col(partition_by).alias("partition"), row.alias("new"))
-    lost = matches.filter("_action IN ('update', 'delete')").select(key, "_action", F.col("_old_partition").alias("old_partition"))
-    before = target.filter(F.col(partition_by).isin(sorted(old_partitions))).join(lost, key)
-    before = before.select(key, "_action", "old_partition", row.alias("old"))
-    changes = new.join(before, key, "full").withColumn("action", F.coalesce("_action", F.lit("insert")))
     schema = feed_schema(fresh.schema, key, partition_by)
-    changes.select(*schema.fieldNames()).write.mode("overwrite").parquet(feed)
+    new = fresh.select(key, F.col(partition_by).alias("partition"), row.alias("new"))
+    gaining = {r[partition_by] for r in changed if r["_action"] == "update"}
+    replacing = _lies_in("partition", gaining)
+    nothing = [F.lit(None).cast(schema[c].dataType).alias(c) for c in ("old_partition", "old")]
+    changes = new.filter(~replacing).select("*", F.lit("insert").alias("action"), *nothing)
+    if changed:
+        old_partitions = sorted({r["_old_partition"] for r in changed})
+        before = held.filter(F.col("_action").isNotNull() & F.col(partition_by).isin(old_partitions))
+        before = before.select(key, "_action", F.col("_old_partition").alias("old_partition"), row.alias("old"))
+        joined = new.filter(replacing).join(before, key, "full").withColumn("action", F.coalesce("_action", F.lit("insert")))
+        changes = changes.unionByName(joined.drop("_action"))
+    changes.select(*schema.fieldNames()).write.mode("overwrite").option("compression", DENSE).parquet(feed)
 
 
 def _counts(rows: DataFrame, partition_by: str) -> dict:

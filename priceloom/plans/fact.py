@@ -22,7 +22,6 @@ from priceloom.operators.merge import (
 )
 from priceloom.operators.watermark import after, high_watermark
 from priceloom.plans.silver import STORED_SILVER, FoldLedger, keyed_events, read_silver
-from priceloom.session import settle
 from priceloom.storage import Ledger, exists, read_text, remove, swap_in, write_text
 
 # ``number`` counts the updates of a ``generation`` of the fact, ``fold`` is the last fold of silver it has taken.
@@ -178,7 +177,7 @@ def follow_silver(
     mark = F.lit(watermark.isoformat(sep=" ")).cast("timestamp_ntz")
     day = lambda row: F.to_date(F.col(row)["ingestion_ts"])
     is_late = F.col("new.ingestion_ts") <= mark
-    changes = settle(changes.withColumn("is_late", F.coalesce(is_late, F.lit(False))), "changes")
+    changes = changes.withColumn("is_late", F.coalesce(is_late, F.lit(False)))
     seen = changes.groupBy("is_late", F.col("new").isNull().alias("gone"), day("old").alias("day")).agg(
         F.count(F.lit(1)).alias("n"), F.max("new.ingestion_ts").alias("newest")
     ).collect()

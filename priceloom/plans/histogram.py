@@ -87,7 +87,6 @@ def advance_latest(
         return latest, replace_table(price_counts(latest), counts_path, now)
 
     stored = read(latest_path)
-    changes = settle(changes, "changes")
     sides = [changes.filter(F.col(n).isNotNull()).select(*[F.col(f"{n}.{c}") for c in PAIR]) for n in ("old", "new")]
     pairs = settle(sides[0].unionByName(sides[1]).distinct(), "pairs")
     before = settle(stored.join(pairs, PAIR, "left_semi"), "before")

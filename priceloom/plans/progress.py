@@ -55,7 +55,6 @@ def next_latest(
     """
     columns = stored.columns
     row = F.struct(*[F.col(c) for c in columns])
-    changes = settle(changes, "changes")
     fresh = changes.filter("new IS NOT NULL").select(*[F.col(f"new.{c}") for c in columns])
     gone = changes.filter("old IS NOT NULL").select(*[F.col(f"old.{c}") for c in columns]).distinct()
     if by:  # a changed row may take the place of the one before: then nothing is missing

@@ -45,15 +45,15 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def settle(df: DataFrame, name: str = "settled", folder: str | None = None) -> DataFrame:
+def settle(df: DataFrame, name: str = "settled", folder: str | None = None, codec: str | None = None) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
     Cuts the lineage: several consumers neither recompute it nor depend on lost executors. It also
     gives the planner a measured size, so a small table is broadcast and a large one is not. Whoever
     passes a ``folder`` may remove it when done; the rest of the shared folder may be emptied between
-    runs.
+    runs. ``codec`` is for tables of hashed keys, whose hex digits only an entropy coder such as zstd makes shorter.
     """
     spark = df.sparkSession
     path = f"{folder}/{name}" if folder else fresh_path(spark, name)
-    df.write.parquet(path)
+    (df.write.option("compression", codec) if codec else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

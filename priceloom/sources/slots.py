@@ -66,13 +66,19 @@ def slot_sizes(spark: SparkSession, root: str) -> dict[tuple[str, str], int]:
     return {(r["dt"], r["hh"]): r["row_count"] for r in Ledger(spark, root, _LEDGER).read().collect()}
 
 
+def slots_in(df: DataFrame) -> list[tuple[str, str]]:
+    """The slots that stored rows belong to; only their two columns are read."""
+    return [(r["dt"], r["hh"]) for r in df.select("dt", "hh").distinct().collect()]
+
+
 def write_new_slots(df: DataFrame, root: str, slots: list[tuple[str, str]] | None = None) -> DataFrame:
     """Append the rows of slots that do not exist yet.
 
     Returns DataFrame[dt, hh, path, row_count, bytes_written, skipped], one row per slot in ``df``, or
     per slot in ``slots``: those are finished whether they have rows or not, and no others are.
     The slots present number one per hour, so they are listed on the driver; rows never are. A slot
-    that a crashed run left half written is not in the ledger and is replaced as a whole.
+    that a crashed run left half written is not in the ledger and is replaced as a whole. Without ``slots``
+    the rows are written once more to be looked through; for rows that are stored, `slots_in` spares that.
     """
     spark = df.sparkSession
     ledger = Ledger(spark, root, _LEDGER)
@@ -80,7 +86,7 @@ def write_new_slots(df: DataFrame, root: str, slots: list[tuple[str, str]] | Non
     done = set(existing_slots(spark, root))
     if slots is None:
         df = settle(df, "rows")  # looked through for its slots, then written
-        slots = [(r["dt"], r["hh"]) for r in df.select("dt", "hh").distinct().collect()]
+        slots = slots_in(df)
     fresh = sorted(s for s in slots if s not in done)
     written = {}
     if fresh:

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+import re
 from collections import Counter
 from decimal import Decimal
 
@@ -435,3 +436,51 @@ def test_many_small_ledger_files_become_one_table(spark, tmp_path, monkeypatch):
     assert files() <= 3
     ledger.restart([(100,)])
     assert [r["n"] for r in ledger.read().collect()] == [100] and ledger.exists()
+
+
+def test_inserted_rows_enter_the_feed_beside_replaced_ones(spark, tmp_path):
+    path, feed = str(tmp_path / "t"), str(tmp_path / "f")
+    merge_by_key(path, rows(spark, (1, "a", 1), (2, "b", 2), (3, "c", 3), (4, "c", 4)), "id", "part")
+    offered = rows(spark, (1, "a", 10), (5, "a", 5), (2, "d", 20), (6, "e", 6))
+    result = merge_by_key(path, offered, "id", "part", removed=spark.createDataFrame([(3,)], "id long"), feed=feed)
+    assert (result.inserted, result.updated, result.removed) == (2, 2, 1)
+    assert changes(spark, feed) == [
+        (1, "update", (1, "a", 1), (1, "a", 10)), (2, "update", (2, "b", 2), (2, "d", 20)), (3, "delete", (3, "c", 3), None),
+        (5, "insert", None, (5, "a", 5)), (6, "insert", None, (6, "e", 6)),
+    ]
+    assert stored(spark, path) == [(1, "a", 10), (2, "d", 20), (4, "c", 4), (5, "a", 5), (6, "e", 6)]
+
+
+def test_rows_of_other_partitions_are_not_joined_for_the_feed(spark, tmp_path, monkeypatch):
+    path, feed, real, plans = str(tmp_path / "t"), str(tmp_path / "f"), merge._write_feed, []
+
+    def watched(feed, held, fresh, *rest):
+        plans.append(fresh._jdf.queryExecution().optimizedPlan().toString())
+        real(feed, held, fresh, *rest)
+
+    monkeypatch.setattr(merge, "_write_feed", watched)
+    merge_by_key(path, rows(spark, (1, "a", 1), (2, "a", 2)), "id", "part", keep_smallest="v")
+    merge_by_key(path, rows(spark, (1, "a", 0), (2, "a", 9), (3, "b", 3)), "id", "part", keep_smallest="v", feed=feed)
+    assert [(r[0], r[1]) for r in changes(spark, feed)] == [(1, "update"), (3, "insert")]
+    outer, *legs = re.split(r"\n(?=:- |\+- )", plans[0])
+    assert outer.startswith("Union") and sum("Join" in leg for leg in legs) == 1, plans[0]
+
+
+def test_the_first_merge_writes_its_rows_once(spark, tmp_path, monkeypatch):
+    def refuse(*_, **__):
+        raise AssertionError("written twice")
+
+    monkeypatch.setattr(merge, "settle", refuse)
+    path = str(tmp_path / "t")
+    assert merge_by_key(path, rows(spark, (1, "a", 1), (2, "b", 2)), "id", "part").inserted == 2
+    assert stored(spark, path) == [(1, "a", 1), (2, "b", 2)]
+
+
+def test_a_first_merge_that_fails_leaves_no_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    bad = rows(spark, (1, "a", 1)).withColumn("v", F.raise_error(F.lit("no")).cast("long"))
+    with pytest.raises(Exception, match="no"):
+        merge_by_key(path, bad, "id", "part")
+    assert not storage.exists(spark, path)
+    assert merge_by_key(path, rows(spark, (1, "a", 1)), "id", "part").inserted == 1
+    assert stored(spark, path) == [(1, "a", 1)]
