@@ -21,7 +21,7 @@ from priceloom.quality import differing_partitions
 from priceloom.session import fresh_path
 from priceloom.sources import reference
 from priceloom.sources.archives import FeedDriftError
-from priceloom.sources.slots import ingest, read_bronze, write_new_slots
+from priceloom.sources.slots import ingest, read_bronze, slots_in, write_new_slots
 from priceloom.storage import replace_table
 
 # --- merges and their feeds --------------------------------------------------------------------------
@@ -224,7 +224,7 @@ def full_refresh_build(spark: SparkSession, folder: str) -> DataFrame:
     late, _ = days_of(rows)
     cfg = BuildConfig(fresh_path(spark, "bronze"), fresh_path(spark, "warehouse"), as_of=dt.datetime(2100, 1, 1))
     for part, whole in ((rows.filter(F.col("dt") != late), False), (rows, True)):
-        write_new_slots(part, cfg.bronze_root)
+        write_new_slots(part, cfg.bronze_root, slots_in(part))
         build(spark, BuildConfig(cfg.bronze_root, cfg.warehouse, as_of=cfg.as_of, full_refresh=whole))
     return plain(read_fact(spark, table_path(cfg.warehouse, "fct_prix_carburant")))
 
