@@ -17,6 +17,7 @@ from random import Random
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from priceloom.session import settle
@@ -44,16 +45,18 @@ def _little(ids: list[int]) -> bytes:
 class Encoder:
     """Token ids of texts for a tokenizer that never joins anything across white space.
 
-    Ids of white-space separated chunks are remembered. Where no two ASCII marks stand side by side, the common
-    ones are set apart first: a mark alone is a token of its own, whatever it touches. Otherwise a chunk that
-    is a plain Latin word between marks is put together from its parts. New words are encoded in one call
-    for many texts.
+    Ids of white-space separated chunks are remembered, and looked up once for all texts of a call. Where all ASCII
+    marks stand between spaces, Latin letters and digits, the common ones are set apart first: such a mark is a
+    token of its own. Otherwise a chunk that is a plain Latin word between marks is put together from its parts.
+    New words are encoded in one call for many texts.
     Texts with characters whose lower case or class depends on what surrounds them, or with markers of
     special tokens, are encoded whole.
     """
 
     _MARKS = ".,;:!?()\"|-/"
-    _RUN = re.compile(r"[!-/:-@\[-`{-~]{2}").search
+    # A mark beside what may be one token with it: anything but a space, a Latin letter or a digit.
+    _RUN = r"[!-/:-@\[-`{-~][^\sa-z0-9ß-öø-ɏ]|[^\sa-z0-9ß-öø-ɏ][!-/:-@\[-`{-~]"
+    _SPACES = "\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
     _ODD = ("\x1c", "\x1d", "\x1e", "\x1f", "İ", "Σ", "<|")
     _PARTS = re.compile(r"([!-&(-/:-@\[-`{-~]*)([a-zß-öø-ɏ]+)([!-/:-@\[-`{-~]*)")
     MOST = 700_000  # remembered chunks, about 120 MB
@@ -69,62 +72,80 @@ class Encoder:
         self._ends = np.zeros(self.largest + 1, bool)
         self._ends[[n for token, n in vocabulary.items() if token.endswith("</w>")]] = True
         self._known: dict[str, bytes] = {}
-        # How byte-level models spell bytes: printable Latin-1 as it is, the others from U+0100 on.
+        # How byte-level models spell bytes: printable Latin-1 as it is, the others from U+0100 on. Spaces stay, between words.
         plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
         others = [b for b in range(256) if b not in plain]
-        self._spelt = {b: 256 + n for n, b in enumerate(others)}
+        self._spelt = np.arange(256, dtype="<u2")
+        self._spelt[others] = 256 + np.arange(len(others))
+        self._spelt[ord(" ")] = ord(" ")
 
     def _encode(self, text: str) -> bytes:
         return _little(self._whole.encode(text, add_special_tokens=False).ids)
 
-    def _learn(self, chunks: set[str]) -> None:
+    def _learn(self, chunks: list[str]) -> None:
         known = self._known
         if len(known) + len(chunks) > self.MOST:
             known.clear()
-        words, joined = set(), []
+        words, spelt, joined = [], set(), []
         for chunk in chunks:
             if chunk.isascii() and chunk.isalpha():
-                words.add(chunk)
+                words.append(chunk)
             elif match := self._PARTS.fullmatch(chunk):
                 parts = match.groups()
-                joined.append((chunk, parts))
-                words.add(parts[1])
-                for mark in (parts[0], parts[2]):
-                    if mark and mark not in known:
-                        known[mark] = self._encode(mark)
+                spelt.add(parts[1])
+                if len(parts[1]) < len(chunk):
+                    joined.append((chunk, parts))
+                    for mark in (parts[0], parts[2]):
+                        if mark and mark not in known:
+                            known[mark] = self._encode(mark)
             else:
                 known[chunk] = self._encode(chunk)
-        new = [w for w in words if w not in known]
-        if new:
-            text = " ".join(w if w.isascii() else w.encode().decode("latin-1").translate(self._spelt) for w in new)
-            ids = np.array(self._bare.encode(text, add_special_tokens=False).ids, "<u4")
+        if spelt:
+            spelt = [w for w in spelt.difference(words) if w not in known]
+            words += spelt
+        if words:
+            text = " ".join(words)
+            if spelt:
+                text = self._spelt[np.frombuffer(text.encode(), np.uint8)].tobytes().decode("utf-16-le")
+            ids = np.array(self._bare.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
             cuts = (4 * (np.nonzero(self._ends[ids])[0] + 1)).tolist()  # a word's last token, and no other, ends in </w>
             held = ids.tobytes()
-            known.update(zip(new, (held[a:b] for a, b in zip([0, *cuts], cuts, strict=False)), strict=True))
+            known.update(zip(words, (held[a:b] for a, b in zip([0, *cuts], cuts, strict=False)), strict=True))
         for chunk, (before, word, after) in joined:
             known[chunk] = (known[before] if before else b"") + known[word] + (known[after] if after else b"")
 
     def _apart(self, text: str) -> str:
-        if not self._RUN(text):
-            for mark in self._MARKS:
-                if mark in text:
-                    text = text.replace(mark, f" {mark} ")
+        for mark in self._MARKS:
+            if mark in text:
+                text = text.replace(mark, f" {mark} ")
+        return text
+
+    def _spaced(self, text: str) -> str:
+        """``text`` without white space that is not ASCII."""
+        if not text.isascii() and any(space in text for space in self._SPACES):
+            return " ".join(text.split())
         return text
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         odd = [any(sign in text for sign in self._ODD) for text in texts]
-        chunks = [[] if o else self._apart(text.lower()).split() for text, o in zip(texts, odd, strict=True)]
-        get = self._known.get
-        found = [list(map(get, c)) for c in chunks]
-        missing = {c for cs, f in zip(chunks, found, strict=True) if None in f for c, ids in zip(cs, f, strict=True) if ids is None}
-        if missing:
-            self._learn(missing)
-            again = self._known
-            for cs, f in zip(chunks, found, strict=True):
-                if None in f:
-                    f[:] = [again[c] if ids is None else ids for c, ids in zip(cs, f, strict=True)]
-        return [self._encode(t) if o else b"".join(f) for t, o, f in zip(texts, odd, found, strict=True)]
+        plain = ["" if o else self._spaced(text.lower()) for text, o in zip(texts, odd, strict=True)]
+        runs = pc.match_substring_regex(pa.array(plain, pa.large_string()), self._RUN).to_pylist()
+        plain = [text if run else self._apart(text) for text, run in zip(plain, runs, strict=True)]
+        split = pc.ascii_split_whitespace(pa.array(plain, pa.large_string()))
+        # A chunk that these texts repeat is looked up once.
+        coded = split.values.dictionary_encode()
+        chunks = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        found = list(map(self._known.get, chunks))
+        if None in found:
+            self._learn([c for c, ids in zip(chunks, found, strict=True) if ids is None])
+            known = self._known
+            found = [known[c] if ids is None else ids for c, ids in zip(chunks, found, strict=True)]
+        held = pa.array(found, pa.large_binary()).take(coded.indices)
+        _, starts, data = held.buffers()
+        cuts = np.frombuffer(starts, np.int64, len(held) + 1)[split.offsets.to_numpy()].tolist()
+        joined = memoryview(data or b"")
+        return [self._encode(t) if o else bytes(joined[a:b]) for t, o, a, b in zip(texts, odd, cuts[:-1], cuts[1:], strict=True)]
 
 
 _ENCODERS: dict[str, Encoder] = {}

@@ -38,6 +38,34 @@ def test_ids_are_the_tokenizers(tokenizer):
                 assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text[:60]
 
 
+def test_spaces_and_spellings_of_all_kinds(tokenizer):
+    rng = random.Random(9)
+    signs = [*"abé ß ǖ ġ Ġ ā İ Σ ﬁ 日 'sd \x00\x85\xa0\xad\u1680\u180e\u2003\u200b\u2028\u202f\u3000\t\n\r\v\f\x1c\x7f.,-_|09", "e\u0301", "word", "né"]
+    texts = ["".join(rng.choices(signs, k=rng.randint(0, 40))) for _ in range(400)] + [" ", " a ", "\u3000a\xa0"]
+    texts += ["“Hello,” one said (“no”): «oui», 5€. ¿qué?", "a.\u200b b|\u0301 c"]
+    encoder = packing.Encoder(public_tokenizers.path(NAME))
+    for text, ids in zip(texts, encoder.ids(texts), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
+    assert encoder.ids([]) == [] and encoder.ids(["", " "]) == [b"", b""]
+
+
+def test_a_repeated_chunk_is_looked_up_once(tokenizer):
+    asked = defaultdict(int)
+
+    class Known(dict):
+        def get(self, chunk):
+            asked[chunk] += 1
+            return super().get(chunk)
+
+    encoder = packing.Encoder(public_tokenizers.path(NAME))
+    encoder._known = Known()
+    texts = [f"the word the word, known{n % 3}" for n in range(50)]
+    for _ in range(2):
+        want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+        assert [np.frombuffer(ids, "<u4").tolist() for ids in encoder.ids(texts)] == want
+    assert asked["the"] == asked["word"] == asked["known1"] == 2
+
+
 def test_pieces_and_places(spark, tokenizer):
     rng = random.Random(2)
     texts = ODD + [prose(rng, rng.randint(1, 900)) for _ in range(60)]
